@@ -21,6 +21,7 @@ BASE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

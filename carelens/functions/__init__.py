@@ -8,7 +8,8 @@ from carelens.functions.expr import (  # noqa: F401
     age_days,
     code_map,
     day_index,
-    epoch_micros,
+    desc_time_key,
+    fixed_point,
     exact_mean,
     exact_sum,
     fill_missing,

@@ -19,12 +19,13 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 # Text a missing key turns into; every source uses the same form so that keys agree.
 NULL_KEY = "nan"
 
-# Sums of money and weighted values are accumulated as decimals so that the
-# result does not depend on row order, partitioning or re-execution.
-SUM_TYPE = "decimal(38,6)"
+# Sums of money and weighted values are accumulated in fixed point (10**-6
+# units) so that the result does not depend on row order, partitioning or
+# re-execution.
+SUM_SCALE = 6
 # Means of non-integral values (means of per-machine means, ratios) are
-# accumulated at 1e-9 resolution for the same reason.
-MEAN_TYPE = "decimal(38,9)"
+# accumulated at 10**-9 resolution for the same reason.
+MEAN_SCALE = 9
 
 INF = float("inf")
 NAN = float("nan")
@@ -79,30 +80,32 @@ def strict_int_key(c: str | Column) -> Column:
 # --------------------------------------------------------------------------- time
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since 1970-01-01 of a zone-free timestamp."""
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), col_(ts))
-
-
-def micros_between(later: str | Column, earlier: str | Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", col_(earlier), col_(later))
-
-
-def floor_div(num: Column, den: int) -> Column:
-    """Exact floor division of a bigint by a positive constant."""
-    d = F.lit(den)
-    return ((num - F.pmod(num, d)) / d).cast("bigint")
+def epoch_ntz() -> Column:
+    return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
 
 
 def floor_days(later: str | Column, earlier: str | Column) -> Column:
     """Whole days from ``earlier`` to ``later``, floored (-26 h -> -2).
-    NULL when either side is NULL."""
-    return floor_div(micros_between(later, earlier), DAY_MICROS)
+    NULL when either side is NULL.
+
+    Zone-free timestamps subtract to an exact day-time interval; its day
+    field is truncated toward zero, so one is taken off when the interval
+    is below that whole number of days.
+    """
+    iv = col_(later) - col_(earlier)
+    d = F.extract(F.lit("DAY"), iv)
+    return F.when(iv < F.make_dt_interval(d), d - 1).otherwise(d).cast("bigint")
 
 
 def day_index(ts: str | Column) -> Column:
-    """Calendar day number of a timestamp (floor of micros / day)."""
-    return floor_div(epoch_micros(ts), DAY_MICROS)
+    """Calendar day number of a timestamp (whole days since 1970-01-01)."""
+    return floor_days(ts, epoch_ntz())
+
+
+def desc_time_key(ts: str | Column) -> Column:
+    """Sort key that orders later timestamps first (an interval, so no
+    conversion through time zones)."""
+    return epoch_ntz() - col_(ts)
 
 
 def as_of_lit(as_of: str) -> Column:
@@ -177,26 +180,38 @@ def fill_missing(c: str | Column, value, is_double: bool) -> Column:
 # --------------------------------------------------------------------------- aggregates
 
 
-def exact_sum(c: str | Column, dtype: str = SUM_TYPE) -> Column:
-    """Order-independent sum; all-missing gives 0 (pandas semantics)."""
-    return F.coalesce(F.sum(nan_to_null(c).cast(dtype)), F.lit(0).cast(dtype))
+def fixed_point(c: str | Column, scale: int) -> Column:
+    """``c`` rounded half away from zero to ``scale`` decimals, as an
+    integer count of 10**-scale units (decimal(38,0), so sums cannot
+    overflow; Spark keeps such decimals in a long while they fit).
+    Pure double arithmetic per row -- no per-row decimal conversion."""
+    x = col_(c).cast("double") * F.lit(10.0 ** scale)
+    units = F.signum(x) * F.floor(F.abs(x) + F.lit(0.5))
+    return units.cast("bigint").cast("decimal(38,0)")
+
+
+def exact_sum(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """Order-independent sum at ``scale`` decimals (as double); all-missing
+    gives 0 (pandas semantics)."""
+    total = F.coalesce(F.sum(fixed_point(nan_to_null(c), scale)), F.lit(0).cast("decimal(38,0)"))
+    return total.cast("double") / F.lit(10.0 ** scale)
 
 
 def exact_mean(c: str | Column) -> Column:
-    """Mean skipping NULL/NaN, accumulated as a decimal so the value does not
-    depend on row order.  +-inf propagate as in IEEE (inf and -inf -> NaN).
-    NULL when nothing is left."""
+    """Mean skipping NULL/NaN, accumulated at ``MEAN_SCALE`` decimals so the
+    value does not depend on row order.  +-inf propagate as in IEEE (inf
+    and -inf -> NaN).  NULL when nothing is left."""
     c = col_(c).cast("double")
     finite = F.when(~F.isnan(c) & (F.abs(c) != F.lit(INF)), c)
     n_pos = F.count_if(c == F.lit(INF))
     n_neg = F.count_if(c == F.lit(-INF))
     n = F.count(finite)
-    s = F.sum(finite.cast(MEAN_TYPE))
+    s = F.sum(fixed_point(finite, MEAN_SCALE)).cast("double") / F.lit(10.0 ** MEAN_SCALE)
     return (
         F.when((n_pos > 0) & (n_neg > 0), F.lit(NAN))
         .when(n_pos > 0, F.lit(INF))
         .when(n_neg > 0, F.lit(-INF))
-        .when(n > 0, s.cast("double") / n)
+        .when(n > 0, s / n)
         .otherwise(F.lit(None).cast("double"))
     )
 
@@ -225,4 +240,4 @@ def latest_first_order(ts: str | Column, tiebreak: list[str]) -> list[Column]:
     """Order for "row at the latest timestamp, first in file order among
     ties; rows without a timestamp only when nothing else is there"."""
     ts = col_(ts)
-    return [ts.isNull(), -epoch_micros(ts)] + [F.col(t) for t in tiebreak]
+    return [ts.isNull(), desc_time_key(ts)] + [F.col(t) for t in tiebreak]

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from carelens.config import FeatureConfig
 from carelens.functions.expr import (
-    MEAN_TYPE,
+    SUM_SCALE,
     age_days,
     exact_mean,
-    first_row_struct,
+    fixed_point,
+    first_by_order,
     floor_days,
     latest_first_order,
     strict_int_key,
@@ -86,10 +87,8 @@ def per_machine(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
         F.max(F.when(~esc.isin(98.0, 99.0), esc)).alias("max_escalation"),
         F.count_if(esc == 99.0).alias("count_of_99"),
         F.count_if(esc == 98.0).alias("count_of_98"),
-        F.sum(F.col("nps").cast(MEAN_TYPE)).alias("nps_sum"),
+        F.sum(fixed_point("nps", SUM_SCALE)).alias("nps_sum"),
         F.max("nps").alias("max_nps"),
-        F.array_sort(F.collect_set("Medium")).alias("media"),
-        first_row_struct("nps", latest_first_order("ClosedOn", tiebreak)).alias("latest_row"),
         *_mean_parts("soft", floor_days("SoftClosureDate", "PostingDate")),
         *_mean_parts("cnr", floor_days("ClosedOn", "NegativeReponseRemarksDate")),
     ]
@@ -104,9 +103,31 @@ def per_machine(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
     return calls.groupBy("customer", "serial").agg(*aggs)
 
 
-def summary(src: Sources, cfg: FeatureConfig) -> DataFrame:
-    calls = prepare(src, cfg)
-    m = per_machine(calls, src.tiebreak("calls"))
+def picks(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
+    """Per customer: rating of the latest call (#40; first in file order
+    among calls closed at the same time, undated calls only when nothing
+    else is there) and the number of distinct media (#39).
+
+    Separate from the fold so that the fold stays a code-generated hash
+    aggregate; media are counted after a (customer, medium) pre-grouping."""
+    latest = calls.groupBy("customer").agg(
+        first_by_order("nps", latest_first_order("ClosedOn", tiebreak)).alias("latest_nps_rating")
+    )
+    media = (
+        calls.where(F.col("Medium").isNotNull())
+        .select("customer", "Medium")
+        .distinct()
+        .groupBy("customer")
+        .agg(F.count(F.lit(1)).alias("unique_medium_count"))
+    )
+    return latest.join(media, "customer", "left").select(
+        "customer", "latest_nps_rating", F.coalesce("unique_medium_count", F.lit(0)).alias("unique_medium_count")
+    )
+
+
+def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFrame:
+    """One row per customer with calls; ``calls`` is the output of ``prepare``."""
+    m = per_machine(calls, tiebreak)
     has_serial = F.col("serial").isNotNull()
 
     def machine_mean(name: str) -> Column:
@@ -125,13 +146,12 @@ def summary(src: Sources, cfg: FeatureConfig) -> DataFrame:
         F.max("last_remark_date").alias("last_remark_date"),
         machine_mean("soft").alias("soft_post_days_diff"),
         F.max("max_escalation").alias("max_escalation"),
-        (F.sum("nps_sum").cast("double") / F.sum("n_calls")).alias("avg_nps"),
+        (F.sum("nps_sum").cast("double") / F.lit(10.0 ** SUM_SCALE) / F.sum("n_calls")).alias("avg_nps"),
         F.max("max_nps").alias("max_nps"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("media")))).cast("bigint").alias("unique_medium_count"),
-        F.min("latest_row")["v"].alias("latest_nps_rating"),
         machine_mean("cnr").alias("close_nr_days_diff"),
         *[machine_mean(n).alias(n) for n, _ in TAT_COLUMNS],
     )
+    agg = agg.join(picks(calls, tiebreak), "customer", "left")
     return agg.withColumns(
         {
             "days_since_last_closed_status": age_days("last_closed_on", cfg.as_of),

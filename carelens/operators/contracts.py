@@ -68,7 +68,7 @@ def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame
     by_cust = con.groupBy("customer").agg(
         F.count_distinct("icr").alias("unique_icrno_count"),
         F.max("end").alias("con_end_date_max"),
-        exact_sum("price").cast("double").alias("sum_amc_price"),
+        exact_sum("price").alias("sum_amc_price"),
     )
     by_machine = machine.groupBy("customer").agg(
         *[

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from carelens.config import FeatureConfig
 from carelens.functions.expr import (
     NULL_KEY,
+    SUM_SCALE,
     exact_mean,
-    exact_sum,
+    fixed_point,
     floor_days,
     ieee_div,
     int_mean,
@@ -36,72 +37,93 @@ def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
     return out
 
 
-def _repeat_items(rows: DataFrame) -> DataFrame:
-    """Items booked on more than one distinct day for the same machine,
-    counted as distinct items per customer."""
-    return (
-        rows.where(F.col("item").isNotNull())
-        .groupBy("customer", "serial", "item")
-        .agg(F.count_distinct("booked").alias("n_days"))
-        .where(F.col("n_days") > 1)
-        .groupBy("customer")
-        .agg(F.count_distinct("item").alias("n_items"))
+def machine_fold(sp: DataFrame) -> DataFrame:
+    """Per (customer, machine): first booking, and the number and summed
+    cost (fixed point) of contract-covered (ZAMC) part rows."""
+    zamc = F.col("category") == "ZAMC"
+    return sp.groupBy("customer", "serial").agg(
+        F.min("booked").alias("first_booked"),
+        F.count_if(zamc).alias("n_zamc"),
+        F.coalesce(F.sum(F.when(zamc, fixed_point("net", SUM_SCALE))), F.lit(0).cast("decimal(38,0)")).alias(
+            "net_units"
+        ),
     )
 
 
-def repeat_parts(sp: DataFrame) -> DataFrame:
-    """#58 -- machines with an unknown serial do not count."""
-    return _repeat_items(sp.where(F.col("serial") != NULL_KEY)).withColumnRenamed(
-        "n_items", "repeat_parts_for_customer"
+def repeat_parts(sp: DataFrame, machine: DataFrame) -> DataFrame:
+    """#58 and #63/#64.  Per (customer, machine, item): distinct booking
+    days, overall and strictly inside the span from the machine's first
+    contract start to its last contract end.  An item repeats when it has
+    more than one such day; customers count distinct repeating items.
+    #58 ignores machines with an unknown serial; #63 is NULL for customers
+    without any repeat inside a contract (it is not imputed).
+
+    Booking days are de-duplicated first, and the contract side is one row
+    per machine, so the join never multiplies rows."""
+    span = machine.select("customer", "serial", "min_start", "max_end")
+    days = (
+        sp.where(F.col("item").isNotNull() & F.col("booked").isNotNull())
+        .select("customer", "serial", "item", "booked")
+        .distinct()
+        .join(span, ["customer", "serial"], "left")
     )
-
-
-def repeat_parts_in_contract(sp: DataFrame, machine: DataFrame) -> DataFrame:
-    """#63/#64 -- as #58, but only bookings strictly inside the span from the
-    machine's first contract start to its last contract end.  The contract
-    side is one row per machine, so the join does not multiply rows."""
-    span = machine.select("customer", "serial", "min_start", "max_end").where(
-        F.col("min_start").isNotNull() & F.col("max_end").isNotNull()
+    inside = (F.col("booked") > F.col("min_start")) & (F.col("booked") < F.col("max_end"))
+    per_item = days.groupBy("customer", "serial", "item").agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.count_if(F.coalesce(inside, F.lit(False))).alias("n_inside"),
     )
-    inside = sp.join(span, ["customer", "serial"]).where(
-        (F.col("booked") > F.col("min_start")) & (F.col("booked") < F.col("max_end"))
+    flags = per_item.groupBy("customer", "item").agg(
+        F.max((F.col("serial") != NULL_KEY) & (F.col("n_days") > 1)).cast("int").alias("rep"),
+        F.max(F.col("n_inside") > 1).cast("int").alias("rep_in"),
     )
-    return _repeat_items(inside).withColumnRenamed("n_items", "repeat_parts_in_contract")
-
-
-def first_consumption_lag(sp: DataFrame, machine: DataFrame) -> DataFrame:
-    """#65 -- per contracted machine: first contract start minus first
-    booking (days), averaged per customer."""
-    first_booked = sp.groupBy("customer", "serial").agg(F.min("booked").alias("first_booked"))
-    j = machine.select("customer", "serial", "min_start").join(first_booked, ["customer", "serial"], "left")
-    return j.groupBy("customer").agg(
-        int_mean(floor_days("min_start", "first_booked")).alias(
-            "Days_between_AMC_start_data_and_1st_consumption_date"
-        )
+    out = flags.groupBy("customer").agg(
+        F.sum("rep").alias("repeat_parts_for_customer"),
+        F.sum("rep_in").alias("repeat_parts_in_contract"),
+    )
+    return out.select(
+        "customer",
+        F.when(F.col("repeat_parts_for_customer") > 0, F.col("repeat_parts_for_customer"))
+        .alias("repeat_parts_for_customer"),
+        F.when(F.col("repeat_parts_in_contract") > 0, F.col("repeat_parts_in_contract"))
+        .alias("repeat_parts_in_contract"),
     )
 
 
-def contract_profitability(sp: DataFrame, machine: DataFrame) -> DataFrame:
-    """#78/#79 -- per machine: contract-covered part cost over the top
-    contract price; a machine is profitable when that ratio is at most 1.
+def contract_lags_and_profitability(sp_machine: DataFrame, machine: DataFrame) -> DataFrame:
+    """One outer join of the per-machine spare and contract facts, one
+    aggregation per customer:
 
-    Each part row meets every contract row of its machine, so its cost
-    counts once per contract row (at least once).  That equals the
-    row-by-row join, computed from one summary row per machine instead of
-    the multiplied rows.
+    #65 -- per contracted machine: first contract start minus first booking
+    (days), averaged per customer.
+
+    #78/#79 -- per machine with contract-covered (ZAMC) parts: their cost over
+    the top contract price; a machine is profitable when that ratio is at
+    most 1.  Each part row meets every contract row of its machine, so its
+    cost counts once per contract row (at least once) -- the row-by-row join,
+    computed from one summary row per machine instead of the multiplied rows.
     """
-    cost = (
-        sp.where(F.col("category") == "ZAMC")
-        .groupBy("customer", "serial")
-        .agg(exact_sum("net").alias("net_sum"))
+    j = sp_machine.join(
+        machine.select("customer", "serial", "min_start", "n_contracts", "max_price"),
+        ["customer", "serial"],
+        "full",
     )
-    j = cost.join(machine.select("customer", "serial", "n_contracts", "max_price"), ["customer", "serial"], "left")
-    times = F.greatest(F.coalesce(F.col("n_contracts"), F.lit(1)), F.lit(1))
-    ratio = ieee_div((F.col("net_sum") * times).cast("double"), F.col("max_price"))
-    j = j.withColumn("profitability", ratio).withColumn(
-        "profitable", F.when(F.col("profitability") <= 1, 1).otherwise(0)
+    contracted = F.col("n_contracts").isNotNull()
+    covered = F.coalesce(F.col("n_zamc"), F.lit(0)) > 0
+    times = F.greatest(F.coalesce(F.col("n_contracts"), F.lit(1)), F.lit(1)).cast("decimal(38,0)")
+    net_total = (F.col("net_units") * times).cast("double") / F.lit(10.0 ** SUM_SCALE)
+    profitability = F.when(covered, ieee_div(net_total, F.col("max_price")))
+    profitable = F.when(profitability <= 1, 1).otherwise(0)
+    agg = j.groupBy("customer").agg(
+        int_mean(F.when(contracted, floor_days("min_start", "first_booked"))).alias(
+            "Days_between_AMC_start_data_and_1st_consumption_date"
+        ),
+        F.sum(F.when(covered, profitable)).alias("p_sum"),
+        F.count_if(covered).alias("p_count"),
+        exact_mean(profitability).alias("avg_profitability"),
     )
-    return j.groupBy("customer").agg(
-        (F.sum("profitable") / F.count(F.lit(1))).alias("AMC_perc"),
-        exact_mean("profitability").alias("avg_profitability"),
+    return agg.select(
+        "customer",
+        "Days_between_AMC_start_data_and_1st_consumption_date",
+        F.when(F.col("p_count") > 0, F.col("p_sum") / F.col("p_count")).alias("AMC_perc"),
+        F.when(F.col("p_count") > 0, F.col("avg_profitability")).alias("avg_profitability"),
     )

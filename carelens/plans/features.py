@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from carelens.config import FeatureConfig
 from carelens.functions.expr import age_days, fill_missing
 from carelens.operators import calls, contracts, installs, items, price, spares
 from carelens.sources.inputs import Sources
+from carelens.sources.sinks import materialize
 
 SENTINEL = 99999
 
@@ -96,9 +98,9 @@ CATALOGUE: list[Feature] = [
     Feature("days_since_last_purchase_zadd", "items", L, SENTINEL),
     Feature("zacc_qty", "items", D, 0),
     Feature("zadd_qty", "items", D, 0),
-    Feature("ItemNo_x", "repeat_parts_in_contract", L, None),
-    Feature("ItemNo_y", "repeat_parts_in_contract", L, None),
-    Feature("Days_between_AMC_start_data_and_1st_consumption_date", "first_consumption_lag", D, SENTINEL),
+    Feature("ItemNo_x", "repeat_parts", L, None),
+    Feature("ItemNo_y", "repeat_parts", L, None),
+    Feature("Days_between_AMC_start_data_and_1st_consumption_date", "spare_contracts", D, SENTINEL),
     Feature("number_of_productcats_for_which_essentials_purchased", "items", L, 0),
     Feature("number_of_productcats_for_which_accessories_purchased", "items", L, 0),
     Feature("number_of_productser_for_which_essentials_purchased", "items", L, 0),
@@ -111,8 +113,8 @@ CATALOGUE: list[Feature] = [
     Feature("number_of_unique_accessories", "items", L, 0),
     Feature("price_sensitivity", "price", D, 0),
     Feature("loyalty_score", "contracts", D, 0),
-    Feature("AMC_perc", "profitability", D, 0),
-    Feature("avg_profitability", "profitability", D, 0),
+    Feature("AMC_perc", "spare_contracts", D, 0),
+    Feature("avg_profitability", "spare_contracts", D, 0),
     Feature("difference_btw_first_ess_purchase_and_first_ifb_interaction", "items", D, SENTINEL),
     Feature("difference_btw_first_acc_purchase_and_first_ifb_interaction", "items", D, SENTINEL),
     Feature("days_since_latest_neg_remark", "calls", L, SENTINEL),
@@ -129,43 +131,76 @@ class _Plan:
     def __init__(self, src: Sources, cfg: FeatureConfig):
         self.src, self.cfg = src, cfg
         self._memo: dict[str, DataFrame] = {}
+        self.persisted: list[DataFrame] = []
 
     def _get(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
             self._memo[key] = fn()
         return self._memo[key]
 
+    def _staged(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
+        def build() -> DataFrame:
+            df = fn()
+            if self.cfg.share == "write":
+                df = materialize(df.sparkSession, df, f"prepared-{key}")
+            elif self.cfg.share == "persist":
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                self.persisted.append(df)
+            return df
+
+        return self._get(key, build)
+
+    def release(self) -> None:
+        for df in self.persisted:
+            df.unpersist()
+        self.persisted.clear()
+
     # shared inputs
     def inst(self) -> DataFrame:
-        return self._get("inst", lambda: installs.prepare(self.src, self.cfg))
+        return self._staged("installs", lambda: installs.prepare(self.src, self.cfg))
+
+    def inst_fold(self) -> DataFrame:
+        return self._staged("installs-fold", lambda: installs.fold(self.inst()))
 
     def inst_machine(self) -> DataFrame:
-        return self._get("inst_machine", lambda: installs.per_machine(self.inst()))
+        return self._get("inst_machine", lambda: installs.per_machine(self.inst_fold()))
 
     def inst_machine_cat(self) -> DataFrame:
-        return self._get("inst_machine_cat", lambda: installs.per_machine_category(self.inst()))
+        return self._get("inst_machine_cat", lambda: installs.per_machine_category(self.inst_fold()))
+
+    def calls(self) -> DataFrame:
+        return self._staged("calls", lambda: calls.prepare(self.src, self.cfg))
 
     def con(self) -> DataFrame:
-        return self._get("con", lambda: contracts.prepare(self.src, self.cfg))
+        return self._get("contracts", lambda: contracts.prepare(self.src, self.cfg))
 
     def con_machine(self) -> DataFrame:
-        return self._get("con_machine", lambda: contracts.per_machine(self.con()))
+        return self._staged("contracts-machine", lambda: contracts.per_machine(self.con()))
 
     def sp(self) -> DataFrame:
-        return self._get("sp", lambda: spares.prepare(self.src, self.cfg))
+        return self._get("spares", lambda: spares.prepare(self.src, self.cfg))
+
+    def sp_machine(self) -> DataFrame:
+        return self._get("spares-machine", lambda: spares.machine_fold(self.sp()))
+
+    def items(self) -> DataFrame:
+        return self._staged("call_items", lambda: items.prepare(self.src, self.cfg))
+
+    def items_mt(self) -> DataFrame:
+        return self._staged("call_items-machine", lambda: items.per_machine_type(self.items()))
 
     # summaries, one row per customer
     def group(self, name: str) -> DataFrame:
         builders: dict[str, Callable[[], DataFrame]] = {
-            "installs": lambda: installs.summary(self.inst(), self.cfg),
+            "installs": lambda: installs.summary(self.inst_fold(), self.cfg),
             "gaps": lambda: installs.purchase_gaps(self.inst(), self.src.tiebreak("installs")),
-            "calls": lambda: calls.summary(self.src, self.cfg),
+            "calls": lambda: calls.summary(self.calls(), self.src.tiebreak("calls"), self.cfg),
             "contracts": lambda: contracts.summary(self.con(), self.con_machine(), self.cfg),
-            "repeat_parts": lambda: spares.repeat_parts(self.sp()),
-            "repeat_parts_in_contract": lambda: spares.repeat_parts_in_contract(self.sp(), self.con_machine()),
-            "first_consumption_lag": lambda: spares.first_consumption_lag(self.sp(), self.con_machine()),
-            "profitability": lambda: spares.contract_profitability(self.sp(), self.con_machine()),
-            "items": lambda: items.summary(self.src, self.cfg, self.inst_machine(), self.inst_machine_cat()),
+            "repeat_parts": lambda: spares.repeat_parts(self.sp(), self.con_machine()),
+            "spare_contracts": lambda: spares.contract_lags_and_profitability(self.sp_machine(),
+                                                                              self.con_machine()),
+            "items": lambda: items.summary(self.items(), self.items_mt(), self.src.tiebreak("call_items"),
+                                           self.cfg, self.inst_machine(), self.inst_machine_cat()),
             "price": lambda: price.summary(self.src, self.inst()),
         }
         return self._get(f"group:{name}", builders[name])

@@ -1,0 +1,106 @@
+"""Scalar and aggregate expressions: day counts, IEEE division, missing
+values, keys, fixed-point sums."""
+
+import math
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carelens.functions import expr as X
+
+
+def one(spark, col, rows, schema):
+    df = spark.createDataFrame(rows, schema)
+    return [r[0] for r in df.select(col).collect()]
+
+
+def test_floor_days_floors_negative_partial_days(spark):
+    rows = [
+        (datetime(2024, 1, 2, 2), datetime(2024, 1, 1, 0)),   # +26 h -> 1
+        (datetime(2024, 1, 1, 0), datetime(2024, 1, 2, 2)),   # -26 h -> -2
+        (datetime(2024, 1, 1, 0), datetime(2024, 1, 2, 0)),   # -24 h -> -1
+        (datetime(2024, 1, 1, 0), datetime(2024, 1, 1, 0)),
+        (None, datetime(2024, 1, 1)),
+    ]
+    schema = "a timestamp_ntz, b timestamp_ntz"
+    assert one(spark, X.floor_days("a", "b"), rows, schema) == [1, -2, -1, 0, None]
+
+
+def test_age_and_day_index(spark):
+    rows = [(datetime(2024, 1, 31, 13),), (datetime(1970, 1, 2, 0),)]
+    out = spark.createDataFrame(rows, "t timestamp_ntz").select(
+        X.age_days("t", "2024-02-01 12:00:00").alias("age"), X.day_index("t").alias("day")).collect()
+    assert out[0]["age"] == 0 and out[1]["day"] == 1
+
+
+def test_ieee_div(spark):
+    rows = [(1.0, 0.0), (-2.0, 0.0), (0.0, 0.0), (3.0, 2.0), (None, 1.0), (1.0, None)]
+    got = one(spark, X.ieee_div("a", "b"), rows, "a double, b double")
+    assert got[0] == math.inf and got[1] == -math.inf and math.isnan(got[2])
+    assert got[3] == 1.5 and got[4] is None and got[5] is None
+
+
+def test_ne_missing_lets_missing_pass(spark):
+    rows = [("OG",), ("SW",), (None,)]
+    assert one(spark, X.ne_missing("w", "OG"), rows, "w string") == [False, True, True]
+
+
+def test_norm_key_forms(spark):
+    df = spark.createDataFrame([(1e8, 12, " ab "), (12.5, None, None), (None, 7, "x")],
+                               "f double, i long, s string")
+    out = df.select(X.norm_key("f", T.DoubleType()).alias("f"), X.norm_key("i", T.LongType()).alias("i"),
+                    X.norm_key("s", T.StringType()).alias("s")).collect()
+    assert [tuple(r) for r in out] == [("100000000", "12", "ab"), ("12.5", "nan", "nan"), ("nan", "7", "x")]
+
+
+def test_strict_int_key(spark):
+    df = spark.createDataFrame([("12",), ("12.0",), ("7.9",)], "c string")
+    assert [r[0] for r in df.select(X.strict_int_key("c")).collect()] == ["12", "12", "7"]
+
+
+def test_code_map_and_fill(spark):
+    df = spark.createDataFrame([("AC",), ("WM",), ("CT",), (None,)], "c string")
+    assert [r[0] for r in df.select(X.code_map("c", X.CATEGORY_CODES)).collect()] == [1, 4, None, None]
+    df = spark.createDataFrame([(float("nan"),), (None,), (float("inf"),), (2.0,)], "x double")
+    got = [r[0] for r in df.select(X.fill_missing("x", 99999, True)).collect()]
+    assert got == [99999.0, 99999.0, math.inf, 2.0]
+
+
+def test_parse_ts_formats_and_garbage(spark):
+    rows = [("2024-07-19 10:00:00",), ("19/07/2024",), ("20240719",), ("n/a",), (None,)]
+    got = one(spark, X.parse_ts("c", ("dd/MM/yyyy", "yyyyMMdd")), rows, "c string")
+    assert got[:3] == [datetime(2024, 7, 19, 10), datetime(2024, 7, 19), datetime(2024, 7, 19)]
+    assert got[3] is None and got[4] is None
+
+
+def test_exact_sum_and_mean_do_not_depend_on_order(spark):
+    vals = [0.1, 0.2, 0.3, 1e6 + 0.07, -5.55, None, float("nan")]
+    a = spark.createDataFrame([(1, v) for v in vals], "k int, x double")
+    b = spark.createDataFrame([(1, v) for v in reversed(vals)], "k int, x double").repartition(3)
+    fa = a.groupBy("k").agg(X.exact_sum("x").alias("s"), X.exact_mean("x").alias("m")).first()
+    fb = b.groupBy("k").agg(X.exact_sum("x").alias("s"), X.exact_mean("x").alias("m")).first()
+    assert fa == fb
+    assert abs(fa["s"] - (0.1 + 0.2 + 0.3 + 1e6 + 0.07 - 5.55)) < 1e-6
+
+
+def test_exact_mean_infinities(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, math.inf), (2, math.inf), (2, -math.inf), (3, None)],
+                               "k int, x double")
+    got = {r["k"]: r["m"] for r in df.groupBy("k").agg(X.exact_mean("x").alias("m")).collect()}
+    assert got[1] == math.inf and math.isnan(got[2]) and got[3] is None
+
+
+def test_exact_sum_all_missing_is_zero(spark):
+    df = spark.createDataFrame([(1, None)], "k int, x double")
+    assert df.groupBy("k").agg(X.exact_sum("x").alias("s")).first()["s"] == 0.0
+
+
+def test_first_by_order_picks_latest_then_file_order(spark):
+    rows = [(1, datetime(2024, 1, 2), 5, 10.0), (1, datetime(2024, 1, 2), 3, 20.0),
+            (1, datetime(2024, 1, 1), 1, 30.0), (1, None, 0, 40.0),
+            (2, None, 9, 1.0), (2, None, 4, 2.0)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, tb int, v double")
+    got = {r["k"]: r["v"] for r in df.groupBy("k").agg(
+        X.first_by_order("v", X.latest_first_order("t", ["tb"])).alias("v")).collect()}
+    assert got == {1: 20.0, 2: 2.0}

@@ -8,6 +8,7 @@ co-partitioned (or broadcast when AQE finds a side small).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -123,10 +124,24 @@ BY_NAME = {f.name: f for f in CATALOGUE}
 FEATURE_NAMES = [f.name for f in CATALOGUE]
 
 
+# Shared results each summary group reads, and the order they can be built
+# in (a wave only reads results of earlier waves).
+NEEDS = {
+    "installs": {"inst", "inst_fold"},
+    "gaps": {"inst"},
+    "calls": {"calls"},
+    "contracts": {"con", "con_machine"},
+    "repeat_parts": {"sp", "con", "con_machine"},
+    "spare_contracts": {"sp", "con", "con_machine"},
+    "items": {"items", "items_mt", "inst", "inst_fold"},
+    "price": {"inst"},
+}
+WAVES = [("inst", "calls", "con", "sp", "items"), ("inst_fold", "con_machine", "items_mt")]
+
+
 class _Plan:
-    """Lazily built summaries of one run; shared sub-results (per-machine
-    contract and install facts) are built once and reused by every
-    consumer, so the final plan has one exchange per distinct result."""
+    """Lazily built summaries of one run; shared sub-results (prepared
+    inputs, per-machine folds) are built once and read by every consumer."""
 
     def __init__(self, src: Sources, cfg: FeatureConfig):
         self.src, self.cfg = src, cfg
@@ -150,6 +165,16 @@ class _Plan:
 
         return self._get(key, build)
 
+    def prestage(self, groups: Iterable[str]) -> None:
+        """Write the shared results ``groups`` need, independent ones as
+        concurrent Spark jobs (one driver thread each), wave by wave."""
+        if self.cfg.share != "write":
+            return
+        needed = set().union(*(NEEDS[g] for g in groups))
+        with ThreadPoolExecutor(max_workers=len(WAVES[0])) as pool:
+            for wave in WAVES:
+                list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if k in needed]))
+
     def release(self) -> None:
         for df in self.persisted:
             df.unpersist()
@@ -172,13 +197,13 @@ class _Plan:
         return self._staged("calls", lambda: calls.prepare(self.src, self.cfg))
 
     def con(self) -> DataFrame:
-        return self._get("contracts", lambda: contracts.prepare(self.src, self.cfg))
+        return self._staged("contracts", lambda: contracts.prepare(self.src, self.cfg))
 
     def con_machine(self) -> DataFrame:
         return self._staged("contracts-machine", lambda: contracts.per_machine(self.con()))
 
     def sp(self) -> DataFrame:
-        return self._get("spares", lambda: spares.prepare(self.src, self.cfg))
+        return self._staged("spares", lambda: spares.prepare(self.src, self.cfg))
 
     def sp_machine(self) -> DataFrame:
         return self._get("spares-machine", lambda: spares.machine_fold(self.sp()))
@@ -225,8 +250,10 @@ def feature_table(
     cfg = cfg or FeatureConfig()
     names = list(columns) if columns is not None else FEATURE_NAMES
     plan = _Plan(src, cfg)
+    groups = _groups_for(names)
+    plan.prestage(["installs"] + groups)
     df = plan.group("installs")
-    for g in _groups_for(names):
+    for g in groups:
         df = df.join(plan.group(g), "customer", "left")
     out = [F.col("customer")]
     for n in names:

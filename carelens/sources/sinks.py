@@ -41,6 +41,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: cuts the lineage so a lost executor recomputes from the written
-    table, not from the raw inputs."""
+    table, not from the raw inputs.
+
+    A frame with fewer partitions than the cluster has cores (e.g. a scan of
+    a file with a single row group) is spread round-robin first, so that the
+    written table -- and every stage reading it -- is read in parallel."""
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     path = write_table(df, scratch_path(spark, name))
     return spark.read.parquet(path)

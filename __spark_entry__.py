@@ -356,6 +356,6 @@ def oracle_sql() -> dict[str, str]:
     o["preview_head"] = _row_sql(
         "SELECT event_id, CustomerCode, Status FROM calls ORDER BY event_id LIMIT 5")
     o["features_roundtrip"] = o["customer_features"]
-    o["standardize"] = M.standardize_sql(oq.with_views("SELECT * FROM features"))
-    o["elbow_k1"] = M.elbow_k1_sql(oq.with_views("SELECT * FROM features"))
+    o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))
+    o["elbow_k1"] = oq.elbow_k1_sql(oq.with_views("SELECT * FROM features"))
     return o

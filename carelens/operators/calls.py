@@ -70,7 +70,9 @@ def _mean_parts(name: str, days: Column) -> list[Column]:
     return [F.sum(days).alias(f"{name}_s"), F.count(days).alias(f"{name}_c")]
 
 
-def per_machine(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
+def per_machine(calls: DataFrame) -> DataFrame:
+    """Per (customer, machine): every count, max and partial sum the
+    customer-level call features fold, in one hash aggregation."""
     closed = F.col("Status") == "Closed"
     cancelled = F.col("Status") == "Cancelled"
     by_cust = F.col("Origin") == "Customer"
@@ -127,7 +129,7 @@ def picks(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
 
 def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFrame:
     """One row per customer with calls; ``calls`` is the output of ``prepare``."""
-    m = per_machine(calls, tiebreak)
+    m = per_machine(calls)
     has_serial = F.col("serial").isNotNull()
 
     def machine_mean(name: str) -> Column:

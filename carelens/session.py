@@ -15,9 +15,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what AQE has measured to be small at run time.
+    # Broadcast decisions: at planning time only sides whose estimated size
+    # is under Spark's conservative 10 MB default; at run time AQE broadcasts
+    # a side once its *measured* shuffle output is under 32 MB.  Anything
+    # larger stays a sort-merge join (with skew splitting).
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",

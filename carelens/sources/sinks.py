@@ -19,7 +19,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         or spark.sparkContext.getCheckpointDir()
     )
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
+        from carelens.session import ensure_checkpoint_dir
+
+        root = ensure_checkpoint_dir(spark)
     return root.rstrip("/")
 
 

@@ -339,3 +339,35 @@ def feature_slice(columns: list[str]) -> str:
 
 
 assert SENTINEL == 99999
+
+
+# ----------------------------------------------------------------- model oracles
+
+
+def _model_cols(columns: list[str] | None) -> list[str]:
+    from carelens.plans.features import FEATURE_NAMES
+
+    return sorted(c for c in (columns or FEATURE_NAMES) if c != "customer")
+
+
+def standardize_sql(features_sql: str, columns: list[str] | None = None) -> str:
+    """z-scores with sample std; NULL, NaN and zero-std results become 0."""
+    cols = _model_cols(columns)
+    stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in cols)
+    zs = []
+    for c in cols:
+        z = f"(CAST(f.{c} AS DOUBLE) - st.m_{c}) / NULLIF(st.s_{c}, 0)"
+        zs.append(f"COALESCE(CASE WHEN isnan({z}) THEN NULL ELSE {z} END, 0.0) AS {c}")
+    return (
+        f"SELECT f.customer, {', '.join(zs)} FROM ({features_sql}) f, "
+        f"(SELECT {stats} FROM ({features_sql})) st"
+    )
+
+
+def elbow_k1_sql(features_sql: str, columns: list[str] | None = None) -> str:
+    """WCSS of a single cluster over the z-scores."""
+    cols = _model_cols(columns)
+    z = standardize_sql(features_sql, columns)
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in cols)
+    sq = " + ".join(f"power(z.{c} - mz.m_{c}, 2)" for c in cols)
+    return f"SELECT 1 AS k, SUM({sq}) AS wcss FROM ({z}) z, (SELECT {means} FROM ({z})) mz"

@@ -50,7 +50,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     A frame with fewer partitions than the cluster has cores (e.g. a scan of
     a file with a single row group) is spread round-robin first, so that the
     written table -- and every stage reading it -- is read in parallel."""
-    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism)
+    except Exception:  # sessions without RDD access (Spark Connect): write as is
+        pass
     path = write_table(df, scratch_path(spark, name))
     return spark.read.parquet(path)

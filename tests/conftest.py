@@ -29,4 +29,4 @@ def small_features(spark, small_sources):
     from carelens.config import FeatureConfig
     from carelens.plans.features import build_features
 
-    return build_features(small_sources, FeatureConfig()).toPandas()
+    return build_features(small_sources, FeatureConfig(share="write")).toPandas()

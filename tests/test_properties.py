@@ -92,3 +92,14 @@ def test_plan_has_no_cross_join_or_python(spark, small_sources):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas"):
         assert bad not in plan
+
+
+def test_auto_share_is_size_checked(small_sources):
+    from carelens.operators import installs
+    from carelens.plans.features import _Plan, input_bytes
+
+    df = installs.prepare(small_sources, FeatureConfig())
+    n = input_bytes(df)
+    assert n is not None and n > 0
+    assert _Plan(small_sources, FeatureConfig(share="auto"))._mode(df) == "none"
+    assert _Plan(small_sources, FeatureConfig(share="auto", stage_min_bytes=n))._mode(df) == "write"

@@ -50,14 +50,25 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the deployment's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private one."""
+    """The deployment's ``spark.checkpoint.dir``.
+
+    Only a local master may leave it unset (tests, notebooks): there the
+    driver's disk is the executors' disk, so a private temporary folder is
+    shared by definition.  Any other master must name a shared folder."""
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
+    current = (
+        sc.getConf().get("spark.checkpoint.dir", None)
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or sc.getCheckpointDir()
     )
     if not current:
-        current = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="carelens-ckpt-")
+        if not _is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="carelens-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
+
+
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")

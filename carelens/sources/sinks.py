@@ -11,25 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    It is read from the session; ``carelens.session.get_session`` only sets
-    one where the deployment left it unset (local tests)."""
-    root = (
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        or spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-    )
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
-        from carelens.session import ensure_checkpoint_dir
-
-        root = ensure_checkpoint_dir(spark)
-    return root.rstrip("/")
+    It is read from the session; a private folder is made only for a local
+    master that leaves it unset (``carelens.session.ensure_checkpoint_dir``)."""
+    from carelens.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+# Scratch tables written by this driver and not yet released.
+_scratch: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/carelens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder; ``release`` removes it."""
+    path = f"{checkpoint_root(spark)}/carelens/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables this driver has made (from the ``since``-th
+    on, see ``scratch_mark``) once their consumers have been written; returns
+    how many were removed.  Only paths handed out by ``scratch_path`` go."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = _scratch[since:]
+    del _scratch[since:]
+    for p in gone:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(gone)
+
+
+def scratch_mark() -> int:
+    """How many scratch tables exist now: pass it to ``release`` later."""
+    return len(_scratch)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
@@ -43,18 +58,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: cuts the lineage so a lost executor recomputes from the written
-    table, not from the raw inputs.
-
-    A frame with fewer partitions than the cluster has cores (e.g. a scan of
-    a file with a single row group) is spread round-robin first, so that the
-    written table -- and every stage reading it -- is read in parallel."""
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism)
-    except Exception:  # sessions without RDD access (Spark Connect): write as is
-        pass
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: cuts the lineage, so a lost executor recomputes from the
+    written table and not from the raw inputs."""
     path = write_table(df, scratch_path(spark, name))
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

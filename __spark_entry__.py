@@ -27,6 +27,16 @@ from carelens.sources import fixtures as FX  # noqa: E402
 from carelens.sources import readers as R  # noqa: E402
 from carelens.sources import sinks as SK  # noqa: E402
 
+# The training-data operators and their pipeline are an optional part: without
+# their folders everything else here still works.
+try:
+    import corpus_pipeline  # noqa: E402
+    from carelens.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("carelens.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 CFG = FeatureConfig(as_of="2024-02-01 12:00:00")
 
@@ -296,6 +306,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         clusters=clusters,
         cluster_roundtrip=cluster_roundtrip,
     )
+    if llm_queries is not None:
+        q.update(llm_queries.QUERIES, pipeline=corpus_pipeline.run)
     return q
 
 
@@ -358,4 +370,8 @@ def oracle_sql() -> dict[str, str]:
     o["features_roundtrip"] = o["customer_features"]
     o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))
     o["elbow_k1"] = oq.elbow_k1_sql(oq.with_views("SELECT * FROM features"))
+    if llm_queries is not None:
+        o.update(llm_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o

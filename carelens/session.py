@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +74,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def _is_local(master: str) -> bool:
     return master == "local" or master.startswith("local[")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers of ``spark``, once per
+    application, through Spark's own file server.  The archive is code, not
+    data: it is built in the driver's temporary folder and never read there
+    by executors."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="carelens-code-"), "carelens.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("carelens", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelens.llm.common import ship_package
+
 START, END = "<|im_start|>", "<|im_end|>"
 _OPEN = re.compile(r"<(\\*)\|")
 _CLOSED = re.compile(r"<\\(\\*)\|")
@@ -182,6 +184,7 @@ def _format_batches(layouts: tuple[Layout, ...]):
 def format_chats(records: DataFrame, id_column: str = "conv_id", record: str = "record",
                  layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """id, fingerprint, layout, formatted, loss (spans) of each JSON record."""
+    ship_package(records.sparkSession)
     d = records.select(id_column, record)
     return d.mapInArrow(
         _format_batches(layouts),
@@ -253,6 +256,7 @@ def _digest_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What can be read back from the formatted strings and their masks."""
+    ship_package(formatted.sparkSession)
     return formatted.where(F.col("formatted").isNotNull()).select("conv_id", "formatted", "loss").mapInArrow(
         _digest_batches,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.session import ship_package
 from carelens.sources.sinks import materialize
 
 # The white space that separates words: space and U+0009 to U+000D.
@@ -14,7 +15,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["BLANKS", "BLANK_RUN", "WORD_PATTERN", "let", "materialize", "n_words", "read_table", "running", "text_or_empty", "words"]
+__all__ = ["BLANKS", "BLANK_RUN", "WORD_PATTERN", "let", "materialize", "n_words", "read_table", "running", "ship_package", "text_or_empty", "words"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

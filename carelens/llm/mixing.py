@@ -63,10 +63,11 @@ def _shuffle_key(doc_id: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
 
 
-def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
+def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: row_id, doc_id, source, size, source_size,
-    target, copies (0 to 3) and taken (copies * size)."""
+    target, copies (0 to 3) and taken (copies * size), and ``carry``."""
     sized = materialize(spark, docs.select(
+        *carry,
         F.monotonically_increasing_id().alias("row_id"), "doc_id", "source",
         n_words(text_or_empty(text)).alias("size"), _shuffle_key(F.col("doc_id")).alias("key")), "mix-sizes")
     sources = materialize(spark, sized.groupBy("source").agg(
@@ -83,7 +84,7 @@ def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text") -> Data
         sources.select(
             F.col("source").alias("_source"), F.ceil(F.col("n_docs") / range_rows).alias("ranges")),
         F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    q = q.withColumn("part", F.floor(
+    q = q.drop(*carry).withColumn("part", F.floor(
         F.conv(F.substring("key", 1, 8), 16, 10).cast("double") * F.col("ranges") / float(1 << 32)).cast("int"))
     # One row per (source, range), made from one row per source; no NULL keys in the join.
     named = [F.coalesce(F.col("source"), F.lit("")).alias("_s"), F.col("source").isNull().alias("_n")]
@@ -130,5 +131,5 @@ def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text") -> Data
     return (
         sources_of.join(counts, "row_id", "left")
         .withColumn("copies", F.coalesce(F.col("copies"), F.lit(0)))
-        .select("row_id", "doc_id", "source", "size", "source_size", "target", "copies",
+        .select(*carry, "row_id", "doc_id", "source", "size", "source_size", "target", "copies",
                 (F.col("copies") * F.col("size")).cast("long").alias("taken")))

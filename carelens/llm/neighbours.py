@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import materialize
+from carelens.llm.common import materialize, ship_package
 
 SAMPLE = 20_000
 TREES = 8
@@ -222,6 +222,7 @@ def nearest(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20,
             vector_column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query row
     among all rows but its own id."""
+    ship_package(spark)
     schema = "query_id long, rank int, vec_id long, score double"
     # Floats are kept as floats where they are stored or moved.
     kind = "<f4" if rows.schema[vector_column].dataType.simpleString() == "array<float>" else "<f8"

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import materialize, text_or_empty
+from carelens.llm.common import materialize, ship_package, text_or_empty
 from carelens.llm.components import connected_components
 
 SHINGLE = 5
@@ -156,7 +156,7 @@ def _describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n.append(len(s))
                 node.append(_node(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["doc_id", "n_shingles", "node"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["_id", "n_shingles", "node"])
 
 
 # Packed shingles: a row holds, for one bucket, sets (ids, sizes, how many of
@@ -521,15 +521,19 @@ def _by(*columns: str):
     return Window.partitionBy(*columns)
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    d = docs.select("doc_id", text_or_empty(text).alias("text"))
-    described = materialize(spark, d.mapInArrow(_describe, f"doc_id {d.schema[0].dataType.simpleString()}, n_shingles long, node long"), "join-documents")
+def jaccard_components(spark: SparkSession, docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """id, n_shingles, component_id of every document.  Ids may be of any type
+    that has an order."""
+    ship_package(spark)
+    d = docs.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("text"))
+    described = materialize(spark, d.mapInArrow(
+        _describe, f"_id {d.schema[0].dataType.simpleString()}, n_shingles long, node long"), "join-documents")
     total = described.agg(F.sum("n_shingles")).first()[0]
     links = set_links(spark, d.select("text"), total or 0)
     found = connected_components(spark, links)
     linked = described.where(F.col("node").isNotNull()).join(found, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("class"))
-    smallest = linked.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return linked.join(smallest, "class").select("doc_id", "n_shingles", "component_id").unionByName(
-        described.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        "_id", "n_shingles", F.coalesce("component", "node").alias("class"))
+    smallest = linked.groupBy("class").agg(F.min("_id").alias("component_id"))
+    out = linked.join(smallest, "class").select("_id", "n_shingles", "component_id").unionByName(
+        described.where(F.col("node").isNull()).select("_id", "n_shingles", F.col("_id").alias("component_id")))
+    return out.withColumnRenamed("_id", id_column)

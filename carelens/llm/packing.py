@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import text_or_empty
+from carelens.llm.common import ship_package, text_or_empty
 from carelens.llm.tokens import TextEncoder
 
 SCHEMA = ("start long, length long, token_ids binary, doc_tokens long, sequence_id long, "
@@ -153,6 +153,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, te
     the piece's ``cost``.  ``tokenizer_path`` must exist on every executor."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    ship_package(spark)
     d = docs.select(F.col(id_column), text_or_empty(text))
     kind = d.schema[0].dataType
     return d.mapInArrow(

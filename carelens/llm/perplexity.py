@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from carelens.llm.common import materialize, text_or_empty
+from carelens.llm.common import materialize, ship_package, text_or_empty
 
 BITS = 6
 ALPHABET = 1 << BITS
@@ -150,6 +150,7 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") ->
 
 def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
     """Fit on (text) rows; None without any."""
+    ship_package(spark)
     texts = trusted.select("text")
     top = (texts.mapInArrow(_count_codes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "code").limit(ALPHABET - 2).collect())
@@ -175,6 +176,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
     """``carry``, n_chars_scored and log_perplexity (per character)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(spark)
     d = docs.select(*carry, text_or_empty(text).alias("_text"))
     if model is None:
         return d.select(*carry, F.char_length("_text").cast("long").alias("n_scored"), F.lit(None).cast("double").alias("log_perplexity"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import materialize, n_words, text_or_empty
+from carelens.llm.common import materialize, n_words, ship_package, text_or_empty
 
 GROUP = ("source", "lang", "tokenizer")
 CHANGES = "op string, source string, lang string, tokenizer string, tokens long, old_tokens long"
@@ -114,6 +114,7 @@ def count_tokens(docs: DataFrame, tokenizer: BytePairs, text: str = "text", carr
     n_tokens of every whole text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(docs.sparkSession)
     t = text_or_empty(text)
     d = docs.select(*carry, F.sha2(t.cast("binary"), 256).alias("text_key"), F.octet_length(t).cast("long").alias("n_bytes"),
                     n_words(t).alias("n_words"), t.alias("_text"))

@@ -1,10 +1,14 @@
 """Toxicity by nearest labelled examples.
 
-A text is a TF-IDF vector over a vocabulary of whole words and word pieces (5
-characters, ``^`` and ``$`` marking where a word begins and ends), chosen from
-the labelled examples by chi-squared between term and label.  Its nearest
+A text is a TF-IDF vector over a vocabulary of whole words, word pieces (5
+characters, ``^`` and ``$`` marking where a word begins and ends) and stems (a
+word's first 3 to 6 letters), chosen from the labelled examples by chi-squared
+between term and label.  A stem that occurs again and again is a further term
+for every ``LEVELS`` rate per 1000 words that it reaches, so that a stem that is
+harmless once and telling when frequent can be told apart.  Its nearest
 examples by *exact* cosine vote with their similarity; the vote becomes a score
-by calibration on labelled documents that are not examples.
+by calibration on labelled documents in their natural proportions (examples among
+them are scored without themselves).
 
 Examples are found through a block-max inverted index: a term's postings are
 cut into blocks of ``BLOCK`` example numbers, and the largest weight of every
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import materialize, text_or_empty
+from carelens.llm.common import materialize, ship_package, text_or_empty
 
 INDEX_PER_CLASS = 3000
 CALIBRATION = 6000
@@ -49,6 +53,8 @@ NEIGHBOURS = 15
 BINS = 10
 THRESHOLD = 0.3
 PIECE = 5
+STEMS = (3, 4, 5, 6)
+LEVELS = (4, 6, 8, 11, 16, 23, 32, 64)
 _WORD = re.compile(r"\w+")
 
 
@@ -63,6 +69,20 @@ def pieces(word: str) -> list[str]:
     return [word, *{marked[i : i + PIECE] for i in range(len(marked) - PIECE + 1)}]
 
 
+def stems(word: str) -> list[str]:
+    return [f"^{word[:k]}" for k in STEMS if k <= len(word)]
+
+
+def levels(stem_counts: Counter, n_words: int) -> Iterator[tuple[str, int]]:
+    """(stem, level) for every rate that a repeated stem reaches."""
+    for stem, n in stem_counts.items():
+        if n >= 2:
+            for level in LEVELS:
+                if n * 1000 < level * n_words:
+                    break
+                yield stem, level
+
+
 @dataclass
 class Index:
     """Block-max inverted index over unit vectors."""
@@ -89,8 +109,9 @@ class Index:
         w = (1.0 + np.log(np.array([counts[t] for t in at], float))) * self.idf[at]
         return at, w / np.sqrt((w * w).sum())
 
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """(cosine, example number) of the k best, ties to smaller numbers."""
+    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> list[tuple[float, int]]:
+        """(cosine, example number) of the k best other than ``but``, ties to
+        smaller numbers."""
         bound = weights @ self.block_max[at]
         best: list[tuple[float, int]] = []
         for block in np.argsort(-bound, kind="stable"):
@@ -102,7 +123,7 @@ class Index:
                 if a < b:
                     numbers, posted = self.postings[t]
                     got[numbers[a:b] - block * BLOCK] += w * posted[a:b]
-            hits = np.flatnonzero(got)
+            hits = [h for h in np.flatnonzero(got) if block * BLOCK + h != but]
             best = sorted(best + [(-round(float(got[h]), 12), int(block * BLOCK + h)) for h in hits])[:k]
         return [(-s, n) for s, n in best]
 
@@ -129,18 +150,31 @@ class Counts:
 
     def __init__(self, terms: dict[str, int], keep: int = 500_000):
         self.terms, self.keep, self.known = terms, keep, {}
+        self.levelled = {t.split(">")[0] for t in terms if ">" in t}
 
     def __call__(self, text: str) -> Counter:
         out: Counter = Counter()
-        known = self.known
+        often: Counter = Counter()
+        known, n_words = self.known, 0
         for word, n in Counter(_WORD.findall(text.lower())).items():
+            n_words += n
             found = known.get(word)
             if found is None:
-                found = tuple(self.terms[p] for p in pieces(word) if p in self.terms)
+                own = stems(word)
+                found = (tuple(self.terms[p] for p in {*pieces(word), *own} if p in self.terms),
+                         tuple(x for x in own if x in self.levelled))
+                found = found if found[0] or found[1] else ()
                 if len(known) < self.keep:
                     known[word] = found
-            for t in found:
-                out[t] += n
+            if found:
+                for t in found[0]:
+                    out[t] += n
+                for stem in found[1]:
+                    often[stem] += n
+        for stem, level in levels(often, n_words):
+            t = self.terms.get(f"{stem}>{level}")
+            if t is not None:
+                out[t] = 1
         return out
 
 
@@ -150,8 +184,14 @@ def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             own: set[str] = set()
-            for word in set(_WORD.findall(text.as_py().lower())):
+            often: Counter = Counter()
+            words = Counter(_WORD.findall(text.as_py().lower()))
+            for word, n in words.items():
                 own.update(pieces(word))
+                for stem in stems(word):
+                    often[stem] += n
+            own.update(often)
+            own.update(f"{stem}>{level}" for stem, level in levels(often, words.total()))
             for t in own:
                 seen.setdefault(t, [0, 0])[label] += 1
     items = list(seen.items())
@@ -177,7 +217,7 @@ def examples(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
 
     index = first(0).unionByName(first(1)).withColumn("role", F.lit("index"))
     rest = known.orderBy(other, "doc_id").limit(CALIBRATION).withColumn("role", F.lit("calibration"))
-    both = index.unionByName(rest.join(index.select("doc_id"), "doc_id", "left_anti"))
+    both = index.unionByName(rest)
     # At most 2 * INDEX_PER_CLASS + CALIBRATION ids.
     return docs.select("doc_id", text_or_empty(text).alias("text")).join(F.broadcast(both), "doc_id").select(
         "role", "label", "doc_id", "text")
@@ -191,6 +231,7 @@ def chi_squared(clean: Column, toxic: Column, n_clean: int, n_toxic: int) -> Col
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text") -> Model | None:
     """The model, or None without examples of both labels."""
+    ship_package(spark)
     sample = materialize(spark, examples(docs, labels, text), "toxicity-examples")
     index = sample.where(F.col("role") == "index")
     size = {r["label"]: r["n"] for r in index.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -224,14 +265,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
                   [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)])
     model = Model(built, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     votes, truth, bare = [], [], [0, 0]
+    number = {doc_id: i for i, doc_id in enumerate(ids)}
     for r in rows:
         if r["role"] != "calibration":
             continue
         if not r["at"]:
             bare[r["label"]] += 1
             continue
-        votes.append(model.vote(built.nearest(*built.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))))))
-        truth.append(r["label"])
+        found = built.nearest(*built.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), but=number.get(r["doc_id"], -1))
+        if found:
+            votes.append(model.vote(found))
+            truth.append(r["label"])
     rate = sum(truth) + bare[1]
     base = rate / max(1, len(truth) + sum(bare))
     model.no_neighbours = (bare[1] + base) / (sum(bare) + 1)
@@ -271,17 +315,17 @@ def _counts_of(terms: dict[str, int]):
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text",
-          carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry``, score, and the evidence: neighbours (doc_id, label, cosine)
-    and the vocabulary terms that the text has."""
+          carry: tuple[str, ...] = ("doc_id",), evidence: bool = True) -> DataFrame:
+    """``carry``, score and, if wanted, the evidence: neighbours (doc_id,
+    label, cosine) and the vocabulary terms that the text has."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(spark)
     d = docs.select(*carry, text_or_empty(text).alias("_text"))
-    evidence = "neighbours array<struct<doc_id:bigint,label:int,cosine:double>>, terms array<string>"
+    near_type = "array<struct<doc_id:bigint,label:int,cosine:double>>"
     if model is None:
-        return d.select(*carry, F.lit(0.0).alias("score"),
-                        F.array().cast("array<struct<doc_id:bigint,label:int,cosine:double>>").alias("neighbours"),
-                        F.array().cast("array<string>").alias("terms"))
+        none = [F.array().cast(near_type).alias("neighbours"), F.array().cast("array<string>").alias("terms")]
+        return d.select(*carry, F.lit(0.0).alias("score"), *(none if evidence else []))
     names = to_arrow_schema(d.drop("_text").schema).names
     shared = spark.sparkContext.broadcast(model)  # bounded by the parameters above
 
@@ -303,11 +347,13 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
                         {"doc_id": m.index.ids[n], "label": int(m.index.labels[n]), "cosine": s} for s, n in found])
                 value, neighbours = seen[key]
                 scores.append(value)
-                near.append(neighbours)
-                terms.append([by_number[t] for t, _ in key])
+                if evidence:
+                    near.append(neighbours)
+                    terms.append([by_number[t] for t, _ in key])
+            more = [pa.array(near, kind), pa.array(terms, pa.list_(pa.string()))] if evidence else []
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], pa.array(scores, pa.float64()), pa.array(near, kind), pa.array(terms, pa.list_(pa.string()))],
-                names=[*names, "score", "neighbours", "terms"])
+                [*batch.columns[: len(names)], pa.array(scores, pa.float64()), *more],
+                names=[*names, "score", *(["neighbours", "terms"] if evidence else [])])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in d.drop("_text").schema]
-    return d.mapInArrow(run, ", ".join([*fields, "score double", evidence]))
+    return d.mapInArrow(run, ", ".join([*fields, "score double", *([f"neighbours {near_type}, terms array<string>"] if evidence else [])]))

@@ -503,24 +503,18 @@ def set_links(spark: SparkSession, texts: DataFrame, total_shingles: int) -> Dat
     if stray.isEmpty():
         return links
     # Strays in chunks of their own meet every segment of their block.
-    chunked = stray.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(
-        F.count("*").over(_by("block")) / SEGMENT).cast("long")))
-    chunks = chunked.groupBy("block").agg(F.max("chunk").alias("last"))
-    a = chunked.select("block", "node", "known", "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("segments") - 1)).alias("segment"))
-    b = known.join(chunks, "block").select("block", "node", "known", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("chunk"), "segment")
-    sets = member.select("node", "n", "hashes")
-    both = a.select("block", "segment", "chunk", "node", "known").unionByName(
-        b.select("block", "segment", "chunk", "node", "known", F.lit(0).alias("side"))).join(sets, "node")
+    chunks = stray.groupBy("block").agg(F.ceil(F.count("*") / SEGMENT).cast("long").alias("chunks"))
+    zero = F.lit(0).cast("long")
+    a = stray.join(chunks, "block").select(
+        "block", "node", "known", F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).alias("chunk"),
+        F.explode(F.sequence(zero, F.col("segments") - 1)).alias("segment"))
+    b = known.join(chunks, "block").select(
+        "block", "node", "known", F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("chunk"), "segment")
+    both = a.unionByName(b).join(member.select("node", "n", "hashes"), "node")
     more = both.select(*fields, "chunk", "known").groupBy("block", "segment", "chunk").applyInPandas(_join_segment, "a long, b long")
     return links.unionByName(materialize(spark, more, "join-stray-links"))
 
 
-def _by(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
-
-
 def jaccard_components(spark: SparkSession, docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """id, n_shingles, component_id of every document.  Ids may be of any type
     that has an order."""

@@ -1,0 +1,212 @@
+"""Quality rules, mixing and secrets against their SQL and odd rows."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from carelens.llm import mixing, quality_rules, queries, secret_scan
+from carelens.llm.common import running, words
+
+from .helpers import SF, duck, empty_docs, odd_docs, odd_rows, same_rows
+from .helpers import words as plain_words
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    same_rows(queries.QUERIES[name](spark, SF), duck().sql(queries.ORACLE_SQL[name]))
+
+
+def test_words_and_running(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", " \x0b ", "a", "  a\tb\nc ", "é x y"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(words(F.col("t"))).collect()] == [plain_words(t) for t in texts]
+    n = 1000
+    got = spark.range(1).select(running(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")), lambda a, b: a + b, block=7)).first()[0]
+    assert got == [k * (k + 1) // 2 for k in range(n)]
+
+
+# ---------------------------------------------------------------- quality
+
+
+def plain_counts(text):
+    text = text or ""
+    w = plain_words(text)
+    windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    often = Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if plain_words(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_counts_of_odd_rows(spark):
+    more = [(100, "a b c d e f g h " * 5 + "x\n\n a \n a \na", "en", "a", 1), (101, "# ** $5 %%% <b> | & >" * 3, "en", "a", 1),
+            (102, " ".join(f"w{i}" for i in range(30)) + " " + " ".join(f"w{i}" for i in range(3, 15)), None, None, 1)]
+    rows = odd_rows() + more
+    out = quality_rules.quality_rules(spark, odd_docs(spark, rows)).collect()
+    got = sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out), key=str)
+    assert got == sorted(((i, *plain_counts(t)) for i, t, *_ in rows), key=str)
+    for r in out:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert quality_rules.quality_rules(spark, empty_docs(spark)).collect() == []
+
+
+def test_sketches_merge_and_are_close(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(F.lit("en").alias("lang"), (F.col("id") % 2).cast("string").alias("source"),
+                                    *[(F.col("id") * 7919 % 50_000).alias(r.measure) for r in quality_rules.RULES])
+    fine = quality_rules.sketch(df)
+    q = quality_rules.quantiles(quality_rules.merge(fine, ("lang",)), ("lang",)).where("measure = 'symbol_rate'").first()
+    values = sorted(i * 7919 % 50_000 for i in range(20_000))
+    for name, p in (("q25", 25), ("q50", 50), ("q75", 75)):
+        true = values[-(-20_000 * p // 100) - 1]
+        assert true * (1 - 1 / 32) - 1 <= q[name] <= true
+    assert q["n_docs"] == 20_000
+
+
+def test_cutoffs_adapt_to_the_group(spark):
+    """The same text passes where it is typical and fails where it is not."""
+    plain = " ".join(f"word{i}" for i in range(40))
+    symbols = " ".join(f"w{i} |" for i in range(40))
+    rows = [(i, plain + f" x{i}", "en", "plain", 1) for i in range(60)] + [(100 + i, symbols + f" y{i}", "en", "tables", 1) for i in range(60)]
+    rows += [(999, symbols, "en", "plain", 1)]
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark, odd_docs(spark, rows)).collect()}
+    assert not kept.pop(999) and all(kept.values())
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def test_mixing_odd_rows(spark):
+    rows = odd_rows()
+    out = mixing.fair_queue(spark, odd_docs(spark)).collect()
+    assert Counter((r.doc_id, r.size, r.source) for r in out) == Counter((i, len(plain_words(t)), s) for i, t, _, s, _ in rows)
+    sizes = Counter()
+    for r in out:
+        sizes[r.source] += r.size
+    assert all(r.source_size == sizes[r.source] and 0 <= r.copies <= 3 and r.taken == r.copies * r.size for r in out)
+    assert abs(sum({r.source: r.target for r in out}.values()) - sum(sizes.values())) < 1e-6
+    assert mixing.fair_queue(spark, empty_docs(spark)).collect() == []
+    nothing = mixing.fair_queue(spark, odd_docs(spark, [(1, None, "en", "a", 1), (2, "", "en", None, 1)])).collect()
+    assert [(r.target, r.taken) for r in nothing] == [(0.0, 0)] * 2
+
+
+def reshared(sizes, weights):
+    """Targets by repeated resharing of what is over."""
+    left, free, out = float(sum(sizes)), list(range(len(sizes))), [0.0] * len(sizes)
+    while free:
+        total = sum(weights[i] for i in free)
+        over = [i for i in free if left * weights[i] / total > 3 * sizes[i]]
+        if not over:
+            for i in free:
+                out[i] = left * weights[i] / total
+            break
+        for i in over:
+            out[i] = 3.0 * sizes[i]
+            left -= out[i]
+            free.remove(i)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[100, 1, 1], [5, 5, 5, 5], [0, 10, 1000, 3, 50, 0, 7], [1]])
+def test_targets_are_the_reshared_weights(spark, sizes):
+    names = [f"s{i}" for i in range(len(sizes) - 1)] + [None]
+    out = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")).collect()}
+    want = reshared(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))])
+    assert [out[n] for n in names] == pytest.approx(want)
+
+
+def test_taken_words_come_near_targets_and_reruns_agree(spark):
+    a = mixing.fair_queue(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    b = mixing.fair_queue(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(7)).collect()
+    view = lambda rows: sorted((r.doc_id, r.taken) for r in rows)
+    assert view(a) == view(b)
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    for r in a:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r.size)
+    assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in target)
+    assert sum(taken.values()) <= sum(r.size for r in a)
+
+
+# ---------------------------------------------------------------- secrets
+
+BASE = [("assign", re.compile(r"""((?a:(?i:password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+        ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24)]
+ROLE = {k.name: k.role for k in secret_scan.KINDS}
+ORDER = {k.name: i for i, k in enumerate(secret_scan.KINDS)}
+
+
+def base_spans(text):
+    out = [(m.start(), ORDER[name], m.end()) for name, p, g, n in BASE for m in p.finditer(text or "") if len(m[g]) >= n]
+    return sorted(out)
+
+
+def all_spans(text):
+    base = base_spans(text)
+    weak = []
+    for i, k in enumerate(secret_scan.KINDS):
+        if not k.base:
+            weak += [(m.start(), i, m.end()) for m in re.finditer(k.pattern, text or "") if len(m[k.group]) >= k.shortest]
+    role = lambda s: secret_scan.KINDS[s[1]].role
+    linked = []
+    for w in weak:
+        near = [s for s in base + weak if abs(s[0] - w[0]) <= secret_scan.SCOPE]
+        strong = any(role(s) in secret_scan.COMPLEMENTS[role(w)] and secret_scan.KINDS[s[1]].base for s in near)
+        if strong or len({role(s) for s in near}) == 3:
+            linked.append(w)
+    return sorted(base + linked)
+
+
+SECRETS = [
+    "token=token: abcdef password : 'hunter22' PASSWD=\"x\" Api_Key=abc.def-1 ſecret=abcdefgh",
+    "AKIA" + "A" * 16 + " AKIA1 xAKIAAKIA" + "Z" * 14 + " " + "0" * 24 + "g" + "a" * 23,
+    "é🙂 secret = 'zürich' secret='zurich12' 🙂 " + "f" * 30,
+    "https://db.example.org/x username=bob " + "Ab1+" * 12,
+    "see https://example.org for more" + " pad" * 200 + " password=hunter22",
+    "login: alice " + "x " * 140 + "secret=topsecret1 " + "y " * 149 + "client_id=abc " + "z" * 50 + " http://h.io",
+    "username=bob only", "password=" + "p" * 500 + " login=joe",
+    ("AKIA" + "Q" * 16 + " user_name=u" + " " * 50 + "secret:abcdef123 ") * 400,
+]
+
+
+def test_secret_spans_of_odd_texts(spark):
+    rows = [(i, t, None, None, None) for i, t in enumerate(SECRETS)] + odd_rows() + [(50, SECRETS[3], None, None, 1)] * 2
+    out = secret_scan.secret_scan(spark, odd_docs(spark, rows)).collect()
+    view = lambda spans: tuple((s.start, s.kind, s.stop) for s in spans)
+    got = sorted(((r.doc_id, view(r.base), view(r.spans)) for r in out), key=str)
+    assert got == sorted(((i, tuple(base_spans(t)), tuple(all_spans(t))) for i, t, *_ in rows), key=str)
+    assert secret_scan.secret_scan(spark, empty_docs(spark)).collect() == []
+
+
+def test_weak_finds_need_their_complement(spark):
+    assert not all_spans(SECRETS[6])
+    assert [ORDER["endpoint"]] != [k for _, k, _ in all_spans(SECRETS[4])]
+    assert {k for _, k, _ in all_spans(SECRETS[3])} == {ORDER["endpoint"], ORDER["ident"], ORDER["blob"]}
+
+
+def test_redaction_masks_merged_spans(spark):
+    from pyspark.sql import functions as F
+
+    spans = [(2, 0, 5), (4, 1, 8), (8, 2, 9), (12, 0, 14)]
+    df = spark.createDataFrame([("é🙂abcdefghijklmnop", spans), ("abc", []), ("abc", [(0, 0, 3)])], f"t string, s array<{secret_scan.SPAN}>")
+    got = [r[0] for r in df.select(secret_scan.redact(F.col("t"), F.col("s"), "[X]")).collect()]
+    assert got == ["é🙂[X][X]" + "hij" + "[X]" + "mnop", "abc", "[X]"]
+
+
+def test_digest_columns(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op10_secret_scan(spark, sf).collect()
+    assert any(r.n_assign + r.n_access + r.n_hex for r in rows)
+    for row in rows:
+        spans = base_spans(texts[row.doc_id])
+        joined = ",".join(f"{secret_scan.KINDS[k].name}:{a}:{b}" for a, k, b in spans)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(k == i for _, k, _ in spans) for i in range(3))

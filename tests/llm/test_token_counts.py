@@ -1,0 +1,85 @@
+import base64
+from collections import Counter
+
+import public_tokenizers
+import tiktoken
+
+from carelens.llm import token_counts as T
+from carelens.sources.sinks import scratch_path
+
+from .helpers import SF, empty_docs, odd_docs, odd_rows
+from .helpers import words as plain_words
+
+PAIRS = T.BytePairs(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def plain_totals(rows):
+    """Exact counts of one row per distinct text, of smallest id."""
+    with open(PAIRS.path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    e = tiktoken.Encoding("own", pat_str=PAIRS.pattern, mergeable_ranks=ranks, special_tokens={})
+    first = {}
+    for doc_id, text, lang, source in rows:
+        key = ((doc_id is None, doc_id or 0), lang, source)
+        if text not in first or key[0] < first[text][0]:
+            first[text] = key
+    out = Counter()
+    for text, (_, lang, source) in first.items():
+        out[source, lang, "words", "docs"] += 1
+        out[source, lang, "words", "tokens"] += len(plain_words(text))
+        out[source, lang, "bpe", "docs"] += 1
+        out[source, lang, "bpe", "tokens"] += len(e.encode_ordinary(text))
+    return out
+
+
+def seen(df, version):
+    out = Counter()
+    for r in df.collect():
+        name = "bpe" if r.tokenizer == version else r.tokenizer
+        out[r.source, r.lang, name, "docs"] += r.docs
+        out[r.source, r.lang, name, "tokens"] += r.tokens
+    return out
+
+
+def test_documents_through_their_life(spark):
+    rollup = T.rollup_documents(spark, odd_docs(spark), scratch_path(spark, "t"), "v1", PAIRS)
+    rows = [(i, t or "", lang, source) for i, t, lang, source, _ in odd_rows()]
+    assert seen(rollup.totals(), "v1") == plain_totals(rows)
+    assert T.rollup_documents(spark, empty_docs(spark), scratch_path(spark, "t"), "v1", PAIRS).totals().collect() == []
+
+
+def test_query_against_brute_force(spark):
+    from carelens.llm.queries import COUNTING_TOKENIZER, op5_token_counts
+
+    rows = [(r.doc_id, r.text or "", r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert seen(op5_token_counts(spark, SF), COUNTING_TOKENIZER) == plain_totals(rows)
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame(rows, T.CHANGES).selectExpr("*", "'x' AS batch_id", "1 AS docs")
+
+
+def test_batches_count_once(spark):
+    r = T.TokenRollup(spark, scratch_path(spark, "t"))
+    assert r.totals().collect() == []
+    load = changes(spark, ("insert", "a", None, "v", 10, None), ("insert", "a", None, "v", 5, None), ("insert", None, "en", "v", None, None))
+    assert r.commit("b1", load) and not r.commit("b1", load)
+    view = lambda: sorted(((x.source, x.lang, x.docs, x.tokens) for x in r.totals().collect()), key=str)
+    assert view() == [("a", None, 2, 15), (None, "en", 1, 0)]
+    assert r.commit("b2", changes(spark, ("revise", "a", None, "v", 7, 10), ("delete", None, "en", "v", None, 0)))
+    assert view() == [("a", None, 2, 12)]
+    assert r.commit("b3", changes(spark).limit(0)) and not r.commit("b3", load)
+    assert view() == [("a", None, 2, 12)]
+
+
+def test_a_writer_that_dies_or_races_counts_once(spark):
+    r = T.TokenRollup(spark, scratch_path(spark, "t"))
+    load = changes(spark, ("insert", "a", "en", "v", 10, None))
+    r.stage("b", load)  # died before its marker
+    assert r.totals().collect() == []
+    first, second = r.stage("b", load), r.stage("b", load)  # two at a time
+    r.mark("b", first)
+    r.mark("b", second)
+    assert [(x.docs, x.tokens) for x in r.totals().collect()] == [(1, 10)]
+    again = T.TokenRollup(spark, r.root)  # reopened
+    assert not again.commit("b", load) and [(x.docs, x.tokens) for x in again.totals().collect()] == [(1, 10)]

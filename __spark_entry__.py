@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,6 +26,7 @@ from carelens.plans import features as FT  # noqa: E402
 from carelens.plans import model as M  # noqa: E402
 from carelens.sources import fixtures as FX  # noqa: E402
 from carelens.sources import readers as R  # noqa: E402
+from carelens.sources import schemas as SC  # noqa: E402
 from carelens.sources import sinks as SK  # noqa: E402
 
 # The training-data operators and their pipeline are an optional part: without
@@ -110,11 +112,43 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def norm_keys(spark, sf_dir):
-    """Call keys through the strict numeric path; contract keys
-    through the text normaliser."""
+    """Call keys through the strict numeric path and the normaliser,
+    the latter from text, a number, and number-like text with a fraction or
+    leading zeros."""
     calls = FX.calls_view(spark, sf_dir)
-    return calls.select("event_id", X.strict_int_key("CustomerCode").alias("customer"),
-                        X.norm_key("ProductSerial").alias("serial"))
+    number = F.col("CustomerCode").cast("double")
+    types = {"number": T.DoubleType(), "whole": T.LongType()}
+    raw = calls.select(
+        "event_id", "CustomerCode", "ProductSerial", (number * 100000).alias("number"), number.cast("long").alias("whole"),
+        F.concat("CustomerCode", F.lit(".0")).alias("with_fraction"), F.concat(F.lit("000"), "CustomerCode").alias("with_zeros"))
+    return raw.select(
+        "event_id", X.strict_int_key("CustomerCode").alias("customer"), X.norm_key("ProductSerial").alias("serial"),
+        *[X.norm_key(c, types.get(c)).alias(f"from_{c}") for c in ("number", "whole", "with_fraction", "with_zeros")])
+
+
+KEY_FORMS = ("double", "long", "text_fraction", "text_zeros")
+KEY_COLUMNS = ["No_of_unique_products_purchased", "closed_status_count", "sum_amc_price"]
+
+
+def key_forms(spark, sf_dir):
+    """P3 end to end: installs delivered with customer keys stored as double,
+    long, ``123.0`` and ``000123`` and read by the library's readers join the
+    other inputs alike."""
+    src = _src(spark, sf_dir)
+    key, out = F.col("zzsoldto"), None
+    stored = {"double": key.cast("double"), "long": key.cast("long"), "text_fraction": F.concat(key, F.lit(".0")),
+              "text_zeros": F.concat(F.lit("000"), key)}
+    for form in KEY_FORMS:
+        raw = src.installs.withColumn("zzsoldto", stored[form])
+        if form.startswith("text"):
+            path = SK.write_table(raw, SK.scratch_path(spark, f"installs-{form}"), fmt="csv")
+            installs = R.read_csv(spark, path, "installs", keep=FX.LINE_ORDER)
+        else:
+            path = SK.write_table(raw, SK.scratch_path(spark, f"installs-{form}"))
+            installs = R.read_parquet(spark, path, "installs", keep=FX.LINE_ORDER)
+        t = FT.feature_table(src.with_frames(installs=installs), CFG, KEY_COLUMNS).withColumn("form", F.lit(form))
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 def category_code(spark, sf_dir):
@@ -150,8 +184,9 @@ def age_days(spark, sf_dir):
 
 
 def rowwise_max_date(spark, sf_dir):
-    t = FT.feature_table(_src(spark, sf_dir), CFG, ["days_out_of_warranty"])
-    return t
+    """P10 row by row: the latest date that an install row names."""
+    inst = FX.installs_view(spark, sf_dir)
+    return inst.select(*FX.LINE_ORDER, F.greatest("zzpurchaseDate", "zzinstallDate", "zzendDate").alias("max_date"))
 
 
 def rowwise_min_date(spark, sf_dir):
@@ -193,17 +228,26 @@ def project_drop(spark, sf_dir):
 
 
 def parse_dates(spark, sf_dir):
-    """Order dates rendered as text in several layouts (one in four
-    unparseable), parsed back with the format list."""
+    """Order dates rendered as text by a source that writes the day first
+    and by one that writes the month first (one in five unparseable), parsed
+    back with each source's own formats; without formats nothing ambiguous is
+    guessed."""
     o = FX.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    m = F.col("o_orderkey") % 4
-    text = (
-        F.when(m == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-        .when(m == 1, F.date_format("o_orderdate", "dd/MM/yyyy"))
-        .when(m == 2, F.date_format("o_orderdate", "yyyyMMdd"))
-        .otherwise(F.concat(F.lit("n/a "), F.col("o_orderkey").cast("string")))
-    )
-    return o.select("o_orderkey", X.parse_ts(text, R.DEFAULT_TS_FORMATS).alias("parsed"))
+    m = F.col("o_orderkey") % 5
+
+    def text(day: str, dashed: str):
+        return (
+            F.when(m == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+            .when(m == 1, F.date_format("o_orderdate", day))
+            .when(m == 2, F.date_format("o_orderdate", "yyyyMMdd"))
+            .when(m == 3, F.date_format("o_orderdate", f"{dashed} HH:mm"))
+            .otherwise(F.concat(F.lit("n/a "), F.col("o_orderkey").cast("string"))))
+
+    first_day, first_month = text("dd/MM/yyyy", "dd-MM-yyyy"), text("MM/dd/yyyy", "MM-dd-yyyy")
+    return o.select(
+        "o_orderkey", X.parse_ts(first_day, (*SC.DAY_FIRST, *SC.DEFAULT_TS_FORMATS)).alias("day_first"),
+        X.parse_ts(first_month, (*SC.MONTH_FIRST, *SC.DEFAULT_TS_FORMATS)).alias("month_first"),
+        X.parse_ts(first_day, SC.DEFAULT_TS_FORMATS).alias("unguessed"))
 
 
 def canonical_columns(spark, sf_dir):
@@ -231,12 +275,28 @@ def daily_snapshot(spark, sf_dir):
         "event_id", "CustomerCode", "Status", "PostingDate")
 
 
+DAILY_DAY = "1996-01-15"
+
+
+def daily_pull(spark, sf_dir):
+    """S2 for all three tables that are pulled daily: rows of one day."""
+    src = _src(spark, sf_dir).frames()
+    out = None
+    for name, df in R.daily_pull(src, DAILY_DAY).items():
+        c = R.DAILY_COLUMNS[name]
+        customer = "CustomerC" if name == "spares" else "CustomerCode"
+        part = df.select(F.lit(name).alias("source"), F.col(customer).alias("customer"), F.col(c).alias("posted"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def union_chunks(spark, sf_dir):
-    """Contracts fetched as yearly pieces and concatenated."""
+    """Contracts fetched as yearly pieces (pushed date ranges, by the
+    years the table has) and concatenated."""
     k = FX.contracts_view(spark, sf_dir)
-    years = range(1990, 2011)
-    pieces = [k.where(F.year("AMCPostingDate") == y) for y in years]
-    pieces.append(k.where(F.col("AMCPostingDate").isNull() | ~F.year("AMCPostingDate").between(1990, 2010)))
+    ends = k.agg(F.year(F.min("AMCPostingDate")), F.year(F.max("AMCPostingDate"))).first()
+    years = range(ends[0], ends[1] + 1) if ends[0] is not None else range(2000, 2001)
+    pieces = R.yearly_pieces(k, "AMCPostingDate", years)
     return R.union_chunks(pieces).select("o_orderkey", "CustomerCode", "SrNo", "AmcType", "Price")
 
 
@@ -254,20 +314,25 @@ def features_roundtrip(spark, sf_dir):
 # ----------------------------------------------------------------- model
 
 
+def _features(spark, sf_dir):
+    """The feature table, built once and written."""
+    return SK.materialize(spark, customer_features(spark, sf_dir), "features")
+
+
 def standardize(spark, sf_dir):
-    return M.standardize(customer_features(spark, sf_dir))
+    return M.standardize(_features(spark, sf_dir))
 
 
 def elbow_k1(spark, sf_dir):
-    return M.elbow_k1(M.standardize(customer_features(spark, sf_dir)))
+    return M.elbow_k1(M.standardize(_features(spark, sf_dir)))
 
 
 def elbow(spark, sf_dir):
-    return M.elbow(spark, customer_features(spark, sf_dir), ks=range(1, 7))
+    return M.elbow(spark, _features(spark, sf_dir), ks=range(1, 7))
 
 
 def clusters(spark, sf_dir):
-    return M.clusters(spark, customer_features(spark, sf_dir))
+    return M.clusters(spark, _features(spark, sf_dir))
 
 
 def cluster_roundtrip(spark, sf_dir):
@@ -276,12 +341,43 @@ def cluster_roundtrip(spark, sf_dir):
     return spark.read.schema(out.schema).option("header", True).csv(path)
 
 
+def cluster_table(spark, sf_dir):
+    """The labelled table as read back, without the label."""
+    return cluster_roundtrip(spark, sf_dir).drop(M.LABEL)
+
+
+def cluster_nearest(spark, sf_dir):
+    """M4: whether each customer's label is its nearest centre."""
+    feats = _features(spark, sf_dir)
+    model, _ = M.fit_clusters(feats)
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    z = M.standardize(feats)
+    cols = M.feature_columns(z)
+    at = F.array(*[F.col(c) for c in cols])
+    apart = [F.aggregate(F.zip_with(at, F.lit(c), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) for c in centres]
+    d = z.select("customer", F.array(*apart).alias("d"))
+    labelled = M.clusters(spark, feats).select("customer", M.LABEL)
+    return d.join(labelled, "customer").select(
+        "customer", (F.col("d")[F.col(M.LABEL)] <= F.array_min("d") * (1 + 1e-9)).alias("nearest"))
+
+
+def cluster_checks(spark, sf_dir):
+    """M3/M4 acceptance: labels in use, WCSS falling over k, and five clusters
+    tighter than one."""
+    feats = _features(spark, sf_dir)
+    labels = M.clusters(spark, feats).agg(F.count_distinct(M.LABEL).alias("labels"))
+    wcss = {r["k"]: r["wcss"] for r in M.elbow(spark, feats, ks=range(1, 7)).collect()}
+    falling = all(wcss[k + 1] < wcss[k] for k in range(1, 6))
+    return labels.select("labels", F.lit(falling).alias("wcss_falls"), F.lit(wcss[5] < wcss[1]).alias("five_beat_one"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {"customer_features": customer_features}
     for name, cols in SLICES.items():
         q[name] = _slice(cols)
     q.update(
         norm_keys=norm_keys,
+        key_forms=key_forms,
         category_code=category_code,
         conversion_priority=conversion_priority,
         coalesce_item=coalesce_item,
@@ -297,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         canonical_columns=canonical_columns,
         csv_scan=csv_scan,
         daily_snapshot=daily_snapshot,
+        daily_pull=daily_pull,
         union_chunks=union_chunks,
         preview_head=preview_head,
         features_roundtrip=features_roundtrip,
@@ -305,6 +402,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         elbow=elbow,
         clusters=clusters,
         cluster_roundtrip=cluster_roundtrip,
+        cluster_table=cluster_table,
+        cluster_nearest=cluster_nearest,
+        cluster_checks=cluster_checks,
     )
     if llm_queries is not None:
         q.update(llm_queries.QUERIES, pipeline=corpus_pipeline.run)
@@ -325,10 +425,16 @@ def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {"customer_features": oq.with_views("SELECT * FROM features")}
     for name, cols in SLICES.items():
         o[name] = oq.feature_slice(cols)
-    o["rowwise_max_date"] = oq.feature_slice(["days_out_of_warranty"])
+    o["rowwise_max_date"] = _row_sql(
+        f"SELECT {TB}, GREATEST(zzpurchaseDate, zzinstallDate, zzendDate) AS max_date FROM installs")
+    as_int = "CAST(CAST(CAST(CustomerCode AS DOUBLE) AS BIGINT) AS VARCHAR)"
     o["norm_keys"] = _row_sql(
-        "SELECT event_id, CAST(CAST(CAST(CustomerCode AS DOUBLE) AS BIGINT) AS VARCHAR) AS customer, "
-        "COALESCE(trim(ProductSerial), 'nan') AS serial FROM calls")
+        f"SELECT event_id, {as_int} AS customer, COALESCE(trim(ProductSerial), 'nan') AS serial, "
+        "CAST(CAST(CustomerCode AS BIGINT) * 100000 AS VARCHAR) AS from_number, "
+        f"{as_int} AS from_whole, {as_int} AS from_with_fraction, {as_int} AS from_with_zeros FROM calls")
+    key_cols = ", ".join(KEY_COLUMNS)
+    o["key_forms"] = _row_sql(
+        f"SELECT customer, {key_cols}, form FROM features, (VALUES {', '.join(f'({f!r})' for f in KEY_FORMS)}) AS f(form)")
     o["category_code"] = _row_sql(f"SELECT {TB}, zz0012, {oq.CAT_NUM} AS cat_num FROM installs")
     o["conversion_priority"] = _row_sql(f"SELECT o_orderkey, WarConv, {oq.PRIO} AS amc_prior FROM contracts")
     o["coalesce_item"] = _row_sql(f"SELECT {TB}, COALESCE(Accessories, Additive) AS ItemCode FROM call_items")
@@ -353,9 +459,12 @@ def oracle_sql() -> dict[str, str]:
         "WHERE k.mn IS NOT NULL AND k.mx IS NOT NULL")
     o["project_drop"] = _row_sql(
         "SELECT CustomerCode AS customer, SrNo AS Serial, ContStrtDat, ContEndDat, Price, o_orderkey FROM contracts")
+    whole = "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)"
+    to_minute = "date_trunc('minute', o_orderdate)"
+    both = f"CASE o_orderkey % 5 WHEN 0 THEN o_orderdate WHEN 1 THEN {whole} WHEN 2 THEN {whole} WHEN 3 THEN {to_minute} END"
     o["parse_dates"] = _row_sql(
-        "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate "
-        "WHEN o_orderkey % 4 IN (1, 2) THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS parsed FROM orders")
+        f"SELECT o_orderkey, {both} AS day_first, {both} AS month_first, "
+        f"CASE o_orderkey % 5 WHEN 0 THEN o_orderdate WHEN 2 THEN {whole} END AS unguessed FROM orders")
     o["canonical_columns"] = _row_sql(
         f"SELECT CustomerC, Serial, ItemNo, NetValue, ItemCategory, CallBookDate, {TB} FROM spares")
     o["csv_scan"] = _row_sql(
@@ -364,12 +473,20 @@ def oracle_sql() -> dict[str, str]:
     o["daily_snapshot"] = _row_sql(
         "SELECT event_id, CustomerCode, Status, PostingDate FROM calls "
         "WHERE PostingDate >= TIMESTAMP '2024-01-15' AND PostingDate < TIMESTAMP '2024-01-16'")
+    day = f"TIMESTAMP '{DAILY_DAY}'"
+    o["daily_pull"] = _row_sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS source, {k} AS customer, {c} AS posted FROM {t} WHERE {c} >= {day} AND {c} < {day} + INTERVAL 1 DAY"
+        for t, k, c in (("contracts", "CustomerCode", "AMCPostingDate"), ("calls", "CustomerCode", "PostingDate"),
+                        ("spares", "CustomerC", "CallBookDate"))))
     o["union_chunks"] = _row_sql("SELECT o_orderkey, CustomerCode, SrNo, AmcType, Price FROM contracts")
     o["preview_head"] = _row_sql(
         "SELECT event_id, CustomerCode, Status FROM calls ORDER BY event_id LIMIT 5")
     o["features_roundtrip"] = o["customer_features"]
     o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))
     o["elbow_k1"] = oq.elbow_k1_sql(oq.with_views("SELECT * FROM features"))
+    o["cluster_table"] = o["customer_features"]
+    o["cluster_nearest"] = oq.with_views("SELECT customer, TRUE AS nearest FROM features")
+    o["cluster_checks"] = "SELECT CAST(5 AS BIGINT) AS labels, TRUE AS wcss_falls, TRUE AS five_beat_one"
     if llm_queries is not None:
         o.update(llm_queries.ORACLE_SQL)
         if corpus_pipeline.ORACLE_SQL is not None:

@@ -9,7 +9,6 @@ from carelens.functions.expr import (  # noqa: F401
     code_map,
     day_index,
     desc_time_key,
-    fixed_point,
     exact_mean,
     exact_sum,
     fill_missing,

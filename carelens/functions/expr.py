@@ -19,13 +19,12 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 # Text a missing key turns into; every source uses the same form so that keys agree.
 NULL_KEY = "nan"
 
-# Sums of money and weighted values are accumulated in fixed point (10**-6
-# units) so that the result does not depend on row order, partitioning or
-# re-execution.
-SUM_SCALE = 6
-# Means of non-integral values (means of per-machine means, ratios) are
-# accumulated at 10**-9 resolution for the same reason.
-MEAN_SCALE = 9
+# Sums are taken exactly over whole parts and over fractions in units of
+# 10**-FRACTION_DIGITS, so that they do not depend on row order, partitioning
+# or re-execution.
+FRACTION_DIGITS = 18
+# Whole parts from here on are summed as doubles (no finite value is lost).
+LARGE = 1e18
 
 INF = float("inf")
 NAN = float("nan")
@@ -50,31 +49,37 @@ def col_(c: str | Column) -> Column:
 # --------------------------------------------------------------------------- keys
 
 
-def norm_key(c: str | Column, dtype: T.DataType | None = None) -> Column:
-    """Key to canonical text: integral numbers as plain digits, text trimmed,
-    missing as ``'nan'``.
+def key_text(c: str | Column, dtype: T.DataType | None = None) -> Column:
+    """Key to canonical text, missing stays NULL.
 
-    ``dtype`` is the column's type (known from the schema at plan time); it
-    picks the conversion so no per-row type dispatch is needed.
-    """
+    One rule for every input and every stored type: integral numbers are
+    plain digits without leading zeros or a fraction (``123``, ``123.0`` and
+    ``0000123`` are the same key), other text is trimmed.  ``dtype`` is the
+    column's type as stored, known at plan time."""
     c = col_(c)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        text = c.cast("string")
-    elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        # 1e8 would print as 1.0E8; go through bigint for integral values.
-        text = F.when(
-            ~F.isnan(c.cast("double")) & (c == F.floor(c)), c.cast("decimal(38,0)").cast("string")
-        ).otherwise(c.cast("string"))
-        text = F.when(F.isnan(c.cast("double")), F.lit(None)).otherwise(text)
-    else:
-        text = F.trim(c.cast("string"))
-    return F.coalesce(text, F.lit(NULL_KEY))
+        return c.cast("string")
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        # 1e8 would print as 1.0E8; go through a decimal for integral values.
+        d = c.cast("double")
+        whole = ~F.isnan(d) & (F.abs(d) < F.lit(1e37)) & (c == F.floor(c))
+        text = F.when(whole, c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))
+        return F.when(F.isnan(d), F.lit(None)).otherwise(text)
+    text = F.trim(c.cast("string"))
+    plain = F.regexp_replace(F.regexp_replace(text, r"\.0*$", ""), r"^0+(?=[0-9])", "")
+    odd = (text.startswith("0") | text.contains(".")) & text.rlike(r"^[0-9]+(\.0*)?$")
+    return F.when(odd, plain).otherwise(text)
+
+
+def norm_key(c: str | Column, dtype: T.DataType | None = None) -> Column:
+    """``key_text`` with missing as ``'nan'``."""
+    return F.coalesce(key_text(c, dtype), F.lit(NULL_KEY))
 
 
 def strict_int_key(c: str | Column) -> Column:
-    """Numeric key through double -> bigint -> text.  Under ANSI mode a
+    """Numeric key to digits (a fraction is cut).  Under ANSI mode a
     non-numeric value raises instead of silently turning into NULL."""
-    return col_(c).cast("double").cast("bigint").cast("string")
+    return col_(c).cast("decimal(38,6)").cast("bigint").cast("string")
 
 
 # --------------------------------------------------------------------------- time
@@ -180,40 +185,32 @@ def fill_missing(c: str | Column, value, is_double: bool) -> Column:
 # --------------------------------------------------------------------------- aggregates
 
 
-def fixed_point(c: str | Column, scale: int) -> Column:
-    """``c`` rounded half away from zero to ``scale`` decimals, as an
-    integer count of 10**-scale units (decimal(38,0), so sums cannot
-    overflow; Spark keeps such decimals in a long while they fit).
-    Pure double arithmetic per row -- no per-row decimal conversion."""
-    x = col_(c).cast("double") * F.lit(10.0 ** scale)
-    units = F.signum(x) * F.floor(F.abs(x) + F.lit(0.5))
-    return units.cast("bigint").cast("decimal(38,0)")
-
-
-def exact_sum(c: str | Column, scale: int = SUM_SCALE) -> Column:
-    """Order-independent sum at ``scale`` decimals (as double); all-missing
-    gives 0 (pandas semantics)."""
-    total = F.coalesce(F.sum(fixed_point(nan_to_null(c), scale)), F.lit(0).cast("decimal(38,0)"))
-    return total.cast("double") / F.lit(10.0 ** scale)
+def exact_sum(c: str | Column, empty: float | None = 0.0) -> Column:
+    """Sum of the values that are not NULL or NaN; ``empty`` (pandas: 0) when
+    there are none.
+
+    Whole parts below ``LARGE`` and fractions (in units of 10**-18) are summed
+    as integers in decimal(38,0), which does not depend on order and cannot
+    overflow; larger values and infinities are summed as doubles, as IEEE
+    arithmetic has it (inf and -inf give NaN)."""
+    x = nan_to_null(c)
+    mid = F.abs(x) < F.lit(LARGE)
+    whole = F.when(mid, x).cast("bigint")
+    units = ((F.when(mid, x) - whole.cast("double")) * F.lit(10.0**FRACTION_DIGITS)).cast("bigint")
+    none = F.lit(0).cast("decimal(38,0)")
+    total = (
+        F.coalesce(F.sum(whole.cast("decimal(38,0)")), none).cast("double")
+        + F.coalesce(F.sum(units.cast("decimal(38,0)")), none).cast("double") / F.lit(10.0**FRACTION_DIGITS)
+        + F.coalesce(F.sum(F.when(~mid, x)), F.lit(0.0))
+    )
+    return F.when(F.count(x) > 0, total).otherwise(F.lit(empty).cast("double"))
 
 
 def exact_mean(c: str | Column) -> Column:
-    """Mean skipping NULL/NaN, accumulated at ``MEAN_SCALE`` decimals so the
-    value does not depend on row order.  +-inf propagate as in IEEE (inf
-    and -inf -> NaN).  NULL when nothing is left."""
-    c = col_(c).cast("double")
-    finite = F.when(~F.isnan(c) & (F.abs(c) != F.lit(INF)), c)
-    n_pos = F.count_if(c == F.lit(INF))
-    n_neg = F.count_if(c == F.lit(-INF))
-    n = F.count(finite)
-    s = F.sum(fixed_point(finite, MEAN_SCALE)).cast("double") / F.lit(10.0 ** MEAN_SCALE)
-    return (
-        F.when((n_pos > 0) & (n_neg > 0), F.lit(NAN))
-        .when(n_pos > 0, F.lit(INF))
-        .when(n_neg > 0, F.lit(-INF))
-        .when(n > 0, s / n)
-        .otherwise(F.lit(None).cast("double"))
-    )
+    """Mean skipping NULL/NaN, from ``exact_sum``.  +-inf propagate as in
+    IEEE (inf and -inf -> NaN).  NULL when nothing is left."""
+    n = F.count(nan_to_null(c))
+    return F.when(n > 0, exact_sum(c) / F.greatest(n, F.lit(1)))
 
 
 def int_mean(c: str | Column) -> Column:

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from carelens.config import FeatureConfig
 from carelens.functions.expr import (
-    SUM_SCALE,
     age_days,
     exact_mean,
-    fixed_point,
-    first_by_order,
+    exact_sum,
+    first_row_struct,
     floor_days,
+    key_text,
     latest_first_order,
     strict_int_key,
 )
@@ -47,9 +47,10 @@ TAT_COLUMNS = [("AVG_TAT_SW", "SW"), ("AVG_TAT_AMC", "AMC"), ("AVG_TAT_EW", "EW"
 
 def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
     c = src.calls.where(F.col("CustomerCode").isNotNull())
+    t = {f.name: f.dataType for f in c.schema.fields}
     return c.select(
         strict_int_key("CustomerCode").alias("customer"),
-        F.col("ProductSerial").cast("string").alias("serial"),
+        key_text("ProductSerial", t["ProductSerial"]).alias("serial"),
         "Status",
         "Origin",
         "Medium",
@@ -70,9 +71,11 @@ def _mean_parts(name: str, days: Column) -> list[Column]:
     return [F.sum(days).alias(f"{name}_s"), F.count(days).alias(f"{name}_c")]
 
 
-def per_machine(calls: DataFrame) -> DataFrame:
+def per_machine(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
     """Per (customer, machine): every count, max and partial sum the
-    customer-level call features fold, in one hash aggregation."""
+    customer-level call features fold, and the latest call (#40: first in
+    file order among calls closed at the same time, undated calls only when
+    nothing else is there), in one aggregation."""
     closed = F.col("Status") == "Closed"
     cancelled = F.col("Status") == "Cancelled"
     by_cust = F.col("Origin") == "Customer"
@@ -89,8 +92,9 @@ def per_machine(calls: DataFrame) -> DataFrame:
         F.max(F.when(~esc.isin(98.0, 99.0), esc)).alias("max_escalation"),
         F.count_if(esc == 99.0).alias("count_of_99"),
         F.count_if(esc == 98.0).alias("count_of_98"),
-        F.sum(fixed_point("nps", SUM_SCALE)).alias("nps_sum"),
+        exact_sum("nps").alias("nps_sum"),
         F.max("nps").alias("max_nps"),
+        first_row_struct("nps", latest_first_order("ClosedOn", tiebreak)).alias("latest"),
         *_mean_parts("soft", floor_days("SoftClosureDate", "PostingDate")),
         *_mean_parts("cnr", floor_days("ClosedOn", "NegativeReponseRemarksDate")),
     ]
@@ -105,31 +109,21 @@ def per_machine(calls: DataFrame) -> DataFrame:
     return calls.groupBy("customer", "serial").agg(*aggs)
 
 
-def picks(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
-    """Per customer: rating of the latest call (#40; first in file order
-    among calls closed at the same time, undated calls only when nothing
-    else is there) and the number of distinct media (#39).
-
-    Separate from the fold so that the fold stays a code-generated hash
-    aggregate; media are counted after a (customer, medium) pre-grouping."""
-    latest = calls.groupBy("customer").agg(
-        first_by_order("nps", latest_first_order("ClosedOn", tiebreak)).alias("latest_nps_rating")
-    )
-    media = (
+def media_count(calls: DataFrame) -> DataFrame:
+    """#39: distinct media per customer, counted after a (customer, medium)
+    pre-grouping."""
+    return (
         calls.where(F.col("Medium").isNotNull())
         .select("customer", "Medium")
         .distinct()
         .groupBy("customer")
         .agg(F.count(F.lit(1)).alias("unique_medium_count"))
     )
-    return latest.join(media, "customer", "left").select(
-        "customer", "latest_nps_rating", F.coalesce("unique_medium_count", F.lit(0)).alias("unique_medium_count")
-    )
 
 
 def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFrame:
     """One row per customer with calls; ``calls`` is the output of ``prepare``."""
-    m = per_machine(calls)
+    m = per_machine(calls, tiebreak)
     has_serial = F.col("serial").isNotNull()
 
     def machine_mean(name: str) -> Column:
@@ -148,14 +142,16 @@ def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFr
         F.max("last_remark_date").alias("last_remark_date"),
         machine_mean("soft").alias("soft_post_days_diff"),
         F.max("max_escalation").alias("max_escalation"),
-        (F.sum("nps_sum").cast("double") / F.lit(10.0 ** SUM_SCALE) / F.sum("n_calls")).alias("avg_nps"),
+        (exact_sum("nps_sum") / F.sum("n_calls")).alias("avg_nps"),
         F.max("max_nps").alias("max_nps"),
+        F.min("latest")["v"].alias("latest_nps_rating"),
         machine_mean("cnr").alias("close_nr_days_diff"),
         *[machine_mean(n).alias(n) for n, _ in TAT_COLUMNS],
     )
-    agg = agg.join(picks(calls, tiebreak), "customer", "left")
+    agg = agg.join(media_count(calls), "customer", "left")
     return agg.withColumns(
         {
+            "unique_medium_count": F.coalesce("unique_medium_count", F.lit(0)),
             "days_since_last_closed_status": age_days("last_closed_on", cfg.as_of),
             "days_since_latest_neg_remark": age_days("last_remark_date", cfg.as_of),
             "latest_max_nps_diff": F.col("latest_nps_rating") - F.col("max_nps"),

@@ -43,7 +43,7 @@ def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
     )
     if cfg.drop_null_keys:
         out = out.where((F.col("customer") != NULL_KEY) & (F.col("serial") != NULL_KEY))
-    return out
+    return out.distinct() if cfg.dedupe_contracts else out
 
 
 def per_machine(con: DataFrame) -> DataFrame:
@@ -59,25 +59,25 @@ def per_machine(con: DataFrame) -> DataFrame:
         F.max("end").alias("max_end"),
         F.count(F.lit(1)).alias("n_contracts"),
         F.max("price").alias("max_price"),
+        exact_sum("price").alias("price_total"),
     )
 
 
 def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """One row per customer with a contract: #48-#56, #77 and
     ``con_end_date_max`` (for #57)."""
-    by_cust = con.groupBy("customer").agg(
-        F.count_distinct("icr").alias("unique_icrno_count"),
-        F.max("end").alias("con_end_date_max"),
-        exact_sum("price").alias("sum_amc_price"),
-    )
+    icr = con.select("customer", "icr").distinct().groupBy("customer").agg(
+        F.count(F.lit(1)).alias("unique_icrno_count"))
     by_machine = machine.groupBy("customer").agg(
         *[
             F.coalesce(F.sum(f"has_{i}"), F.lit(0)).cast("bigint").alias(name)
             for i, (name, _) in enumerate(TYPE_COUNTS)
         ],
         F.avg("priority").alias("loyalty_score"),
+        F.max("max_end").alias("con_end_date_max"),
+        exact_sum("price_total").alias("sum_amc_price"),
     )
-    out = by_cust.join(by_machine, "customer", "full")
+    out = icr.join(by_machine, "customer", "full")
     return out.select(
         "customer",
         *[name for name, _ in TYPE_COUNTS],

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from carelens.config import FeatureConfig
 from carelens.functions.expr import (
     NULL_KEY,
-    SUM_SCALE,
     exact_mean,
-    fixed_point,
+    exact_sum,
     floor_days,
     ieee_div,
     int_mean,
+    key_text,
     norm_key,
 )
 from carelens.sources.inputs import Sources
@@ -27,7 +27,7 @@ def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
     out = df.select(
         norm_key("CustomerC", t["CustomerC"]).alias("customer"),
         norm_key("Serial", t["Serial"]).alias("serial"),
-        F.col("ItemNo").cast("string").alias("item"),
+        key_text("ItemNo", t["ItemNo"]).alias("item"),
         F.nanvl("NetValue", F.lit(None)).alias("net"),
         F.col("ItemCategory").alias("category"),
         F.col("CallBookDate").alias("booked"),
@@ -39,14 +39,12 @@ def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
 
 def machine_fold(sp: DataFrame) -> DataFrame:
     """Per (customer, machine): first booking, and the number and summed
-    cost (fixed point) of contract-covered (ZAMC) part rows."""
+    cost of contract-covered (ZAMC) part rows."""
     zamc = F.col("category") == "ZAMC"
     return sp.groupBy("customer", "serial").agg(
         F.min("booked").alias("first_booked"),
         F.count_if(zamc).alias("n_zamc"),
-        F.coalesce(F.sum(F.when(zamc, fixed_point("net", SUM_SCALE))), F.lit(0).cast("decimal(38,0)")).alias(
-            "net_units"
-        ),
+        exact_sum(F.when(zamc, F.col("net"))).alias("net_total"),
     )
 
 
@@ -59,13 +57,16 @@ def repeat_parts(sp: DataFrame, machine: DataFrame) -> DataFrame:
     without any repeat inside a contract (it is not imputed).
 
     Booking days are de-duplicated first, and the contract side is one row
-    per machine, so the join never multiplies rows."""
+    per machine, so the join never multiplies rows.  The join's output is
+    dealt out anew by item: with an aggregation on its own partitioning
+    behind it, AQE could not split a hot machine."""
     span = machine.select("customer", "serial", "min_start", "max_end")
     days = (
         sp.where(F.col("item").isNotNull() & F.col("booked").isNotNull())
         .select("customer", "serial", "item", "booked")
         .distinct()
         .join(span, ["customer", "serial"], "left")
+        .repartition("customer", "serial", "item")
     )
     inside = (F.col("booked") > F.col("min_start")) & (F.col("booked") < F.col("max_end"))
     per_item = days.groupBy("customer", "serial", "item").agg(
@@ -109,8 +110,8 @@ def contract_lags_and_profitability(sp_machine: DataFrame, machine: DataFrame) -
     )
     contracted = F.col("n_contracts").isNotNull()
     covered = F.coalesce(F.col("n_zamc"), F.lit(0)) > 0
-    times = F.greatest(F.coalesce(F.col("n_contracts"), F.lit(1)), F.lit(1)).cast("decimal(38,0)")
-    net_total = (F.col("net_units") * times).cast("double") / F.lit(10.0 ** SUM_SCALE)
+    times = F.greatest(F.coalesce(F.col("n_contracts"), F.lit(1)), F.lit(1)).cast("double")
+    net_total = F.col("net_total") * times
     profitability = F.when(covered, ieee_div(net_total, F.col("max_price")))
     profitable = F.when(profitability <= 1, 1).otherwise(0)
     agg = j.groupBy("customer").agg(

@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,47 +145,27 @@ class _Plan:
     def __init__(self, src: Sources, cfg: FeatureConfig):
         self.src, self.cfg = src, cfg
         self._memo: dict[str, DataFrame] = {}
-        self.persisted: list[DataFrame] = []
 
     def _get(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
             self._memo[key] = fn()
         return self._memo[key]
 
-    def _mode(self, df: DataFrame) -> str:
-        if self.cfg.share != "auto":
-            return self.cfg.share
-        size = input_bytes(df)
-        return "write" if size is None or size >= self.cfg.stage_min_bytes else "none"
-
     def _staged(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
         def build() -> DataFrame:
             df = fn()
-            mode = self._mode(df)
-            if mode == "write":
-                df = materialize(df.sparkSession, df, f"prepared-{key}")
-            elif mode == "persist":
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                self.persisted.append(df)
-            return df
+            return materialize(df.sparkSession, df, f"prepared-{key}")
 
         return self._get(key, build)
 
     def prestage(self, groups: Iterable[str]) -> None:
         """Write the shared results ``groups`` need, independent ones as
         concurrent Spark jobs (one driver thread each), wave by wave."""
-        if self.cfg.share in ("none", "persist"):
-            return
         needed = set().union(*(NEEDS[g] for g in groups))
         with ThreadPoolExecutor(max_workers=len(WAVES[0])) as pool:
             for wave in WAVES:
                 list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if k in needed]))
 
-    def release(self) -> None:
-        for df in self.persisted:
-            df.unpersist()
-        self.persisted.clear()
-
     # shared inputs
     def inst(self) -> DataFrame:
         return self._staged("installs", lambda: installs.prepare(self.src, self.cfg))
@@ -238,21 +217,6 @@ class _Plan:
         return self._get(f"group:{name}", builders[name])
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the tables feeding ``df``: the sum over
-    the leaf relations of the optimised plan (file sizes for file sources),
-    so joins are not estimated as products.  None when unavailable."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        it = leaves.iterator()
-        total = 0
-        while it.hasNext():
-            total += int(str(it.next().stats().sizeInBytes()))
-        return total
-    except Exception:
-        return None
-
-
 def _groups_for(names: Iterable[str]) -> list[str]:
     needed: list[str] = []
     for n in names:

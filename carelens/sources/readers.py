@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelens.functions.expr import parse_ts
+from carelens.functions.expr import key_text, parse_ts
 from carelens.sources.schemas import DEFAULT_TS_FORMATS, RAW_NAMES, SCHEMAS
 
 
@@ -41,7 +41,10 @@ def coerce_types(
     df: DataFrame, source: str, ts_formats: Iterable[str] = DEFAULT_TS_FORMATS
 ) -> DataFrame:
     """Cast canonical columns to their declared types.  Text timestamps that
-    do not parse and text numbers that are not numbers become NULL (P2)."""
+    do not parse and text numbers that are not numbers become NULL (P2);
+    numbers read as keys become plain digits, by the type they are stored in
+    (P3).  ``ts_formats`` are this source's date patterns: ``DAY_FIRST`` or
+    ``MONTH_FIRST`` where the source writes such dates."""
     fmts = tuple(ts_formats)
     out = []
     for c in df.columns:
@@ -59,7 +62,7 @@ def coerce_types(
             else:
                 out.append(F.col(c).try_cast(want).alias(c))
         elif isinstance(want, T.StringType):
-            out.append(F.col(c).cast(want).alias(c))
+            out.append(key_text(F.col(c), have).alias(c))
         else:
             out.append(F.col(c).try_cast(want).alias(c))
     return df.select(*out)
@@ -83,10 +86,14 @@ def read_csv(
 
 
 def read_parquet(
-    spark: SparkSession, path: str, source: str, keep: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    source: str,
+    keep: Sequence[str] = (),
+    ts_formats: Iterable[str] = DEFAULT_TS_FORMATS,
 ) -> DataFrame:
     df = spark.read.parquet(path)
-    return coerce_types(canonical_columns(df, source, keep), source)
+    return coerce_types(canonical_columns(df, source, keep), source, ts_formats)
 
 
 def jdbc_options(
@@ -151,6 +158,26 @@ def daily_snapshot(df: DataFrame, date_col: str, day: str | date | datetime) ->
     )
 
 
+# The date column each daily pull goes by.
+DAILY_COLUMNS = {"contracts": "AMCPostingDate", "calls": "PostingDate", "spares": "CallBookDate"}
+
+
+def daily_pull(sources: Mapping[str, DataFrame], day: str | date | datetime) -> dict[str, DataFrame]:
+    """The day's rows of the three tables that are pulled daily."""
+    return {name: daily_snapshot(sources[name], c, day) for name, c in DAILY_COLUMNS.items()}
+
+
+def yearly_pieces(df: DataFrame, date_col: str, years: Iterable[int]) -> list[DataFrame]:
+    """A table cut by calendar year into half-open ranges, which reach the
+    scan as pushed filters; the first piece also has what is earlier or
+    undated, the last what is later."""
+    years = list(years)
+    c, start = F.col(date_col), lambda y: F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz")
+    pieces = [df.where(c.isNull()), df.where(c < start(years[0]))]
+    pieces += [df.where((c >= start(y)) & (c < start(y + 1))) for y in years]
+    return [*pieces, df.where(c >= start(years[-1] + 1))]
+
+
 def union_chunks(chunks: Iterable[DataFrame]) -> DataFrame:
     """Concatenate pieces of one table (S3/O4): a lazy ``unionByName``; no
     data moves until an action runs."""

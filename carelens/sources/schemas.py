@@ -119,5 +119,14 @@ RAW_NAMES: dict[str, dict[str, str]] = {
     "price_ratio": {},
 }
 
-# Date patterns tried after the ISO forms when text dates are parsed.
-DEFAULT_TS_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy", "yyyyMMdd")
+# Date patterns tried after the ISO forms when text dates are parsed.  None of
+# them is ambiguous; a source that writes day or month first says so.
+DEFAULT_TS_FORMATS = ("yyyyMMdd",)
+
+
+def _with_times(*dates: str) -> tuple[str, ...]:
+    return tuple(f"{d}{t}" for d in dates for t in (" HH:mm:ss", " HH:mm", ""))
+
+
+DAY_FIRST = _with_times("dd/MM/yyyy", "dd-MM-yyyy", "dd.MM.yyyy")
+MONTH_FIRST = _with_times("MM/dd/yyyy", "MM-dd-yyyy")

@@ -34,10 +34,10 @@ def read_landing(spark: SparkSession, path: str, source: str, fmt: str = "parque
 
 
 def ingest_daily(spark: SparkSession, stream: DataFrame, date_col: str, table_path: str,
-                 name: str) -> int:
+                 name: str) -> None:
     """Append every not-yet-seen row of ``stream`` to ``table_path``,
-    partitioned by the calendar day of ``date_col``; returns the number of
-    micro-batches run.  Blocks until the files present now are processed."""
+    partitioned by the calendar day of ``date_col``.  Blocks until the files
+    present now are processed."""
     out = stream.withColumn("day", F.to_date(F.col(date_col)))
     query = (
         out.writeStream.format("parquet")
@@ -49,4 +49,3 @@ def ingest_daily(spark: SparkSession, stream: DataFrame, date_col: str, table_pa
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)

@@ -6,8 +6,8 @@ compute the same numbers differently (per-day splits, per-machine folds,
 aggregate-level joins), so agreement checks those rewrites.
 
 Fixed conventions shared with the Spark side: day counts are floored
-microsecond differences; money and weighted sums are DECIMAL(38,6); means
-of non-integral values are accumulated as DECIMAL(38,9).
+microsecond differences; sums add whole parts and fractions (in units of
+10**-18) as integers, larger values and infinities as doubles; NaN is missing.
 """
 
 from __future__ import annotations
@@ -36,19 +36,24 @@ def ieee(a: str, b: str) -> str:
     )
 
 
-def dec_mean(x: str) -> str:
-    """Mean over non-NULL, non-NaN values, accumulated as DECIMAL(38,9)."""
-    f = f"(CASE WHEN NOT isnan({x}) AND abs({x}) <> 'inf'::DOUBLE THEN {x} END)"
+def _total(x: str) -> str:
+    x = f"(CASE WHEN NOT isnan(CAST({x} AS DOUBLE)) THEN CAST({x} AS DOUBLE) END)"
+    mid = f"abs({x}) < 1e18"
     return (
-        f"(CASE WHEN count_if({x} = 'inf'::DOUBLE) > 0 AND count_if({x} = '-inf'::DOUBLE) > 0 THEN 'nan'::DOUBLE "
-        f"WHEN count_if({x} = 'inf'::DOUBLE) > 0 THEN 'inf'::DOUBLE "
-        f"WHEN count_if({x} = '-inf'::DOUBLE) > 0 THEN '-inf'::DOUBLE "
-        f"WHEN count({f}) > 0 THEN CAST(SUM(CAST({f} AS DECIMAL(38,9))) AS DOUBLE) / count({f}) END)"
+        f"(CAST(COALESCE(SUM(CASE WHEN {mid} THEN CAST(trunc({x}) AS HUGEINT) END), 0) AS DOUBLE)"
+        f" + CAST(COALESCE(SUM(CASE WHEN {mid} THEN CAST(trunc(({x} - trunc({x})) * 1e18) AS HUGEINT) END), 0) AS DOUBLE) / 1e18"
+        f" + COALESCE(SUM(CASE WHEN NOT ({mid}) THEN {x} END), 0))"
     )
 
 
+def dec_mean(x: str) -> str:
+    """Mean over values that are neither NULL nor NaN."""
+    n = f"count(CASE WHEN NOT isnan(CAST({x} AS DOUBLE)) THEN 1 END)"
+    return f"(CASE WHEN {n} > 0 THEN {_total(x)} / {n} END)"
+
+
 def dec_sum(x: str) -> str:
-    return f"CAST(COALESCE(SUM(CAST({x} AS DECIMAL(38,6))), 0) AS DOUBLE)"
+    return _total(x)
 
 
 CAT_NUM = "CASE zz0012 WHEN 'AC' THEN 1 WHEN 'DW' THEN 2 WHEN 'MW' THEN 3 WHEN 'WM' THEN 4 END"

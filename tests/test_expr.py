@@ -104,3 +104,29 @@ def test_first_by_order_picks_latest_then_file_order(spark):
     got = {r["k"]: r["v"] for r in df.groupBy("k").agg(
         X.first_by_order("v", X.latest_first_order("t", ["tb"])).alias("v")).collect()}
     assert got == {1: 20.0, 2: 2.0}
+
+
+def test_exact_sum_neither_clamps_nor_cuts(spark):
+    cases = {
+        "1e13": ([1e13, 1e13], 2e13), "1e14": ([1e14], 1e14), "2e10": ([2e10, 2e10], 4e10), "tiny": ([1e-10, 1e-10], 2e-10),
+        "inf": ([math.inf, 1.0], math.inf), "-inf": ([-math.inf, 1.0], -math.inf), "huge": ([1e300, 1e300, 1.0], 2e300),
+        "nan": ([math.nan, 2.5], 2.5), "edge": ([1e18, -1e18, 0.25], 0.25), "signs": ([-0.75, 0.5, -1e15], -1e15 - 0.25),
+    }
+    rows = [(k, v) for k, (vs, _) in cases.items() for v in vs] + [("both", math.inf), ("both", -math.inf)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(4)
+    got = {r["k"]: r for r in df.groupBy("k").agg(X.exact_sum("x").alias("s"), X.exact_mean("x").alias("m")).collect()}
+    for k, (vs, total) in cases.items():
+        n = sum(not math.isnan(v) for v in vs)
+        assert got[k]["s"] == total and got[k]["m"] == total / n, k
+    assert math.isnan(got["both"]["s"]) and math.isnan(got["both"]["m"])
+
+
+def test_keys_of_every_stored_form_agree(spark):
+    df = spark.createDataFrame([("123", 123.0, 123), ("123.0", 1e8, 100000000), ("0000123", None, None), (" 123 ", 0.0, 0)], "s string, d double, i long")
+    out = df.select(X.key_text("s", T.StringType()), X.key_text("d", T.DoubleType()), X.key_text("i", T.LongType())).collect()
+    assert [r[0] for r in out] == ["123"] * 4
+    assert [r[1] for r in out] == [r[2] for r in out] == ["123", "100000000", None, "0"]
+    odd = spark.createDataFrame([("0",), ("00",), ("0.0",), ("12-3",), ("0012-3",), ("1.5",), (".5",), ("",)], "s string")
+    assert [r[0] for r in odd.select(X.key_text("s")).collect()] == ["0", "0", "0", "12-3", "0012-3", "1.5", ".5", ""]
+    big = spark.createDataFrame([("9007199254740993",)], "s string")
+    assert big.select(X.strict_int_key("s")).first()[0] == "9007199254740993"

@@ -51,7 +51,7 @@ def test_unchanged_when_inputs_are_shuffled(spark, small_sources, small_features
         **{n: df.orderBy(F.rand(7)).repartition(5) for n, df in small_sources.frames().items()},
         order=small_sources.order,
     )
-    again = build_features(shuffled, FeatureConfig(share="none")).toPandas()
+    again = build_features(shuffled, FeatureConfig()).toPandas()
     a = small_features.sort_values("customer").reset_index(drop=True)
     b = again.sort_values("customer").reset_index(drop=True)
     for c in a.columns:
@@ -87,19 +87,79 @@ def test_profitability_shortcut_equals_fanout_join(spark, small_sources):
 
 
 def test_plan_has_no_cross_join_or_python(spark, small_sources):
-    df = build_features(small_sources, FeatureConfig(share="none"))
+    df = build_features(small_sources, FeatureConfig())
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas"):
         assert bad not in plan
 
 
-def test_auto_share_is_size_checked(small_sources):
-    from carelens.operators import installs
-    from carelens.plans.features import _Plan, input_bytes
+def test_staged_tables_go_on_release(spark, small_sources):
+    import os
+
+    from carelens.plans.features import feature_table
+    from carelens.sources import sinks
+
+    mark = sinks.scratch_mark()
+    df = feature_table(small_sources, FeatureConfig(), ["avg_nps", "sum_amc_price"])
+    n = df.count()
+    paths = list(sinks._scratch[mark:])
+    assert n > 0 and paths and all(os.path.isdir(p) for p in paths)
+    assert sinks.release(spark, mark) == len(paths)
+    assert not any(os.path.exists(p) for p in paths) and sinks.scratch_mark() == mark
+
+
+def test_dedupe_contracts_drops_repeated_rows_only(spark, small_sources):
+    from carelens.plans.features import feature_table
+
+    cols = ["sum_amc_price", "unique_icrno_count", "avg_profitability"]
+    twice = small_sources.with_frames(contracts=small_sources.contracts.unionByName(small_sources.contracts))
+    key = lambda df: sorted(map(str, df.collect()))
+    once = key(feature_table(small_sources, FeatureConfig(), cols))
+    assert key(feature_table(twice, FeatureConfig(dedupe_contracts=True), cols)) == once
+    assert key(feature_table(twice, FeatureConfig(), cols)) != once
+
+
+def test_a_hot_machine_is_split(spark):
+    """repeat_parts with a third of all rows on one machine: AQE splits the
+    join's skewed side."""
+    from carelens.operators import spares
+    from carelens.sources.sinks import materialize
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        hot = i % 3 == 0
+        sp = spark.range(60_000).select(
+            F.when(hot, F.lit("nan")).otherwise((i % 500).cast("string")).alias("customer"),
+            F.when(hot, F.lit("m")).otherwise((i % 700).cast("string")).alias("serial"),
+            (i % 900).cast("string").alias("item"),
+            (F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), i.cast("int"))).alias("booked"))
+        machine = sp.select("customer", "serial").distinct().select(
+            "*", F.lit("2020-03-01").cast("timestamp_ntz").alias("min_start"), F.lit("2021-03-01").cast("timestamp_ntz").alias("max_end"))
+        # Staged, as the plan has it: nothing stands between its exchange and the join.
+        out = spares.repeat_parts(sp, materialize(spark, machine, "machine"))
+        rows = {r["customer"]: r for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skewed" in plan or "skew=true" in plan
+        assert rows["nan"]["repeat_parts_for_customer"] == 300
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_machines_profitability_is_not_cut(spark):
+    from carelens.operators import contracts, spares
 
-    df = installs.prepare(small_sources, FeatureConfig())
-    n = input_bytes(df)
-    assert n is not None and n > 0
-    assert _Plan(small_sources, FeatureConfig(share="auto"))._mode(df) == "none"
-    assert _Plan(small_sources, FeatureConfig(share="auto", stage_min_bytes=n))._mode(df) == "write"
+    con = spark.createDataFrame([("nan", "nan", 0.01)] * 1000, "customer string, serial string, price double").select(
+        "*", F.lit("AMC").alias("amc_type"), F.lit(1).alias("priority"), *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("start", "end")])
+    sp = spark.range(1000).select(
+        F.lit("nan").alias("customer"), F.lit("nan").alias("serial"), F.lit("i").alias("item"), F.lit(1e9).alias("net"),
+        F.lit("ZAMC").alias("category"), F.lit(None).cast("timestamp_ntz").alias("booked"))
+    got = spares.contract_lags_and_profitability(spares.machine_fold(sp), contracts.per_machine(con)).first()
+    assert got["avg_profitability"] == pytest.approx(1000 * 1e9 * 1000 / 0.01, rel=1e-12)

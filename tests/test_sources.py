@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelens.sources import readers as R
+from carelens.sources import schemas as SC
 from carelens.sources import sinks as SK
 
 
@@ -19,7 +20,7 @@ def test_csv_reader_renames_types_and_coerces_dates(spark):
         f.write("7,S1,P1,12.5,ZAMC,2024-01-05 10:00:00,x\n")
         f.write("8,,P2,not-a-number,OG,05/01/2024,y\n")
         f.write("9,S3,P3,3,OG,garbage,z\n")
-    df = R.read_csv(spark, path, "spares")
+    df = R.read_csv(spark, path, "spares", ts_formats=SC.DAY_FIRST)
     assert df.columns == ["CustomerC", "Serial", "ItemNo", "NetValue", "ItemCategory", "CallBookDate"]
     rows = df.orderBy("CustomerC").collect()
     assert rows[0]["NetValue"] == 12.5 and rows[0]["CallBookDate"] == datetime(2024, 1, 5, 10)
@@ -78,3 +79,49 @@ def test_materialize_under_checkpoint_dir(spark):
     out = SK.materialize(spark, df, "t")
     assert out.count() == 10
     assert SK.scratch_path(spark, "x").startswith(SK.checkpoint_root(spark))
+
+
+def test_yearly_pieces_are_pushed_and_complete(spark):
+    from carelens.sources.fixtures import contracts_view
+
+    k = contracts_view(spark, "/root/testdata/sf0.001")
+    pieces = R.yearly_pieces(k, "AMCPostingDate", range(1994, 1996))
+    assert R.union_chunks(pieces).count() == k.count()
+    plan = pieces[2]._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_readers_guess_no_ambiguous_date(spark, tmp_path):
+
+
+    path = str(tmp_path / "c")
+    spark.createDataFrame([("1", "07/08/2024"), ("2", "07-08-2024 10:30"), ("3", "20240708"), ("4", "2024-07-08")],
+                          "CustomerCode string, PostingDate string").write.option("header", True).csv(path)
+
+    def read(*formats):
+        rows = R.read_csv(spark, path, "calls", ts_formats=(*formats, *SC.DEFAULT_TS_FORMATS)).collect()
+        return {r["CustomerCode"]: r["PostingDate"] for r in rows}
+
+    plain, day, month = read(), read(*SC.DAY_FIRST), read(*SC.MONTH_FIRST)
+    assert plain["1"] is None and plain["2"] is None and plain["3"] == plain["4"] == datetime(2024, 7, 8)
+    assert day["1"] == datetime(2024, 8, 7) and day["2"] == datetime(2024, 8, 7, 10, 30)
+    assert month["1"] == datetime(2024, 7, 8) and month["2"] == datetime(2024, 7, 8, 10, 30)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from carelens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -1,6 +1,6 @@
 """Operator counts of the customer feature plan (what ``explain`` shows).
 
-usage: python scripts/plan_report.py [sf_dir] [none|write]
+usage: python scripts/plan_report.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -15,26 +15,25 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    share = sys.argv[2] if len(sys.argv) > 2 else "write"
     from carelens.config import FeatureConfig
     from carelens.plans.features import build_features
     from carelens.session import get_session
     from carelens.sources.fixtures import fixture_sources
 
     spark = get_session("local[8]", shuffle_partitions=8)
-    df = build_features(fixture_sources(spark, sf_dir), FeatureConfig(share=share))
+    df = build_features(fixture_sources(spark, sf_dir), FeatureConfig())
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    names = re.findall(r"^[\s:+\-|]*(\w+)", plan, flags=re.M)
+    names = re.findall(r"^[\s:+\-|]*(?:\*\(\d+\) )?(\w+)", plan.split("Initial Plan")[0], flags=re.M)
     counts = collections.Counter(names)
-    keep = ["FileScan", "Exchange", "BroadcastExchange", 
+    keep = ["FileScan", "Exchange", "BroadcastExchange",
             "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "SortMergeJoin",
             "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
             "Expand", "BatchEvalPython", "ArrowEvalPython"]
-    print(f"share={share} sf_dir={sf_dir}")
+    print(f"sf_dir={sf_dir}")
     for k in keep:
         print(f"  {k:24s} {counts.get(k, 0)}")
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan.split("Initial Plan")[0])
     print(f"  scans: {len(scans)}; with pushed filters: {sum(1 for _, f in scans if f)}")
 
 

@@ -31,7 +31,7 @@ def duck():
 
 @pytest.mark.parametrize("name", ["customer_features", "norm_keys", "floor_days", "parse_dates", "csv_scan",
                                   "daily_snapshot", "daily_pull", "union_chunks", "drop_missing", "key_forms",
-                                  "rowwise_max_date", "cluster_nearest", "cluster_checks"])
+                                  "rowwise_max_date", "cluster_nearest"])
 def test_query_matches_oracle(spark, duck, name):
     import scripts.check_oracles as C
 

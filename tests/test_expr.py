@@ -4,7 +4,6 @@ values, keys, fixed-point sums."""
 import math
 from datetime import datetime
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.functions import expr as X

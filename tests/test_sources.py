@@ -5,7 +5,6 @@ import tempfile
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from carelens.sources import readers as R
 from carelens.sources import schemas as SC

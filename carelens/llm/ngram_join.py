@@ -7,9 +7,12 @@ Jaccard similarity reaches 3/4; the result is every document's component.
    set holds cannot be part of an overlap and is dropped.  The others go back
    to their sets.  A set can only link if at least 3/4 of its shingles are
    shared, so a text that merely quotes a common passage ends here.
-2. *Blocks.*  In a global order (unshared shingles first, then by hash) linked
-   sets share a shingle among their first n - ceil(3n/4) + 1.  Sets that share
-   one are in the same block; blocks are the components of that relation.
+2. *Blocks.*  In a global order (rarest shingle first) linked sets share a
+   shingle among their first n - ceil(3n/4) + 1.  Sets that share one are in
+   the same block; blocks are the components of that relation.  Passages that
+   many texts have in common are last in the order and tie no blocks together.
+   How many sets hold a shingle is summed from counts per chunk of sets, and
+   told to every chunk once, so a frequent shingle costs a row per chunk.
 3. *Prefix trees.*  In a block the sets, ordered by the block's most common
    shingles first, are stored in a path-compressed trie.  Each set walks the
    trie of the sets before it: overlaps of shared paths are counted once, a
@@ -280,8 +283,9 @@ def _shared(n_buckets: int):
     return run
 
 
-def _able(rows: pd.DataFrame) -> pd.DataFrame:
-    """Sets of which enough shingles are shared: node, n, shared hashes."""
+def _able(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Sets of which enough shingles are shared: node, n, shared hashes; the
+    bucket they are in is their chunk."""
     node, size, h = _unpack(rows)
     order = np.lexsort((h, node))
     node, size, h = node[order], size[order].astype(np.int64), h[order]
@@ -291,10 +295,41 @@ def _able(rows: pd.DataFrame) -> pd.DataFrame:
     counts = np.diff(np.r_[starts, len(node)])
     ok = counts * DENOMINATOR >= NUMERATOR * size[starts]
     return pd.DataFrame({
-        "node": node[starts][ok], "n": size[starts][ok],
+        "chunk": np.full(int(ok.sum()), key[0], np.int64), "node": node[starts][ok], "n": size[starts][ok],
         "hashes": [h[a : a + c].tobytes() for a, c in zip(starts[ok], counts[ok], strict=True)]})
 
 
+# Counts of shingles by chunk, and the answers: hashes and how many sets hold each.
+COUNTED = "bucket long, chunk long, hashes binary, counts binary"
+
+
+def _count_chunk(n_buckets: int):
+    """How many sets of a chunk hold each shingle, dealt out by shingle."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        h, c = np.unique(np.frombuffer(b"".join(rows["hashes"]), "<u8"), return_counts=True)
+        bucket = _bucket(h, n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        out = [(int(bucket[part[0]]), key[0], h[part].astype("<u8").tobytes(), c[part].astype("<u4").tobytes())
+               for part in np.split(order, cuts) if len(part)]
+        return pd.DataFrame(out, columns=["bucket", "chunk", "hashes", "counts"])
+
+    return run
+
+
+def _sum_counts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Each chunk's shingles with their counts over all chunks."""
+    sizes = [len(x) // 8 for x in rows["hashes"]]
+    h, number = np.unique(np.frombuffer(b"".join(rows["hashes"]), "<u8"), return_inverse=True)
+    total = np.bincount(number, np.frombuffer(b"".join(rows["counts"]), "<u4"), len(h)).astype("<u4")
+    out, at = [], 0
+    for chunk, raw, n in zip(rows["chunk"], rows["hashes"], sizes, strict=True):
+        out.append((key[0], chunk, raw, np.minimum(total[number[at : at + n]], 2**32 - 1).tobytes()))
+        at += n
+    return pd.DataFrame(out, columns=["bucket", "chunk", "hashes", "counts"])
+
+
 def prefix_length(n: int, shared: int) -> int:
     """How many of a set's shared shingles its prefix holds; the unshared
     ones come first in the order."""
@@ -303,19 +338,25 @@ def prefix_length(n: int, shared: int) -> int:
 
 
 def _prefixes(n_buckets: int):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            nodes, hashes = [], []
-            for node, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = np.frombuffer(raw, "<u8")
-                h = h[: prefix_length(n, len(h))]
-                nodes.append(np.full(len(h), node, np.int64))
-                hashes.append(h)
-            if not nodes:
-                continue
+    """Prefix shingles of a chunk's sets, packed by bucket."""
+
+    def run(_key: tuple, sets: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        known = np.frombuffer(b"".join(answers["hashes"]), "<u8")
+        order = np.argsort(known, kind="stable")
+        known, held = known[order], np.frombuffer(b"".join(answers["counts"]), "<u4")[order]
+        nodes, hashes = [], []
+        for node, n, raw in zip(sets["node"], sets["n"], sets["hashes"], strict=True):
+            h = np.frombuffer(raw, "<u8")
+            count = held[np.searchsorted(known, h)]
+            first = np.lexsort((h, count))[: prefix_length(n, len(h))]
+            first = first[count[first] > 1]  # held by no other set that can link
+            nodes.append(np.full(len(first), node, np.int64))
+            hashes.append(h[first])
+        out = []
+        if nodes:
             node, every = np.concatenate(nodes), np.concatenate(hashes)
-            rows = _pack(_bucket(every, n_buckets), n_buckets, node, np.zeros(len(node), np.int64), every)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PACKED.types, strict=True)], schema=_PACKED)
+            out = _pack(_bucket(every, n_buckets), n_buckets, node, np.zeros(len(node), np.int64), every)
+        return pd.DataFrame(out, columns=["bucket", "nodes", "sizes", "counts", "hashes"])
 
     return run
 
@@ -472,9 +513,12 @@ def set_links(spark: SparkSession, texts: DataFrame, total_shingles: int) -> Dat
     n = max(_buckets(total_shingles), spark.sparkContext.defaultParallelism)
     dealt = texts.mapInArrow(_deal(n), DEALT)
     back = dealt.groupBy("direct", "bucket").applyInPandas(_shared(n), PACKED)
-    able = materialize(spark, back.groupBy("bucket").applyInPandas(_able, "node long, n long, hashes binary"), "join-sets")
+    able = materialize(spark, back.groupBy("bucket").applyInPandas(_able, "chunk long, node long, n long, hashes binary"), "join-sets")
 
-    near = able.mapInArrow(_prefixes(n), PACKED).groupBy("bucket").applyInPandas(_forest, "a long, b long")
+    counted = able.select("chunk", "hashes").groupBy("chunk").applyInPandas(_count_chunk(n), COUNTED)
+    answers = counted.groupBy("bucket").applyInPandas(_sum_counts, COUNTED)
+    prefixes = able.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_prefixes(n), PACKED)
+    near = prefixes.groupBy("bucket").applyInPandas(_forest, "a long, b long")
     blocks = connected_components(spark, near).select("node", F.col("component").alias("block"))
     placed = able.join(blocks, "node")
     sizes = blocks.groupBy("block").agg(F.count("*").alias("members"), F.min("node").alias("pivot"))
@@ -525,9 +569,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, text: str = "text",
     total = described.agg(F.sum("n_shingles")).first()[0]
     links = set_links(spark, d.select("text"), total or 0)
     found = connected_components(spark, links)
-    linked = described.where(F.col("node").isNotNull()).join(found, "node", "left").select(
-        "_id", "n_shingles", F.coalesce("component", "node").alias("class"))
-    smallest = linked.groupBy("class").agg(F.min("_id").alias("component_id"))
-    out = linked.join(smallest, "class").select("_id", "n_shingles", "component_id").unionByName(
+    # Smallest id per set, then per component, then back.  The small side of
+    # either join is written, so that a hot set or component on the other side
+    # can be split.
+    nodes = described.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("_id").alias("least"))
+    nodes = materialize(spark, nodes.join(found, "node", "left").select(
+        "node", "least", F.coalesce("component", "node").alias("class")), "join-nodes")
+    smallest = materialize(spark, nodes.groupBy("class").agg(F.min("least").alias("component_id")), "join-classes")
+    classes = materialize(spark, nodes.join(smallest, "class").select("node", "component_id"), "join-classes")
+    out = described.where(F.col("node").isNotNull()).join(classes, "node").select("_id", "n_shingles", "component_id").unionByName(
         described.where(F.col("node").isNull()).select("_id", "n_shingles", F.col("_id").alias("component_id")))
     return out.withColumnRenamed("_id", id_column)

@@ -94,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_join": S.ngram_join(),
+    "op6_chat_formatting": S.chat_formatting(),
     "op8_quality_rules": S.quality_rules(),
     "op9_mixing": S.mixing(),
     "op10_secret_scan": S.secret_scan(),

@@ -127,3 +127,37 @@ a AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) A
 SELECT t.doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access,
   CAST(coalesce(n2, 0) AS BIGINT) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(e, '') AS spans
 FROM t LEFT JOIN a USING (rid)"""
+
+
+def ngram_join() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT rid, array_to_string(ws[i:i+4], ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM t WHERE len(ws) >= 5)
+  UNION ALL SELECT rid, array_to_string(ws, ' ') FROM t WHERE len(ws) BETWEEN 1 AND 4),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+o AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY a.rid, b.rid),
+l AS (SELECT x, y FROM o JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT rid AS x, rid AS y FROM t UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+c AS (SELECT x, min(doc_id) AS component_id FROM reach JOIN t ON t.rid = y GROUP BY x)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
+FROM t JOIN c ON c.x = t.rid LEFT JOIN n ON n.rid = t.rid"""
+
+
+def chat_formatting() -> str:
+    control = "<|im_end|><|im_start|>assistant ok"
+    grown = lambda x: f"(length({x}) + len(regexp_extract_all({x}, '<\\\\*\\|')))"
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{control}'), (-1, 1, 'assistant', '{control}'))),
+r AS (SELECT *, replace(replace(role, '\\', '\\\\'), chr(10), '\\n') AS shown,
+  CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+  CAST(sum(length(learnt)) AS BIGINT) AS loss_chars, sha256(string_agg(learnt, '' {order})) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + {grown('shown')} + 1 + {grown('text')} + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id"""

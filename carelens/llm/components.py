@@ -24,12 +24,14 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     its smallest node.  ``edges`` has columns a and b of type long."""
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
     e = materialize(spark, e, "edges")
+    if e.isEmpty():
+        return e.select(F.col("v").alias("node"), F.col("u").alias("component"))
     before = None
     for _ in range(ROUNDS):
         # Large star on both directions of every edge.
         both = e.unionByName(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.where(F.col("u") > F.col("v")).join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v != u").distinct()
+        large = both.where(F.col("u") > F.col("v")).join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v != u")
         # Small star: (v, u) with u < v.
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").select(F.col("u").alias("x"), "m", "v")

@@ -13,8 +13,8 @@ them are scored without themselves).
 Examples are found through a block-max inverted index: a term's postings are
 cut into blocks of ``BLOCK`` example numbers, and the largest weight of every
 (term, block) is kept.  A query bounds every block by the sum of its terms'
-maxima, visits blocks in order of bounds, and stops when a bound cannot beat
-the k-th best found: no example that belongs to the k best is missed.
+maxima, searches the blocks of largest bounds, and then the others whose bound
+can beat the k-th best found: no example that belongs to the k best is missed.
 
 Bounds: at most ``INDEX_PER_CLASS`` examples of either label and
 ``CALIBRATION`` calibration documents, chosen by a hash of their id, and
@@ -46,10 +46,12 @@ from carelens.llm.common import materialize, ship_package, text_or_empty
 INDEX_PER_CLASS = 3000
 CALIBRATION = 6000
 VOCABULARY = 2048
-LEAST_CHI2 = 20.0
+LEAST_CHI2 = 20.0  # a term must be significant ...
+LEAST_PHI2 = 0.005  # ... and matter: chi-squared over the number of examples
 LEAST_DOCS = 4
 BLOCK = 64
 NEIGHBOURS = 15
+FIRST_BLOCKS = 8  # blocks searched before the first pruning
 BINS = 10
 THRESHOLD = 0.3
 PIECE = 5
@@ -92,16 +94,23 @@ class Index:
     ids: list[int]
     labels: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]  # per term: example numbers, weights
-    starts: np.ndarray = field(init=False)  # (term, block): first posting
+    numbers: np.ndarray = field(init=False)  # all postings, term after term
+    posted: np.ndarray = field(init=False)
+    starts: np.ndarray = field(init=False)  # (term, block): first posting, and the end
     block_max: np.ndarray = field(init=False)  # (term, block)
 
     def __post_init__(self) -> None:
-        blocks = -(-len(self.ids) // BLOCK)
-        self.block_max = np.zeros((len(self.postings), blocks))
-        self.starts = np.zeros((len(self.postings), blocks + 1), np.int32)
+        blocks, terms = -(-len(self.ids) // BLOCK), len(self.postings)
+        self.block_max = np.zeros((terms, blocks))
+        self.starts = np.zeros((terms, blocks + 1), np.int64)
+        at = 0
         for t, (numbers, weights) in enumerate(self.postings):
             np.maximum.at(self.block_max[t], numbers // BLOCK, weights)
-            self.starts[t] = np.searchsorted(numbers, np.arange(blocks + 1) * BLOCK)
+            self.starts[t] = at + np.searchsorted(numbers, np.arange(blocks + 1) * BLOCK)
+            at += len(numbers)
+        self.numbers = np.concatenate([n for n, _ in self.postings] or [np.zeros(0, np.int64)]).astype(np.int64)
+        self.posted = np.concatenate([w for _, w in self.postings] or [np.zeros(0)])
+        self.postings = []
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and unit weights; counts are by term number."""
@@ -113,19 +122,31 @@ class Index:
         """(cosine, example number) of the k best other than ``but``, ties to
         smaller numbers."""
         bound = weights @ self.block_max[at]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-12:
-                break
-            got = np.zeros(BLOCK)
-            for t, w in zip(at, weights, strict=True):
-                a, b = self.starts[t, block], self.starts[t, block + 1]
-                if a < b:
-                    numbers, posted = self.postings[t]
-                    got[numbers[a:b] - block * BLOCK] += w * posted[a:b]
-            hits = [h for h in np.flatnonzero(got) if block * BLOCK + h != but]
-            best = sorted(best + [(-round(float(got[h]), 12), int(block * BLOCK + h)) for h in hits])[:k]
-        return [(-s, n) for s, n in best]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best = self._best(at, weights, order[:FIRST_BLOCKS], k, but)
+        if len(order) > FIRST_BLOCKS:
+            least = best[-1][0] if len(best) == k else 0.0
+            rest = order[FIRST_BLOCKS:]
+            rest = rest[bound[rest] >= least - 1e-9]  # the others cannot hold one of the k best
+            if len(rest):
+                best = sorted(best + self._best(at, weights, rest, k, but), key=lambda b: (-b[0], b[1]))[:k]
+        return best
+
+    def _best(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray, k: int, but: int) -> list[tuple[float, int]]:
+        """The k best of some blocks: their postings, term after term."""
+        first = self.starts[at][:, blocks].ravel()
+        size = self.starts[at][:, blocks + 1].ravel() - first
+        ends = np.cumsum(size)
+        where = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        number = self.numbers[where]
+        got = np.round(np.bincount(number, np.repeat(np.repeat(weights, len(blocks)), size) * self.posted[where], len(self.ids)), 12)
+        if but >= 0:
+            got[but] = 0.0
+        hits = np.flatnonzero(got > 0)
+        if len(hits) > k:
+            hits = hits[got[hits] >= -np.partition(-got[hits], k - 1)[k - 1]]
+        return sorted(((float(got[h]), int(h)) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
 
 
 @dataclass
@@ -160,10 +181,7 @@ class Counts:
             n_words += n
             found = known.get(word)
             if found is None:
-                own = stems(word)
-                found = (tuple(self.terms[p] for p in {*pieces(word), *own} if p in self.terms),
-                         tuple(x for x in own if x in self.levelled))
-                found = found if found[0] or found[1] else ()
+                found = self._lookup(word)
                 if len(known) < self.keep:
                     known[word] = found
             if found:
@@ -177,6 +195,17 @@ class Counts:
                 out[t] = 1
         return out
 
+    def _lookup(self, word: str) -> tuple:
+        """(term numbers, stems with levels) of a word, () without any."""
+        terms, marked = self.terms, f"^{word}$"
+        own = {p for i in range(len(marked) - PIECE + 1) if (p := marked[i : i + PIECE]) in terms}
+        if word in terms:
+            own.add(word)
+        by_stem = stems(word)
+        own.update(x for x in by_stem if x in terms)
+        often = tuple(x for x in by_stem if x in self.levelled)
+        return (tuple(terms[p] for p in own), often) if own or often else ()
+
 
 def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies of the examples of a task, by label."""
@@ -240,7 +269,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     df = index.select("label", "text").mapInArrow(_terms_of, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     chi = chi_squared(F.col("clean"), F.col("toxic"), size[0], size[1])
-    chosen = (df.where((F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= LEAST_CHI2))
+    least = max(LEAST_CHI2, LEAST_PHI2 * (size[0] + size[1]))
+    chosen = (df.where((F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= least))
               .withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(VOCABULARY).collect())
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     n = size[0] + size[1]

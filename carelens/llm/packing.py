@@ -39,6 +39,7 @@ from carelens.llm.tokens import TextEncoder
 SCHEMA = ("start long, length long, token_ids binary, doc_tokens long, sequence_id long, "
           "offset long, cost double")
 GROUP_TOKENS = 4_000_000
+KEEP_WORDS = 750_000  # distinct words and pieces a worker remembers, about 200 bytes each
 
 
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
@@ -125,7 +126,7 @@ def _pack_partition(path: str, end_id: int, capacity: int, group_tokens: int, li
             ], schema=schema)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(path)
+        encoder = TextEncoder(path, KEEP_WORDS)
         base = TaskContext.get().partitionId() << 32
         group: list[tuple[object, bytes]] = []
         size = made = 0

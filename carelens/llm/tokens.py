@@ -32,7 +32,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 class TextEncoder:
-    """``keep``: how many distinct words are remembered (about 200 bytes each)."""
+    """``keep``: how many distinct words, and how many distinct lower-case pieces
+    of words, are remembered (about 200 bytes each)."""
 
     def __init__(self, path: str, keep: int = 500_000):
         from tokenizers import Tokenizer
@@ -40,6 +41,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.keep = keep
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.by_word = _drops_blanks(json.loads(self.tokenizer.to_str()))
         self._letters = _byte_letters()
 
@@ -69,8 +71,13 @@ class TextEncoder:
 
     def _merge(self, piece: str) -> bytes:
         """One pre-token through the tokenizer's own BPE model."""
-        letters = piece.encode().decode("latin-1").translate(self._letters)
-        return _packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.encode().decode("latin-1").translate(self._letters)
+            ids = _packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+            if len(self.pieces) < self.keep:
+                self.pieces[piece] = ids
+        return ids
 
 
 def _packed(ids: list[int]) -> bytes:

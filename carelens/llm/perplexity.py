@@ -2,7 +2,7 @@
 
 The model is trained on trusted text (documents labelled as good), all of it.
 Characters are mapped to an alphabet of 64 symbols: a boundary, "other", and
-the 62 most frequent characters of the trusted text.  An n-gram of order 4 is
+the 62 most frequent characters of all documents.  An n-gram of order 4 is
 then a 24-bit integer.
 
 Counting: every task counts the n-grams of its documents and sends one row per
@@ -148,17 +148,22 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") ->
     return docs.select("doc_id", text_or_empty(text).alias("text")).where(F.col("text") != "").join(good, "doc_id", "left_semi")
 
 
-def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
-    """Fit on (text) rows; None without any."""
+def train(spark: SparkSession, trusted: DataFrame, corpus: DataFrame | None = None) -> Model | None:
+    """Fit on the ``text`` rows of ``trusted``; None without any.  The
+    alphabet is taken from ``corpus`` (default: the trusted rows), which is
+    read in place: finding the trusted rows shuffles texts, and is done once."""
     ship_package(spark)
     texts = trusted.select("text")
-    top = (texts.mapInArrow(_count_codes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    every = texts if corpus is None else corpus.select("text")
+    top = (every.mapInArrow(_count_codes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "code").limit(ALPHABET - 2).collect())
     alphabet = [r["code"] for r in top]
     if not alphabet:
         return None
     counts = materialize(spark, texts.mapInArrow(_count_grams(alphabet), "gram long, n long")
                          .groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
+    if counts.isEmpty():
+        return None
     levels = [counts]
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: different symbols before the shorter n-gram.
@@ -216,7 +221,7 @@ def thresholds(scored: DataFrame) -> DataFrame:
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, lang, n_scored, perplexity, kept for every document."""
-    model = train(spark, trusted_documents(docs, labels, text))
+    model = train(spark, trusted_documents(docs, labels, text), docs.select(text_or_empty(text).alias("text")))
     scored = materialize(spark, score(spark, docs, model, text), "kn-scores")
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1).select("doc_id")
     limits = materialize(spark, thresholds(scored.join(good, "doc_id", "left_semi")), "kn-thresholds")

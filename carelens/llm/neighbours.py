@@ -48,7 +48,7 @@ from carelens.llm.common import materialize, ship_package
 SAMPLE = 20_000
 TREES = 8
 LEAF_ROWS = 256
-SHARD_ROWS = 16384
+SHARD_ROWS = 65536  # rows of a shard; the larger, the fewer answers a query gets to merge
 RECALL = 0.95
 CALIBRATION_QUERIES = 200
 DEEPEST = 10  # at most 1024 leaves a tree: 20 sample vectors each

@@ -1,23 +1,26 @@
 """Quality classifier: interpolated modified Kneser-Ney character model.
 
 The model is trained on trusted text (documents labelled as good), all of it.
-Characters are mapped to an alphabet of 64 symbols: a boundary, "other", and
-the 62 most frequent characters of all documents.  An n-gram of order 4 is
-then a 24-bit integer.
-
-Counting: every task counts the n-grams of its documents and sends one row per
-distinct n-gram, so what is gathered grows with the trusted text; the counts
-are summed by n-gram.  Continuation counts (how many different symbols stand
-before an n-gram), the discounts D1, D2, D3+ of every order (from its counts
-of counts) and the interpolation weights of every context come from groupings
-of those tables, and a join of the n-gram counts with their contexts, sharded by
-context, gives each n-gram's discounted share.
-
-Scoring needs an order's shares and weights for any n-gram.  The tables are
-bounded by the alphabet and not by the data (64^4 n-grams at most, 64 MB), so
-they are broadcast behind that bound and documents are scored where they are:
-joining every n-gram occurrence with the model would shuffle several times the
-corpus for the same sums.
+Its alphabet is open: every code point is a symbol, and a boundary.  An n-gram
+is its context (up to ORDER - 1 symbols of 21 bits, a long) and its last symbol.
+
+Counting: every task counts the n-grams of its documents piece by piece, and
+the counts are summed by n-gram.  Continuation counts (how many different
+symbols stand before an n-gram), the discounts D1, D2, D3+ of every order (from
+its counts of counts) and the interpolation weights of every context come from
+groupings of those tables, and a join of the n-gram counts with their contexts,
+sharded by context, gives each n-gram's discounted share.  All of them stay
+distributed tables that grow with the text.
+
+Scoring: the different n-grams of all documents are joined with the shares and
+weights of every order, which gives each its log-probability.  Documents go by
+chunks: a chunk's n-grams, and which of its texts hold each how often, are
+packed by shard of the n-grams and meet the shard's log-probabilities in a
+cogroup; a text's score is the sum over shards.  Shards hold about
+``SHARD_GRAMS`` n-grams, and chunks are dealt to as many groups as keep a
+shard's packed n-grams near ``GROUP_CHARS`` characters' worth, so that neither
+grows with the input.  Equal texts of a chunk are scored once; scores come back
+to documents by a digest of the text.
 
 Thresholds: the perplexities of trusted documents give, per language, a
 mergeable histogram over log-perplexity; a document is kept if its perplexity
@@ -37,6 +40,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -44,61 +48,88 @@ from pyspark.sql import functions as F
 
 from carelens.llm.common import materialize, ship_package, text_or_empty
 
-BITS = 6
-ALPHABET = 1 << BITS
+BITS = 21
+ALPHABET = 1 << BITS  # symbols: 0 the boundary, 1 unused, code points from 2 on
 ORDER = 4
 LOW, HIGH = 0.002, 0.995
 LEAST_TRUSTED = 50  # documents a language needs for its own thresholds
 STEP = 1000  # histogram steps per unit of log-perplexity
+CHUNK_CHARS = 2_000_000
+CHUNK_TEXTS = 65_536  # their numbers fit 16 bits
+SHARD_GRAMS = 250_000
+LEAST_SHARDS = 16
+GROUP_CHARS = 20_000_000
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def _grams(text: str, symbols: np.ndarray) -> np.ndarray:
-    """n-grams of order ORDER ending at each character; the text is preceded
-    by boundaries."""
-    s = symbols[_codes(text)].astype(np.int64)
-    s = np.concatenate([np.zeros(ORDER - 1, np.int64), s])
-    g = np.zeros(len(s) - ORDER + 1, np.int64)
+def _symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of the texts, each preceded by boundaries, and where each
+    text's characters end among those of all."""
+    codes = [_codes(t) for t in texts]
+    gap = np.zeros(ORDER - 1, np.int64)
+    return np.concatenate([x for c in codes for x in (gap, c.astype(np.int64) + 2)]), np.cumsum([len(c) for c in codes])
+
+
+def _counted(texts: list[str], by_text: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context, symbol, text number, n) of the n-grams of order ORDER ending
+    at each character, in the order of the n-grams; text number 0 throughout
+    unless ``by_text``."""
+    s, ends = _symbols(texts)
+    names, local = np.unique(s, return_inverse=True)
+    size = np.diff(ends, prepend=0)
+    first = np.repeat(np.arange(len(texts)) * (ORDER - 1), size) + np.arange(ends[-1])  # of each n-gram
+    bits, text_bits = int(len(names) - 1).bit_length(), int(len(texts) - 1).bit_length() if by_text else 0
+    wide = ORDER * bits + text_bits > 63
+    key = np.zeros(len(first), np.int64)
     for k in range(ORDER):
-        g = (g << BITS) | s[k : len(s) - ORDER + 1 + k]
-    return g
+        key = (key << bits) | local[first + k]
+        if wide:  # number the beginnings that occur, fewer than characters
+            heads, key = np.unique(key, return_inverse=True)
+            table = np.concatenate([table[heads >> bits], names[heads & ((1 << bits) - 1), None]], axis=1) if k else names[heads, None]
+    if by_text:
+        key = (key << text_bits) | np.repeat(np.arange(len(texts)), size)
+    key, n = np.unique(key, return_counts=True)
+    text, key = key & ((1 << text_bits) - 1), key >> text_bits
+    parts = table[key].T if wide else [names[(key >> bits * (ORDER - 1 - k)) & ((1 << bits) - 1)] for k in range(ORDER)]
+    context = np.zeros(len(key), np.int64)
+    for part in parts[:-1]:
+        context = (context << BITS) | part
+    return context, parts[-1], text, n
+
+
+def _chunks(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes]]]:
+    """Texts that are not empty, and the values of a second column, some at a time."""
+    texts, keys, size = [], [], 0
+    for batch in it:
+        for x, k in zip(batch.column(0), batch.column(batch.num_columns - 1), strict=True):
+            t = x.as_py()
+            if t:
+                texts.append(t)
+                keys.append(k.as_py())
+                size += len(t)
+            if size >= CHUNK_CHARS or len(texts) == CHUNK_TEXTS:
+                yield texts, keys
+                texts, keys, size = [], [], 0
+    if texts:
+        yield texts, keys
 
 
-def symbol_table(alphabet: list[int]) -> np.ndarray:
-    """Code point -> symbol; 0 is the boundary, 1 any other character."""
-    table = np.ones(0x110000, np.uint8)
-    for i, c in enumerate(alphabet[: ALPHABET - 2]):
-        table[c] = i + 2
-    return table
+def _count_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for texts, _ in _chunks(it):
+        context, symbol, _, n = _counted(texts, by_text=False)
+        for k in range(0, len(n), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (context, symbol, n)], names=["context", "symbol", "n"])
 
 
-def _count_codes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0x110000, np.int64)
-    for batch in it:
-        for x in batch.column(0):
-            codes, n = np.unique(_codes(x.as_py()), return_counts=True)
-            total[codes] += n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
+COUNTED = "context long, symbol long, n long"
 
 
-def _count_grams(alphabet: list[int]):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = symbol_table(alphabet)
-        total = np.zeros(ALPHABET**ORDER, np.int32)
-        for batch in it:
-            for x in batch.column(0):
-                g, n = np.unique(_grams(x.as_py(), symbols), return_counts=True)
-                total[g] += n.astype(np.int32)
-        at = np.flatnonzero(total)
-        for k in range(0, len(at), 100_000):
-            part = at[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], names=["gram", "n"])
-
-    return run
+def count_grams(texts: DataFrame) -> DataFrame:
+    """context, symbol and n of every n-gram of the one column of texts."""
+    return texts.mapInArrow(_count_grams, COUNTED).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -110,36 +141,76 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
 
 
 def _order_tables(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, share) and (context, weight) of one order: the discounted share
-    of each n-gram in its context, and what the context leaves to the order
-    below."""
+    """(context, symbol, share) and (context, weight) of one order: the
+    discounted share of each n-gram in its context, and what the context
+    leaves to the order below."""
     d1, d2, d3 = discounts(counts)
-    c = counts.withColumn("context", F.shiftright("gram", BITS))
     cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-    contexts = c.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut).alias("left"))
-    shares = c.join(contexts, "context").select("gram", ((F.col("n") - cut) / F.col("total")).alias("share"))
+    contexts = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut).alias("left"))
+    shares = counts.join(contexts, "context").select("context", "symbol", ((F.col("n") - cut) / F.col("total")).alias("share"))
     return shares, contexts.select("context", (F.col("left") / F.col("total")).alias("weight"))
 
 
-@dataclass
-class Model:
-    """alphabet and, per order from 1, sparse (grams, shares) and (contexts, weights)."""
+def _shorter(order: int):
+    """The context of an n-gram of ``order``, from a longer one."""
+    return F.col("context").bitwiseAND((1 << BITS * (order - 1)) - 1).alias("context")
 
-    alphabet: list[int]
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
-    def log_probabilities(self) -> np.ndarray:
-        """ln p(last symbol | symbols before) of every n-gram of ORDER."""
-        p = np.full(ALPHABET, 1.0 / ALPHABET, np.float32)
-        for order, (grams, shares, contexts, weights) in enumerate(self.tables, 1):
-            left = np.ones(ALPHABET ** (order - 1), np.float32)
-            left[contexts] = weights
-            if order > 1:  # a gram backs off to its last order - 1 symbols
-                p = np.tile(p, ALPHABET)
-            by_context = p.reshape(-1, ALPHABET)
-            by_context *= left[:, None]
-            p[grams] += shares.astype(np.float32)
-        return np.log(np.maximum(p, 1e-12))
+@dataclass
+class Model:
+    """Per order from 1, the distributed tables (context, symbol, share) and
+    (context, weight)."""
+
+    tables: list[tuple[DataFrame, DataFrame]]
+    alphabet = range(0x110000)
+
+    def probabilities(self, grams: DataFrame) -> DataFrame:
+        """context, symbol and log_p = ln p(symbol | context) of different n-grams."""
+        p = None
+        for order, (shares, weights) in enumerate(self.tables, 1):
+            asked = grams.select("context", "symbol") if order == ORDER else grams.select(_shorter(order), "symbol").distinct()
+            if order == 1:  # one context
+                only = weights.first()["weight"]
+                lower = asked.withColumns({"p": F.lit(1.0 / ALPHABET), "weight": F.lit(only)})
+            else:
+                # An n-gram backs off to its last order - 1 symbols.
+                below = p.select(F.col("context").alias("_below"), F.col("symbol"), "p")
+                lower = asked.withColumn("_below", _shorter(order - 1)).join(below, ["_below", "symbol"]).drop("_below").join(weights, "context", "left")
+            p = lower.join(shares, ["context", "symbol"], "left").select(
+                "context", "symbol", (F.coalesce("weight", F.lit(1.0)) * F.col("p") + F.coalesce("share", F.lit(0.0))).alias("p"))
+        return p.select("context", "symbol", F.log(F.greatest("p", F.lit(1e-12))).alias("log_p"))
+
+    def log_probabilities(self) -> Lookup:
+        """ln p of any n-gram, for a look into small models: collects them."""
+        return Lookup([({r["context"]: r["weight"] for r in w.collect()}, _by_context(s.collect())) for s, w in self.tables])
+
+
+def _by_context(rows: list) -> dict[int, dict[int, float]]:
+    out: dict[int, dict[int, float]] = {}
+    for r in rows:
+        out.setdefault(r["context"], {})[r["symbol"]] = r["share"]
+    return out
+
+
+class Lookup:
+    """ln p by n-gram number (ORDER symbols of BITS bits), or by a slice of
+    the numbers of one context."""
+
+    def __init__(self, tables: list[tuple[dict[int, float], dict[int, dict[int, float]]]]):
+        self.tables = tables
+
+    def __getitem__(self, at):
+        context = int(at.start if isinstance(at, slice) else at) >> BITS
+        p = np.full(ALPHABET, 1.0 / ALPHABET) if isinstance(at, slice) else 1.0 / ALPHABET
+        for order, (weights, shares) in enumerate(self.tables, 1):
+            own = context & ((1 << BITS * (order - 1)) - 1)
+            p = p * weights.get(own, 1.0)
+            seen = shares.get(own, {})
+            if isinstance(at, slice):
+                p[list(seen)] += list(seen.values())
+            else:
+                p += seen.get(int(at) & (ALPHABET - 1), 0.0)
+        return np.log(p)
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
@@ -148,60 +219,135 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") ->
     return docs.select("doc_id", text_or_empty(text).alias("text")).where(F.col("text") != "").join(good, "doc_id", "left_semi")
 
 
-def train(spark: SparkSession, trusted: DataFrame, corpus: DataFrame | None = None) -> Model | None:
-    """Fit on the ``text`` rows of ``trusted``; None without any.  The
-    alphabet is taken from ``corpus`` (default: the trusted rows), which is
-    read in place: finding the trusted rows shuffles texts, and is done once."""
+def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
+    """Fit on the ``text`` rows of ``trusted``; None without any."""
     ship_package(spark)
-    texts = trusted.select("text")
-    every = texts if corpus is None else corpus.select("text")
-    top = (every.mapInArrow(_count_codes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "code").limit(ALPHABET - 2).collect())
-    alphabet = [r["code"] for r in top]
-    if not alphabet:
-        return None
-    counts = materialize(spark, texts.mapInArrow(_count_grams(alphabet), "gram long, n long")
-                         .groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
+    counts = materialize(spark, count_grams(trusted.select("text")), "kn-counts")
     if counts.isEmpty():
         return None
     levels = [counts]
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: different symbols before the shorter n-gram.
-        levels.append(levels[-1].groupBy(F.col("gram").bitwiseAND(ALPHABET**order - 1).alias("gram")).agg(F.count("*").alias("n")))
-    tables = []
-    for level in reversed(levels):
-        shares, weights = _order_tables(level)
-        # Bounded by ALPHABET**ORDER rows, whatever the corpus.
-        s, w = shares.toArrow(), weights.toArrow()
-        tables.append((s["gram"].to_numpy(), s["share"].to_numpy(), w["context"].to_numpy(), w["weight"].to_numpy()))
-    return Model(alphabet, tables)
+        shorter = levels[-1].groupBy(_shorter(order), "symbol").agg(F.count("*").alias("n"))
+        levels.append(materialize(spark, shorter, "kn-continuations"))
+    return Model([tuple(materialize(spark, t, "kn-order") for t in _order_tables(level)) for level in reversed(levels)])
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    """``carry``, n_chars_scored and log_perplexity (per character)."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+# A chunk's n-grams of a shard: each n-gram and how many of the chunk's texts
+# hold it, then the texts' numbers and counts, n-gram after n-gram.  One row of
+# a chunk also has the keys of its texts.
+PACKED = "slot long, shard long, chunk long, keys binary, contexts binary, symbols binary, holders binary, texts binary, counts binary"
+SUMS = "chunk long, keys binary, sums binary"
 
-    ship_package(spark)
-    d = docs.select(*carry, text_or_empty(text).alias("_text"))
-    if model is None:
-        return d.select(*carry, F.char_length("_text").cast("long").alias("n_scored"), F.lit(None).cast("double").alias("log_perplexity"))
-    shared = spark.sparkContext.broadcast(model)  # bounded, see Model
-    names = to_arrow_schema(d.drop("_text").schema).names
+
+def _shard(context: np.ndarray, symbol: np.ndarray, n: int) -> np.ndarray:
+    h = (context.view(np.uint64) ^ (symbol.astype(np.uint64) << np.uint64(43))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % n
+
+
+def _pack(n_shards: int, n_slots: int):
+    names = [x.split()[0] for x in PACKED.split(", ")]
+    types = [pa.int64()] * 3 + [pa.binary()] * 6
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, table = symbol_table(shared.value.alphabet), shared.value.log_probabilities()
-        for batch in it:
-            n, out = [], []
-            for x in batch.column(len(names)):
-                g = _grams(x.as_py(), symbols)
-                n.append(len(g))
-                out.append(float(-table[g].mean(dtype=np.float64)) if len(g) else None)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], pa.array(n, pa.int64()), pa.array(out, pa.float64())],
-                names=[*names, "n_scored", "log_perplexity"])
+        from pyspark import TaskContext
+
+        task, number = TaskContext.get().partitionId(), 0
+        for every, digests in _chunks(it):
+            own = dict(zip(digests, every, strict=True))  # equal texts once
+            chunk, number = (task << 32) | number, number + 1
+            context, symbol, text, n = _counted(list(own.values()), by_text=True)
+            first = np.flatnonzero(np.r_[True, (np.diff(context) != 0) | (np.diff(symbol) != 0)])
+            holders = np.diff(np.r_[first, len(n)])
+            shard = _shard(context[first], symbol[first], n_shards)
+            # n-grams and pairs, shard after shard
+            small = np.uint16 if n_shards <= 65536 else np.int64
+            by_gram, by_pair = (np.argsort(x.astype(small), kind="stable") for x in (shard, np.repeat(shard, holders)))
+            gram_ends = np.cumsum(np.bincount(shard, minlength=n_shards))
+            pair_ends = np.cumsum(np.bincount(shard, holders, n_shards).astype(np.int64))
+            slot, rows = (chunk * 0x9E3779B97F4A7C15 >> 20) % n_slots, []
+            for k in range(n_shards):
+                own_grams = by_gram[gram_ends[k - 1] if k else 0 : gram_ends[k]]
+                pairs = by_pair[pair_ends[k - 1] if k else 0 : pair_ends[k]]
+                if not len(own_grams) and k != chunk % n_shards:
+                    continue
+                grams, counts = first[own_grams], n[pairs]
+                rows.append((
+                    slot, k, chunk, b"".join(own) if k == chunk % n_shards else None, context[grams].astype("<i8").tobytes(),
+                    symbol[grams].astype("<i4").tobytes(), holders[own_grams].astype("<u2" if len(own) < 65536 else "<u4").tobytes(),
+                    text[pairs].astype("<u2").tobytes(), counts.astype("<u1" if not len(counts) or counts.max() < 256 else "<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    return run
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _sum_shard(_key: tuple, packed: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a shard's log-probabilities by chunk and text."""
+    known = known.sort_values(["context", "symbol"])
+    contexts, number = np.unique(known["context"].to_numpy(), return_inverse=True)
+    grams, log_p = (number << BITS) | known["symbol"].to_numpy(), known["log_p"].to_numpy()
+    out = []
+    for chunk, keys, raw_context, raw_symbol, raw_holders, raw_text, raw_count in packed.drop(columns=["slot", "shard"]).itertuples(index=False):
+        sums = np.zeros(0)
+        if raw_context:
+            context, symbol = np.frombuffer(raw_context, "<i8"), np.frombuffer(raw_symbol, "<i4").astype(np.int64)
+            text = np.frombuffer(raw_text, "<u2")
+            at = np.searchsorted(grams, (np.searchsorted(contexts, context) << BITS) | symbol)
+            if not (np.array_equal(grams[at] & (ALPHABET - 1), symbol) and np.array_equal(contexts[grams[at] >> BITS], context)):
+                raise ValueError("an n-gram of a document has no probability")
+            holders, count = _unpack(raw_holders, len(context)), _unpack(raw_count, len(text))
+            sums = np.bincount(text, np.repeat(log_p[at], holders) * count)
+        out.append((chunk, keys, sums.astype("<f8").tobytes()))
+    return pd.DataFrame(out, columns=["chunk", "keys", "sums"])
+
+
+def _sum_chunk(rows: pd.DataFrame) -> pd.DataFrame:
+    """Each text's sum over all shards."""
+    keys = next(k for k in rows["keys"] if k is not None)
+    total = np.zeros(len(keys) // 16)
+    for raw in rows.sort_values("shard")["sums"]:
+        part = np.frombuffer(raw, "<f8")
+        total[: len(part)] += part
+    return pd.DataFrame({"_key": [keys[i : i + 16] for i in range(0, len(keys), 16)], "_log_p": total})
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in d.drop("_text").schema]
-    return d.mapInArrow(run, ", ".join([*fields, "n_scored long", "log_perplexity double"]))
+
+def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+    """``carry``, n_scored and log_perplexity (per character)."""
+    ship_package(spark)
+    t = text_or_empty(text)
+    key = F.unhex(F.md5(t.cast("binary")))
+    d = docs.select(*carry, F.char_length(t).cast("long").alias("n_scored"), key.alias("_key"))
+    none = F.lit(None).cast("double").alias("log_perplexity")
+    if model is None:
+        return d.select(*carry, "n_scored", none)
+    asked = materialize(spark, count_grams(docs.select(t.alias("text"))), "kn-asked")
+    size = asked.agg(F.count("*").alias("grams"), F.sum("n").alias("chars")).first()
+    if not size["grams"]:
+        return d.select(*carry, "n_scored", none)
+    shards = max(LEAST_SHARDS, -(-size["grams"] // SHARD_GRAMS))
+    slots = -(-size["chars"] // (GROUP_CHARS * shards))
+    known = materialize(spark, model.probabilities(asked), "kn-probabilities")
+    known = known.mapInPandas(_with_shard(shards), "shard long, context long, symbol long, log_p double").withColumn(
+        "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+    packed = docs.select(t.alias("text"), key.alias("key")).mapInArrow(_pack(shards, slots), PACKED)
+    sums = packed.groupBy("slot", "shard").cogroup(known.groupBy("slot", "shard")).applyInPandas(_sum_shard, SUMS)
+    by_text = sums.withColumn("shard", F.xxhash64("sums")).groupBy("chunk").applyInPandas(_sum_chunk, "_key binary, _log_p double")
+    # Written, so that a hot text on the other side of the join can be split.
+    by_text = materialize(spark, by_text.groupBy("_key").agg(F.min("_log_p").alias("_log_p")), "kn-texts")
+    return d.join(by_text, "_key", "left").select(*carry, "n_scored", (-F.col("_log_p") / F.col("n_scored")).alias("log_perplexity"))
+
+
+def _with_shard(n_shards: int):
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in it:
+            rows.insert(0, "shard", _shard(rows["context"].to_numpy(), rows["symbol"].to_numpy(), n_shards))
+            yield rows
+
+    return run
 
 
 def thresholds(scored: DataFrame) -> DataFrame:
@@ -221,7 +367,7 @@ def thresholds(scored: DataFrame) -> DataFrame:
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, lang, n_scored, perplexity, kept for every document."""
-    model = train(spark, trusted_documents(docs, labels, text), docs.select(text_or_empty(text).alias("text")))
+    model = train(spark, trusted_documents(docs, labels, text))
     scored = materialize(spark, score(spark, docs, model, text), "kn-scores")
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1).select("doc_id")
     limits = materialize(spark, thresholds(scored.join(good, "doc_id", "left_semi")), "kn-thresholds")

@@ -93,3 +93,30 @@ def test_good_documents_stay_and_junk_goes(spark):
     kept = op4_perplexity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     share = {r.quality: r.k for r in kept.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
     assert share[1] > 0.97 and share[0] < 0.3
+
+
+def test_every_character_is_a_symbol(spark):
+    """A second script, rarer than 62 other characters, is told apart; wide
+    alphabets and repeated texts score as the plain model does."""
+    latin = ["".join(chr(c) for c in range(33, 127)) * 40] * 3
+    greek = ["ο γάτος κάθισε στο χαλί", "ο σκύλος κάθισε στο ξύλο"]
+    wide = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 40_000))
+    texts = latin + greek
+    model = P.train(spark, spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
+    _, log_perplexity = plain_model(texts, model.alphabet)
+    rows = texts + ["ο γάτος κάθισε στο ξύλο", "ξξξ λλλ ψψψ ωωω ζζζ", wide, wide + latin[0]]
+    docs = spark.createDataFrame([(i, t, "el") for i, t in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.log_perplexity for r in P.score(spark, docs.repartition(3), model).collect()}
+    for i, t in enumerate(rows):
+        assert got[i] == pytest.approx(log_perplexity(t), abs=1e-6)
+    assert got[6] > got[5] + 1
+
+
+def test_packed_counts_over_many_shards_and_slots(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_GRAMS", 3)
+    monkeypatch.setattr(P, "GROUP_CHARS", 1)
+    model = P.train(spark, spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    _, log_perplexity = plain_model(TEXTS, model.alphabet)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS * 3)], "doc_id long, text string, lang string").repartition(7)
+    for r in P.score(spark, docs, model).collect():
+        assert r.log_perplexity == pytest.approx(log_perplexity(TEXTS[r.doc_id % len(TEXTS)]), abs=1e-6)

@@ -41,7 +41,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = token_counts.BytePairs(public_tokenizers.path(f"{COUNTING_TOKENIZER}.tiktoken"), public_tokenizers.PATTERN)
     rollup = token_counts.rollup_documents(
         spark, read_table(spark, sf_dir, "documents"), scratch_path(spark, "token-rollup"), COUNTING_TOKENIZER, tokenizer)
-    return rollup.totals()
+    return rollup.totals(apart=token_counts.DEDUPE)
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ count once.
 
 Defined results: NULL source or language are groups of their own; NULL texts
 count 0 tokens; repeated rows count as often as they occur; an empty batch is
-a valid commit; groups whose totals are both 0 are not listed; columns that the
+a valid commit; groups whose totals are all 0 are not listed; columns that the
 change table does not need are ignored.
 """
 
@@ -24,6 +24,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from carelens.llm.common import materialize, n_words, ship_package, text_or_empty
 
 GROUP = ("source", "lang", "tokenizer")
+DEDUPE = "dedupe"  # the batch that deletes exact repeats
 CHANGES = "op string, source string, lang string, tokenizer string, tokens long, old_tokens long"
 
 
@@ -83,11 +86,15 @@ class TokenRollup:
         self.mark(batch_id, self.stage(batch_id, changes))
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, docs, tokens over all committed batches."""
+    def totals(self, apart: str | None = None) -> DataFrame:
+        """source, lang, tokenizer, docs, tokens over all committed batches;
+        with a batch ``apart`` also all_docs, all_tokens over the others."""
         d = self._read("deltas", self._deltas_schema).join(self.commits(), ["batch_id", "attempt"])
-        t = d.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        return t.where((F.col("docs") != 0) | (F.col("tokens") != 0))
+        sums = [F.sum(c).alias(c) for c in ("docs", "tokens")]
+        if apart is not None:
+            sums += [F.sum(F.when(F.col("batch_id") != apart, F.col(c)).otherwise(0)).alias(f"all_{c}") for c in ("docs", "tokens")]
+        t = d.groupBy(*GROUP).agg(*sums)
+        return t.where(reduce(or_, [F.col(c) != 0 for c in t.columns[len(GROUP):]]))
 
 
 @dataclass(frozen=True)
@@ -135,7 +142,10 @@ def rollup_documents(spark: SparkSession, docs: DataFrame, root: str, version: s
     document is inserted with exact word counts and an estimated token count
     (a quarter of its bytes), the estimates are revised by exact counts, and
     exact repeats of a text (all but the one of smallest id) are deleted.
-    The second batch is delivered twice, as at-least-once delivery may."""
+    The second batch is delivered twice, as at-least-once delivery may.
+
+    ``totals()`` is then over different texts; ``totals(apart=DEDUPE)`` has
+    beside it the totals over every row of the table."""
     counted = materialize(
         spark, count_tokens(docs.withColumn("row_id", F.monotonically_increasing_id()), tokenizer,
                             carry=("row_id", "doc_id", "source", "lang")), "token-counts")
@@ -155,5 +165,5 @@ def rollup_documents(spark: SparkSession, docs: DataFrame, root: str, version: s
     # One representative per text, chosen with map-side combine; the rest go.
     first = counted.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("f")).select("f.row_id")
     repeats = counted.join(first, "row_id", "left_anti")
-    rollup.commit("dedupe", rows(repeats, "delete", "words", none, words).unionByName(rows(repeats, "delete", version, none, exact)))
+    rollup.commit(DEDUPE, rows(repeats, "delete", "words", none, words).unionByName(rows(repeats, "delete", version, none, exact)))
     return rollup

@@ -55,6 +55,37 @@ def test_query_against_brute_force(spark):
     assert seen(op5_token_counts(spark, SF), COUNTING_TOKENIZER) == plain_totals(rows)
 
 
+def plain_all(rows):
+    """Exact counts of every row."""
+    with open(PAIRS.path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    e = tiktoken.Encoding("own", pat_str=PAIRS.pattern, mergeable_ranks=ranks, special_tokens={})
+    out = Counter()
+    for _, text, lang, source in rows:
+        for name, n in (("words", len(plain_words(text))), ("bpe", len(e.encode_ordinary(text)))):
+            out[source, lang, name, "docs"] += 1
+            out[source, lang, name, "tokens"] += n
+    return out
+
+
+def seen_all(df, version):
+    return seen(df.drop("docs", "tokens").withColumnsRenamed({"all_docs": "docs", "all_tokens": "tokens"}), version)
+
+
+def test_all_rows_are_counted(spark):
+    from carelens.llm.queries import COUNTING_TOKENIZER, op5_token_counts
+
+    rows = [(r.doc_id, r.text or "", r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert seen_all(op5_token_counts(spark, SF), COUNTING_TOKENIZER) == plain_all(rows)
+
+
+def test_a_source_of_repeats_only_stays_listed(spark):
+    rows = [(1, "one two", "en", "a", 7), (2, "one two", "en", "b", 7), (3, "one two", "en", "b", 7)]
+    rollup = T.rollup_documents(spark, odd_docs(spark, rows), scratch_path(spark, "t"), "v1", PAIRS)
+    found = {(r.source, r.tokenizer): (r.docs, r.all_docs, r.all_tokens) for r in rollup.totals(apart=T.DEDUPE).collect()}
+    assert found["a", "words"] == (1, 1, 2) and found["b", "words"] == (0, 2, 4)
+
+
 def changes(spark, *rows):
     return spark.createDataFrame(rows, T.CHANGES).selectExpr("*", "'x' AS batch_id", "1 AS docs")
 

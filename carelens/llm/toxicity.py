@@ -247,9 +247,10 @@ def examples(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
     index = first(0).unionByName(first(1)).withColumn("role", F.lit("index"))
     rest = known.orderBy(other, "doc_id").limit(CALIBRATION).withColumn("role", F.lit("calibration"))
     both = index.unionByName(rest)
-    # At most 2 * INDEX_PER_CLASS + CALIBRATION ids.
-    return docs.select("doc_id", text_or_empty(text).alias("text")).join(F.broadcast(both), "doc_id").select(
-        "role", "label", "doc_id", "text")
+    # At most 2 * INDEX_PER_CLASS + CALIBRATION ids, and one row of each.
+    rows = docs.select("doc_id", text_or_empty(text).alias("text")).join(F.broadcast(both), "doc_id")
+    own = rows.groupBy("role", "label", "doc_id").agg(F.min(F.struct(F.md5(F.col("text").cast("binary")).alias("digest"), "text")).alias("row"))
+    return own.select("role", "label", "doc_id", F.col("row.text").alias("text"))
 
 
 def chi_squared(clean: Column, toxic: Column, n_clean: int, n_toxic: int) -> Column:
@@ -276,16 +277,16 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     n = size[0] + size[1]
     idf = np.log(1.0 + n / np.array([r["clean"] + r["toxic"] for r in chosen], float)) if chosen else np.zeros(0)
 
-    counted = sample.select("role", "label", "doc_id", "text").mapInArrow(
-        _counts_of(terms), "role string, label int, doc_id long, at array<int>, n array<int>")
-    # Bounded by the sample: vectors of the examples and calibration documents.
-    rows = sorted(counted.collect(), key=lambda r: (r["role"], r["doc_id"], r["label"]))
+    counted = materialize(spark, sample.select("role", "label", "doc_id", "text").mapInArrow(
+        _counts_of(terms), "role string, label int, doc_id long, at array<int>, n array<int>"), "toxicity-vectors")
+    # Bounded by the sample: vectors of the examples.
+    rows = sorted(counted.where(F.col("role") == "index").collect(), key=lambda r: (r["doc_id"], r["label"]))
     empty = Index(terms, idf, [], np.zeros(0), [])
     numbers: list[list[int]] = [[] for _ in terms]
     weights: list[list[float]] = [[] for _ in terms]
     ids, flags = [], []
     for r in rows:
-        if r["role"] == "index" and r["at"]:
+        if r["at"]:
             for t, w in zip(*empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), strict=True):
                 numbers[t].append(len(ids))
                 weights[t].append(float(w))
@@ -295,16 +296,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
                   [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)])
     model = Model(built, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     votes, truth, bare = [], [], [0, 0]
-    number = {doc_id: i for i, doc_id in enumerate(ids)}
-    for r in rows:
-        if r["role"] != "calibration":
-            continue
-        if not r["at"]:
+    found = counted.where(F.col("role") == "calibration").select("label", "doc_id", "at", "n").mapInArrow(
+        _votes_of(spark.sparkContext.broadcast(model)), "label int, doc_id long, bare boolean, vote double")
+    for r in sorted(found.collect(), key=lambda r: r["doc_id"]):
+        if r["bare"]:
             bare[r["label"]] += 1
-            continue
-        found = built.nearest(*built.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), but=number.get(r["doc_id"], -1))
-        if found:
-            votes.append(model.vote(found))
+        elif r["vote"] is not None:
+            votes.append(r["vote"])
             truth.append(r["label"])
     rate = sum(truth) + bare[1]
     base = rate / max(1, len(truth) + sum(bare))
@@ -330,6 +328,26 @@ def _calibrate(votes: np.ndarray, truth: np.ndarray, base: float) -> tuple[np.nd
     return np.array([p[2] / p[0] for p in pools]), np.array([p[1] / p[0] for p in pools])
 
 
+def _votes_of(shared):
+    """Votes on calibration documents, examples among them without themselves;
+    ``bare`` marks documents without a term."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        number = {doc_id: i for i, doc_id in enumerate(model.index.ids)}
+        for batch in it:
+            bare, votes = [], []
+            for doc_id, at, n in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                found = model.index.nearest(*model.index.vector(Counter(dict(zip(at, n, strict=True)))), but=number.get(doc_id, -1)) if at else []
+                bare.append(not at)
+                votes.append(model.vote(found) if found else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(bare, pa.bool_()), pa.array(votes, pa.float64())],
+                names=["label", "doc_id", "bare", "vote"])
+
+    return run
+
+
 def _counts_of(terms: dict[str, int]):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(terms)

@@ -62,6 +62,16 @@ def test_empty_tables_and_one_class(spark):
     assert T.fit(spark, empty_docs(spark), known) is None
 
 
+def test_the_sample_has_one_row_of_an_id(spark):
+    """Rows that share an id do not swell the sample; which is taken depends on texts alone."""
+    docs, known = corpus(spark, 40)
+    hot = odd_docs(spark, [(8, f"another text {k}", "en", "a", 1) for k in range(300)])
+    rows = T.examples(docs.unionByName(hot), known).collect()
+    assert len(rows) == len({(r.role, r.doc_id) for r in rows})
+    again = T.examples(hot.repartition(7).unionByName(docs), known).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
 def test_block_max_search_is_exact():
     """Against all cosines, with ties, over many blocks."""
     rng = np.random.default_rng(2)

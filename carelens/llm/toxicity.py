@@ -17,9 +17,9 @@ maxima, searches the blocks of largest bounds, and then the others whose bound
 can beat the k-th best found: no example that belongs to the k best is missed.
 
 Bounds: at most ``INDEX_PER_CLASS`` examples of either label and
-``CALIBRATION`` calibration documents, chosen by a hash of their id, and
-``VOCABULARY`` terms.  So the model is bounded whatever the corpus and is
-broadcast; documents are scored where they are, without a shuffle, every
+``CALIBRATION`` calibration documents, chosen by a hash of their id; the
+vocabulary is every term of theirs that is significant, however many.  So the
+model is bounded by the sample whatever the corpus and is broadcast; documents are scored where they are, without a shuffle, every
 whole text.  Scores depend on the text alone.
 
 Defined results: NULL text is the empty text; texts without any vocabulary
@@ -45,9 +45,7 @@ from carelens.llm.common import materialize, ship_package, text_or_empty
 
 INDEX_PER_CLASS = 3000
 CALIBRATION = 6000
-VOCABULARY = 2048
-LEAST_CHI2 = 20.0  # a term must be significant ...
-LEAST_PHI2 = 0.005  # ... and matter: chi-squared over the number of examples
+LEAST_CHI2 = 20.0  # a term must be significant
 LEAST_DOCS = 4
 BLOCK = 64
 NEIGHBOURS = 15
@@ -270,9 +268,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     df = index.select("label", "text").mapInArrow(_terms_of, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     chi = chi_squared(F.col("clean"), F.col("toxic"), size[0], size[1])
-    least = max(LEAST_CHI2, LEAST_PHI2 * (size[0] + size[1]))
-    chosen = (df.where((F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= least))
-              .withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(VOCABULARY).collect())
+    chosen = df.where((F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= LEAST_CHI2)).collect()
+    chosen.sort(key=lambda r: r["term"])
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     n = size[0] + size[1]
     idf = np.log(1.0 + n / np.array([r["clean"] + r["toxic"] for r in chosen], float)) if chosen else np.zeros(0)

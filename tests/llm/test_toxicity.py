@@ -62,6 +62,13 @@ def test_empty_tables_and_one_class(spark):
     assert T.fit(spark, empty_docs(spark), known) is None
 
 
+def test_every_significant_term_is_indexed(spark):
+    telling = [f"w{k}" for k in range(2500)]
+    rows = [(i, " ".join(telling) if i % 2 else "plain and friendly", "en", "a", 1) for i in range(120)]
+    model = T.fit(spark, odd_docs(spark, rows), labels(spark, [(i, 1, i % 2) for i in range(120)]))
+    assert set(telling) <= set(model.index.terms)
+
+
 def test_the_sample_has_one_row_of_an_id(spark):
     """Rows that share an id do not swell the sample; which is taken depends on texts alone."""
     docs, known = corpus(spark, 40)

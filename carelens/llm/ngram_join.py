@@ -21,7 +21,9 @@ Jaccard similarity reaches 3/4; the result is every document's component.
    when all of it is already in the set's component.
 4. *Components* of the links by alternating star contractions.
 
-Nothing grows with the square of a group.  Equal sets are one node (collapsed
+Groups of sets that link do not grow with their square; a block of many sets
+of which most do not link does, as its strays meet all of its segments, and the
+sets that hold one prefix shingle are one task's.  Equal sets are one node (collapsed
 inside tasks before any shuffle, by digest afterwards).  Shingles travel
 packed, and one that several sets of a pack hold is sent to its bucket once.  Blocks larger than ``SEGMENT`` sets are cut
 into segments joined on their own together with the block's pivot set; sets

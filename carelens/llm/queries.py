@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import chat, mixing, neighbours, ngram_join, packing, perplexity, quality_rules, secret_scan, token_counts, toxicity
+from carelens.llm import (
+    chat, lexical, mixing, neighbours, ngram_join, packing, perplexity, quality_rules, secret_scan, simhash, token_counts, toxicity, whitening)
 from carelens.llm import sql as S
 from carelens.llm.common import read_table
 from carelens.sources.sinks import scratch_path
@@ -80,6 +81,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.span_text("spans").alias("spans"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(spark, read_table(spark, sf_dir, "documents"))
+    return lexical.search(spark, index, read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_ngram_join": op2_ngram_join,
@@ -91,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_simhash": op11_simhash,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +116,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": S.quality_rules(),
     "op9_mixing": S.mixing(),
     "op10_secret_scan": S.secret_scan(),
+    "op12_lexical_search": S.lexical_search(),
 }

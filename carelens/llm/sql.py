@@ -161,3 +161,22 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(length(learnt)) AS BIGINT) AS loss_chars, sha256(string_agg(learnt, '' {order})) AS loss_sha256,
   CAST(sum(length('<|im_start|>') + {grown('shown')} + 1 + {grown('text')} + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id"""
+
+
+def lexical_search() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{term}')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {terms} AS ws FROM documents),
+q AS (SELECT row_number() OVER () AS qid, item_id, {terms} AS ws FROM benchmark),
+g AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(coalesce(sum(len(ws)), 0) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+m AS (SELECT rid, doc_id, 100 - 75 + ((75 * len(ws) * n_docs) // n_terms) AS m FROM d, g WHERE len(ws) > 0),
+qt AS (SELECT qid, item_id, t, count(*) AS times FROM (SELECT qid, item_id, unnest(ws) AS t FROM q) GROUP BY qid, item_id, t),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM qt) GROUP BY rid, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY t),
+s AS (SELECT qid, item_id, rid, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM qt JOIN p USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY qid, item_id, rid),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s JOIN m USING (rid) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""

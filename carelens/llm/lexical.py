@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import struct
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from carelens.llm.common import materialize, ship_package
 
 SHARD_TERMS = 4_000_000  # terms (with repeats) of a shard, but for one longer document
-SHARD_DOCS = 65_536
+SHARD_DOCS = 65_535  # so that 2 bytes number them
 BLOCK_QUERIES = 256
 FIRST_DOCS = 256  # documents of the strata visited first
 NO_ID = np.iinfo(np.int64).max
@@ -99,65 +100,74 @@ def _index_shards(docs: int, total: int, shard_terms: int):
         from pyspark import TaskContext
 
         task, made = TaskContext.get().partitionId(), 0
-        ids: list[int] = []
-        lengths: list[int] = []
-        held: list[Counter] = []
-        size = 0
+        shard = _Builder(docs, total)
         for batch in it:
-            for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = terms(t or b"")
-                if not words:
+            for doc_id, t in zip(batch.column(0), batch.column(1), strict=True):
+                counts = Counter(terms(t.as_py() or b""))
+                if not counts:
                     continue
-                if held and (size + len(words) > shard_terms or len(held) >= SHARD_DOCS):
-                    yield from _shard(f"{task}-{made}", ids, lengths, held, docs, total)
-                    ids, lengths, held, size, made = [], [], [], 0, made + 1
-                ids.append(doc_id)
-                lengths.append(len(words))
-                held.append(Counter(words))
-                size += len(words)
-        if held:
-            yield from _shard(f"{task}-{made}", ids, lengths, held, docs, total)
+                n = counts.total()
+                if shard.ids and (shard.size + n > shard_terms or len(shard.ids) >= SHARD_DOCS):
+                    yield from shard.rows(f"{task}-{made}")
+                    shard, made = _Builder(docs, total), made + 1
+                shard.add(doc_id.as_py(), n, counts)
+        if shard.ids:
+            yield from shard.rows(f"{task}-{made}")
 
     return run
 
 
-def _shard(name: str, ids: list[int | None], lengths: list[int], held: list[Counter], docs: int, total: int) -> Iterator[pa.RecordBatch]:
-    m_of = {n: normaliser(n, docs, total) for n in set(lengths)}
-    m = np.array([m_of[n] for n in lengths], np.int64)
-    order = np.argsort(m, kind="stable")
-    strata, stratum = np.unique(m[order], return_inverse=True)
-    number: dict[bytes, int] = {}
-    term_no: list[int] = []
-    tfs: list[int] = []
-    for at in order.tolist():
-        counts = held[at]
-        for w in counts:
-            if w not in number:
-                number[w] = len(number)
-        term_no += [number[w] for w in counts]
-        tfs += counts.values()
-    doc = np.repeat(np.arange(len(order)), [len(held[at]) for at in order.tolist()])
-    t, tf = np.array(term_no), np.array(tfs)
-    s = stratum[doc]
-    by = np.lexsort((doc, -tf, s, t))
-    t, tf, s, doc = t[by], tf[by], s[by], doc[by].astype("<i4")
-    new = np.flatnonzero(np.r_[True, (np.diff(t) != 0) | (np.diff(s) != 0) | (np.diff(tf) != 0)])
-    groups = np.stack([s[new], tf[new], np.diff(np.r_[new, len(t)])], 1).astype("<i4")
-    first_doc = np.flatnonzero(np.r_[True, np.diff(t) != 0])
-    first_group = np.searchsorted(new, first_doc)
-    doc_ends, group_ends = np.r_[first_doc[1:], len(t)], np.r_[first_group[1:], len(new)]
-    sorted_ids = [ids[at] for at in order.tolist()]
-    head = struct.pack("<qq", len(ids), len(strata)) + strata.astype("<i8").tobytes() + np.bincount(stratum).astype("<i8").tobytes()
-    body = np.array([NO_ID if i is None else i for i in sorted_ids], "<i8").tobytes() + np.array([i is None for i in sorted_ids], np.uint8).tobytes()
-    schema = pa.schema([("shard", pa.string()), ("term", pa.binary()), ("df", pa.int64()), ("groups", pa.binary()), ("postings", pa.binary())])
-    yield pa.RecordBatch.from_pylist([{"shard": name, "term": None, "df": 0, "groups": head, "postings": body}], schema)
-    words = list(number)
-    for at in range(0, len(words), 10_000):
-        part = range(at, min(at + 10_000, len(words)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(part)), pa.array([words[i] for i in part], pa.binary()), pa.array([int(doc_ends[i] - first_doc[i]) for i in part]),
-             pa.array([groups[first_group[i] : group_ends[i]].tobytes() for i in part], pa.binary()),
-             pa.array([doc[first_doc[i] : doc_ends[i]].tobytes() for i in part], pa.binary())], schema=schema)
+class _Builder:
+    """A shard being filled: flat arrays of 4 bytes a value, no objects."""
+
+    def __init__(self, docs: int, total: int):
+        self.docs, self.total, self.size = docs, total, 0
+        self.ids: list[int | None] = []
+        self.m = array("q")
+        self.number: dict[bytes, int] = {}
+        self.term, self.tf, self.distinct = array("i"), array("i"), array("i")
+
+    def add(self, doc_id: int | None, n: int, counts: Counter) -> None:
+        number = self.number
+        self.ids.append(doc_id)
+        self.m.append(normaliser(n, self.docs, self.total))
+        self.term.extend([number.setdefault(w, len(number)) for w in counts])
+        self.tf.extend(counts.values())
+        self.distinct.append(len(counts))
+        self.size += n
+
+    def rows(self, name: str) -> Iterator[pa.RecordBatch]:
+        m = np.frombuffer(self.m, np.int64)
+        order = np.argsort(m, kind="stable")
+        strata, stratum = np.unique(m[order], return_inverse=True)
+        place = np.empty(len(order), np.uint16)  # a shard has at most 2^16 - 1 documents
+        place[order] = np.arange(len(order))
+        doc = np.repeat(place, np.frombuffer(self.distinct, np.int32))
+        t, tf = np.frombuffer(self.term, np.int32), np.frombuffer(self.tf, np.int32)
+        s = stratum.astype(np.uint16)[doc]
+        by = np.lexsort((doc, -tf, s, t))
+        t, tf, s, doc = t[by], tf[by], s[by], doc[by]
+        del by
+        new = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (s[1:] != s[:-1]) | (tf[1:] != tf[:-1])])
+        tf_kind = next(k for k in ("<u1", "<u2", "<u4") if int(tf.max()) < 1 << 8 * int(k[2]))
+        groups = s[new].astype("<u2"), tf[new].astype(tf_kind), np.diff(np.r_[new, len(t)]).astype("<u2")
+        first_doc = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        first_group = np.searchsorted(new, first_doc)
+        doc_ends, group_ends = np.r_[first_doc[1:], len(t)].tolist(), np.r_[first_group[1:], len(new)].tolist()
+        first_doc, first_group = first_doc.tolist(), first_group.tolist()
+        ids = [self.ids[at] for at in order.tolist()]
+        head = (struct.pack("<qqq", len(ids), len(strata), int(tf_kind[2])) + strata.astype("<i8").tobytes() +
+                np.bincount(stratum).astype("<i8").tobytes())
+        body = np.array([NO_ID if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
+        schema = pa.schema([("shard", pa.string()), ("term", pa.binary()), ("df", pa.int64()), ("groups", pa.binary()), ("postings", pa.binary())])
+        yield pa.RecordBatch.from_pylist([{"shard": name, "term": None, "df": 0, "groups": head, "postings": body}], schema)
+        words = list(self.number)
+        for at in range(0, len(words), 10_000):
+            part = range(at, min(at + 10_000, len(words)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(part)), pa.array([words[i] for i in part], pa.binary()), pa.array([doc_ends[i] - first_doc[i] for i in part]),
+                 pa.array([b"".join(g[first_group[i] : group_ends[i]].tobytes() for g in groups) for i in part], pa.binary()),
+                 pa.array([doc[first_doc[i] : doc_ends[i]].tobytes() for i in part], pa.binary())], schema=schema)
 
 
 def build_index(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -184,29 +194,30 @@ class _Shard:
     """One shard's postings of the terms asked for, with impacts."""
 
     def __init__(self, head: bytes, body: bytes):
-        n_docs, n_strata = struct.unpack("<qq", head[:16])
-        self.m = np.frombuffer(head, "<i8", n_strata, 16)
-        self.sizes = np.frombuffer(head, "<i8", n_strata, 16 + 8 * n_strata)
+        n_docs, n_strata, self.tf_bytes = struct.unpack("<qqq", head[:24])
+        self.m = np.frombuffer(head, "<i8", n_strata, 24)
+        self.sizes = np.frombuffer(head, "<i8", n_strata, 24 + 8 * n_strata)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.ids = np.frombuffer(body, "<i8", n_docs)
         self.no_id = np.frombuffer(body, np.uint8, n_docs, 8 * n_docs).astype(bool)
         self.postings: dict[bytes, tuple] = {}
 
     def add(self, term: bytes, groups: bytes, postings: bytes, w: int) -> None:
-        g = np.frombuffer(groups, "<i4").reshape(-1, 3).astype(np.int64)
-        s, tf, count = g[:, 0], g[:, 1], g[:, 2]
+        n = len(groups) // (4 + self.tf_bytes)
+        s, count = np.frombuffer(groups, "<u2", n), np.frombuffer(groups, "<u2", n, len(groups) - 2 * n).astype(np.int64)
+        tf = np.frombuffer(groups, f"<u{self.tf_bytes}", n, 2 * n).astype(np.int64)
         worth = w * ((1_000_000_000 * tf) // (1000 * tf + 8 * self.m[s]))  # once per group
         first = np.flatnonzero(np.r_[True, np.diff(s) != 0])  # of each stratum: its largest tf
         at = np.cumsum(count) - count
         begin = np.full(len(self.m), -1)
         begin[s[first]] = at[first]
         end = np.full(len(self.m), -1)
-        end[s[first]] = np.r_[at[first][1:], len(postings) // 4]
+        end[s[first]] = np.r_[at[first][1:], len(postings) // 2]
         best = np.zeros(len(self.m), np.int64)
         best[s[first]] = worth[first]
-        self.postings[term] = (np.frombuffer(postings, "<i4"), np.repeat(worth, count), begin, end, best)
+        self.postings[term] = (np.frombuffer(postings, "<u2"), np.repeat(worth, count), begin, end, best)
 
-    def best(self, wanted: list[tuple[bytes, int]], k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def best(self, wanted: list[tuple[bytes, int]], k: int, first_docs: int = FIRST_DOCS) -> tuple[np.ndarray, np.ndarray, int]:
         """Documents and scores of the k best, and the number of strata seen."""
         held = [(self.postings[t], n) for t, n in wanted if t in self.postings]
         bound = np.zeros(len(self.m), np.int64)
@@ -217,7 +228,7 @@ class _Shard:
         upto = np.cumsum(self.sizes[order])
         score = np.zeros(len(self.ids), np.int64)
         docs, least = np.zeros(0, np.int64), 0
-        at, want = 0, FIRST_DOCS
+        at, want = 0, first_docs
         while at < len(order) and bound[order[at]] >= max(least, 1):
             stop = max(at + 1, int(np.searchsorted(upto, want)))
             stop = min(stop, int(np.searchsorted(-bound[order], -max(least, 1), side="right")))
@@ -245,7 +256,7 @@ class _Shard:
         return docs, score[docs], at
 
 
-def _search_shard(n_docs: int, k: int):
+def _search_shard(n_docs: int, k: int, first_docs: int):
     def run(_key: tuple, rows: pa.Table) -> pa.Table:
         cols = {c: rows.column(c).to_pylist() for c in ("term", "df", "groups", "postings", "asked")}
         head = next(i for i, t in enumerate(cols["term"]) if t is None)
@@ -262,7 +273,7 @@ def _search_shard(n_docs: int, k: int):
                 wanted.setdefault(a["query"], []).append((t, a["times"]))
         out: list[list] = [[], [], [], []]
         for query, ts in wanted.items():
-            docs, scores, _ = shard.best(ts, k)
+            docs, scores, _ = shard.best(ts, k, first_docs)
             out[0] += [query] * len(docs)
             out[1] += [None if none else i for i, none in zip(shard.ids[docs].tolist(), shard.no_id[docs].tolist(), strict=True)]
             out[2] += scores.tolist()
@@ -271,13 +282,14 @@ def _search_shard(n_docs: int, k: int):
     return run
 
 
-def search(spark: SparkSession, index: Index, queries: DataFrame, k: int = 10, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
+def search(spark: SparkSession, index: Index, queries: DataFrame, k: int = 10, id_column: str = "item_id", text_column: str = "text",
+           block_queries: int = BLOCK_QUERIES, first_docs: int = FIRST_DOCS) -> DataFrame:
     """(id, rank, doc_id, score): the k best documents of every query row."""
     ship_package(spark)
     asked = queries.select(F.monotonically_increasing_id().alias("query"), F.col(id_column).alias("item"),
                            F.col(text_column).cast("string").cast("binary").alias("t"))
     asked = materialize(spark, asked, "lexical-queries")
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+    blocks = max(1, -(-asked.count() // block_queries))
     wanted = asked.select("query", "t").mapInArrow(_query_terms, "query long, term binary, times long").groupBy(
         F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"), "term").agg(
         F.collect_list(F.struct("query", "times")).alias("asked"))  # at most a block's queries
@@ -292,7 +304,7 @@ def search(spark: SparkSession, index: Index, queries: DataFrame, k: int = 10, i
         "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "term", "df", "groups", "postings",
         F.lit(None).cast(wanted.schema["asked"].dataType).alias("asked"))
     found = held.unionByName(heads).groupBy("shard", "block").applyInArrow(
-        _search_shard(index.docs, k), "query long, doc_id long, score long")
+        _search_shard(index.docs, k, first_docs), "query long, doc_id long, score long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.join(asked.select("query", "item"), "query").select(F.col("item").alias(id_column), F.col("rank").cast("int"), "doc_id", "score")

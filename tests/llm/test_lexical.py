@@ -51,9 +51,7 @@ def test_terms_and_counts():
 
 
 @pytest.mark.parametrize("shard_terms,blocks,first", [(L.SHARD_TERMS, 256, 256), (300, 3, 1), (40, 1, 5)])
-def test_against_all_scores(spark, monkeypatch, shard_terms, blocks, first):
-    monkeypatch.setattr(L, "BLOCK_QUERIES", blocks)
-    monkeypatch.setattr(L, "FIRST_DOCS", first)
+def test_against_all_scores(spark, shard_terms, blocks, first):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(60)]
     text = lambda n: " ".join(rng.choice(vocabulary[: rng.randint(2, 60)]) for _ in range(n))
@@ -62,7 +60,7 @@ def test_against_all_scores(spark, monkeypatch, shard_terms, blocks, first):
     items = [(i, text(rng.randint(1, 12))) for i in range(12)] + [(50, "w1 w3"), (50, "w1 w3"), (51, ""), (52, None), (53, "unknown"), (None, "w2 W2")]
     frame = odd_docs(spark, [(i, t, None, None, None) for i, t in docs]).repartition(5)
     index = L.build_index(spark, frame, shard_terms=shard_terms)
-    assert got(L.search(spark, index, items_frame(spark, items), k=7)) == brute(docs, items, 7)
+    assert got(L.search(spark, index, items_frame(spark, items), k=7, block_queries=blocks, first_docs=first)) == brute(docs, items, 7)
 
 
 def test_odd_rows(spark):
@@ -77,15 +75,17 @@ def test_empty(spark):
     assert L.search(spark, L.build_index(spark, odd_docs(spark)), items.where("false")).count() == 0
 
 
-def test_strata_are_left_out_by_their_bounds(monkeypatch):
-    monkeypatch.setattr(L, "FIRST_DOCS", 32)
+def test_strata_are_left_out_by_their_bounds():
     held = [Counter({b"rare": 5, b"common": 1})] * 20 + [Counter({b"common": 1, b"pad": 40 + i}) for i in range(400)]
     lengths = [sum(c.values()) for c in held]
-    rows = [r for b in L._shard("s", list(range(len(held))), lengths, held, len(held), sum(lengths)) for r in b.to_pylist()]
+    builder = L._Builder(len(held), sum(lengths))
+    for i, c in enumerate(held):
+        builder.add(i, lengths[i], c)
+    rows = [r for b in builder.rows("s") for r in b.to_pylist()]
     shard = L._Shard(rows[0]["groups"], rows[0]["postings"])
     for r in rows[1:]:
         shard.add(r["term"], r["groups"], r["postings"], L.weight(len(held), r["df"]))
-    docs, _, seen = shard.best([(b"rare", 1), (b"common", 1)], 10)
+    docs, _, seen = shard.best([(b"rare", 1), (b"common", 1)], 10, first_docs=32)
     assert sorted(shard.ids[docs].tolist()) == list(range(10)) and seen < len(shard.m) / 2
 
 

@@ -7,8 +7,11 @@ there, and the order of distances is then the order of inner products.
 Fitting: the forest is fitted on a bounded sample (``SAMPLE`` vectors, chosen
 by hash).  A tree halves the sample again and again at the median of its
 projection onto the difference of two random members.  The forest has as many
-leaves as the *whole* table needs for ``LEAF_ROWS`` rows a leaf (as far as the
-sample can shape them).
+leaves as the *whole* table needs for ``LEAF_ROWS`` rows a leaf, as far as the
+sample can shape them (``DEEPEST`` levels).  Beyond, a leaf is grown further
+where its rows are: the task that holds them fits a tree of its own on all of
+them, down to ``LEAF_ROWS`` again, and calibrates how many of its leaves a
+query visits.
 
 Indexing: every row is routed down every tree.  Rows of equal vectors are one
 entry with its smallest ids (a query can return no others), so a vector that a
@@ -17,11 +20,16 @@ third of all rows share is one entry.
 Searching: a query goes down all trees through one shared priority queue,
 ordered by the squared margins it is on the wrong side of; the ``visits`` best
 leaves are searched.  Leaves are held in shards (one tree each, a bounded
-number of rows); a shard's queries meet its leaves in blocks of exact double
-precision products, each shard answers with its best per query, and the
-answers are merged and ranked.  ``visits`` is calibrated on the sample: the
-fewest leaves at which sample queries find ``RECALL`` of their true neighbours.
-So well clustered vectors look at few leaves and shapeless ones at many.
+number of rows; a leaf above ``SHARD_ROWS`` is dealt out to several shards,
+which its queries all visit); a shard's queries meet its leaves in blocks of
+products, which tell what can be among the best but for rounding; those are
+scored again from the two vectors alone, so that a score does not depend on
+its block and equal scores are equal.  Each shard answers with its k + 1 best
+entries per query by (score, smallest id), which hold the k + 1 best ids, and
+the answers are merged by the same order.  ``visits`` is calibrated on the
+sample: the fewest leaves at which sample queries find ``RECALL`` of their true
+neighbours.  So well clustered vectors look at few leaves and shapeless ones
+at many.
 
 Defined results: vectors that are NULL, empty, zero, or hold a NULL, NaN or
 infinity take no part, nor do vectors whose length is not the most frequent
@@ -50,8 +58,9 @@ TREES = 8
 LEAF_ROWS = 256
 SHARD_ROWS = 65536  # rows of a shard; the larger, the fewer answers a query gets to merge
 RECALL = 0.95
+RECALL_INSIDE = 0.98  # of a grown leaf's own neighbours
 CALIBRATION_QUERIES = 200
-DEEPEST = 10  # at most 1024 leaves a tree: 20 sample vectors each
+DEEPEST = 10  # at most 1024 leaves a tree: 20 sample vectors each; the shards grow them further
 SEED = 20
 
 
@@ -102,15 +111,16 @@ class Forest:
             yield out
 
 
-def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, seed: int = SEED) -> Forest:
+def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, seed: int = SEED, trees: int = TREES, recall: float = RECALL,
+        leaf_rows: int = LEAF_ROWS, deepest: int = DEEPEST) -> Forest:
     """Forest and calibrated number of leaves to visit."""
     rng = np.random.default_rng(seed)
-    wanted = max(1, -(-n_rows // LEAF_ROWS))
-    depth = min((wanted - 1).bit_length(), DEEPEST, max(0, (len(sample) // 8).bit_length() - 1))
+    wanted = max(1, -(-n_rows // leaf_rows))
+    depth = min((wanted - 1).bit_length(), deepest, max(0, (len(sample) // 8).bit_length() - 1))
     nodes, dims = (1 << depth) - 1, sample.shape[1] + 1
-    f = Forest(depth, norm2, np.zeros((TREES, nodes, dims)), np.zeros((TREES, nodes)), TREES << depth)
+    f = Forest(depth, norm2, np.zeros((trees, nodes, dims)), np.zeros((trees, nodes)), trees << depth)
     lifted = f.lift(sample)
-    for t in range(TREES):
+    for t in range(trees):
         at = np.zeros(len(lifted), np.int64)
         for node in range(nodes):
             members = np.flatnonzero(at == node)
@@ -125,25 +135,26 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, seed: int = SEED)
             cut = float(np.median(p)) if len(p) else 0.0
             f.directions[t, node], f.cuts[t, node] = d, cut
             at[members] = 2 * node + 1 + (p >= cut)
-    f.visits = _calibrated(f, sample, lifted, k, rng)
+    f.visits = _calibrated(f, sample, lifted, k, rng, recall)
     return f
 
 
-def _calibrated(f: Forest, sample: np.ndarray, lifted: np.ndarray, k: int, rng: np.random.Generator) -> int:
-    everything = TREES * f.leaves
+def _calibrated(f: Forest, sample: np.ndarray, lifted: np.ndarray, k: int, rng: np.random.Generator, recall: float) -> int:
+    trees = len(f.cuts)
+    everything = trees * f.leaves
     if len(sample) <= k + 1 or f.depth == 0:
         return everything
     picked = rng.choice(len(sample), min(CALIBRATION_QUERIES, len(sample)), replace=False)
     products = sample[picked] @ sample.T
     products[np.arange(len(picked)), picked] = -np.inf
     best = np.argpartition(-products, k, axis=1)[:, :k]
-    leaf = np.stack([f.route(lifted, t) + t * f.leaves for t in range(TREES)], 1)
+    leaf = np.stack([f.route(lifted, t) + t * f.leaves for t in range(trees)], 1)
     needed = []
     for i, order in enumerate(f.search(sample[picked], everything)):
         place = np.empty(everything, np.int64)
         place[[t * f.leaves + leaf_ for t, leaf_ in order]] = np.arange(everything)
         needed.append(place[leaf[best[i]]].min(1) + 1)
-    return int(np.quantile(np.concatenate(needed), RECALL, method="higher"))
+    return int(np.quantile(np.concatenate(needed), recall, method="higher"))
 
 
 def usable(vector: Column) -> Column:
@@ -187,39 +198,86 @@ def _distinct(dims: int, k: int, kind: str):
     return run
 
 
-def _in_shard(dims: int, k: int, kind: str):
+class _Best:
+    """The best entries of every query, by falling score and rising smallest id."""
+
+    def __init__(self, n: int, keep: int):
+        self.score = np.full((n, keep), -np.inf)
+        self.least = np.full((n, keep), np.iinfo(np.int64).max)
+        self.place = np.full((n, keep), -1, np.int64)
+
+    def merge(self, rows: np.ndarray, at: np.ndarray, place: np.ndarray, score: np.ndarray, least: np.ndarray) -> None:
+        """New candidates: number ``at`` of ``rows``, and where the entry is."""
+        keep = self.score.shape[1]
+        old = np.repeat(np.arange(len(rows)), keep)
+        at, score = np.concatenate([old, at]), np.concatenate([self.score[rows].ravel(), score])
+        least, place = np.concatenate([self.least[rows].ravel(), least]), np.concatenate([self.place[rows].ravel(), place])
+        order = np.lexsort((least, -score, at))
+        at = at[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        order = order[rank < keep].reshape(len(rows), keep)
+        self.score[rows], self.least[rows], self.place[rows] = score[order], least[order], place[order]
+
+
+def _grown(x: np.ndarray, members: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, leaf_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A large leaf as smaller ones, with the queries that visit each."""
+    rows = x[members]
+    f = fit(rows, len(rows), float((rows * rows).sum(1).max()), k, trees=1, recall=RECALL_INSIDE, leaf_rows=leaf_rows)
+    leaf = f.route(f.lift(rows), 0)
+    visits: list[list[int]] = [[] for _ in range(f.leaves)]
+    for part in range(0, len(own), 1024):
+        for i, order in zip(own[part : part + 1024].tolist(), f.search(q[own[part : part + 1024]]), strict=True):
+            for _, where in order:
+                visits[where].append(i)
+    for where, queries in enumerate(visits):
+        if queries:
+            yield members[leaf == where], np.array(queries)
+
+
+def _in_shard(dims: int, k: int, kind: str, leaf_rows: int):
     """Best k + 1 entries of a shard's leaves for each query that visits them."""
 
     def run(_key: tuple, entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "entry": [], "score": []}).astype({"query": "int64", "entry": "int64", "score": "float64"})
+        empty = pd.DataFrame({"query": [], "entry": [], "least": [], "score": []}).astype(
+            {"query": "int64", "entry": "int64", "least": "int64", "score": "float64"})
         if not len(entries) or not len(queries):
             return empty
         x = np.frombuffer(b"".join(entries["vector"]), kind).reshape(-1, dims).astype("<f8")
         q = np.frombuffer(b"".join(queries["vector"]), kind).reshape(-1, dims).astype("<f8")
-        number, leaf = entries["entry"].to_numpy(), entries["leaf"].to_numpy()
+        leaf, least = entries["leaf"].to_numpy(), entries["least"].to_numpy()
+        longest, asked_length = np.sqrt((x * x).sum(1).max()), np.sqrt((q * q).sum(1))
         visited = queries["leaves"].to_numpy()
         who = np.repeat(np.arange(len(q)), [len(v) for v in visited])
         where = np.concatenate(visited)
-        score = np.full((len(q), k + 1), -np.inf)
-        found = np.full((len(q), k + 1), -1, np.int64)
+        best = _Best(len(q), k + 1)
         by_leaf = np.argsort(leaf, kind="stable")
         starts = np.flatnonzero(np.r_[True, np.diff(leaf[by_leaf]) != 0])
         for members in np.split(by_leaf, starts[1:]):
             own = who[where == leaf[members[0]]]
-            for part in range(0, len(own), 1024):
-                rows = own[part : part + 1024]
-                s = np.concatenate([score[rows], q[rows] @ x[members].T], 1)
-                e = np.concatenate([found[rows], np.broadcast_to(number[members], (len(rows), len(members)))], 1)
-                top = np.argpartition(-s, k, axis=1)[:, : k + 1]
-                score[rows], found[rows] = np.take_along_axis(s, top, 1), np.take_along_axis(e, top, 1)
-        a, b = np.nonzero(found >= 0)
-        return pd.DataFrame({"query": queries["query"].to_numpy()[a], "entry": found[a, b], "score": score[a, b]})
+            if not len(own):
+                continue
+            units = _grown(x, members, q, own, k, leaf_rows) if len(members) > 4 * leaf_rows else [(members, own)]
+            for rows_of, asking in units:
+                block = max(1, (1 << 18) // len(rows_of))
+                for part in range(0, len(asking), block):
+                    rows = asking[part : part + block]
+                    s = q[rows] @ x[rows_of].T
+                    both = np.concatenate([best.score[rows], s], 1)
+                    cut = -np.partition(-both, k, axis=1)[:, k]
+                    # Products of a block are off by a few roundings.
+                    at, column = np.nonzero(s >= (cut - 4 * dims * np.finfo(float).eps * longest * asked_length[rows])[:, None])
+                    place = rows_of[column]
+                    best.merge(rows, at, place, (q[rows[at]] * x[place]).sum(1) + 0.0, least[place])
+        a, b = np.nonzero(best.place >= 0)
+        place = best.place[a, b]
+        return pd.DataFrame({"query": queries["query"].to_numpy()[a], "entry": entries["entry"].to_numpy()[place], "least": least[place],
+                             "score": best.score[a, b]})
 
     return run
 
 
 def nearest(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id",
-            vector_column: str = "embedding") -> DataFrame:
+            vector_column: str = "embedding", leaf_rows: int = LEAF_ROWS, deepest: int = DEEPEST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query row
     among all rows but its own id."""
     ship_package(spark)
@@ -244,9 +302,10 @@ def nearest(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20,
     norms = entries.select("vector").mapInArrow(_norms(dims, kind), "norm2 double")
     stats = norms.agg(F.count("*").alias("n"), F.max("norm2").alias("m")).first()
     chosen = entries.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow()  # bounded
-    forest = fit(_matrix(chosen["vector"], dims, kind), stats["n"], stats["m"], k)
+    forest = fit(_matrix(chosen["vector"], dims, kind), stats["n"], stats["m"], k, leaf_rows=leaf_rows, deepest=deepest)
     shared = spark.sparkContext.broadcast(forest)  # bounded by TREES, DEEPEST and the dimension
-    per_shard = max(1, SHARD_ROWS * forest.leaves // max(1, stats["n"]))
+    per_shard = max(1, shard_rows * forest.leaves // max(1, stats["n"]))
+    shares = max(1, -(-stats["n"] // (forest.leaves * shard_rows)))  # of a leaf above shard_rows
 
     def route(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
@@ -255,8 +314,8 @@ def nearest(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20,
             for t in range(TREES):
                 leaf = f.route(lifted, t)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_shard(t, leaf, per_shard, f.leaves)), pa.array(leaf), batch.column(0), batch.column(1)],
-                    names=["shard", "leaf", "entry", "vector"])
+                    [pa.array(_shard(t, leaf, per_shard, f.leaves)), pa.array(leaf), *batch.columns],
+                    names=["shard", "leaf", "entry", "vector", "least"])
 
     def visit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
@@ -275,22 +334,21 @@ def nearest(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 20,
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int64())), pa.array(columns[2], pa.int64()),
                      pa.array(columns[3], pa.binary())], names=["shard", "leaves", "query", "vector"])
 
-    index = entries.select("entry", "vector").mapInArrow(route, "shard long, leaf long, entry long, vector binary")
+    index = entries.select("entry", "vector", F.col("ids")[0].alias("least")).mapInArrow(
+        route, "shard long, leaf long, entry long, vector binary, least long").withColumn(
+        "share", F.pmod(F.xxhash64("entry"), F.lit(shares)))
     distinct_queries = entries.join(queries.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
-    asked_leaves = distinct_queries.mapInArrow(visit, "shard long, leaves array<long>, query long, vector binary")
-    hits = index.groupBy("shard").cogroup(asked_leaves.groupBy("shard")).applyInPandas(
-        _in_shard(dims, k, kind), "query long, entry long, score double")
-
-    # One entry can be found in several trees.  A query's best few more than
-    # wanted are scored again from the two vectors alone, so that a score does
-    # not depend on the block it was in.
-    few = hits.groupBy("query").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("least"), "entry"))).alias("h"))
-    pairs = few.select("query", F.explode(F.slice(F.array_distinct(F.transform("h", lambda x: x["entry"])), 1, 2 * (k + 1))).alias("entry"))
-    with_ids = pairs.join(entries.select("entry", F.col("vector").alias("x"), "ids"), "entry").join(
-        entries.select(F.col("entry").alias("query"), F.col("vector").alias("y")), "query")
-    scored = with_ids.select("query", "ids", "x", "y").mapInArrow(_scores(dims, kind), "query long, ids array<long>, score double")
-    best = scored.groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("score")).alias("least"), F.col("ids")))).alias("best"))
+    asked_leaves = distinct_queries.mapInArrow(visit, "shard long, leaves array<long>, query long, vector binary").withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)).cast("array<long>")))
+    hits = index.groupBy("shard", "share").cogroup(asked_leaves.groupBy("shard", "share")).applyInPandas(
+        _in_shard(dims, k, kind, leaf_rows), "query long, entry long, least long, score double")
+
+    # One entry can be found in several trees, each time with the same score.
+    few = hits.groupBy("query").agg(F.slice(F.sort_array(F.collect_set(F.struct(
+        (-F.col("score")).alias("low"), "least", "entry"))), 1, k + 1).alias("h"))
+    pairs = few.select("query", F.explode("h").alias("h")).select("query", F.col("h.low").alias("low"), F.col("h.entry").alias("entry"))
+    best = pairs.join(entries.select("entry", "ids"), "entry").groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("low").alias("least"), F.col("ids")))).alias("best"))
     answers = best.select("query", F.slice(F.array_sort(F.flatten(F.transform(
         F.slice("best", 1, k + 1), lambda b: F.transform(b["ids"], lambda i: F.struct(b["least"].alias("least"), i.alias("id")))))),
         1, k + 1).alias("best"))
@@ -322,13 +380,3 @@ def _norms(dims: int, kind: str):
             yield pa.RecordBatch.from_arrays([pa.array((x * x).sum(1))], names=["norm2"])
 
     return run
-
-
-def _scores(dims: int, kind: str):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            x, y = _matrix(batch.column(2), dims, kind), _matrix(batch.column(3), dims, kind)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array((x * y).sum(1))], names=["query", "ids", "score"])
-
-    return run

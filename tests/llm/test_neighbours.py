@@ -83,7 +83,46 @@ def test_a_hot_vector_and_unequal_norms(spark):
     want = exact(rows, [(i, v) for i, v in rows if i % 100 == 0], 20)
     assert sorted(found) == sorted(want)
     assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
-    assert [i for i, _ in found[0]] == [i for i, _ in want[0]] or len(found[0]) == 20
+    # Equal vectors: the smallest ids, in order, after what is nearer.
+    hot = [i for i, s in found[0] if s == 30.0 and i < 1000]
+    assert len(found[0]) == 20 and hot == list(range(1, len(hot) + 1))
+
+
+def test_unequal_vectors_of_one_score_go_by_id(spark):
+    rows = [(0, [1.0, 0.0])] + [(j, [1.0, float(j)]) for j in range(1, 101)]
+    df = frame(spark, [(i, v, 1) for i, v in rows]).orderBy(F.desc("vec_id"))
+    found = got(N.nearest(spark, df, F.col("vec_id") == 0, k=20))
+    assert found[0] == [(j, 1.0) for j in range(1, 21)]
+
+
+def test_ties_that_a_product_of_blocks_could_round_apart(spark):
+    # Components of many magnitudes, permuted: equal sets of summands.
+    rng = np.random.default_rng(4)
+    v = (rng.standard_normal(8) * 10.0 ** rng.integers(-3, 4, 8)).tolist()
+    rows = [(0, [1.0] * 16)] + [(j, ([0.0] * (j % 9)) + v + [0.0] * (8 - j % 9)) for j in range(1, 200)] + [
+        (500 + j, [*v, *([float(j)] * 4), *([-float(j)] * 4)]) for j in range(60)]
+    found = got(N.nearest(spark, frame(spark, [(i, v, 1) for i, v in rows]), F.col("vec_id") == 0, k=20))
+    want = exact(rows, rows[:1], 20)
+    score = {i: float((np.ones((1, 16)) * np.array([v], "f4").astype("f8")).sum(1)[0]) for i, v in rows}
+    assert [i for i, _ in found[0]] == [i for _, i in sorted((-score[i], i) for i in score if i)][:20]
+    assert len(want[0]) == 20
+
+
+def test_leaves_are_grown_and_shared_beyond_the_sample(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((40, 8)) * 4
+    x = (centres[rng.integers(0, 40, 6000)] + rng.standard_normal((6000, 8))).astype("f4")
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], SCHEMA).repartition(6)
+    # Two levels of the forest only: leaves of 1500 rows, dealt to four shards
+    # of 400 and grown there to leaves of some 50.
+    found = got(N.nearest(spark, df, F.col("vec_id") % 100 == 0, k=20, leaf_rows=50, deepest=2, shard_rows=400))
+    assert len(found) == 60
+    hits = []
+    for q, answer in found.items():
+        s = x.astype("f8") @ x[q].astype("f8")
+        s[q] = -np.inf
+        hits.append(len(set(np.argsort(-s)[:20].tolist()) & {i for i, _ in answer}) / 20)
+    assert np.mean(hits) >= 0.9
 
 
 def test_search_visits_leaves_in_order_of_margins():

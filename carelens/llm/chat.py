@@ -1,9 +1,13 @@
 """Chat formatting by schema fingerprints.
 
 A record is a JSON document in any of several layouts.  Its *fingerprint* is
-the hash of the set of its nested field paths (list indexes left out); it
-selects one declarative ``Layout``, which says where the turns are and how
-roles are called.  A new layout is a new table entry, not new code.
+the hash of the set of its nested field paths (list indexes left out).  Paths
+that no layout names (ids, metadata, names of speakers) are set aside and
+reported as ``extra_fields``; the fingerprint of the others selects one
+declarative ``Layout``, which says where the turns are and how roles are
+called.  A record that mixes the paths of two layouts matches neither, so no
+text that some layout would show is left out unseen.  A new layout is a new
+table entry, not new code.
 
 Canonical turns are written as ``<|im_start|>role`` newline ``text``
 ``<|im_end|>`` newline.  Inside roles and texts every ``<`` + k backslashes + ``|``
@@ -12,9 +16,12 @@ backslash away restores it exactly; in roles backslashes and line breaks are
 escaped as well.  The loss mask is a list of spans (code points of the
 formatted string) that cover exactly the assistant's texts.
 
-Defined results: records with an unknown fingerprint (also invalid JSON) keep
-their row, with NULL layout and output; NULL texts and roles are empty; turns
-of equal number are ordered by role and text; a conversation id of NULL is one
+Defined results: records with an unknown fingerprint (also invalid JSON, JSON
+nested too deeply to be read, and no object at all) keep their row, with NULL
+layout and output, here and in ``digests``; NULL, empty and missing texts and
+roles of a turn are empty, an item that is no object is no turn; code points
+that no UTF-8 text can hold (lone surrogates) become U+FFFD; turns of equal
+number are ordered by role and text; a conversation id of NULL is one
 conversation; an empty table gives none; other columns are ignored.
 """
 
@@ -35,13 +42,14 @@ from carelens.llm.common import ship_package
 START, END = "<|im_start|>", "<|im_end|>"
 _OPEN = re.compile(r"<(\\*)\|")
 _CLOSED = re.compile(r"<\\(\\*)\|")
+_LONE = re.compile("[\ud800-\udfff]")
 
 
 @dataclass(frozen=True)
 class Layout:
     """Either a list of turns (``turns``: path of the list, ``role`` and
     ``text``: paths inside an item) or named ``fields`` ((path, role), ...),
-    of which absent ones give no turn.  ``optional`` paths may be missing."""
+    one turn each."""
 
     name: str
     turns: str = ""
@@ -89,26 +97,35 @@ def registry(layouts: tuple[Layout, ...] = LAYOUTS) -> dict[str, Layout]:
     return {fingerprint(layout_paths(x)): x for x in layouts}
 
 
+def vocabulary(layouts: tuple[Layout, ...] = LAYOUTS) -> set[str]:
+    """The paths that some layout names."""
+    return set().union(*map(layout_paths, layouts))
+
+
 def _at(value: object, path: str) -> str:
-    """The text at a path; lists on the way are joined, NULL is empty."""
-    for step in path.split("."):
+    """The text at a path; lists on the way are joined; what is NULL, empty or
+    missing is the empty text."""
+    while path:
         if isinstance(value, list):
             return "".join(_at(v, path) for v in value)
-        name = step.removesuffix("[]")
-        value = value[name]
-        path = path[len(step) + 1 :]
+        if not isinstance(value, dict):
+            return ""
+        step, _, path = path.partition(".")
+        value = value.get(step.removesuffix("[]"))
         if step.endswith("[]"):
-            return "".join(_at(v, path) for v in value)
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+            return "".join(_at(v, path) for v in value) if isinstance(value, list) else ""
+    if value is None or value in ([], {}):
+        return ""
+    return _LONE.sub("\ufffd", value if isinstance(value, str) else json.dumps(value, ensure_ascii=False))
 
 
 def canonical_turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
     if not layout.turns:
         return [(role, _at(record, path)) for path, role in layout.fields]
-    items = record
+    items: object = record
     for step in layout.turns.split("."):
         items = items[step]
-    turns = [(_at(x, layout.role), _at(x, layout.text)) for x in items]
+    turns = [(_at(x, layout.role), _at(x, layout.text)) for x in items if isinstance(x, dict)]
     return [(layout.roles.get(role, role), text) for role, text in turns]
 
 
@@ -156,40 +173,48 @@ def masked_texts(formatted: str, loss: list[tuple[int, int]]) -> list[str]:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
+def read_record(raw: str | None, known: dict[str, Layout], named: set[str]) -> tuple:
+    """(fingerprint, layout's name, formatted, loss, extra fields) of one record."""
+    mark = None
+    try:
+        record = json.loads(raw) if raw is not None else None
+        if not isinstance(record, dict):
+            return None, None, None, None, None
+        paths = set(field_paths(record))
+        mark = fingerprint(paths)
+        layout = known.get(fingerprint(paths & named))
+        if layout is None:
+            return mark, None, None, None, None
+        text, loss = format_turns(canonical_turns(record, layout))
+    except (ValueError, RecursionError):
+        return mark, None, None, None, None
+    return mark, layout.name, text, [{"start": a, "end": b} for a, b in loss], sorted(_LONE.sub("\ufffd", p) for p in paths - named)
+
+
 def _format_batches(layouts: tuple[Layout, ...]):
+    kinds = (pa.string(), pa.string(), pa.string(), _SPANS, pa.list_(pa.string()))
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = registry(layouts)
+        known, named = registry(layouts), vocabulary(layouts)
         for batch in it:
-            prints, names, texts, spans = [], [], [], []
-            for raw in batch.column(1).to_pylist():
-                try:
-                    record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                mark = fingerprint(set(field_paths(record))) if isinstance(record, dict) else None
-                layout = known.get(mark)
-                text, loss = format_turns(canonical_turns(record, layout)) if layout else (None, None)
-                prints.append(mark)
-                names.append(layout.name if layout else None)
-                texts.append(text)
-                spans.append(loss and [{"start": a, "end": b} for a, b in loss] if loss is not None else None)
+            columns = list(zip(*(read_record(raw, known, named) for raw in batch.column(1).to_pylist()), strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.string()), pa.array(names, pa.string()),
-                 pa.array(texts, pa.string()), pa.array(spans, _SPANS)],
-                names=["id", "fingerprint", "layout", "formatted", "loss"])
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["id", "fingerprint", "layout", "formatted", "loss", "extra_fields"])
 
     return run
 
 
 def format_chats(records: DataFrame, id_column: str = "conv_id", record: str = "record",
                  layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """id, fingerprint, layout, formatted, loss (spans) of each JSON record."""
+    """id, fingerprint, layout, formatted, loss (spans), extra_fields of each
+    JSON record."""
     ship_package(records.sparkSession)
     d = records.select(id_column, record)
     return d.mapInArrow(
         _format_batches(layouts),
         f"`{id_column}` {d.schema[0].dataType.simpleString()}, fingerprint string, layout string, formatted string, "
-        "loss array<struct<start:bigint,end:bigint>>")
+        "loss array<struct<start:bigint,end:bigint>>, extra_fields array<string>")
 
 
 def conversations_as_records(rows: DataFrame) -> DataFrame:
@@ -241,6 +266,9 @@ def _digest_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         rows = []
         for formatted, loss in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if formatted is None:
+                rows.append((None,) * 5)
+                continue
             turns = parse(formatted)
             masked = masked_texts(formatted, [(x["start"], x["end"]) for x in loss])
             rows.append((
@@ -255,8 +283,9 @@ def _digest_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What can be read back from the formatted strings and their masks."""
+    """What can be read back from the formatted strings and their masks; NULLs
+    for records that were not formatted."""
     ship_package(formatted.sparkSession)
-    return formatted.where(F.col("formatted").isNotNull()).select("conv_id", "formatted", "loss").mapInArrow(
+    return formatted.select("conv_id", "formatted", "loss").mapInArrow(
         _digest_batches,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

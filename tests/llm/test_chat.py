@@ -47,6 +47,48 @@ def test_every_layout_is_recognised(spark):
     assert len({out[i].fingerprint for i in range(8)}) == 8
 
 
+def one_by_one(spark, raws):
+    rows = spark.createDataFrame(list(enumerate(raws)), "conv_id long, record string")
+    return [r for r in sorted(chat.format_chats(rows).collect())], sorted(chat.digests(chat.format_chats(rows)).collect())
+
+
+def test_records_that_are_hard_to_read_keep_a_row(spark):
+    raws = [
+        '{"messages":[{"role":"user","content":"hi"},{"role":"assistant"}]}',
+        '{"messages":[{"role":"user","content":"hi"},{"content":"no role"},{"role":"assistant","content":[]}, 7]}',
+        '{"messages":' + "[" * 50_000 + "]" * 50_000 + "}",
+        '{"a":' * 900 + "1" + "}" * 900,
+        '{"prompt":"x\\ud800y","completion":"\\udfff"}',
+        '{"prompt":{"nested":1},"completion":"a"}',
+        '{"messages":{"role":"user","content":"hi"}}',
+        '{"data":[{"dialog":[{"speaker":"agent","utterance":"u"}]}]}',
+        '{"n":' + "9" * 5000 + "}",
+    ]
+    out, digests = one_by_one(spark, raws)
+    assert [chat.parse(out[i].formatted) for i in (0, 1, 4)] == [
+        [("user", "hi"), ("assistant", "")], [("user", "hi"), ("", "no role"), ("assistant", "")],
+        [("user", "x\ufffdy"), ("assistant", "\ufffd")]]
+    assert out[1].extra_fields == ["messages[]"] and out[0].extra_fields == []
+    for i in (2, 3, 5, 6, 7, 8):
+        assert out[i].layout is None and out[i].formatted is None and out[i].loss is None
+    assert len(digests) == len(raws) and [r.n_turns for r in digests] == [2, 3, None, None, 2, None, None, None, None]
+
+
+def test_further_fields_are_named_and_set_aside(spark):
+    raws = [json.dumps(r) for r in (
+        {"id": 7, "messages": [{"role": "user", "content": "q", "name": "Ann"}, {"role": "assistant", "content": "a"}], "meta": {"lang": "en"}},
+        {"prompt": "q", "completion": "a", "score": 0.5},
+        # Paths of two layouts: neither may drop the other's text.
+        {"prompt": "q", "completion": "a", "response": "b"},
+        {"prompt": "q", "completion": "a", "system": "s"})]
+    out, _ = one_by_one(spark, raws)
+    assert [chat.parse(r.formatted) for r in out[:2]] == [[("user", "q"), ("assistant", "a")]] * 2
+    assert out[0].extra_fields == ["id", "messages[].name", "meta.lang"] and out[1].extra_fields == ["score"]
+    assert [r.layout for r in out] == ["messages", "prompt", None, None]
+    plain, _ = one_by_one(spark, [json.dumps({"prompt": "q", "completion": "a"})])
+    assert plain[0].fingerprint != out[1].fingerprint
+
+
 def expected(rows):
     by = {}
     for c, turn, role, text in rows:

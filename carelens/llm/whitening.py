@@ -158,7 +158,7 @@ def _own_distinct(dims: int):
     return run
 
 
-def _rows(it: Iterator[pa.RecordBatch], dims: int, block: int = BLOCK) -> Iterator[np.ndarray]:
+def _rows(it: Iterator[pa.RecordBatch], dims: int, block: int) -> Iterator[np.ndarray]:
     """The fit list's rows in blocks."""
     held: list[bytes] = []
     for batch in it:
@@ -170,13 +170,14 @@ def _rows(it: Iterator[pa.RecordBatch], dims: int, block: int = BLOCK) -> Iterat
         yield _from_keys(held, dims)
 
 
-def _parts(dims: int):
+def _parts(dims: int, block: int):
     """A task's cross-products, one row a dimension and limb of LIMB bits."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = None
-        for f in _rows(it, dims):
-            g = scatter(f) if g is None else g + scatter(f)
+        for f in _rows(it, dims, block):
+            own = scatter(f)
+            g = own if g is None else g + own
         if g is None:
             return
         for d in range(dims + 1):
@@ -206,9 +207,9 @@ def _add_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([d], pa.int32()), pa.array([limb], pa.int32()), pa.array([part.tolist()], pa.list_(pa.int64()))], names=["d", "limb", "part"])
 
 
-def fit(spark: SparkSession, fit_list: DataFrame, dims: int, components: int = COMPONENTS) -> Whitening | None:
+def fit(spark: SparkSession, fit_list: DataFrame, dims: int, components: int = COMPONENTS, block: int = BLOCK) -> Whitening | None:
     """Model of a list (column x) of distinct vectors; None if it is empty."""
-    parts = fit_list.mapInArrow(_parts(dims), "d int, limb int, part array<long>")
+    parts = fit_list.mapInArrow(_parts(dims, block), "d int, limb int, part array<long>")
     rows = parts.repartition(min(dims + 1, 256), "d").mapInArrow(_add_up, "d int, limb int, part array<long>").collect()  # (dims + 1)^2 values
     if not rows:
         return None
@@ -233,7 +234,7 @@ def identity_error(fit_list: DataFrame, model: Whitening, shared) -> float:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, s = np.zeros((k, k)), np.zeros(k)
-        for f in _rows(it, dims):
+        for f in _rows(it, dims, BLOCK):
             z = shared.value.whiten(f)
             g, s = g + z.T @ z, s + z.sum(0)
         flat = np.r_[g.ravel(), s]
@@ -254,7 +255,7 @@ def usable(vector: Column) -> Column:
 
 
 def whiten(spark: SparkSession, rows: DataFrame, components: int = COMPONENTS, id_column: str = "vec_id",
-           vector_column: str = "embedding") -> DataFrame:
+           vector_column: str = "embedding", block: int = BLOCK) -> DataFrame:
     """(id, component, n, deviation, whitened, explained, identity_error,
     deviation_wide): every usable row and each of the first components."""
     ship_package(spark)
@@ -266,7 +267,7 @@ def whiten(spark: SparkSession, rows: DataFrame, components: int = COMPONENTS, i
     dims = common["d"]
     v = v.where(F.size("v") == dims)
     fit_list = materialize(spark, v.select("v").mapInArrow(_own_distinct(dims), "x binary").distinct(), "fit-list")
-    model = fit(spark, fit_list, dims, components)
+    model = fit(spark, fit_list, dims, components, block)
     if model is None or not model.axes.shape[1]:
         return spark.createDataFrame([], schema)
     shared = spark.sparkContext.broadcast(model)  # dimensions times components

@@ -36,12 +36,11 @@ def test_keys_keep_vectors():
 
 
 @pytest.mark.parametrize("block", [W.BLOCK, 7])
-def test_against_plain_covariance(spark, monkeypatch, block):
-    monkeypatch.setattr(W, "BLOCK", block)
+def test_against_plain_covariance(spark, block):
     rng = np.random.default_rng(7)
     vectors = (rng.standard_normal((60, 4)) * [3, 1, 0.5, 0.2] @ rng.standard_normal((4, 4))).tolist()
     rows = [(i, v) for i, v in enumerate(vectors)] + [(900 + i, vectors[0]) for i in range(40)]
-    got = W.whiten(spark, frame(spark, rows, SCHEMA)).toPandas()
+    got = W.whiten(spark, frame(spark, rows, SCHEMA), block=block).toPandas()
     n, s, cov = by_hand(vectors)
     e, axes = np.linalg.eigh(cov)
     e, axes = e[::-1], axes[:, ::-1]

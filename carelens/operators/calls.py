@@ -67,6 +67,11 @@ def prepare(src: Sources, cfg: FeatureConfig) -> DataFrame:
     )
 
 
+# The columns that ``per_machine`` reads, beside those that give the file order.
+FOLD_INPUT = ("customer", "serial", "Status", "Origin", "Medium", "ServiceType", "MachineStatus", "esc", "nps", "PostingDate",
+              "SoftClosureDate", "ClosedOn", "has_remark", "NegativeReponseRemarksDate")
+
+
 def _mean_parts(name: str, days: Column) -> list[Column]:
     return [F.sum(days).alias(f"{name}_s"), F.count(days).alias(f"{name}_c")]
 

@@ -77,7 +77,9 @@ def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame
         F.max("max_end").alias("con_end_date_max"),
         exact_sum("price_total").alias("sum_amc_price"),
     )
-    out = icr.join(by_machine, "customer", "full")
+    # Both have the customers of the same rows; a run that does not ask for the
+    # distinct numbers loses the join to the optimizer.
+    out = by_machine.join(icr, "customer", "left")
     return out.select(
         "customer",
         *[name for name, _ in TYPE_COUNTS],

@@ -18,7 +18,7 @@ from carelens.config import FeatureConfig
 from carelens.functions.expr import age_days, fill_missing
 from carelens.operators import calls, contracts, installs, items, price, spares
 from carelens.sources.inputs import Sources
-from carelens.sources.sinks import materialize
+from carelens.sources.sinks import materialize, materialize_buckets
 
 SENTINEL = 99999
 
@@ -123,82 +123,154 @@ BY_NAME = {f.name: f for f in CATALOGUE}
 FEATURE_NAMES = [f.name for f in CATALOGUE]
 
 
-# Shared results each summary group reads, and the order they can be built
-# in (a wave only reads results of earlier waves).
-NEEDS = {
-    "installs": {"inst", "inst_fold"},
-    "gaps": {"inst"},
-    "calls": {"calls"},
-    "contracts": {"con", "con_machine"},
-    "repeat_parts": {"sp", "con", "con_machine"},
-    "spare_contracts": {"sp", "con", "con_machine"},
-    "items": {"items", "items_mt", "inst", "inst_fold"},
-    "price": {"inst"},
+@dataclass(frozen=True)
+class Reader:
+    """Something that reads a shared result, and the columns it reads.  It
+    takes part in a run if one of its ``features`` is asked for, or the shared
+    result ``node`` that it makes is read."""
+
+    columns: tuple[str, ...]
+    features: frozenset[str] = frozenset()
+    node: str | None = None
+
+
+def _of(*groups: str, only: Iterable[str] = (), but: Iterable[str] = ()) -> frozenset[str]:
+    return (frozenset(f.name for f in CATALOGUE if f.group in groups) | frozenset(only)) - frozenset(but)
+
+
+MACHINE = ("customer", "serial")
+_ITEM = items.COLUMNS
+_named = lambda *measures: frozenset(n for m in measures for n in _ITEM[m].values())
+BY_TYPE = _named("days_since_last_purchase", "latest_qty", "n_items", "mean_gap")
+BY_MACHINE = _named("machines_covered", "repurchased", "first_contact_lag")
+BY_CATEGORY = _named("cats_covered")
+
+# Who reads each prepared input and each fold.  Tie-break columns go with the
+# readers that have to pick a row (``ORDERED``).
+READERS: dict[str, dict[str, Reader]] = {
+    "inst": {
+        "fold": Reader(installs.FOLD_INPUT, node="inst_fold"),
+        "gaps": Reader(("customer", "purchase_date", "cat_num"), _of("gaps")),
+        "price": Reader(("customer", "material"), _of("price")),
+    },
+    "calls": {
+        "machines": Reader(calls.FOLD_INPUT, _of("calls", but=["unique_medium_count"])),
+        "media": Reader(("customer", "Medium"), frozenset(["unique_medium_count"])),
+    },
+    "con": {
+        "machines": Reader((*MACHINE, "amc_type", "start", "end", "price", "priority"), node="con_machine"),
+        "icr": Reader(("customer", "icr"), frozenset(["unique_icrno_count", "avg_price_amc"])),
+    },
+    "sp": {
+        "repeats": Reader((*MACHINE, "item", "booked"), _of("repeat_parts")),
+        "machines": Reader((*MACHINE, "booked", "category", "net"), _of("spare_contracts")),
+    },
+    "items": {
+        "types": Reader(("customer", "itemtype", "posted", "qty", "item_code"), BY_TYPE),
+        "machines": Reader((*MACHINE, "itemtype", "posted"), node="items_mt"),
+    },
+    "inst_fold": {
+        "customers": Reader((*MACHINE, "category", "n", "first_purchase", "last_purchase", "end_not_og"), frozenset(FEATURE_NAMES)),
+        "machines": Reader((*MACHINE, "n", "n_undated", "first_purchase", "last_purchase", "first_interaction"), BY_MACHINE),
+        "categories": Reader((*MACHINE, "cat_num", "n_undated", "first_purchase", "last_purchase"), BY_CATEGORY),
+    },
+    "con_machine": {
+        "customers": Reader((*MACHINE, *(f"has_{i}" for i in range(len(contracts.TYPE_COUNTS))), "priority", "max_end", "price_total"),
+                            _of("contracts", "warranty")),
+        "repeats": Reader((*MACHINE, "min_start", "max_end"), _of("repeat_parts")),
+        "spares": Reader((*MACHINE, "min_start", "n_contracts", "max_price"), _of("spare_contracts")),
+    },
+    "items_mt": {
+        "machines": Reader((*MACHINE, "itemtype", "n_dates", "n_undated", "first_posted", "last_posted"), BY_MACHINE),
+        "categories": Reader((*MACHINE, "itemtype", "n_undated", "first_posted", "last_posted"), BY_CATEGORY),
+    },
 }
+ORDERED = {("inst", "gaps"): "installs", ("calls", "machines"): "calls", ("items", "types"): "call_items"}
+# A wave only reads results of earlier waves.
 WAVES = [("inst", "calls", "con", "sp", "items"), ("inst_fold", "con_machine", "items_mt")]
 
 
 class _Plan:
-    """Lazily built summaries of one run; shared sub-results (prepared
-    inputs, per-machine folds) are built once and read by every consumer."""
+    """Lazily built summaries of one run.
+
+    A prepared input or fold that one reader of the run needs is part of that
+    reader's plan, so columns and filters go through to the source.  One that
+    several read is written once, with the columns they read and no others;
+    folds are bucketed and sorted by machine, so that the joins and groupings
+    by machine behind them need no exchange."""
 
-    def __init__(self, src: Sources, cfg: FeatureConfig):
-        self.src, self.cfg = src, cfg
+    def __init__(self, src: Sources, cfg: FeatureConfig, names: Iterable[str]):
+        self.src, self.cfg, self.wanted = src, cfg, frozenset(names)
         self._memo: dict[str, DataFrame] = {}
+        self.staged: dict[str, DataFrame] = {}  # what was written, as planned
+        self.readers: dict[str, dict[str, Reader]] = {}
+        for wave in reversed(WAVES):
+            for node in wave:
+                self.readers[node] = {k: r for k, r in READERS[node].items()
+                                      if r.features & self.wanted or (r.node and self.readers.get(r.node))}
+
+    def columns(self, node: str) -> list[str]:
+        """The columns that this run's readers of ``node`` read."""
+        out: list[str] = []
+        for name, reader in self.readers[node].items():
+            tie = self.src.tiebreak(ORDERED[node, name]) if (node, name) in ORDERED else []
+            out += [c for c in (*reader.columns, *tie) if c not in out]
+        return out
 
     def _get(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
             self._memo[key] = fn()
         return self._memo[key]
 
-    def _staged(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
+    def _shared(self, node: str, fn: Callable[[], DataFrame]) -> DataFrame:
         def build() -> DataFrame:
             df = fn()
-            return materialize(df.sparkSession, df, f"prepared-{key}")
-
-        return self._get(key, build)
-
-    def prestage(self, groups: Iterable[str]) -> None:
-        """Write the shared results ``groups`` need, independent ones as
-        concurrent Spark jobs (one driver thread each), wave by wave."""
-        needed = set().union(*(NEEDS[g] for g in groups))
+            if len(self.readers[node]) < 2:
+                return df
+            spark = df.sparkSession
+            df = df.select(*self.columns(node))
+            if node not in WAVES[1]:
+                self.staged[node] = df
+                return materialize(spark, df, f"prepared-{node}")
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            if node != "con_machine":  # grouped by more than the machine
+                df = df.repartition(buckets, *MACHINE)
+            self.staged[node] = df
+            return materialize_buckets(spark, df, f"fold-{node}", buckets, MACHINE)
+
+        return self._get(node, build)
+
+    def prestage(self) -> None:
+        """Write the shared results of the run, independent ones as concurrent
+        Spark jobs (one driver thread each), wave by wave."""
         with ThreadPoolExecutor(max_workers=len(WAVES[0])) as pool:
             for wave in WAVES:
-                list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if k in needed]))
+                list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if len(self.readers[k]) > 1]))
 
     # shared inputs
     def inst(self) -> DataFrame:
-        return self._staged("installs", lambda: installs.prepare(self.src, self.cfg))
+        return self._shared("inst", lambda: installs.prepare(self.src, self.cfg))
 
     def inst_fold(self) -> DataFrame:
-        return self._staged("installs-fold", lambda: installs.fold(self.inst()))
-
-    def inst_machine(self) -> DataFrame:
-        return self._get("inst_machine", lambda: installs.per_machine(self.inst_fold()))
-
-    def inst_machine_cat(self) -> DataFrame:
-        return self._get("inst_machine_cat", lambda: installs.per_machine_category(self.inst_fold()))
+        return self._shared("inst_fold", lambda: installs.fold(self.inst()))
 
     def calls(self) -> DataFrame:
-        return self._staged("calls", lambda: calls.prepare(self.src, self.cfg))
+        return self._shared("calls", lambda: calls.prepare(self.src, self.cfg))
 
     def con(self) -> DataFrame:
-        return self._staged("contracts", lambda: contracts.prepare(self.src, self.cfg))
+        return self._shared("con", lambda: contracts.prepare(self.src, self.cfg))
 
     def con_machine(self) -> DataFrame:
-        return self._staged("contracts-machine", lambda: contracts.per_machine(self.con()))
+        return self._shared("con_machine", lambda: contracts.per_machine(self.con()))
 
     def sp(self) -> DataFrame:
-        return self._staged("spares", lambda: spares.prepare(self.src, self.cfg))
-
-    def sp_machine(self) -> DataFrame:
-        return self._get("spares-machine", lambda: spares.machine_fold(self.sp()))
+        return self._shared("sp", lambda: spares.prepare(self.src, self.cfg))
 
     def items(self) -> DataFrame:
-        return self._staged("call_items", lambda: items.prepare(self.src, self.cfg))
+        return self._shared("items", lambda: items.prepare(self.src, self.cfg))
 
     def items_mt(self) -> DataFrame:
-        return self._staged("call_items-machine", lambda: items.per_machine_type(self.items()))
+        return self._shared("items_mt", lambda: items.per_machine_type(self.items()))
 
     # summaries, one row per customer
     def group(self, name: str) -> DataFrame:
@@ -208,14 +280,22 @@ class _Plan:
             "calls": lambda: calls.summary(self.calls(), self.src.tiebreak("calls"), self.cfg),
             "contracts": lambda: contracts.summary(self.con(), self.con_machine(), self.cfg),
             "repeat_parts": lambda: spares.repeat_parts(self.sp(), self.con_machine()),
-            "spare_contracts": lambda: spares.contract_lags_and_profitability(self.sp_machine(),
-                                                                              self.con_machine()),
-            "items": lambda: items.summary(self.items(), self.items_mt(), self.src.tiebreak("call_items"),
-                                           self.cfg, self.inst_machine(), self.inst_machine_cat()),
+            "spare_contracts": lambda: spares.contract_lags_and_profitability(spares.machine_fold(self.sp()), self.con_machine()),
+            "items": self._items,
             "price": lambda: price.summary(self.src, self.inst()),
         }
         return self._get(f"group:{name}", builders[name])
 
+    def _items(self) -> DataFrame:
+        parts = []
+        if BY_TYPE & self.wanted:
+            parts.append(items.per_type(self.items(), self.src.tiebreak("call_items"), self.cfg))
+        if BY_MACHINE & self.wanted:
+            parts.append(items.machine_stats(self.items_mt(), installs.per_machine(self.inst_fold())))
+        if BY_CATEGORY & self.wanted:
+            parts.append(items.category_coverage(self.items_mt(), installs.per_machine_category(self.inst_fold())))
+        return items.summary(parts)
+
 
 def _groups_for(names: Iterable[str]) -> list[str]:
     needed: list[str] = []
@@ -235,9 +315,12 @@ def feature_table(
     one row per customer of the installed base, missing values imputed."""
     cfg = cfg or FeatureConfig()
     names = list(columns) if columns is not None else FEATURE_NAMES
-    plan = _Plan(src, cfg)
+    return _table(_Plan(src, cfg, names), names)
+
+
+def _table(plan: _Plan, names: list[str]) -> DataFrame:
     groups = _groups_for(names)
-    plan.prestage(["installs"] + groups)
+    plan.prestage()
     df = plan.group("installs")
     for g in groups:
         df = df.join(plan.group(g), "customer", "left")
@@ -245,7 +328,7 @@ def feature_table(
     for n in names:
         f = BY_NAME[n]
         if n == "days_out_of_warranty":
-            c = age_days(F.greatest("zzenddate_max", "con_end_date_max"), cfg.as_of)
+            c = age_days(F.greatest("zzenddate_max", "con_end_date_max"), plan.cfg.as_of)
         elif n in ("ItemNo_x", "ItemNo_y"):
             c = F.col("repeat_parts_in_contract")
         else:

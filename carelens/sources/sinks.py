@@ -4,6 +4,7 @@ scratch location used to cut lineage between stages."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +19,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
-# Scratch tables written by this driver and not yet released.
+# Scratch tables written by this driver and not yet released, and the names
+# of those that are in the session's catalogue.
 _scratch: list[str] = []
+_named: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -37,6 +40,8 @@ def release(spark: SparkSession, since: int = 0) -> int:
     gone = _scratch[since:]
     del _scratch[since:]
     for p in gone:
+        if p in _named:
+            spark.sql(f"DROP TABLE IF EXISTS {_named.pop(p)}")
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
     return len(gone)
@@ -63,3 +68,15 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     written table and not from the raw inputs."""
     path = write_table(df, scratch_path(spark, name))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_buckets(spark: SparkSession, df: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> DataFrame:
+    """``materialize`` as a table bucketed and sorted by ``keys``: groupings
+    and joins by them read it without an exchange.  ``df`` should be hash
+    partitioned by ``keys`` into ``buckets`` (or AQE's joins of those), so that
+    there is one file a bucket."""
+    path = scratch_path(spark, name)
+    table = "carelens_" + path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    _named[path] = table
+    return spark.table(table)

@@ -101,7 +101,8 @@ def test_staged_tables_go_on_release(spark, small_sources):
     from carelens.sources import sinks
 
     mark = sinks.scratch_mark()
-    df = feature_table(small_sources, FeatureConfig(), ["avg_nps", "sum_amc_price"])
+    # Calls and machine contracts have two readers each, so they are staged.
+    df = feature_table(small_sources, FeatureConfig(), ["avg_nps", "unique_medium_count", "loyalty_score", "avg_profitability"])
     n = df.count()
     paths = list(sinks._scratch[mark:])
     assert n > 0 and paths and all(os.path.isdir(p) for p in paths)

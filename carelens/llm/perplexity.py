@@ -12,20 +12,28 @@ groupings of those tables, and a join of the n-gram counts with their contexts,
 sharded by context, gives each n-gram's discounted share.  All of them stay
 distributed tables that grow with the text.
 
+Folds: trusted texts fall into two folds by their hash (copies into the same).
+Every table holds the counts of all trusted text and those of either fold side
+by side, so that one set of groupings and joins gives three models: one of all,
+and for each fold one that has not seen it.
+
 Scoring: the different n-grams of all documents are joined with the shares and
-weights of every order, which gives each its log-probability.  Documents go by
-chunks: a chunk's n-grams, and which of its texts hold each how often, are
-packed by shard of the n-grams and meet the shard's log-probabilities in a
-cogroup; a text's score is the sum over shards.  Shards hold about
-``SHARD_GRAMS`` n-grams, and chunks are dealt to as many groups as keep a
-shard's packed n-grams near ``GROUP_CHARS`` characters' worth, so that neither
-grows with the input.  Equal texts of a chunk are scored once; scores come back
-to documents by a digest of the text.
-
-Thresholds: the perplexities of trusted documents give, per language, a
-mergeable histogram over log-perplexity; a document is kept if its perplexity
-lies between its language's low and high quantiles.  Languages with too few
-trusted documents use the histogram of all.
+weights of every order, which gives each its log-probabilities.  Up to
+``SHARED_GRAMS`` n-grams, by count, these are sent to all tasks, and documents
+are scored where they are read.  Beyond, documents go by chunks: a chunk's
+n-grams, and which of its texts hold each how often, are packed by shard of the
+n-grams and meet the shard's log-probabilities in a cogroup; a text's score is
+the sum over shards.  Shards hold about ``SHARD_GRAMS`` n-grams, and chunks are
+dealt to as many groups as keep a shard's packed n-grams near ``GROUP_CHARS``
+characters' worth, so that neither grows with the input.  Equal texts of a
+chunk are scored once; scores come back to documents by a digest of the text.
+
+Thresholds: the perplexities of trusted documents, each by the model that has
+not seen its fold, give per language a mergeable histogram over log-perplexity.
+A document is kept if its perplexity lies between its language's low and high
+quantiles; a trusted one by the perplexity that went into the histogram, any
+other by the model of all.  Languages with too few trusted documents use the
+histogram of all.
 
 Defined results: empty or NULL text has NULL perplexity and is not kept; a
 NULL language uses the thresholds of all; without trusted text nothing is
@@ -42,9 +50,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelens.llm.common import materialize, ship_package, text_or_empty
 
@@ -59,6 +68,10 @@ CHUNK_TEXTS = 65_536  # their numbers fit 16 bits
 SHARD_GRAMS = 250_000
 LEAST_SHARDS = 16
 GROUP_CHARS = 20_000_000
+SHARED_GRAMS = 2_000_000  # 40 bytes each in a task, 80 MB
+FOLDS = 2
+VIEWS = (0, 1, 2)  # all trusted text, and what is left without fold 0 or 1
+MASK_BITS = 1 << 24  # of the filter on trusted ids, 2 MB
 
 
 def _codes(text: str) -> np.ndarray:
@@ -117,38 +130,68 @@ def _chunks(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[byte
         yield texts, keys
 
 
+N = tuple(f"n{v}" for v in VIEWS)
+
+
 def _count_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n-grams of (text, fold): counted in all views but that of the own fold."""
+    for texts, folds in _chunks(it):
+        for fold in sorted(set(folds)):
+            context, symbol, _, n = _counted([t for t, f in zip(texts, folds, strict=True) if f == fold], by_text=False)
+            counts = [n if v == 0 or v - 1 != fold else np.zeros_like(n) for v in VIEWS]
+            for k in range(0, len(n), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (context, symbol, *counts)], names=["context", "symbol", *N])
+
+
+COUNTED = "context long, symbol long, " + ", ".join(f"{n} long" for n in N)
+
+
+def fold_of(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """context, symbol and, per view, n of every n-gram of the one column of texts."""
+    return texts.select(F.col(texts.columns[0]), fold_of(F.col(texts.columns[0])).alias("fold")).mapInArrow(
+        _count_grams, COUNTED).groupBy("context", "symbol").agg(*[F.sum(n).alias(n) for n in N])
+
+
+def _ask_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, _ in _chunks(it):
         context, symbol, _, n = _counted(texts, by_text=False)
         for k in range(0, len(n), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (context, symbol, n)], names=["context", "symbol", "n"])
 
 
-COUNTED = "context long, symbol long, n long"
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
+def ask_grams(texts: DataFrame) -> DataFrame:
     """context, symbol and n of every n-gram of the one column of texts."""
-    return texts.mapInArrow(_count_grams, COUNTED).groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(_ask_grams, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
-def discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts from the counts of counts 1 to 4."""
-    row = counts.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(int(row[f"n{k}"]), 1) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    return tuple(min(max(k - (k + 1) * y * b / a, 0.05), k - 0.05) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
+def discounts(counts: DataFrame) -> list[tuple[float, float, float]]:
+    """Modified Kneser-Ney discounts per view, from the counts of counts 1 to 4."""
+    row = counts.agg(*[F.count(F.when(F.col(n) == k, 1)).alias(f"{n}_{k}") for n in N for k in (1, 2, 3, 4)]).first()
+    out = []
+    for n in N:
+        n1, n2, n3, n4 = (max(int(row[f"{n}_{k}"]), 1) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        out.append(tuple(min(max(k - (k + 1) * y * b / a, 0.05), k - 0.05) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))))
+    return out
 
 
 def _order_tables(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(context, symbol, share) and (context, weight) of one order: the
-    discounted share of each n-gram in its context, and what the context
-    leaves to the order below."""
-    d1, d2, d3 = discounts(counts)
-    cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-    contexts = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut).alias("left"))
-    shares = counts.join(contexts, "context").select("context", "symbol", ((F.col("n") - cut) / F.col("total")).alias("share"))
-    return shares, contexts.select("context", (F.col("left") / F.col("total")).alias("weight"))
+    """(context, symbol, shares) and (context, weights) of one order, an array
+    by view each: the discounted share of each n-gram in its context, and what
+    the context leaves to the order below (everything, where a view has not
+    seen it)."""
+    cut = {n: F.when(F.col(n) == 0, 0.0).when(F.col(n) == 1, d1).when(F.col(n) == 2, d2).otherwise(d3)
+           for n, (d1, d2, d3) in zip(N, discounts(counts), strict=True)}
+    contexts = counts.groupBy("context").agg(
+        *[F.sum(n).alias(f"total_{n}") for n in N], *[F.sum(cut[n]).alias(f"left_{n}") for n in N])
+    over = lambda x, n: F.when(F.col(f"total_{n}") > 0, x / F.col(f"total_{n}"))
+    shares = counts.join(contexts, "context").select(
+        "context", "symbol", F.array(*[F.coalesce(over(F.col(n) - cut[n], n), F.lit(0.0)) for n in N]).alias("shares"))
+    return shares, contexts.select("context", F.array(*[F.coalesce(over(F.col(f"left_{n}"), n), F.lit(1.0)) for n in N]).alias("weights"))
 
 
 def _shorter(order: int):
@@ -158,37 +201,40 @@ def _shorter(order: int):
 
 @dataclass
 class Model:
-    """Per order from 1, the distributed tables (context, symbol, share) and
-    (context, weight)."""
+    """Per order from 1, the distributed tables (context, symbol, shares) and
+    (context, weights), arrays by view."""
 
     tables: list[tuple[DataFrame, DataFrame]]
     alphabet = range(0x110000)
 
     def probabilities(self, grams: DataFrame) -> DataFrame:
-        """context, symbol and log_p = ln p(symbol | context) of different n-grams."""
+        """context, symbol and log_p = ln p(symbol | context), by view, of
+        different n-grams."""
         p = None
+        of = lambda c, v, least: F.coalesce(F.col(c)[v], F.lit(least))
         for order, (shares, weights) in enumerate(self.tables, 1):
             asked = grams.select("context", "symbol") if order == ORDER else grams.select(_shorter(order), "symbol").distinct()
             if order == 1:  # one context
-                only = weights.first()["weight"]
-                lower = asked.withColumns({"p": F.lit(1.0 / ALPHABET), "weight": F.lit(only)})
+                only = weights.first()["weights"]
+                lower = asked.withColumns({"p": F.array(*[F.lit(1.0 / ALPHABET)] * len(VIEWS)), "weights": F.array(*map(F.lit, only))})
             else:
                 # An n-gram backs off to its last order - 1 symbols.
                 below = p.select(F.col("context").alias("_below"), F.col("symbol"), "p")
                 lower = asked.withColumn("_below", _shorter(order - 1)).join(below, ["_below", "symbol"]).drop("_below").join(weights, "context", "left")
             p = lower.join(shares, ["context", "symbol"], "left").select(
-                "context", "symbol", (F.coalesce("weight", F.lit(1.0)) * F.col("p") + F.coalesce("share", F.lit(0.0))).alias("p"))
-        return p.select("context", "symbol", F.log(F.greatest("p", F.lit(1e-12))).alias("log_p"))
+                "context", "symbol", F.array(*[of("weights", v, 1.0) * F.col("p")[v] + of("shares", v, 0.0) for v in VIEWS]).alias("p"))
+        return p.select("context", "symbol", F.transform("p", lambda x: F.log(F.greatest(x, F.lit(1e-12)))).alias("log_p"))
 
     def log_probabilities(self) -> Lookup:
-        """ln p of any n-gram, for a look into small models: collects them."""
-        return Lookup([({r["context"]: r["weight"] for r in w.collect()}, _by_context(s.collect())) for s, w in self.tables])
+        """ln p of any n-gram by the model of all, for a look into small
+        models: collects them."""
+        return Lookup([({r["context"]: r["weights"][0] for r in w.collect()}, _by_context(s.collect())) for s, w in self.tables])
 
 
 def _by_context(rows: list) -> dict[int, dict[int, float]]:
     out: dict[int, dict[int, float]] = {}
     for r in rows:
-        out.setdefault(r["context"], {})[r["symbol"]] = r["share"]
+        out.setdefault(r["context"], {})[r["symbol"]] = r["shares"][0]
     return out
 
 
@@ -213,10 +259,37 @@ class Lookup:
         return np.log(p)
 
 
+def _trusted_ids(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1).select(
+        F.col("doc_id").cast("long").alias("doc_id"))
+
+
+def _mask(ids: DataFrame) -> bytes:
+    """Bits of the hashes of the ids: MASK_BITS of them, whatever their number."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MASK_BITS)) + 1  # buckets count from 1
+    rows = ids.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    size = MASK_BITS // 8
+    out = bytearray(size)
+    for r in rows:  # MASK_BITS / 32768 rows of 4 KB at most
+        at = (r["bucket"] - 1) * 4096
+        out[at : at + 4096] = r["bits"][: size - at]
+    return bytes(out)
+
+
 def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and text of the documents labelled as good."""
-    good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1).select("doc_id")
-    return docs.select("doc_id", text_or_empty(text).alias("text")).where(F.col("text") != "").join(good, "doc_id", "left_semi")
+    """doc_id and text of the documents labelled as good.  A filter of fixed
+    size on the ids keeps most other texts from being moved; the join decides."""
+    good = _trusted_ids(labels)
+    spark = docs.sparkSession
+    mask = spark.sparkContext.broadcast(np.frombuffer(_mask(good), np.uint8))
+
+    @F.pandas_udf("boolean")
+    def may_be_good(slot: pd.Series) -> pd.Series:
+        at = slot.to_numpy()
+        return pd.Series((mask.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text")).where((F.col("text") != "") & F.col("doc_id").isNotNull())
+    return d.where(may_be_good(F.pmod(F.xxhash64("doc_id"), F.lit(MASK_BITS)))).join(good, "doc_id", "left_semi")
 
 
 def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
@@ -228,7 +301,7 @@ def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
     levels = [counts]
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: different symbols before the shorter n-gram.
-        shorter = levels[-1].groupBy(_shorter(order), "symbol").agg(F.count("*").alias("n"))
+        shorter = levels[-1].groupBy(_shorter(order), "symbol").agg(*[F.count_if(F.col(n) > 0).alias(n) for n in N])
         levels.append(materialize(spark, shorter, "kn-continuations"))
     return Model([tuple(materialize(spark, t, "kn-order") for t in _order_tables(level)) for level in reversed(levels)])
 
@@ -289,7 +362,7 @@ def _sum_shard(_key: tuple, packed: pd.DataFrame, known: pd.DataFrame) -> pd.Dat
     """Sums of a shard's log-probabilities by chunk and text."""
     known = known.sort_values(["context", "symbol"])
     contexts, number = np.unique(known["context"].to_numpy(), return_inverse=True)
-    grams, log_p = (number << BITS) | known["symbol"].to_numpy(), known["log_p"].to_numpy()
+    grams, log_p = (number << BITS) | known["symbol"].to_numpy(), np.stack(known["log_p"].to_list()) if len(known) else np.zeros((0, len(VIEWS)))
     out = []
     for chunk, keys, raw_context, raw_symbol, raw_holders, raw_text, raw_count in packed.drop(columns=["slot", "shard"]).itertuples(index=False):
         sums = np.zeros(0)
@@ -300,7 +373,7 @@ def _sum_shard(_key: tuple, packed: pd.DataFrame, known: pd.DataFrame) -> pd.Dat
             if not (np.array_equal(grams[at] & (ALPHABET - 1), symbol) and np.array_equal(contexts[grams[at] >> BITS], context)):
                 raise ValueError("an n-gram of a document has no probability")
             holders, count = _unpack(raw_holders, len(context)), _unpack(raw_count, len(text))
-            sums = np.bincount(text, np.repeat(log_p[at], holders) * count)
+            sums = np.stack([np.bincount(text, np.repeat(log_p[at, v], holders) * count) for v in VIEWS], 1)
         out.append((chunk, keys, sums.astype("<f8").tobytes()))
     return pd.DataFrame(out, columns=["chunk", "keys", "sums"])
 
@@ -308,37 +381,94 @@ def _sum_shard(_key: tuple, packed: pd.DataFrame, known: pd.DataFrame) -> pd.Dat
 def _sum_chunk(rows: pd.DataFrame) -> pd.DataFrame:
     """Each text's sum over all shards."""
     keys = next(k for k in rows["keys"] if k is not None)
-    total = np.zeros(len(keys) // 16)
+    total = np.zeros((len(keys) // 16, len(VIEWS)))
     for raw in rows.sort_values("shard")["sums"]:
-        part = np.frombuffer(raw, "<f8")
+        part = np.frombuffer(raw, "<f8").reshape(-1, len(VIEWS))
         total[: len(part)] += part
-    return pd.DataFrame({"_key": [keys[i : i + 16] for i in range(0, len(keys), 16)], "_log_p": total})
+    return pd.DataFrame({"_key": [keys[i : i + 16] for i in range(0, len(keys), 16)], "_log_p": total.tolist()})
+
+
+class _Table:
+    """Log-probabilities of n-grams in memory."""
+
+    def __init__(self, rows: pa.Table):
+        context, symbol = (rows.column(c).to_numpy() for c in ("context", "symbol"))
+        order = np.lexsort((symbol, context))
+        self.contexts, number = np.unique(context[order], return_inverse=True)
+        self.grams = (number << BITS) | symbol[order]
+        self.log_p = rows.column("log_p").combine_chunks().flatten().to_numpy().reshape(-1, len(VIEWS))[order].copy()
+
+    def __call__(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.grams, (np.searchsorted(self.contexts, context) << BITS) | symbol)
+        if not (np.array_equal(self.grams[at] & (ALPHABET - 1), symbol) and np.array_equal(self.contexts[self.grams[at] >> BITS], context)):
+            raise ValueError("an n-gram of a document has no probability")
+        return self.log_p[at]
+
+
+def _score_in_place(shared):
+    """The rows as they come, their text replaced by its sums."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: _Table = shared.value
+        for batch in it:
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            sums = np.full((len(texts), len(VIEWS)), np.nan)
+            at = [i for i, t in enumerate(texts) if t]
+            while at:
+                part, size = [], 0
+                while at and size < CHUNK_CHARS:
+                    part.append(at.pop())
+                    size += len(texts[part[-1]])
+                context, symbol, text, n = _counted([texts[i] for i in part], by_text=True)
+                log_p = table(context, symbol)
+                for v in VIEWS:
+                    sums[part, v] = np.bincount(text, log_p[:, v] * n, len(part))
+            lists = pa.array([None if np.isnan(s[0]) else s.tolist() for s in sums], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], "_log_p"])
+
+    return run
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    """``carry``, n_scored and log_perplexity (per character)."""
+def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id", "lang"),
+          shared_grams: int | None = None) -> DataFrame:
+    """``carry``, n_scored, log_perplexity (per character, by the model of
+    all) and unseen (by the model that was trained without the text's fold)."""
     ship_package(spark)
     t = text_or_empty(text)
     key = F.unhex(F.md5(t.cast("binary")))
-    d = docs.select(*carry, F.char_length(t).cast("long").alias("n_scored"), key.alias("_key"))
-    none = F.lit(None).cast("double").alias("log_perplexity")
+    d = docs.select(*carry, F.char_length(t).cast("long").alias("n_scored"), fold_of(t).alias("_fold"), key.alias("_key"))
+    none = F.lit(None).cast("double")
+    unscored = d.select(*carry, "n_scored", none.alias("log_perplexity"), none.alias("unseen"))
     if model is None:
-        return d.select(*carry, "n_scored", none)
-    asked = materialize(spark, count_grams(docs.select(t.alias("text"))), "kn-asked")
+        return unscored
+    asked = materialize(spark, ask_grams(docs.select(t.alias("text"))), "kn-asked")
     size = asked.agg(F.count("*").alias("grams"), F.sum("n").alias("chars")).first()
     if not size["grams"]:
-        return d.select(*carry, "n_scored", none)
-    shards = max(LEAST_SHARDS, -(-size["grams"] // SHARD_GRAMS))
-    slots = -(-size["chars"] // (GROUP_CHARS * shards))
+        return unscored
     known = materialize(spark, model.probabilities(asked), "kn-probabilities")
-    known = known.mapInPandas(_with_shard(shards), "shard long, context long, symbol long, log_p double").withColumn(
+    if size["grams"] <= (SHARED_GRAMS if shared_grams is None else shared_grams):
+        shared = spark.sparkContext.broadcast(_Table(known.toArrow()))  # of a checked size
+        rows = docs.select(*carry, F.char_length(t).cast("long").alias("n_scored"), fold_of(t).alias("_fold"), t.alias("_text"))
+        schema = T.StructType([*rows.schema.fields[:-1], T.StructField("_log_p", T.ArrayType(T.DoubleType()))])
+        scored = rows.mapInArrow(_score_in_place(shared), schema)
+    else:
+        scored = d.join(_score_by_shard(spark, docs, t, key, known, size["grams"], size["chars"]), "_key", "left")
+    per = lambda x: -x / F.col("n_scored")
+    return scored.select(*carry, "n_scored", per(F.col("_log_p")[0]).alias("log_perplexity"),
+                         per(F.get("_log_p", F.col("_fold") + 1)).alias("unseen"))
+
+
+def _score_by_shard(spark: SparkSession, docs: DataFrame, t: Column, key: Column, known: DataFrame, grams: int, chars: int) -> DataFrame:
+    """_key, _log_p of every different text."""
+    shards = max(LEAST_SHARDS, -(-grams // SHARD_GRAMS))
+    slots = -(-chars // (GROUP_CHARS * shards))
+    known = known.mapInPandas(_with_shard(shards), "shard long, context long, symbol long, log_p array<double>").withColumn(
         "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
     packed = docs.select(t.alias("text"), key.alias("key")).mapInArrow(_pack(shards, slots), PACKED)
     sums = packed.groupBy("slot", "shard").cogroup(known.groupBy("slot", "shard")).applyInPandas(_sum_shard, SUMS)
-    by_text = sums.withColumn("shard", F.xxhash64("sums")).groupBy("chunk").applyInPandas(_sum_chunk, "_key binary, _log_p double")
+    by_text = sums.withColumn("shard", F.xxhash64("sums")).groupBy("chunk").applyInPandas(_sum_chunk, "_key binary, _log_p array<double>")
     # Written, so that a hot text on the other side of the join can be split.
-    by_text = materialize(spark, by_text.groupBy("_key").agg(F.min("_log_p").alias("_log_p")), "kn-texts")
-    return d.join(by_text, "_key", "left").select(*carry, "n_scored", (-F.col("_log_p") / F.col("n_scored")).alias("log_perplexity"))
+    return materialize(spark, by_text.groupBy("_key").agg(F.min("_log_p").alias("_log_p")), "kn-texts")
 
 
 def _with_shard(n_shards: int):
@@ -368,12 +498,14 @@ def thresholds(scored: DataFrame) -> DataFrame:
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, lang, n_scored, perplexity, kept for every document."""
     model = train(spark, trusted_documents(docs, labels, text))
-    scored = materialize(spark, score(spark, docs, model, text), "kn-scores")
-    good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1).select("doc_id")
-    limits = materialize(spark, thresholds(scored.join(good, "doc_id", "left_semi")), "kn-thresholds")
+    scored = score(spark, docs, model, text)
+    good = _trusted_ids(labels).select("doc_id", F.lit(True).alias("_trusted"))
+    judged = F.when(F.col("_trusted"), F.col("unseen")).otherwise(F.col("log_perplexity")).alias("judged")
+    scored = materialize(spark, scored.join(good, "doc_id", "left").select(*scored.columns, judged, F.col("_trusted").isNotNull().alias("trusted")), "kn-scores")
+    limits = materialize(spark, thresholds(scored.where("trusted").select("lang", F.col("unseen").alias("log_perplexity"))), "kn-thresholds")
     every = limits.where("all").first()
     own = limits.where(~F.col("all") & (F.col("docs") >= LEAST_TRUSTED) & F.col("lang").isNotNull()).select("lang", "low", "high")
-    step = F.floor(F.col("log_perplexity") * STEP)
+    step = F.floor(F.col("judged") * STEP)
     low, high = (F.coalesce(F.col(c), F.lit(every[c] if every else None).cast("long")) for c in ("low", "high"))
     inside = F.coalesce((step >= low) & (step <= high), F.lit(model is None) & (F.col("n_scored") > 0))
     return scored.join(own, "lang", "left").select(

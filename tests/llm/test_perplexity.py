@@ -95,6 +95,56 @@ def test_good_documents_stay_and_junk_goes(spark):
     assert share[1] > 0.97 and share[0] < 0.3
 
 
+def test_good_documents_that_were_not_trained_on_stay(spark):
+    """A third of the good labels is held out: thresholds come from scores of
+    unseen text, so unseen good text passes them about as often as asked for."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    kept = P.classify(spark, docs, labels.where(~held)).join(labels.where(held), "doc_id")
+    share = {r.quality: r.k for r in kept.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert share[1] > 0.97 and share[0] < 0.3
+
+
+def quantile_step(steps, share):
+    steps = sorted(steps)
+    return next(s for i, s in enumerate(steps, 1) if i >= len(steps) * share)
+
+
+def test_whole_query_against_the_plain_model(spark):
+    """Perplexity and kept of every document: three plain models, out-of-fold
+    scores of the trusted, quantiles by language."""
+    rows = [(i, f"{'the a one my'.split()[i % 4]} {'cat dog log hat'.split()[i // 4 % 4]} {'sat ran lay'.split()[i % 3]} {'on in by'.split()[i % 5 % 3]} it {i % 11}",
+             ["en", "de", None][i % 60 // 25]) for i in range(240)] + [(900, "zzzz qqqq xxxx", "en"), (901, "", "en"), (902, None, "de"), (903, "the cat", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    labels = [(i, int(i % 7 != 0), 0) for i in range(0, 240) if i % 5] + [(3, 0, 0), (901, 1, 0), (555, 1, 0)]
+    good = {i for i, q, _ in labels if q} - {3}
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", P.fold_of(F.col("text")).alias("f")).collect()}
+    trained = [(i, t) for i, t, _ in rows if i in good and t]
+    alphabet = range(0x110000)
+    whole = plain_model([t for _, t in trained], alphabet)[1]
+    without = [plain_model([t for i, t in trained if fold[i] != f], alphabet)[1] for f in (0, 1)]
+    step = lambda x: math.floor(x * P.STEP)
+    unseen = {i: without[fold[i]](t) for i, t in trained}
+    lang = {i: g for i, _, g in rows}
+    limits = {None: (quantile_step(map(step, unseen.values()), P.LOW), quantile_step(map(step, unseen.values()), P.HIGH))}
+    for g in ("en", "de"):
+        own = [step(x) for i, x in unseen.items() if lang[i] == g]
+        if len(own) >= P.LEAST_TRUSTED:
+            limits[g] = (quantile_step(own, P.LOW), quantile_step(own, P.HIGH))
+    assert set(limits) == {None, "en", "de"}
+    got = {r.doc_id: r for r in P.classify(spark, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert len(got) == len(rows)
+    for i, t, g in rows:
+        if not t:
+            assert got[i].perplexity is None and not got[i].kept
+            continue
+        assert math.log(got[i].perplexity) == pytest.approx(whole(t), abs=1e-6)
+        low, high = limits.get(g, limits[None])
+        assert got[i].kept == (low <= step(unseen.get(i, whole(t))) <= high), i
+
+
 def test_every_character_is_a_symbol(spark):
     """A second script, rarer than 62 other characters, is told apart; wide
     alphabets and repeated texts score as the plain model does."""
@@ -118,5 +168,10 @@ def test_packed_counts_over_many_shards_and_slots(spark, monkeypatch):
     model = P.train(spark, spark.createDataFrame([(t,) for t in TEXTS], "text string"))
     _, log_perplexity = plain_model(TEXTS, model.alphabet)
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS * 3)], "doc_id long, text string, lang string").repartition(7)
-    for r in P.score(spark, docs, model).collect():
+    sharded = {r.doc_id: r for r in P.score(spark, docs, model, shared_grams=0).collect()}
+    for r in sharded.values():
         assert r.log_perplexity == pytest.approx(log_perplexity(TEXTS[r.doc_id % len(TEXTS)]), abs=1e-6)
+    # Sent to all tasks, the table gives the same, for all three models.
+    for r in P.score(spark, docs, model).collect():
+        assert r.log_perplexity == pytest.approx(sharded[r.doc_id].log_perplexity, abs=1e-9)
+        assert r.unseen == pytest.approx(sharded[r.doc_id].unseen, abs=1e-9)

@@ -63,7 +63,8 @@ ORDER = 4
 LOW, HIGH = 0.002, 0.995
 LEAST_TRUSTED = 50  # documents a language needs for its own thresholds
 STEP = 1000  # histogram steps per unit of log-perplexity
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
+DENSE = 1 << 24  # places of a table by code, beyond which codes are sorted instead
 CHUNK_TEXTS = 65_536  # their numbers fit 16 bits
 SHARD_GRAMS = 250_000
 LEAST_SHARDS = 16
@@ -71,7 +72,7 @@ GROUP_CHARS = 20_000_000
 SHARED_GRAMS = 2_000_000  # 40 bytes each in a task, 80 MB
 FOLDS = 2
 VIEWS = (0, 1, 2)  # all trusted text, and what is left without fold 0 or 1
-MASK_BITS = 1 << 24  # of the filter on trusted ids, 2 MB
+MASK_BITS = 1 << 26  # of a filter on ids, 8 MB
 
 
 def _codes(text: str) -> np.ndarray:
@@ -86,15 +87,14 @@ def _symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([x for c in codes for x in (gap, c.astype(np.int64) + 2)]), np.cumsum([len(c) for c in codes])
 
 
-def _counted(texts: list[str], by_text: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(context, symbol, text number, n) of the n-grams of order ORDER ending
-    at each character, in the order of the n-grams; text number 0 throughout
-    unless ``by_text``."""
+    at each character, in the order of the n-grams."""
     s, ends = _symbols(texts)
     names, local = np.unique(s, return_inverse=True)
     size = np.diff(ends, prepend=0)
     first = np.repeat(np.arange(len(texts)) * (ORDER - 1), size) + np.arange(ends[-1])  # of each n-gram
-    bits, text_bits = int(len(names) - 1).bit_length(), int(len(texts) - 1).bit_length() if by_text else 0
+    bits, text_bits = int(len(names) - 1).bit_length(), int(len(texts) - 1).bit_length()
     wide = ORDER * bits + text_bits > 63
     key = np.zeros(len(first), np.int64)
     for k in range(ORDER):
@@ -102,8 +102,7 @@ def _counted(texts: list[str], by_text: bool) -> tuple[np.ndarray, np.ndarray, n
         if wide:  # number the beginnings that occur, fewer than characters
             heads, key = np.unique(key, return_inverse=True)
             table = np.concatenate([table[heads >> bits], names[heads & ((1 << bits) - 1), None]], axis=1) if k else names[heads, None]
-    if by_text:
-        key = (key << text_bits) | np.repeat(np.arange(len(texts)), size)
+    key = (key << text_bits) | np.repeat(np.arange(len(texts)), size)
     key, n = np.unique(key, return_counts=True)
     text, key = key & ((1 << text_bits) - 1), key >> text_bits
     parts = table[key].T if wide else [names[(key >> bits * (ORDER - 1 - k)) & ((1 << bits) - 1)] for k in range(ORDER)]
@@ -113,6 +112,43 @@ def _counted(texts: list[str], by_text: bool) -> tuple[np.ndarray, np.ndarray, n
     return context, parts[-1], text, n
 
 
+def _numbered(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes below ``size``, in order, and each code's number."""
+    if size > DENSE:
+        return np.unique(codes, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[codes] = True
+    different = np.flatnonzero(there)
+    number = np.empty(size, np.int32)
+    number[different] = np.arange(len(different), dtype=np.int32)
+    return different, number[codes]
+
+
+def _indexed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context, symbol) of the different n-grams, in order, the number of
+    the n-gram that ends at each character, and where each text's characters
+    end.  Codes are numbered again after every symbol, so they stay small
+    whatever the alphabet."""
+    s, ends = _symbols(texts)
+    names, local = _numbered(s, ALPHABET)
+    bits = int(len(names) - 1).bit_length()
+    first = np.repeat(np.arange(len(texts)) * (ORDER - 1), np.diff(ends, prepend=0)) + np.arange(ends[-1])
+    key, table = np.zeros(len(first), np.int64), np.zeros((1, 0), np.int64)
+    for k in range(ORDER):
+        codes, key = _numbered((key.astype(np.int64) << bits) | local[first + k], len(table) << bits)
+        table = np.concatenate([table[codes >> bits], names[codes & ((1 << bits) - 1), None]], axis=1)
+    context = np.zeros(len(table), np.int64)
+    for part in table.T[:-1]:
+        context = (context << BITS) | part
+    return context, table[:, -1], key, ends
+
+
+def _counted_at_once(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, symbol, n) of the n-grams of all texts together."""
+    context, symbol, key, _ = _indexed(texts)
+    return context, symbol, np.bincount(key, minlength=len(context))
+
+
 def _chunks(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes]]]:
     """Texts that are not empty, and the values of a second column, some at a time."""
     texts, keys, size = [], [], 0
@@ -137,7 +173,7 @@ def _count_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-grams of (text, fold): counted in all views but that of the own fold."""
     for texts, folds in _chunks(it):
         for fold in sorted(set(folds)):
-            context, symbol, _, n = _counted([t for t, f in zip(texts, folds, strict=True) if f == fold], by_text=False)
+            context, symbol, n = _counted_at_once([t for t, f in zip(texts, folds, strict=True) if f == fold])
             counts = [n if v == 0 or v - 1 != fold else np.zeros_like(n) for v in VIEWS]
             for k in range(0, len(n), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (context, symbol, *counts)], names=["context", "symbol", *N])
@@ -158,7 +194,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 def _ask_grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, _ in _chunks(it):
-        context, symbol, _, n = _counted(texts, by_text=False)
+        context, symbol, n = _counted_at_once(texts)
         for k in range(0, len(n), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (context, symbol, n)], names=["context", "symbol", "n"])
 
@@ -264,32 +300,48 @@ def _trusted_ids(labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"))
 
 
-def _mask(ids: DataFrame) -> bytes:
+def _slot(column: str = "doc_id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(MASK_BITS))
+
+
+def _mask(ids: DataFrame) -> np.ndarray:
     """Bits of the hashes of the ids: MASK_BITS of them, whatever their number."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MASK_BITS)) + 1  # buckets count from 1
+    slot = _slot() + 1  # buckets count from 1
     rows = ids.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
     size = MASK_BITS // 8
     out = bytearray(size)
     for r in rows:  # MASK_BITS / 32768 rows of 4 KB at most
         at = (r["bucket"] - 1) * 4096
         out[at : at + 4096] = r["bits"][: size - at]
-    return bytes(out)
+    return np.frombuffer(bytes(out), np.uint8)
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and text of the documents labelled as good.  A filter of fixed
-    size on the ids keeps most other texts from being moved; the join decides."""
-    good = _trusted_ids(labels)
-    spark = docs.sparkSession
-    mask = spark.sparkContext.broadcast(np.frombuffer(_mask(good), np.uint8))
+def _in_mask(spark: SparkSession, ids: DataFrame):
+    shared = spark.sparkContext.broadcast(_mask(ids))  # MASK_BITS
 
     @F.pandas_udf("boolean")
-    def may_be_good(slot: pd.Series) -> pd.Series:
+    def held(slot: pd.Series) -> pd.Series:
         at = slot.to_numpy()
-        return pd.Series((mask.value[at >> 3] >> (at & 7) & 1).astype(bool))
+        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
 
+    return held(_slot())
+
+
+def trusted_documents(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id and text of the documents labelled as good, whose texts stay
+    where they are read.
+
+    Two filters of fixed size decide by hash: all good ids are in the first,
+    and all ids that are in the first without being good are in the second
+    (they are found by a join of ids alone).  So a document in the first and not
+    in the second is good; the few in both are joined, text and all."""
+    spark, good = docs.sparkSession, _trusted_ids(labels)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text")).where((F.col("text") != "") & F.col("doc_id").isNotNull())
-    return d.where(may_be_good(F.pmod(F.xxhash64("doc_id"), F.lit(MASK_BITS)))).join(good, "doc_id", "left_semi")
+    first = _in_mask(spark, good)
+    mistaken = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull()).where(first).join(good, "doc_id", "left_anti")
+    second = _in_mask(spark, mistaken)
+    near = d.where(first)
+    return near.where(~second).unionByName(near.where(second).join(good, "doc_id", "left_semi"))
 
 
 def train(spark: SparkSession, trusted: DataFrame) -> Model | None:
@@ -329,7 +381,7 @@ def _pack(n_shards: int, n_slots: int):
         for every, digests in _chunks(it):
             own = dict(zip(digests, every, strict=True))  # equal texts once
             chunk, number = (task << 32) | number, number + 1
-            context, symbol, text, n = _counted(list(own.values()), by_text=True)
+            context, symbol, text, n = _counted(list(own.values()))
             first = np.flatnonzero(np.r_[True, (np.diff(context) != 0) | (np.diff(symbol) != 0)])
             holders = np.diff(np.r_[first, len(n)])
             shard = _shard(context[first], symbol[first], n_shards)
@@ -419,10 +471,10 @@ def _score_in_place(shared):
                 while at and size < CHUNK_CHARS:
                     part.append(at.pop())
                     size += len(texts[part[-1]])
-                context, symbol, text, n = _counted([texts[i] for i in part], by_text=True)
+                context, symbol, key, ends = _indexed([texts[i] for i in part])
                 log_p = table(context, symbol)
                 for v in VIEWS:
-                    sums[part, v] = np.bincount(text, log_p[:, v] * n, len(part))
+                    sums[part, v] = np.add.reduceat(log_p[key, v], np.r_[0, ends[:-1]])
             lists = pa.array([None if np.isnan(s[0]) else s.tolist() for s in sums], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], "_log_p"])
 

@@ -175,3 +175,31 @@ def test_packed_counts_over_many_shards_and_slots(spark, monkeypatch):
     for r in P.score(spark, docs, model).collect():
         assert r.log_perplexity == pytest.approx(sharded[r.doc_id].log_perplexity, abs=1e-9)
         assert r.unseen == pytest.approx(sharded[r.doc_id].unseen, abs=1e-9)
+
+
+def test_trusted_documents_whatever_the_filters_hold(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 300, f"text {i}") for i in range(400)] + [(None, "no id"), (5, ""), (6, None)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 0) for i in range(0, 350)] + [(3, 0, 0)], "doc_id long, quality int, toxic int")
+    want = sorted((i % 300, f"text {i}") for i in range(400) if i % 300 % 3 == 0 and i % 300 != 3)
+    for bits in (1 << 26, 1 << 15, 1 << 6, 8):  # from sparse to full
+        monkeypatch.setattr(P, "MASK_BITS", bits)
+        assert sorted(map(tuple, P.trusted_documents(docs, labels).collect())) == want
+
+
+def test_numbering_by_table_and_by_sort():
+    texts = ["abcabcabd", "x", "".join(chr(c) for c in range(0x4E00, 0x4E00 + 3000)) * 2, "ab"]
+    context, symbol, key, ends = P._indexed(texts)
+    at, text = 0, 0
+    for t in texts:
+        s = [0] * (P.ORDER - 1) + [ord(c) + 2 for c in t]
+        for i in range(len(t)):
+            head = 0
+            for x in s[i : i + P.ORDER - 1]:
+                head = head << P.BITS | x
+            assert (context[key[at]], symbol[key[at]]) == (head, s[i + P.ORDER - 1])
+            at += 1
+    assert at == ends[-1] and len(set(zip(context.tolist(), symbol.tolist()))) == len(context)
+    assert (np.lexsort((symbol, context)) == np.arange(len(context))).all()
+    codes = np.random.default_rng(1).integers(0, 1 << 20, 5000)
+    dense, by_sort = P._numbered(codes, 1 << 20), P._numbered(codes, P.DENSE + 1)
+    assert all((a == b).all() for a, b in zip(dense, by_sort))

@@ -9,6 +9,7 @@ row.  ``oracle_sql`` gives literal DuckDB statements for the same results.
 
 from __future__ import annotations
 
+import dataclasses
 import logging
 import os
 import sys
@@ -29,6 +30,7 @@ from carelens.sources import fixtures as FX  # noqa: E402
 from carelens.sources import readers as R  # noqa: E402
 from carelens.sources import schemas as SC  # noqa: E402
 from carelens.sources import sinks as SK  # noqa: E402
+from carelens.sources import versions as V  # noqa: E402
 
 # The training-data operators and their pipeline are an optional part: without
 # their folders, or something that they need, everything else here still works.
@@ -88,6 +90,9 @@ SLICES: dict[str, list[str]] = {
 }
 
 
+FILE_ORDER_COLUMNS = ["latest_nps_rating", *SLICES["purchase_gaps"]]
+
+
 def _src(spark: SparkSession, sf_dir: str):
     return FX.fixture_sources(spark, sf_dir)
 
@@ -305,10 +310,29 @@ def preview_head(spark, sf_dir):
 
 
 def features_roundtrip(spark, sf_dir):
-    """The feature table written as CSV and read back typed."""
+    """The feature table published as CSV, in the second version of a
+    table, and read back typed."""
     t = customer_features(spark, sf_dir)
-    path = SK.write_table(t, SK.scratch_path(spark, "features-csv"), fmt="csv")
-    return spark.read.schema(t.schema).option("header", True).csv(path)
+    path = SK.scratch_path(spark, "features-csv")
+    V.publish(spark.createDataFrame([], t.schema), path)
+    V.publish(t, path, "csv")
+    return V.read(spark, path)
+
+
+def file_order(spark, sf_dir):
+    """Ties by the order of lines.  Calls and installs come as CSV
+    files without a column that gives their order (written from the last row to
+    the first); the readers number the lines."""
+    src = _src(spark, sf_dir)
+    frames, order = {}, {}
+    for name, by in (("calls", ["event_id"]), ("installs", list(FX.LINE_ORDER))):
+        df = getattr(src, name).orderBy(*[F.desc(c) for c in by])
+        raw = df.drop(*by).withColumnsRenamed({v: k for k, v in R.RAW_NAMES[name].items()})
+        path = SK.write_table(raw, SK.scratch_path(spark, f"{name}-lines"), fmt="csv")
+        frames[name] = R.read_csv(spark, path, name, line_numbers="line_no")
+        order[name] = ("line_no",)
+    src = dataclasses.replace(src, **frames, order={**src.order, **order})
+    return FT.feature_table(src, CFG, FILE_ORDER_COLUMNS)
 
 
 # ----------------------------------------------------------------- model
@@ -402,6 +426,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         union_chunks=union_chunks,
         preview_head=preview_head,
         features_roundtrip=features_roundtrip,
+        file_order=file_order,
         standardize=standardize,
         elbow_k1=elbow_k1,
         elbow=elbow,
@@ -487,6 +512,7 @@ def oracle_sql() -> dict[str, str]:
     o["preview_head"] = _row_sql(
         "SELECT event_id, CustomerCode, Status FROM calls ORDER BY event_id LIMIT 5")
     o["features_roundtrip"] = o["customer_features"]
+    o["file_order"] = oq.feature_slice(FILE_ORDER_COLUMNS, last_line_first=True)
     o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))
     o["elbow_k1"] = oq.elbow_k1_sql(oq.with_views("SELECT * FROM features"))
     o["cluster_table"] = o["customer_features"]

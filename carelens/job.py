@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from carelens.config import FeatureConfig
 from carelens.plans import model
 from carelens.plans.features import build_features
+from carelens.sources import versions
 from carelens.sources.inputs import Sources
-from carelens.sources.sinks import release, scratch_mark, write_table
+from carelens.sources.sinks import release, scratch_mark
 
 
 def run_job(
@@ -23,10 +24,11 @@ def run_job(
     seed: int = 100,
     clip_infinite: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Build the features once and write them to ``features_path``, fit the
-    segments on what was written, write the labelled table to
-    ``clusters_path``, and delete the staged tables.  Returns both tables as
-    read back.
+    """Build the features once and publish them as the next version of the
+    table at ``features_path``, fit the segments on what was written, publish
+    the labelled table at ``clusters_path``, and delete the staged tables.
+    Returns both tables as read back; ``versions.read`` finds them again.  A run
+    that fails leaves the versions before it as they were.
 
     ``clip_infinite`` replaces infinite ratios by their column's largest (or
     smallest) finite value before clustering; otherwise an infinite value
@@ -34,16 +36,9 @@ def run_job(
     mark = scratch_mark()
     try:
         built = build_features(src, cfg)
-        write_table(built, features_path, fmt)
-        features = _read(spark, features_path, fmt, built.schema)
+        features = versions.read(spark, features_path, versions.publish(built, features_path, fmt))
         points = model.clip_infinite(features) if clip_infinite else features
         labelled = model.clusters(spark, points, k, seed)
-        write_table(labelled, clusters_path, fmt)
-        return features, _read(spark, clusters_path, fmt, labelled.schema)
+        return features, versions.read(spark, clusters_path, versions.publish(labelled, clusters_path, fmt))
     finally:
         release(spark, mark)
-
-
-def _read(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
-    reader = spark.read.schema(schema).format(fmt)
-    return (reader.option("header", True) if fmt == "csv" else reader).load(path)

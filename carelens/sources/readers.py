@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,25 @@ def coerce_types(
     return df.select(*out)
 
 
+def with_line_numbers(df: DataFrame, name: str = "line_no") -> DataFrame:
+    """``df``, a plain scan of files, with the number of each row in upstream
+    order: files by path, rows of a file as they stand in it.
+
+    A row's place is that of its split (file path and block start) plus its
+    place among the split's rows; one pass that reads no column counts the rows
+    of every split.  So the numbers do not depend on which task reads a split,
+    on re-execution, or on how finely files are split."""
+    place = F.monotonically_increasing_id()  # rises within a task, so within each of its splits
+    at = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_place": place}
+    splits = df.select(*[c.alias(n) for n, c in at.items()]).groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    # One row for each split of the input.
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("_file", "_block", (before - F.col("_first")).alias("_offset"))
+    rows = df.select("*", *[c.alias(n) for n, c in at.items()])
+    return rows.join(splits, ["_file", "_block"], "left").select(*df.columns, (F.col("_place") + F.col("_offset")).alias(name))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -75,12 +94,19 @@ def read_csv(
     limit: int | None = None,
     ts_formats: Iterable[str] = DEFAULT_TS_FORMATS,
     keep: Sequence[str] = (),
+    line_numbers: str | None = None,
 ) -> DataFrame:
     """CSV scan (S4): header, every column read as text (no inference), then
     renamed and typed.  ``limit`` caps rows only when asked for (default:
-    whole file)."""
+    whole file).  ``line_numbers`` names a column that gives the rows' order in
+    the file, for ``Sources.order``; a limit then means the first rows."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    if limit is not None:
+    if line_numbers:
+        raw = with_line_numbers(raw, line_numbers)
+        keep = (*keep, line_numbers)
+        if limit is not None:
+            raw = raw.where(F.col(line_numbers) < limit)
+    elif limit is not None:
         raw = raw.limit(limit)
     return coerce_types(canonical_columns(raw, source, keep), source, ts_formats)
 

@@ -339,8 +339,16 @@ def with_views(select: str, extra: list[tuple[str, str]] | None = None) -> str:
     return fixture_cte(*STEPS, ("features", FEATURES_SQL), *(extra or [])) + select
 
 
-def feature_slice(columns: list[str]) -> str:
-    return with_views("SELECT customer, " + ", ".join(columns) + " FROM features")
+def feature_slice(columns: list[str], last_line_first: bool = False) -> str:
+    """The columns of the feature table; ``last_line_first``: of inputs whose
+    rows come in the opposite order."""
+    sql = with_views("SELECT customer, " + ", ".join(columns) + " FROM features")
+    if last_line_first:
+        for step in ("PARTITION BY customer, ClosedOn ORDER BY event_id", f"PARTITION BY customer ORDER BY pdate ASC NULLS LAST, {TB}"):
+            assert sql.count(step) == 1
+            columns_of = "event_id" if step.endswith("event_id") else TB
+            sql = sql.replace(step, step.removesuffix(columns_of) + ", ".join(f"{c} DESC" for c in columns_of.split(", ")))
+    return sql
 
 
 assert SENTINEL == 99999

@@ -124,3 +124,68 @@ def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def csv_lines(folder, files):
+    """Files of "k,v" lines; v counts lines over all files by path."""
+    n = 0
+    for name, rows in files:
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("k,v,pad\n")
+            for _ in range(rows):
+                f.write(f"{n % 7},{n},{'x' * (n % 50)}\n")
+                n += 1
+    return n
+
+
+@pytest.mark.parametrize("split", [300, 4000, 1 << 27])
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, split):
+    n = csv_lines(tmp_path, [("a.csv", 1000), ("b.csv", 1), ("c.csv", 0), ("d.csv", 2500)])
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k, None) for k in names}
+    for k in names:
+        spark.conf.set(k, str(split))
+    try:
+        raw = spark.read.option("header", True).csv(str(tmp_path))
+        df = R.with_line_numbers(raw, "line")
+        assert df.columns == ["k", "v", "pad", "line"]
+        assert split > 300 or raw.rdd.getNumPartitions() > 100
+        rows = df.repartition(3, "k").collect()
+        assert len(rows) == n and all(int(r["v"]) == r["line"] for r in rows)
+        # A column less, a filter more: the same numbers.
+        part = R.with_line_numbers(raw.select("v"), "line").where("line % 2 = 0").collect()
+        assert len(part) == -(-n // 2) and all(int(r["v"]) == r["line"] for r in part)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_latest_rating_by_line_order_against_duckdb(spark, tmp_path):
+    """A CSV without any order column: ties go to the first line, as DuckDB
+    finds it in the same file by row number."""
+    import duckdb
+
+    from carelens.operators import calls
+    from carelens.config import FeatureConfig
+    from carelens.sources.inputs import Sources
+
+    path = str(tmp_path / "calls.csv")
+    with open(path, "w") as f:
+        f.write("CustomerCode,ProductSerial,npSrating,ClosedOn\n")
+        for i in range(3000):
+            closed = "" if i % 11 == 0 else f"2024-01-{1 + i * 7 % 5:02d} 10:00:00"
+            f.write(f"{i * 13 % 40},S{i % 3},{i * 31 % 97},{closed}\n")
+    want = duckdb.sql(f"""
+        WITH c AS (SELECT *, row_number() OVER () AS line FROM read_csv('{path}', header = true)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY CustomerCode ORDER BY ClosedOn DESC NULLS LAST, line) AS n FROM c)
+        SELECT CAST(CustomerCode AS VARCHAR), CAST(npSrating AS DOUBLE) FROM r WHERE n = 1""").fetchall()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = R.read_csv(spark, path, "calls", line_numbers="line_no")
+        src = Sources(**{n: df for n in ("installs", "calls", "contracts", "spares", "call_items", "price_ratio")}, order={"calls": ("line_no",)})
+        got = calls.summary(calls.prepare(src, FeatureConfig()), src.tiebreak("calls"), FeatureConfig())
+        assert sorted((r["customer"], r["latest_nps_rating"]) for r in got.collect()) == sorted(want)
+        first = R.read_csv(spark, path, "calls", limit=5, line_numbers="line_no").collect()
+        assert sorted(r["line_no"] for r in first) == [0, 1, 2, 3, 4]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")

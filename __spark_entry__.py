@@ -31,6 +31,7 @@ from carelens.sources import readers as R  # noqa: E402
 from carelens.sources import schemas as SC  # noqa: E402
 from carelens.sources import sinks as SK  # noqa: E402
 from carelens.sources import versions as V  # noqa: E402
+from carelens.streaming import state as ST  # noqa: E402
 
 # The training-data operators and their pipeline are an optional part: without
 # their folders, or something that they need, everything else here still works.
@@ -319,6 +320,24 @@ def features_roundtrip(spark, sf_dir):
     return V.read(spark, path)
 
 
+DAILY_FEATURES = [f.name for f in FT.CATALOGUE if f.group in (*ST.GROUPS, "warranty")]
+
+
+def incremental_features(spark, sf_dir):
+    """The daily tables merged batch by batch (whole days each, one batch
+    delivered twice, layers compacted once) into feature state, and the
+    features of those tables read from it."""
+    src = _src(spark, sf_dir)
+    state = ST.FeatureState(spark, SK.scratch_path(spark, "feature-state"), CFG)
+    n = 3
+    for batch in (0, 1, 1, 2):
+        rows = {t: getattr(src, t).where(F.coalesce(F.pmod(X.day_index(F.col(c)), F.lit(n)), F.lit(0)) == batch) for t, c in R.DAILY_COLUMNS.items()}
+        state.apply(f"days-{batch}", rows, src.order)
+        if batch == 1:
+            state.compact()
+    return state.features(src, DAILY_FEATURES)
+
+
 def file_order(spark, sf_dir):
     """Ties by the order of lines.  Calls and installs come as CSV
     files without a column that gives their order (written from the last row to
@@ -427,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         preview_head=preview_head,
         features_roundtrip=features_roundtrip,
         file_order=file_order,
+        incremental_features=incremental_features,
         standardize=standardize,
         elbow_k1=elbow_k1,
         elbow=elbow,
@@ -512,6 +532,7 @@ def oracle_sql() -> dict[str, str]:
     o["preview_head"] = _row_sql(
         "SELECT event_id, CustomerCode, Status FROM calls ORDER BY event_id LIMIT 5")
     o["features_roundtrip"] = o["customer_features"]
+    o["incremental_features"] = oq.feature_slice(DAILY_FEATURES)
     o["file_order"] = oq.feature_slice(FILE_ORDER_COLUMNS, last_line_first=True)
     o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))
     o["elbow_k1"] = oq.elbow_k1_sql(oq.with_views("SELECT * FROM features"))

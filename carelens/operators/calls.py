@@ -114,21 +114,23 @@ def per_machine(calls: DataFrame, tiebreak: list[str]) -> DataFrame:
     return calls.groupBy("customer", "serial").agg(*aggs)
 
 
-def media_count(calls: DataFrame) -> DataFrame:
-    """#39: distinct media per customer, counted after a (customer, medium)
-    pre-grouping."""
-    return (
-        calls.where(F.col("Medium").isNotNull())
-        .select("customer", "Medium")
-        .distinct()
-        .groupBy("customer")
-        .agg(F.count(F.lit(1)).alias("unique_medium_count"))
-    )
+# How two folds of one machine become one; all other columns are summed.
+MERGE = {"last_closed_on": F.max, "last_remark_date": F.max, "max_escalation": F.max, "max_nps": F.max, "latest": F.min, "nps_sum": exact_sum}
+
+
+def media(calls: DataFrame) -> DataFrame:
+    """The different (customer, medium) pairs."""
+    return calls.where(F.col("Medium").isNotNull()).select("customer", "Medium").distinct()
 
 
 def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFrame:
     """One row per customer with calls; ``calls`` is the output of ``prepare``."""
-    m = per_machine(calls, tiebreak)
+    return from_folds(per_machine(calls, tiebreak), media(calls), cfg)
+
+
+def from_folds(m: DataFrame, media: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """``summary`` from the outputs of ``per_machine`` and ``media``; #39 counts
+    the latter."""
     has_serial = F.col("serial").isNotNull()
 
     def machine_mean(name: str) -> Column:
@@ -153,7 +155,7 @@ def summary(calls: DataFrame, tiebreak: list[str], cfg: FeatureConfig) -> DataFr
         machine_mean("cnr").alias("close_nr_days_diff"),
         *[machine_mean(n).alias(n) for n, _ in TAT_COLUMNS],
     )
-    agg = agg.join(media_count(calls), "customer", "left")
+    agg = agg.join(media.groupBy("customer").agg(F.count(F.lit(1)).alias("unique_medium_count")), "customer", "left")
     return agg.withColumns(
         {
             "unique_medium_count": F.coalesce("unique_medium_count", F.lit(0)),

@@ -63,11 +63,24 @@ def per_machine(con: DataFrame) -> DataFrame:
     )
 
 
+# How two folds of one machine become one; all other columns take the larger.
+MERGE = {"min_start": F.min, "n_contracts": F.sum, "price_total": exact_sum}
+
+
+def numbers(con: DataFrame) -> DataFrame:
+    """The different (customer, contract number) pairs."""
+    return con.select("customer", "icr").distinct()
+
+
 def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """One row per customer with a contract: #48-#56, #77 and
     ``con_end_date_max`` (for #57)."""
-    icr = con.select("customer", "icr").distinct().groupBy("customer").agg(
-        F.count(F.lit(1)).alias("unique_icrno_count"))
+    return from_folds(numbers(con), machine, cfg)
+
+
+def from_folds(numbers: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """``summary`` from the outputs of ``numbers`` and ``per_machine``."""
+    icr = numbers.groupBy("customer").agg(F.count(F.lit(1)).alias("unique_icrno_count"))
     by_machine = machine.groupBy("customer").agg(
         *[
             F.coalesce(F.sum(f"has_{i}"), F.lit(0)).cast("bigint").alias(name)

@@ -48,7 +48,21 @@ def machine_fold(sp: DataFrame) -> DataFrame:
     )
 
 
+# How two folds of one machine become one; all other columns are summed.
+MERGE = {"first_booked": F.min, "net_total": exact_sum}
+
+
+def booking_days(sp: DataFrame) -> DataFrame:
+    """The different (customer, machine, item, booking time)s."""
+    return sp.where(F.col("item").isNotNull() & F.col("booked").isNotNull()).select("customer", "serial", "item", "booked").distinct()
+
+
 def repeat_parts(sp: DataFrame, machine: DataFrame) -> DataFrame:
+    """``repeats`` of the output of ``prepare``."""
+    return repeats(booking_days(sp), machine)
+
+
+def repeats(booked: DataFrame, machine: DataFrame) -> DataFrame:
     """#58 and #63/#64.  Per (customer, machine, item): distinct booking
     days, overall and strictly inside the span from the machine's first
     contract start to its last contract end.  An item repeats when it has
@@ -56,18 +70,12 @@ def repeat_parts(sp: DataFrame, machine: DataFrame) -> DataFrame:
     #58 ignores machines with an unknown serial; #63 is NULL for customers
     without any repeat inside a contract (it is not imputed).
 
-    Booking days are de-duplicated first, and the contract side is one row
+    ``booked`` has every booking once (``booking_days``), and the contract side is one row
     per machine, so the join never multiplies rows.  The join's output is
     dealt out anew by item: with an aggregation on its own partitioning
     behind it, AQE could not split a hot machine."""
     span = machine.select("customer", "serial", "min_start", "max_end")
-    days = (
-        sp.where(F.col("item").isNotNull() & F.col("booked").isNotNull())
-        .select("customer", "serial", "item", "booked")
-        .distinct()
-        .join(span, ["customer", "serial"], "left")
-        .repartition("customer", "serial", "item")
-    )
+    days = booked.join(span, ["customer", "serial"], "left").repartition("customer", "serial", "item")
     inside = (F.col("booked") > F.col("min_start")) & (F.col("booked") < F.col("max_end"))
     per_item = days.groupBy("customer", "serial", "item").agg(
         F.count(F.lit(1)).alias("n_days"),

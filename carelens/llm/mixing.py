@@ -1,7 +1,8 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Each source owns a share of the total budget (``targets``).  Its documents are
-shuffled by a seeded hash and queued, up to three times over; a copy's virtual
+shuffled by a seeded hash of id and text (so that rows of one id, or of none,
+are spread over the queue like any others) and queued, up to three times over; a copy's virtual
 finish time is the source's cumulated words up to and including it, divided by
 the source's target.  All copies are put in one global order by finish time
 and the order is cut where the total budget is reached.  Every source so
@@ -14,8 +15,8 @@ range), and inside a range the sum runs over its rows only.  No task holds a
 source or the whole order.
 
 Defined results: NULL text has size 0; a NULL source is a source (the last
-one); a NULL doc_id is queued under a hash of its own; repeated rows are queued
-one by one; documents of size 0 are never taken; an empty table, or one without words,
+one); a NULL doc_id counts as an id; repeated rows are queued one by one, side by
+side; documents of size 0 are never taken; an empty table, or one without words,
 gives targets of 0; other columns are ignored.
 """
 
@@ -59,8 +60,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
     return s.select("source", "source_size", "weight", F.when(full, F.col("cap")).otherwise(F.col("level") * F.col("weight")).alias("target"))
 
 
-def _shuffle_key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def _shuffle_key(doc_id: Column, text: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(text.cast("binary"))).cast("binary"))
 
 
 def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -69,7 +70,7 @@ def fair_queue(spark: SparkSession, docs: DataFrame, text: str = "text", carry:
     sized = materialize(spark, docs.select(
         *carry,
         F.monotonically_increasing_id().alias("row_id"), "doc_id", "source",
-        n_words(text_or_empty(text)).alias("size"), _shuffle_key(F.col("doc_id")).alias("key")), "mix-sizes")
+        n_words(text_or_empty(text)).alias("size"), _shuffle_key(F.col("doc_id"), text_or_empty(text)).alias("key")), "mix-sizes")
     sources = materialize(spark, sized.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), "mix-sources")
     plan = targets(sources)

@@ -75,7 +75,7 @@ def mixing() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
   CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
-  md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
+  md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
 s1 AS (SELECT source, source_size, CAST({weights} AS DOUBLE) AS weight, CAST({MAX_REPEATS} * source_size AS DOUBLE) AS cap, i FROM s),
 s2 AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER f, 0) AS left_size,

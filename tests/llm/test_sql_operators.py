@@ -82,6 +82,24 @@ def test_cutoffs_adapt_to_the_group(spark):
 # ---------------------------------------------------------------- mixing
 
 
+def test_mixing_spreads_the_rows_of_one_id(spark):
+    """A third of all rows on one id, another on none: their keys spread over
+    the ranges of the queue, and the mix equals the SQL's."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"word{i} " * (i % 5 + 1), "en", "a" if i % 4 else "b", 1) for i in range(3000)]
+    docs = odd_docs(spark, rows)
+    keys = docs.select(mixing._shuffle_key(docs["doc_id"], docs["text"]).alias("key")).toPandas()["key"]
+    first = keys.str[:1].value_counts()
+    assert len(first) == 16 and first.max() < 2 * first.mean() and keys.nunique() == 3000
+    c = duck()
+    table = docs.toPandas()
+    c.register("odd", table)
+    c.sql("CREATE OR REPLACE VIEW documents AS SELECT CAST(doc_id AS BIGINT) AS doc_id, text, source FROM odd")
+    out = mixing.fair_queue(spark, docs).select("doc_id", "size", "source_size", "target", "taken")
+    got = sorted(map(str, ((None if r[0] is None else int(r[0]), *r[1:]) for r in out.collect())))
+    want = sorted(map(str, c.sql(queries.ORACLE_SQL["op9_mixing"]).fetchall()))
+    assert got == want
+
+
 def test_mixing_odd_rows(spark):
     rows = odd_rows()
     out = mixing.fair_queue(spark, odd_docs(spark)).collect()

@@ -49,10 +49,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = _whole(docs).withColumn("key", key)
     found = ngram_join.jaccard_components(spark, keyed, id_column="key")
     ids = materialize(spark, found.where(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count("*").alias("n")), "kept-ids")
-    kept = keyed.join(ids.select("key"), "key", "left_semi")
-    if not ids.where(F.col("n") > 1).isEmpty():  # rows that are equal in id and text
-        kept = kept.dropDuplicates(["key"])
-    return kept.select("doc.*")
+    if ids.where(F.col("n") > 1).isEmpty():
+        return keyed.join(ids.select("key"), "key", "left_semi").select("doc.*")
+    # Of rows that are equal in id and text the first stays, by all columns.
+    kept = keyed.join(ids, "key")
+    first = kept.where("n > 1").groupBy("key").agg(F.min_by("doc", F.to_json("doc", {"ignoreNullFields": "false"})).alias("doc"))
+    return kept.where("n = 1").select("doc").unionByName(first.select("doc")).select("doc.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

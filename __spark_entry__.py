@@ -320,6 +320,26 @@ def features_roundtrip(spark, sf_dir):
     return V.read(spark, path)
 
 
+CONTRACT_FIELDS = ["CustomerCode", "SrNo", "IcrNo", "AmcType", "AMCPostingDate", "ContStrtDat", "ContEndDat", "Price", "WarConv"]
+
+
+def coerced_counts(spark, sf_dir):
+    """Contracts as CSV lines of which some have a field too many,
+    dates that are none, or prices that are no numbers; what the load lost, by
+    column, and how many lines it set aside."""
+    k, key = FX.contracts_view(spark, sf_dir), F.col("o_orderkey")
+    spoilt = {"ContStrtDat": F.when(key % 5 == 0, F.lit("soon")).otherwise(F.col("ContStrtDat").cast("string")),
+              "Price": F.when(key % 7 == 0, F.lit("12;50 EUR")).otherwise(F.col("Price").cast("string"))}
+    fields = [F.coalesce(spoilt.get(c, F.col(c).cast("string")), F.lit("")) for c in CONTRACT_FIELDS]
+    line = F.concat(F.concat_ws(",", *fields), F.when(key % 11 == 3, F.lit(",one more")).otherwise(F.lit("")))
+    path = SK.scratch_path(spark, "contract-lines")
+    k.select(line.alias("line")).write.text(path)
+    got = R.load_csv(spark, path, "contracts", names=CONTRACT_FIELDS)
+    rows = [("contracts", c, n) for c, n in got.lost.items()] + [("contracts", "(malformed)", got.n_malformed), ("contracts", "(rows)", got.n_rows)]
+    rows += [("contracts", "(read back)", got.rows.count()), ("contracts", "(set aside)", got.quarantine.count())]
+    return spark.createDataFrame(rows, "source string, name string, n long")
+
+
 DAILY_FEATURES = [f.name for f in FT.CATALOGUE if f.group in (*ST.GROUPS, "warranty")]
 
 
@@ -446,6 +466,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         preview_head=preview_head,
         features_roundtrip=features_roundtrip,
         file_order=file_order,
+        coerced_counts=coerced_counts,
         incremental_features=incremental_features,
         standardize=standardize,
         elbow_k1=elbow_k1,
@@ -532,6 +553,11 @@ def oracle_sql() -> dict[str, str]:
     o["preview_head"] = _row_sql(
         "SELECT event_id, CustomerCode, Status FROM calls ORDER BY event_id LIMIT 5")
     o["features_roundtrip"] = o["customer_features"]
+    counted = {"AMCPostingDate": "count_if(k IS NULL)", "ContStrtDat": "count_if(sound AND k % 5 = 0)", "ContEndDat": "count_if(k IS NULL)", "Price": "count_if(sound AND k % 7 = 0)",
+               "(malformed)": "count_if(NOT sound)", "(set aside)": "count_if(NOT sound)", "(rows)": "count_if(sound)", "(read back)": "count_if(sound)"}
+    o["coerced_counts"] = _row_sql(" UNION ALL ".join(
+        f"SELECT 'contracts' AS source, '{name}' AS name, CAST({n} AS BIGINT) AS n FROM (SELECT o_orderkey AS k, o_orderkey % 11 <> 3 AS sound FROM contracts)"
+        for name, n in counted.items()))
     o["incremental_features"] = oq.feature_slice(DAILY_FEATURES)
     o["file_order"] = oq.feature_slice(FILE_ORDER_COLUMNS, last_line_first=True)
     o["standardize"] = oq.standardize_sql(oq.with_views("SELECT * FROM features"))

@@ -9,15 +9,17 @@ rule.  Nothing is inferred and nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.functions.expr import key_text, parse_ts
 from carelens.sources.schemas import DEFAULT_TS_FORMATS, RAW_NAMES, SCHEMAS
+from carelens.sources.sinks import scratch_path
 
 
 def canonical_columns(df: DataFrame, source: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -111,6 +113,49 @@ def read_csv(
     return coerce_types(canonical_columns(raw, source, keep), source, ts_formats)
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """A CSV input as loaded: its rows, the lines that were no rows (their
+    text), and how many values of each column did not parse."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+    n_rows: int
+    n_malformed: int
+    lost: dict[str, int]
+
+
+def load_csv(
+    spark: SparkSession,
+    path: str,
+    source: str,
+    ts_formats: Iterable[str] = DEFAULT_TS_FORMATS,
+    names: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+) -> Loaded:
+    """CSV load with an account of what it lost, in one scan: lines with too
+    many or too few fields go to a side table, and values that are there but
+    become missing when they are typed (``errors='coerce'``) are counted by the
+    pass that writes the typed rows.  ``names`` are the fields of files without
+    a header."""
+    columns = list(names) if names else spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_malformed")])
+    raw = spark.read.schema(schema).option("header", names is None).option("columnNameOfCorruptRecord", "_malformed").csv(path)
+    df = canonical_columns(raw, source, (*keep, "_malformed"))
+    typed = [f.name for f in SCHEMAS[source].fields if not isinstance(f.dataType, T.StringType) and f.name in df.columns]
+    both = coerce_types(df.select("*", *[F.col(c).cast("string").alias(f"_raw_{c}") for c in typed]), source, ts_formats)
+    sound = F.col("_malformed").isNull()
+    account, seen = [F.count_if(sound).alias("_rows"), F.count_if(~sound).alias("_bad")], Observation()
+    account += [F.count_if(sound & (F.trim(f"_raw_{c}") != "") & F.col(c).isNull()).alias(c) for c in typed]
+    out = both.observe(seen, *account).drop(*[f"_raw_{c}" for c in typed]).withColumn("_is_row", sound)
+    table = scratch_path(spark, f"loaded-{source}")
+    out.write.partitionBy("_is_row").parquet(table)
+    back = spark.read.schema(out.schema).parquet(table)
+    got = seen.get
+    return Loaded(back.where("_is_row").drop("_malformed", "_is_row"), back.where("NOT _is_row").select(F.col("_malformed").alias("line")),
+                  got["_rows"], got["_bad"], {c: got[c] for c in typed})
+
+
 def read_parquet(
     spark: SparkSession,
     path: str,

@@ -189,3 +189,39 @@ def test_latest_rating_by_line_order_against_duckdb(spark, tmp_path):
         assert sorted(r["line_no"] for r in first) == [0, 1, 2, 3, 4]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+
+
+def test_load_csv_accounts_for_what_it_loses(spark, tmp_path):
+    lines = ["CustomerCode,ProductSerial,MATERIAL,COGS,MACHSTAT,CallBookDate",
+             "7,S1,P1,12.5,ZAMC,2024-01-05 10:00:00", "8,S2,P2,twelve,OG,soon", "9,S3,P3,,OG,", "10,S4", "11,S5,P5,1,OG,2024-01-06 00:00:00,more",
+             "12,S6,P6,  ,OG,31/31/2024", "13,S7,P7,nan,OG,2024-01-07 00:00:00"]
+    for name, part in (("a.csv", lines[:4]), ("b.csv", [lines[0], *lines[4:]])):
+        (tmp_path / name).write_text("\n".join(part) + "\n")
+    got = R.load_csv(spark, str(tmp_path), "spares")
+    assert (got.n_rows, got.n_malformed) == (5, 2) and got.lost == {"NetValue": 1, "CallBookDate": 2}
+    assert sorted(r["line"] for r in got.quarantine.collect()) == ["10,S4", "11,S5,P5,1,OG,2024-01-06 00:00:00,more"]
+    rows = {r["CustomerC"]: r for r in got.rows.collect()}
+    assert sorted(rows) == ["12", "13", "7", "8", "9"] and got.rows.columns == SC.SCHEMAS["spares"].fieldNames()
+    assert rows["7"]["NetValue"] == 12.5 and rows["8"]["NetValue"] is None and rows["9"]["CallBookDate"] is None
+    plain = R.read_csv(spark, str(tmp_path), "spares").where("CustomerC IN ('7', '8', '9', '12')")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(got.rows.where("CustomerC <> '13'")) == key(plain)
+
+
+def test_load_csv_scans_once(spark, tmp_path, monkeypatch):
+    """The account is taken by the pass that writes: one job that reads."""
+    from pyspark.sql import DataFrameWriter
+
+    (tmp_path / "x.csv").write_text("7,S1,P1,1,OG,soon\n" * 50)
+    plans = []
+    real = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (plans.append(w._df._jdf.queryExecution().executedPlan().toString()), real(w, *a, **k))[1])
+    got = R.load_csv(spark, str(tmp_path / "x.csv"), "spares", names=["CustomerCode", "ProductSerial", "MATERIAL", "COGS", "MACHSTAT", "CallBookDate"])
+    assert got.lost == {"NetValue": 0, "CallBookDate": 50} and got.n_rows == 50
+    assert len(plans) == 1 and plans[0].count("FileScan csv") == 1 and "CollectMetrics" in plans[0]
+
+
+def test_load_csv_of_an_empty_file(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("CustomerCode,ProductSerial,MATERIAL,COGS,MACHSTAT,CallBookDate\n")
+    got = R.load_csv(spark, str(tmp_path / "x.csv"), "spares")
+    assert (got.n_rows, got.n_malformed) == (0, 0) and got.rows.count() == 0 and got.quarantine.count() == 0

@@ -1,26 +1,33 @@
 """Toxicity by nearest labelled examples.
 
-A text is a TF-IDF vector over a vocabulary of whole words, word pieces (5
-characters, ``^`` and ``$`` marking where a word begins and ends) and stems (a
-word's first 3 to 6 letters), chosen from the labelled examples by chi-squared
-between term and label.  A stem that occurs again and again is a further term
-for every ``LEVELS`` rate per 1000 words that it reaches, so that a stem that is
-harmless once and telling when frequent can be told apart.  Its nearest
-examples by *exact* cosine vote with their similarity; the vote becomes a score
-by calibration on labelled documents in their natural proportions (examples among
-them are scored without themselves).
+A text is a TF-IDF vector over every word of the labelled examples, however
+rare.  Word pieces (5 characters, ``^`` and ``$`` marking where a word begins and
+ends) and stems (a word's first 3 to 6 letters) are terms beside them where they
+tell the labels apart (chi-squared).  A stem that occurs again and again is a
+further term for every ``LEVELS`` rate per 1000 words that it reaches, so that a
+stem that is harmless once and telling when frequent can be told apart.  A term
+weighs its inverse document frequency, times its chi-squared over
+``SIGNIFICANT`` (at least ``LEAST_SHARE``) below that: words that say little of
+the label decide where nothing else does.  A text's nearest examples by *exact*
+cosine vote with their similarity; the vote becomes a score by calibration on
+labelled documents in their natural proportions (examples among them are scored
+without themselves).
 
 Examples are found through a block-max inverted index: a term's postings are
 cut into blocks of ``BLOCK`` example numbers, and the largest weight of every
 (term, block) is kept.  A query bounds every block by the sum of its terms'
 maxima, searches the blocks of largest bounds, and then the others whose bound
 can beat the k-th best found: no example that belongs to the k best is missed.
+The many words of little weight are bounded together, by the length of their
+part of the query times that of the example (the largest in the block), and
+added to the examples that this leaves.
 
 Bounds: at most ``INDEX_PER_CLASS`` examples of either label and
 ``CALIBRATION`` calibration documents, chosen by a hash of their id; the
-vocabulary is every term of theirs that is significant, however many.  So the
-model is bounded by the sample whatever the corpus and is broadcast; documents are scored where they are, without a shuffle, every
-whole text.  Scores depend on the text alone.
+vocabulary is all their words and every significant part.  So the model is
+bounded by the sample whatever the corpus and is broadcast; documents are scored
+where they are, without a shuffle, every whole text.  Scores depend on the text
+alone.
 
 Defined results: NULL text is the empty text; texts without any vocabulary
 term have no neighbours and get the calibrated rate of such texts; labels that
@@ -31,6 +38,8 @@ of both classes every score is 0; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -45,8 +54,9 @@ from carelens.llm.common import materialize, ship_package, text_or_empty
 
 INDEX_PER_CLASS = 3000
 CALIBRATION = 6000
-LEAST_CHI2 = 20.0  # a term must be significant
+SIGNIFICANT = 20.0  # chi-squared from which a term has its full weight
 LEAST_DOCS = 4
+LEAST_SHARE = 0.02
 BLOCK = 64
 NEIGHBOURS = 15
 FIRST_BLOCKS = 8  # blocks searched before the first pruning
@@ -85,20 +95,39 @@ def levels(stem_counts: Counter, n_words: int) -> Iterator[tuple[str, int]]:
 
 @dataclass
 class Index:
-    """Block-max inverted index over unit vectors."""
+    """Block-max inverted index over unit vectors.
+
+    The first terms have postings; the others, of little weight, are kept by
+    example (``light``)."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # weight of a term that occurs once
     ids: list[int]
     labels: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]  # per term: example numbers, weights
+    light: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # per example: other terms, weights
     numbers: np.ndarray = field(init=False)  # all postings, term after term
     posted: np.ndarray = field(init=False)
     starts: np.ndarray = field(init=False)  # (term, block): first posting, and the end
     block_max: np.ndarray = field(init=False)  # (term, block)
+    heavy: int = field(init=False)  # number of terms with postings
+    rows: np.ndarray = field(init=False)  # where an example's light terms start, and the end
+    light_terms: np.ndarray = field(init=False)
+    light_weights: np.ndarray = field(init=False)
+    length: np.ndarray = field(init=False)  # of an example's light part
+    block_length: np.ndarray = field(init=False)  # the largest in a block
 
     def __post_init__(self) -> None:
         blocks, terms = -(-len(self.ids) // BLOCK), len(self.postings)
+        self.heavy = terms
+        light = self.light or [(np.zeros(0, np.int64), np.zeros(0))] * len(self.ids)
+        self.rows = np.concatenate([[0], np.cumsum([len(t) for t, _ in light])]).astype(np.int64)
+        self.light_terms = np.concatenate([t for t, _ in light] or [np.zeros(0)]).astype(np.int32) - np.int32(terms)
+        self.light_weights = np.concatenate([w for _, w in light] or [np.zeros(0)])
+        self.length = np.array([np.sqrt((w * w).sum()) for _, w in light])
+        self.block_length = np.zeros(blocks)
+        np.maximum.at(self.block_length, np.arange(len(self.ids)) // BLOCK, self.length)
+        self.light = []
         self.block_max = np.zeros((terms, blocks))
         self.starts = np.zeros((terms, blocks + 1), np.int64)
         at = 0
@@ -119,32 +148,55 @@ class Index:
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> list[tuple[float, int]]:
         """(cosine, example number) of the k best other than ``but``, ties to
         smaller numbers."""
-        bound = weights @ self.block_max[at]
+        cut = int(np.searchsorted(at, self.heavy))
+        heavy, light = (at[:cut], weights[:cut]), (at[cut:], weights[cut:])
+        size = float(np.sqrt((light[1] * light[1]).sum()))
+        bound = heavy[1] @ self.block_max[heavy[0]] + size * self.block_length
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        best = self._best(at, weights, order[:FIRST_BLOCKS], k, but)
-        if len(order) > FIRST_BLOCKS:
+        best: list[tuple[float, int]] = []
+        for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             least = best[-1][0] if len(best) == k else 0.0
-            rest = order[FIRST_BLOCKS:]
-            rest = rest[bound[rest] >= least - 1e-9]  # the others cannot hold one of the k best
-            if len(rest):
-                best = sorted(best + self._best(at, weights, rest, k, but), key=lambda b: (-b[0], b[1]))[:k]
+            blocks = blocks[bound[blocks] >= least - 1e-9]  # the others cannot hold one of the k best
+            if len(blocks):
+                best = sorted(best + self._best(heavy, light, size, blocks, k, but, least), key=lambda b: (-b[0], b[1]))[:k]
         return best
 
-    def _best(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray, k: int, but: int) -> list[tuple[float, int]]:
-        """The k best of some blocks: their postings, term after term."""
+    def _best(self, heavy: tuple, light: tuple, size: float, blocks: np.ndarray, k: int, but: int, least: float) -> list[tuple[float, int]]:
+        """The k best of some blocks that reach ``least``: postings term after
+        term, then the light terms of the examples that can still be among them."""
+        at, weights = heavy
         first = self.starts[at][:, blocks].ravel()
-        size = self.starts[at][:, blocks + 1].ravel() - first
-        ends = np.cumsum(size)
-        where = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        number = self.numbers[where]
-        got = np.round(np.bincount(number, np.repeat(np.repeat(weights, len(blocks)), size) * self.posted[where], len(self.ids)), 12)
-        if but >= 0:
-            got[but] = 0.0
+        n = self.starts[at][:, blocks + 1].ravel() - first
+        ends = np.cumsum(n)
+        where = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        got = np.bincount(self.numbers[where], np.repeat(np.repeat(weights, len(blocks)), n) * self.posted[where], len(self.ids))
+        number = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        number = number[(number < len(self.ids)) & (number != but)]
+        got = got[number]
+        if size:
+            most = got + size * self.length[number]
+            if len(number) > 4 * k:  # those of the largest bounds tell what the k-th best reaches
+                ahead = np.argpartition(-most, 4 * k)[: 4 * k]
+                own = got[ahead] + self._light(light, number[ahead])
+                least = max(least, float(-np.partition(-own, k - 1)[k - 1]))
+            keep = (most > 0) & (most >= least - 1e-9)
+            number = number[keep]
+            got = got[keep] + self._light(light, number)
+        got = np.round(got, 12)
         hits = np.flatnonzero(got > 0)
         if len(hits) > k:
             hits = hits[got[hits] >= -np.partition(-got[hits], k - 1)[k - 1]]
-        return sorted(((float(got[h]), int(h)) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
+        return sorted(((float(got[h]), int(number[h])) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
+
+    def _light(self, light: tuple, number: np.ndarray) -> np.ndarray:
+        """Products of the light parts of a query and of some examples."""
+        query = np.zeros(len(self.terms) - self.heavy)
+        query[light[0] - self.heavy] = light[1]
+        first, n = self.rows[number], self.rows[number + 1] - self.rows[number]
+        ends = np.cumsum(n)
+        where = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(np.repeat(np.arange(len(number)), n), query[self.light_terms[where]] * self.light_weights[where], len(number))
 
 
 @dataclass
@@ -206,13 +258,16 @@ class Counts:
 
 
 def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document frequencies of the examples of a task, by label."""
+    """Document frequencies of the examples of a task, by label; ``word`` marks
+    the terms that occur as words."""
     seen: dict[str, list[int]] = {}
+    whole: set[str] = set()
     for batch in it:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             own: set[str] = set()
             often: Counter = Counter()
             words = Counter(_WORD.findall(text.as_py().lower()))
+            whole.update(words)
             for word, n in words.items():
                 own.update(pieces(word))
                 for stem in stems(word):
@@ -225,8 +280,9 @@ def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(items), 50_000):
         part = items[k : k + 50_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([t for t, _ in part]), pa.array([n[0] for _, n in part], pa.int64()), pa.array([n[1] for _, n in part], pa.int64())],
-            names=["term", "clean", "toxic"])
+            [pa.array([t for t, _ in part]), pa.array([n[0] for _, n in part], pa.int64()), pa.array([n[1] for _, n in part], pa.int64()),
+             pa.array([t in whole for t, _ in part], pa.bool_())],
+            names=["term", "clean", "toxic", "word"])
 
 
 def examples(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
@@ -265,32 +321,39 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     size = {r["label"]: r["n"] for r in index.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return None
-    df = index.select("label", "text").mapInArrow(_terms_of, "term string, clean long, toxic long").groupBy("term").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    df = index.select("label", "text").mapInArrow(_terms_of, "term string, clean long, toxic long, word boolean").groupBy("term").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.max("word").alias("word"))
     chi = chi_squared(F.col("clean"), F.col("toxic"), size[0], size[1])
-    chosen = df.where((F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= LEAST_CHI2)).collect()
-    chosen.sort(key=lambda r: r["term"])
+    heavy = (F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= SIGNIFICANT)
+    # Bounded by the sample: its words, and its significant parts of words.
+    chosen = df.select("term", "clean", "toxic", chi.alias("chi"), "word", heavy.alias("heavy")).where("heavy or word").collect()
+    chosen.sort(key=lambda r: (not r["heavy"], r["term"]))
     terms = {r["term"]: i for i, r in enumerate(chosen)}
+    n_heavy = sum(r["heavy"] for r in chosen)
     n = size[0] + size[1]
-    idf = np.log(1.0 + n / np.array([r["clean"] + r["toxic"] for r in chosen], float)) if chosen else np.zeros(0)
+    idf = np.array([math.log(1.0 + n / (r["clean"] + r["toxic"])) * (1.0 if r["heavy"] else max(LEAST_SHARE, min(1.0, r["chi"] / SIGNIFICANT)))
+                    for r in chosen])
 
     counted = materialize(spark, sample.select("role", "label", "doc_id", "text").mapInArrow(
         _counts_of(terms), "role string, label int, doc_id long, at array<int>, n array<int>"), "toxicity-vectors")
     # Bounded by the sample: vectors of the examples.
     rows = sorted(counted.where(F.col("role") == "index").collect(), key=lambda r: (r["doc_id"], r["label"]))
     empty = Index(terms, idf, [], np.zeros(0), [])
-    numbers: list[list[int]] = [[] for _ in terms]
-    weights: list[list[float]] = [[] for _ in terms]
-    ids, flags = [], []
+    numbers: list[list[int]] = [[] for _ in range(n_heavy)]
+    weights: list[list[float]] = [[] for _ in range(n_heavy)]
+    light, ids, flags = [], [], []
     for r in rows:
         if r["at"]:
-            for t, w in zip(*empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), strict=True):
+            at, own = empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True))))
+            cut = int(np.searchsorted(at, n_heavy))
+            for t, w in zip(at[:cut].tolist(), own[:cut].tolist(), strict=True):
                 numbers[t].append(len(ids))
-                weights[t].append(float(w))
+                weights[t].append(w)
+            light.append((at[cut:], own[cut:]))
             ids.append(r["doc_id"])
             flags.append(r["label"])
     built = Index(terms, idf, ids, np.array(flags, float),
-                  [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)])
+                  [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)], light)
     model = Model(built, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     votes, truth, bare = [], [], [0, 0]
     found = counted.where(F.col("role") == "calibration").select("label", "doc_id", "at", "n").mapInArrow(
@@ -378,12 +441,13 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
         m = shared.value
         counts, by_number = Counts(m.index.terms), {i: t for t, i in m.index.terms.items()}
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
-        seen: dict[tuple, tuple[float, list]] = {}
+        seen: dict[bytes, tuple[float, list]] = {}  # by the text's terms
         for batch in it:
             scores, near, terms = [], [], []
             for x in batch.column(len(names)):
                 own = counts(x.as_py())
-                key = tuple(sorted(own.items()))
+                at = sorted(own)
+                key = hashlib.blake2b(np.array([at, [own[t] for t in at]], np.int64).tobytes(), digest_size=16).digest()
                 if key not in seen:
                     found = m.index.nearest(*m.index.vector(own)) if own else []
                     if len(seen) > 50_000:
@@ -394,7 +458,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
                 scores.append(value)
                 if evidence:
                     near.append(neighbours)
-                    terms.append([by_number[t] for t, _ in key])
+                    terms.append([by_number[t] for t in at])
             more = [pa.array(near, kind), pa.array(terms, pa.list_(pa.string()))] if evidence else []
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], pa.array(scores, pa.float64()), *more],

@@ -107,3 +107,41 @@ def test_held_out_accuracy(spark):
     hits = Counter((r.toxic, r.predicted) for r in out)
     assert hits[1, 1] / (hits[1, 1] + hits[1, 0]) > 0.88
     assert hits[1, 1] / (hits[1, 1] + hits[0, 1]) > 0.95
+
+
+def test_a_rare_word_decides(spark):
+    """A word that four toxic examples hold and no other document."""
+    plain = " ".join(f"plain{k}" for k in range(12))
+    rows = [(i, f"{plain} {'awful villain' if i % 2 else 'dear friend'}" + (" grobian" if i in (1, 5, 11, 13) else ""), "en", "a", 1) for i in range(600)]
+    known = [(i, 1, i % 2) for i in range(600)]
+    docs = odd_docs(spark, rows + [(5001, "Grobian!", "en", "a", 1), (5002, "plain3", "en", "a", 1)])
+    model = T.fit(spark, docs, labels(spark, known))
+    assert "grobian" in model.index.terms and model.index.terms["grobian"] >= model.index.heavy
+    out = {r.doc_id: r for r in T.score(spark, docs, model).collect()}
+    held = [i for i in (1, 5, 11, 13) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert held and sorted(x.doc_id for x in out[5001].neighbours) == held and out[5001].score >= T.THRESHOLD
+    assert out[5002].neighbours
+
+
+def test_search_is_exact_with_words_of_little_weight():
+    """Against all cosines, where most terms have no postings; also queries of such terms alone."""
+    rng = np.random.default_rng(5)
+    terms = {f"t{i}": i for i in range(300)}
+    idf = np.where(np.arange(300) < 30, rng.uniform(1, 4, 300), rng.uniform(0.02, 0.5, 300))
+    rows = [Counter([*rng.choice(30, rng.integers(0, 4)).tolist(), *rng.integers(30, 300, rng.integers(1, 25)).tolist()]) for _ in range(900)]
+    blank = T.Index(terms, idf, [], np.zeros(0), [])
+    vectors = [blank.vector(r) for r in rows]
+    plain = [dict(zip(a.tolist(), w.tolist(), strict=True)) for a, w in vectors]
+    postings = [(np.array([n for n, v in enumerate(plain) if t in v], np.int64), np.array([v[t] for v in plain if t in v])) for t in range(30)]
+    light = [(a[a >= 30], w[a >= 30]) for a, w in vectors]
+    index = T.Index(terms, idf, list(range(900)), np.zeros(900), postings, light)
+    only = [Counter({t: n for t, n in r.items() if t >= 30}) for r in rows[:20]]
+    for i, r in enumerate([*rows[:40], *only, Counter({299: 1})]):
+        but = i if i < 40 else -1
+        at, w = index.vector(r)
+        q = dict(zip(at.tolist(), w.tolist(), strict=True))
+        cosines = [(-round(sum(x * q.get(t, 0) for t, x in v.items()), 12), n) for n, v in enumerate(plain) if n != but]
+        want = [(-s, n) for s, n in sorted(c for c in cosines if c[0] < 0)[:15]]
+        got = index.nearest(at, w, but=but)
+        assert [n for _, n in got] == [n for _, n in want]
+        assert all(math.isclose(a, b, abs_tol=1e-9) for (a, _), (b, _) in zip(got, want, strict=True))

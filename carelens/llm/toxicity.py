@@ -1,30 +1,30 @@
 """Toxicity by nearest labelled examples.
 
-A text is a TF-IDF vector over every word of the labelled examples, however
-rare.  Word pieces (5 characters, ``^`` and ``$`` marking where a word begins and
+A text is a TF-IDF vector over the words of the labelled examples, however
+rare; only stop words are none of its terms: those in more than ``STOP_DOCS``
+examples, and one in ``COMMON``, that are as frequent under either label
+(chi-squared below ``EVEN``).  Word pieces (5 characters, ``^`` and ``$`` marking where a word begins and
 ends) and stems (a word's first 3 to 6 letters) are terms beside them where they
 tell the labels apart (chi-squared).  A stem that occurs again and again is a
 further term for every ``LEVELS`` rate per 1000 words that it reaches, so that a
 stem that is harmless once and telling when frequent can be told apart.  A term
-weighs its inverse document frequency, times its chi-squared over
-``SIGNIFICANT`` (at least ``LEAST_SHARE``) below that: words that say little of
-the label decide where nothing else does.  A text's nearest examples by *exact*
+weighs its inverse document frequency; one whose chi-squared is below
+``SIGNIFICANT`` a share of it, the square of the quotient (at least
+``LEAST_SHARE``): words that say little of the label decide where nothing else
+does.  A text's nearest examples by *exact*
 cosine vote with their similarity; the vote becomes a score by calibration on
 labelled documents in their natural proportions (examples among them are scored
 without themselves).
 
 Examples are found through a block-max inverted index: a term's postings are
 cut into blocks of ``BLOCK`` example numbers, and the largest weight of every
-(term, block) is kept.  A query bounds every block by the sum of its terms'
+(term, block) that has postings is kept.  A query bounds every block by the sum of its terms'
 maxima, searches the blocks of largest bounds, and then the others whose bound
 can beat the k-th best found: no example that belongs to the k best is missed.
-The many words of little weight are bounded together, by the length of their
-part of the query times that of the example (the largest in the block), and
-added to the examples that this leaves.
 
 Bounds: at most ``INDEX_PER_CLASS`` examples of either label and
 ``CALIBRATION`` calibration documents, chosen by a hash of their id; the
-vocabulary is all their words and every significant part.  So the model is
+vocabulary is all their words but stop words, and every significant part.  So the model is
 bounded by the sample whatever the corpus and is broadcast; documents are scored
 where they are, without a shuffle, every whole text.  Scores depend on the text
 alone.
@@ -57,6 +57,9 @@ CALIBRATION = 6000
 SIGNIFICANT = 20.0  # chi-squared from which a term has its full weight
 LEAST_DOCS = 4
 LEAST_SHARE = 0.02
+STOP_DOCS = 60
+COMMON = 64
+EVEN = 3.84
 BLOCK = 64
 NEIGHBOURS = 15
 FIRST_BLOCKS = 8  # blocks searched before the first pruning
@@ -95,48 +98,31 @@ def levels(stem_counts: Counter, n_words: int) -> Iterator[tuple[str, int]]:
 
 @dataclass
 class Index:
-    """Block-max inverted index over unit vectors.
-
-    The first terms have postings; the others, of little weight, are kept by
-    example (``light``)."""
+    """Block-max inverted index over unit vectors."""
 
     terms: dict[str, int]
     idf: np.ndarray  # weight of a term that occurs once
     ids: list[int]
     labels: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]  # per term: example numbers, weights
-    light: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # per example: other terms, weights
     numbers: np.ndarray = field(init=False)  # all postings, term after term
     posted: np.ndarray = field(init=False)
-    starts: np.ndarray = field(init=False)  # (term, block): first posting, and the end
-    block_max: np.ndarray = field(init=False)  # (term, block)
-    heavy: int = field(init=False)  # number of terms with postings
-    rows: np.ndarray = field(init=False)  # where an example's light terms start, and the end
-    light_terms: np.ndarray = field(init=False)
-    light_weights: np.ndarray = field(init=False)
-    length: np.ndarray = field(init=False)  # of an example's light part
-    block_length: np.ndarray = field(init=False)  # the largest in a block
+    runs: np.ndarray = field(init=False)  # where a term's runs start, and the end; a run: its postings in one block
+    block: np.ndarray = field(init=False)  # of a run
+    block_max: np.ndarray = field(init=False)
+    starts: np.ndarray = field(init=False)  # a run's first posting, and the end
 
     def __post_init__(self) -> None:
         blocks, terms = -(-len(self.ids) // BLOCK), len(self.postings)
-        self.heavy = terms
-        light = self.light or [(np.zeros(0, np.int64), np.zeros(0))] * len(self.ids)
-        self.rows = np.concatenate([[0], np.cumsum([len(t) for t, _ in light])]).astype(np.int64)
-        self.light_terms = np.concatenate([t for t, _ in light] or [np.zeros(0)]).astype(np.int32) - np.int32(terms)
-        self.light_weights = np.concatenate([w for _, w in light] or [np.zeros(0)])
-        self.length = np.array([np.sqrt((w * w).sum()) for _, w in light])
-        self.block_length = np.zeros(blocks)
-        np.maximum.at(self.block_length, np.arange(len(self.ids)) // BLOCK, self.length)
-        self.light = []
-        self.block_max = np.zeros((terms, blocks))
-        self.starts = np.zeros((terms, blocks + 1), np.int64)
-        at = 0
-        for t, (numbers, weights) in enumerate(self.postings):
-            np.maximum.at(self.block_max[t], numbers // BLOCK, weights)
-            self.starts[t] = at + np.searchsorted(numbers, np.arange(blocks + 1) * BLOCK)
-            at += len(numbers)
-        self.numbers = np.concatenate([n for n, _ in self.postings] or [np.zeros(0, np.int64)]).astype(np.int64)
+        self.numbers = np.concatenate([n for n, _ in self.postings] or [np.zeros(0)]).astype(np.int32)
         self.posted = np.concatenate([w for _, w in self.postings] or [np.zeros(0)])
+        of_term = np.repeat(np.arange(terms), [len(n) for n, _ in self.postings])
+        run = of_term * max(1, blocks) + self.numbers // BLOCK
+        new = np.flatnonzero(np.diff(run, prepend=-1))
+        self.block = (self.numbers[new] // BLOCK).astype(np.int32)
+        self.block_max = np.maximum.reduceat(self.posted, new) if len(new) else np.zeros(0)
+        self.starts = np.append(new, len(run)).astype(np.int64)
+        self.runs = np.searchsorted(of_term[new], np.arange(terms + 1))
         self.postings = []
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -148,10 +134,8 @@ class Index:
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> list[tuple[float, int]]:
         """(cosine, example number) of the k best other than ``but``, ties to
         smaller numbers."""
-        cut = int(np.searchsorted(at, self.heavy))
-        heavy, light = (at[:cut], weights[:cut]), (at[cut:], weights[cut:])
-        size = float(np.sqrt((light[1] * light[1]).sum()))
-        bound = heavy[1] @ self.block_max[heavy[0]] + size * self.block_length
+        runs, by_run = _ranges(self.runs[at], self.runs[at + 1], weights)
+        bound = np.bincount(self.block[runs], by_run * self.block_max[runs], -(-len(self.ids) // BLOCK))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best: list[tuple[float, int]] = []
@@ -159,44 +143,29 @@ class Index:
             least = best[-1][0] if len(best) == k else 0.0
             blocks = blocks[bound[blocks] >= least - 1e-9]  # the others cannot hold one of the k best
             if len(blocks):
-                best = sorted(best + self._best(heavy, light, size, blocks, k, but, least), key=lambda b: (-b[0], b[1]))[:k]
+                best = sorted(best + self._best(runs, by_run, blocks, k, but), key=lambda b: (-b[0], b[1]))[:k]
         return best
 
-    def _best(self, heavy: tuple, light: tuple, size: float, blocks: np.ndarray, k: int, but: int, least: float) -> list[tuple[float, int]]:
-        """The k best of some blocks that reach ``least``: postings term after
-        term, then the light terms of the examples that can still be among them."""
-        at, weights = heavy
-        first = self.starts[at][:, blocks].ravel()
-        n = self.starts[at][:, blocks + 1].ravel() - first
-        ends = np.cumsum(n)
-        where = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        got = np.bincount(self.numbers[where], np.repeat(np.repeat(weights, len(blocks)), n) * self.posted[where], len(self.ids))
-        number = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        number = number[(number < len(self.ids)) & (number != but)]
-        got = got[number]
-        if size:
-            most = got + size * self.length[number]
-            if len(number) > 4 * k:  # those of the largest bounds tell what the k-th best reaches
-                ahead = np.argpartition(-most, 4 * k)[: 4 * k]
-                own = got[ahead] + self._light(light, number[ahead])
-                least = max(least, float(-np.partition(-own, k - 1)[k - 1]))
-            keep = (most > 0) & (most >= least - 1e-9)
-            number = number[keep]
-            got = got[keep] + self._light(light, number)
-        got = np.round(got, 12)
+    def _best(self, runs: np.ndarray, by_run: np.ndarray, blocks: np.ndarray, k: int, but: int) -> list[tuple[float, int]]:
+        """The k best of some blocks: the postings of the runs there."""
+        chosen = np.zeros(-(-len(self.ids) // BLOCK), bool)
+        chosen[blocks] = True
+        here = chosen[self.block[runs]]
+        where, weights = _ranges(self.starts[runs[here]], self.starts[runs[here] + 1], by_run[here])
+        got = np.round(np.bincount(self.numbers[where], weights * self.posted[where], len(self.ids)), 12)
+        if but >= 0:
+            got[but] = 0.0
         hits = np.flatnonzero(got > 0)
         if len(hits) > k:
             hits = hits[got[hits] >= -np.partition(-got[hits], k - 1)[k - 1]]
-        return sorted(((float(got[h]), int(number[h])) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
+        return sorted(((float(got[h]), int(h)) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
+
 
-    def _light(self, light: tuple, number: np.ndarray) -> np.ndarray:
-        """Products of the light parts of a query and of some examples."""
-        query = np.zeros(len(self.terms) - self.heavy)
-        query[light[0] - self.heavy] = light[1]
-        first, n = self.rows[number], self.rows[number + 1] - self.rows[number]
-        ends = np.cumsum(n)
-        where = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        return np.bincount(np.repeat(np.arange(len(number)), n), query[self.light_terms[where]] * self.light_weights[where], len(number))
+def _ranges(first: np.ndarray, end: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, one range after the other, each with its range's value."""
+    n = end - first
+    ends = np.cumsum(n)
+    return np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0), np.repeat(value, n)
 
 
 @dataclass
@@ -324,14 +293,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     df = index.select("label", "text").mapInArrow(_terms_of, "term string, clean long, toxic long, word boolean").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.max("word").alias("word"))
     chi = chi_squared(F.col("clean"), F.col("toxic"), size[0], size[1])
-    heavy = (F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= SIGNIFICANT)
+    telling = (F.col("clean") + F.col("toxic") >= LEAST_DOCS) & (chi >= SIGNIFICANT)
     # Bounded by the sample: its words, and its significant parts of words.
-    chosen = df.select("term", "clean", "toxic", chi.alias("chi"), "word", heavy.alias("heavy")).where("heavy or word").collect()
-    chosen.sort(key=lambda r: (not r["heavy"], r["term"]))
-    terms = {r["term"]: i for i, r in enumerate(chosen)}
-    n_heavy = sum(r["heavy"] for r in chosen)
     n = size[0] + size[1]
-    idf = np.array([math.log(1.0 + n / (r["clean"] + r["toxic"])) * (1.0 if r["heavy"] else max(LEAST_SHARE, min(1.0, r["chi"] / SIGNIFICANT)))
+    in_docs = F.col("clean") + F.col("toxic")
+    stop = (in_docs > STOP_DOCS) & (in_docs * COMMON > n) & (chi < EVEN)
+    chosen = df.select("term", "clean", "toxic", chi.alias("chi"), telling.alias("telling")).where(telling | (F.col("word") & ~stop)).collect()
+    chosen.sort(key=lambda r: r["term"])
+    terms = {r["term"]: i for i, r in enumerate(chosen)}
+    idf = np.array([math.log(1.0 + n / (r["clean"] + r["toxic"])) * (1.0 if r["telling"] else max(LEAST_SHARE, min(1.0, r["chi"] / SIGNIFICANT) ** 2))
                     for r in chosen])
 
     counted = materialize(spark, sample.select("role", "label", "doc_id", "text").mapInArrow(
@@ -339,21 +309,18 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     # Bounded by the sample: vectors of the examples.
     rows = sorted(counted.where(F.col("role") == "index").collect(), key=lambda r: (r["doc_id"], r["label"]))
     empty = Index(terms, idf, [], np.zeros(0), [])
-    numbers: list[list[int]] = [[] for _ in range(n_heavy)]
-    weights: list[list[float]] = [[] for _ in range(n_heavy)]
-    light, ids, flags = [], [], []
+    numbers: list[list[int]] = [[] for _ in terms]
+    weights: list[list[float]] = [[] for _ in terms]
+    ids, flags = [], []
     for r in rows:
         if r["at"]:
-            at, own = empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True))))
-            cut = int(np.searchsorted(at, n_heavy))
-            for t, w in zip(at[:cut].tolist(), own[:cut].tolist(), strict=True):
+            for t, w in zip(*empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), strict=True):
                 numbers[t].append(len(ids))
-                weights[t].append(w)
-            light.append((at[cut:], own[cut:]))
+                weights[t].append(float(w))
             ids.append(r["doc_id"])
             flags.append(r["label"])
     built = Index(terms, idf, ids, np.array(flags, float),
-                  [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)], light)
+                  [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)])
     model = Model(built, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     votes, truth, bare = [], [], [0, 0]
     found = counted.where(F.col("role") == "calibration").select("label", "doc_id", "at", "n").mapInArrow(

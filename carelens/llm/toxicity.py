@@ -39,7 +39,6 @@ of both classes every score is 0; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -104,7 +103,8 @@ class Index:
     idf: np.ndarray  # weight of a term that occurs once
     ids: list[int]
     labels: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]  # per term: example numbers, weights
+    # Per term: example numbers, weights; or all of them as (terms, example numbers, weights), in this order.
+    postings: list[tuple[np.ndarray, np.ndarray]] | tuple[np.ndarray, np.ndarray, np.ndarray]
     numbers: np.ndarray = field(init=False)  # all postings, term after term
     posted: np.ndarray = field(init=False)
     runs: np.ndarray = field(init=False)  # where a term's runs start, and the end; a run: its postings in one block
@@ -113,11 +113,15 @@ class Index:
     starts: np.ndarray = field(init=False)  # a run's first posting, and the end
 
     def __post_init__(self) -> None:
-        blocks, terms = -(-len(self.ids) // BLOCK), len(self.postings)
-        self.numbers = np.concatenate([n for n, _ in self.postings] or [np.zeros(0)]).astype(np.int32)
-        self.posted = np.concatenate([w for _, w in self.postings] or [np.zeros(0)])
-        of_term = np.repeat(np.arange(terms), [len(n) for n, _ in self.postings])
-        run = of_term * max(1, blocks) + self.numbers // BLOCK
+        blocks, terms = -(-len(self.ids) // BLOCK), len(self.terms)
+        if isinstance(self.postings, tuple):
+            of_term, numbers, self.posted = self.postings
+        else:
+            of_term = np.repeat(np.arange(len(self.postings)), [len(n) for n, _ in self.postings])
+            numbers = np.concatenate([n for n, _ in self.postings] or [np.zeros(0)])
+            self.posted = np.concatenate([w for _, w in self.postings] or [np.zeros(0)])
+        self.numbers = numbers.astype(np.int32)
+        run = of_term.astype(np.int64) * max(1, blocks) + self.numbers // BLOCK
         new = np.flatnonzero(np.diff(run, prepend=-1))
         self.block = (self.numbers[new] // BLOCK).astype(np.int32)
         self.block_max = np.maximum.reduceat(self.posted, new) if len(new) else np.zeros(0)
@@ -298,29 +302,27 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
     n = size[0] + size[1]
     in_docs = F.col("clean") + F.col("toxic")
     stop = (in_docs > STOP_DOCS) & (in_docs * COMMON > n) & (chi < EVEN)
-    chosen = df.select("term", "clean", "toxic", chi.alias("chi"), telling.alias("telling")).where(telling | (F.col("word") & ~stop)).collect()
-    chosen.sort(key=lambda r: r["term"])
-    terms = {r["term"]: i for i, r in enumerate(chosen)}
-    idf = np.array([math.log(1.0 + n / (r["clean"] + r["toxic"])) * (1.0 if r["telling"] else max(LEAST_SHARE, min(1.0, r["chi"] / SIGNIFICANT) ** 2))
-                    for r in chosen])
+    # Bounded by the sample; columns, as rows of Python objects would take several times the memory.
+    chosen = df.where(telling | (F.col("word") & ~stop)).select(
+        "term", (F.log(F.lit(float(n)) / in_docs + 1.0) * F.when(telling, 1.0).otherwise(
+            F.greatest(F.lit(LEAST_SHARE), F.pow(F.least(F.lit(1.0), chi / SIGNIFICANT), 2)))).alias("weight")).toArrow()
+    chosen = chosen.sort_by("term")
+    terms = {t.as_py(): i for i, t in enumerate(chosen.column("term"))}
+    idf = chosen.column("weight").to_numpy()
 
     counted = materialize(spark, sample.select("role", "label", "doc_id", "text").mapInArrow(
         _counts_of(terms), "role string, label int, doc_id long, at array<int>, n array<int>"), "toxicity-vectors")
     # Bounded by the sample: vectors of the examples.
-    rows = sorted(counted.where(F.col("role") == "index").collect(), key=lambda r: (r["doc_id"], r["label"]))
-    empty = Index(terms, idf, [], np.zeros(0), [])
-    numbers: list[list[int]] = [[] for _ in terms]
-    weights: list[list[float]] = [[] for _ in terms]
-    ids, flags = [], []
-    for r in rows:
-        if r["at"]:
-            for t, w in zip(*empty.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))), strict=True):
-                numbers[t].append(len(ids))
-                weights[t].append(float(w))
-            ids.append(r["doc_id"])
-            flags.append(r["label"])
-    built = Index(terms, idf, ids, np.array(flags, float),
-                  [(np.array(a, np.int64), np.array(w)) for a, w in zip(numbers, weights, strict=True)])
+    rows = counted.where((F.col("role") == "index") & (F.size("at") > 0)).select("doc_id", "label", "at", "n").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")]).combine_chunks()
+    size_of = rows.column("at").combine_chunks().value_lengths().to_numpy() if len(rows) else np.zeros(0, np.int64)
+    at, times = (rows.column(c).combine_chunks().flatten().to_numpy() if len(rows) else np.zeros(0, np.int32) for c in ("at", "n"))
+    number = np.repeat(np.arange(len(rows)), size_of)
+    weights = (1.0 + np.log(times)) * idf[at]
+    weights /= np.sqrt(np.bincount(number, weights * weights, len(rows)))[number]
+    by_term = np.lexsort((number, at))
+    built = Index(terms, idf, rows.column("doc_id").to_pylist(), rows.column("label").to_numpy().astype(float),
+                  (at[by_term], number[by_term], weights[by_term]))
     model = Model(built, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     votes, truth, bare = [], [], [0, 0]
     found = counted.where(F.col("role") == "calibration").select("label", "doc_id", "at", "n").mapInArrow(
@@ -406,7 +408,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        counts, by_number = Counts(m.index.terms), {i: t for t, i in m.index.terms.items()}
+        counts = Counts(m.index.terms)
+        by_number = list(m.index.terms) if evidence else []
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         seen: dict[bytes, tuple[float, list]] = {}  # by the text's terms
         for batch in it:

@@ -156,13 +156,13 @@ class Index:
         chosen[blocks] = True
         here = chosen[self.block[runs]]
         where, weights = _ranges(self.starts[runs[here]], self.starts[runs[here] + 1], by_run[here])
-        got = np.round(np.bincount(self.numbers[where], weights * self.posted[where], len(self.ids)), 12)
+        got = np.bincount(self.numbers[where], weights * self.posted[where], len(self.ids))
         if but >= 0:
             got[but] = 0.0
-        hits = np.flatnonzero(got > 0)
+        hits = np.flatnonzero(got > 5e-13)
         if len(hits) > k:
-            hits = hits[got[hits] >= -np.partition(-got[hits], k - 1)[k - 1]]
-        return sorted(((float(got[h]), int(h)) for h in hits), key=lambda b: (-b[0], b[1]))[:k]
+            hits = hits[got[hits] >= np.partition(got[hits], len(hits) - k)[len(hits) - k] - 1e-11]
+        return sorted(zip(np.round(got[hits], 12).tolist(), hits.tolist(), strict=True), key=lambda b: (-b[0], b[1]))[:k]
 
 
 def _ranges(first: np.ndarray, end: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +192,7 @@ class Model:
 class Counts:
     """Vocabulary counts of texts; remembers the terms of common words."""
 
-    def __init__(self, terms: dict[str, int], keep: int = 500_000):
+    def __init__(self, terms: dict[str, int], keep: int = 200_000):
         self.terms, self.keep, self.known = terms, keep, {}
         self.levelled = {t.split(">")[0] for t in terms if ">" in t}
 
@@ -420,14 +420,13 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
                 key = hashlib.blake2b(np.array([at, [own[t] for t in at]], np.int64).tobytes(), digest_size=16).digest()
                 if key not in seen:
                     found = m.index.nearest(*m.index.vector(own)) if own else []
-                    if len(seen) > 50_000:
+                    if len(seen) > 20_000:
                         seen.clear()
-                    seen[key] = (m.score(found), [
-                        {"doc_id": m.index.ids[n], "label": int(m.index.labels[n]), "cosine": s} for s, n in found])
-                value, neighbours = seen[key]
+                    seen[key] = (m.score(found), found if evidence else [])
+                value, found = seen[key]
                 scores.append(value)
                 if evidence:
-                    near.append(neighbours)
+                    near.append([{"doc_id": m.index.ids[n], "label": int(m.index.labels[n]), "cosine": s} for s, n in found])
                     terms.append([by_number[t] for t in at])
             more = [pa.array(near, kind), pa.array(terms, pa.list_(pa.string()))] if evidence else []
             yield pa.RecordBatch.from_arrays(

@@ -367,7 +367,7 @@ def file_order(spark, sf_dir):
     for name, by in (("calls", ["event_id"]), ("installs", list(FX.LINE_ORDER))):
         df = getattr(src, name).orderBy(*[F.desc(c) for c in by])
         raw = df.drop(*by).withColumnsRenamed({v: k for k, v in R.RAW_NAMES[name].items()})
-        path = SK.write_table(raw, SK.scratch_path(spark, f"{name}-lines"), fmt="csv")
+        path = SK.write_table(raw, SK.scratch_path(spark, f"{name}-lines"), fmt="csv", compression="gzip")
         frames[name] = R.read_csv(spark, path, name, line_numbers="line_no")
         order[name] = ("line_no",)
     src = dataclasses.replace(src, **frames, order={**src.order, **order})

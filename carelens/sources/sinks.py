@@ -52,10 +52,13 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", compression: str | None = None) -> str:
     """Write a table.  CSV gets a header row and ISO timestamps; no
-    ``coalesce(1)``: every task writes its own part file."""
+    ``coalesce(1)``: every task writes its own part file.  ``compression`` is a
+    codec of the format (default: its own)."""
     w = df.write.mode(mode)
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "csv":
         w = w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     w.format(fmt).save(path)

@@ -75,11 +75,12 @@ def repeats(booked: DataFrame, machine: DataFrame) -> DataFrame:
     dealt out anew by item: with an aggregation on its own partitioning
     behind it, AQE could not split a hot machine."""
     span = machine.select("customer", "serial", "min_start", "max_end")
-    days = booked.join(span, ["customer", "serial"], "left").repartition("customer", "serial", "item")
     inside = (F.col("booked") > F.col("min_start")) & (F.col("booked") < F.col("max_end"))
+    days = booked.join(span, ["customer", "serial"], "left").select(
+        "customer", "serial", "item", F.coalesce(inside, F.lit(False)).alias("inside")).repartition("customer", "serial", "item")
     per_item = days.groupBy("customer", "serial", "item").agg(
         F.count(F.lit(1)).alias("n_days"),
-        F.count_if(F.coalesce(inside, F.lit(False))).alias("n_inside"),
+        F.count_if("inside").alias("n_inside"),
     )
     flags = per_item.groupBy("customer", "item").agg(
         F.max((F.col("serial") != NULL_KEY) & (F.col("n_days") > 1)).cast("int").alias("rep"),

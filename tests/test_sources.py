@@ -225,3 +225,14 @@ def test_load_csv_of_an_empty_file(spark, tmp_path):
     (tmp_path / "x.csv").write_text("CustomerCode,ProductSerial,MATERIAL,COGS,MACHSTAT,CallBookDate\n")
     got = R.load_csv(spark, str(tmp_path / "x.csv"), "spares")
     assert (got.n_rows, got.n_malformed) == (0, 0) and got.rows.count() == 0 and got.quarantine.count() == 0
+
+
+def test_lines_of_gzip_files_are_numbered(spark, tmp_path):
+    """A delivery in compressed part files keeps the order of its lines."""
+    from carelens.sources.readers import with_line_numbers
+    from carelens.sources.sinks import write_table
+
+    path = write_table(spark.range(0, 500, 1, 3).selectExpr("id"), str(tmp_path / "lines"), fmt="csv", compression="gzip")
+    assert len(list((tmp_path / "lines").glob("part-*.csv.gz"))) == 3
+    got = with_line_numbers(spark.read.option("header", True).csv(path), "n").collect()
+    assert sorted((r["n"], int(r["id"])) for r in got) == [(i, i) for i in range(500)]

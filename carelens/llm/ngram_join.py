@@ -40,7 +40,7 @@ table gives no row; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -55,6 +55,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BUCKET_TOKENS = 2_000_000  # shingles aimed at per packed bucket
 FLUSH_TOKENS = 2_000_000  # shingles a task packs at a time
+PART_TOKENS = 250_000  # of them, those that go out in one Arrow batch
+TEXTS = 256  # texts a task holds outside Arrow
 SEGMENT = 1024
 PIECE_BYTES = 1 << 20
 
@@ -143,12 +145,14 @@ def _sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
     """Sets of a batch, a bounded amount of text at a time."""
     part: list[bytes] = []
     size = 0
-    for x in batch.column(column).cast(pa.binary()).to_pylist():
-        part.append(x)
-        size += len(x)
-        if size >= 4 * PIECE_BYTES:
-            yield from shingle_sets(part)
-            part, size = [], 0
+    texts = batch.column(column)
+    for at in range(0, len(texts), TEXTS):
+        for x in texts.slice(at, TEXTS).cast(pa.binary()).to_pylist():
+            part.append(x)
+            size += len(x)
+            if size >= 4 * PIECE_BYTES:
+                yield from shingle_sets(part)
+                part, size = [], 0
     if part:
         yield from shingle_sets(part)
 
@@ -175,8 +179,9 @@ def _pack(bucket: np.ndarray, n_buckets: int, node: np.ndarray, size: np.ndarray
     if not len(bucket):
         return []
     order = np.argsort(bucket.astype(np.uint16) if n_buckets <= 65536 else bucket, kind="stable")
-    bucket, node, size, hashes = bucket[order], node[order], size[order], hashes[order]
+    bucket, node, hashes = bucket[order], node[order], hashes[order]
     new = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])])
+    size = size[order[new]]  # one of each run
     counts = np.diff(np.r_[new, len(bucket)]).astype("<u4")
     starts = np.flatnonzero(np.r_[True, np.diff(bucket[new]) != 0])
     ends = np.r_[starts[1:], len(new)]
@@ -184,7 +189,7 @@ def _pack(bucket: np.ndarray, n_buckets: int, node: np.ndarray, size: np.ndarray
     for a, b in zip(starts, ends, strict=True):
         runs = new[a:b]
         stop = new[b] if b < len(new) else len(bucket)
-        out.append((int(bucket[runs[0]]), node[runs].astype("<i8").tobytes(), size[runs].astype("<u4").tobytes(),
+        out.append((int(bucket[runs[0]]), node[runs].astype("<i8").tobytes(), size[a:b].astype("<u4").tobytes(),
                     counts[a:b].tobytes(), hashes[runs[0] : stop].astype("<u8").tobytes()))
     return out
 
@@ -209,6 +214,22 @@ def _by_node(node: np.ndarray, n_buckets: int) -> np.ndarray:
     return ((node.view(_U) >> _U(33)) % _U(n_buckets)).astype(np.int64)
 
 
+def _packed_parts(direct: bool, bucket_of: Callable[[np.ndarray | slice], np.ndarray], chosen: np.ndarray, owner: np.ndarray,
+                  names: np.ndarray, sizes: np.ndarray, h: np.ndarray, n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Batches of DEALT: the chosen shingles, a range of buckets in each."""
+    small = np.uint16 if n_buckets <= 65536 else np.uint32
+    bucket = np.empty(len(h), small)
+    for at in range(0, len(h), PART_TOKENS):
+        bucket[at : at + PART_TOKENS] = bucket_of(slice(at, at + PART_TOKENS))
+    parts = min(n_buckets, -(-int(np.count_nonzero(chosen)) // PART_TOKENS))
+    for part in range(parts):
+        low, high = part * n_buckets // parts, (part + 1) * n_buckets // parts
+        at = np.flatnonzero(chosen & (bucket >= low) & (bucket < high))
+        rows = [(direct, *r) for r in _pack(bucket[at], n_buckets, names[owner[at]], sizes[owner[at]], h[at])]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _DEALT.types, strict=True)], schema=_DEALT)
+
+
 def _deal(n_buckets: int):
     """Shingles of a task's distinct sets, packed by bucket.
 
@@ -222,18 +243,21 @@ def _deal(n_buckets: int):
         nodes: list[int] = []
         held = 0
 
-        def flush() -> pa.RecordBatch:
-            sizes = np.array([len(s) for s in sets], np.int64)
-            h, node, size = np.concatenate(sets), np.repeat(np.array(nodes, np.int64), sizes), np.repeat(sizes, sizes)
+        def flush() -> Iterator[pa.RecordBatch]:
+            sizes, names = np.array([len(s) for s in sets], np.uint32), np.array(nodes, np.int64)
+            h = np.concatenate(sets)
+            sets.clear()
+            nodes.clear()
             order = np.argsort(h, kind="stable")
-            ordered = h[order]
-            again = np.r_[False, ordered[1:] == ordered[:-1]]
+            same = h[order[1:]] == h[order[:-1]]
             once, sure = np.ones(len(h), bool), np.zeros(len(h), bool)
-            once[order] = ~again
-            sure[order] = again | np.r_[again[1:], False]
-            rows = [(False, *r) for r in _pack(_bucket(h[once], n_buckets), n_buckets, node[once], size[once], h[once])]
-            rows += [(True, *r) for r in _pack(_by_node(node[sure], n_buckets), n_buckets, node[sure], size[sure], h[sure])]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _DEALT.types, strict=True)], schema=_DEALT)
+            once[order[1:][same]] = False
+            sure[order[1:][same]] = sure[order[:-1][same]] = True
+            del order, same
+            owner = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+            # A range of buckets at a time, so that what is copied stays small.
+            yield from _packed_parts(False, lambda at: _bucket(h[at], n_buckets), once, owner, names, sizes, h, n_buckets)
+            yield from _packed_parts(True, lambda at: _by_node(names[owner[at]], n_buckets), sure, owner, names, sizes, h, n_buckets)
 
         with np.errstate(over="ignore"):
             for batch in it:
@@ -248,10 +272,10 @@ def _deal(n_buckets: int):
                     nodes.append(node)
                     held += len(s)
                     if held >= FLUSH_TOKENS:
-                        yield flush()
-                        sets, nodes, held = [], [], 0
+                        yield from flush()
+                        held = 0
             if sets:
-                yield flush()
+                yield from flush()
 
     return run
 
@@ -262,12 +286,18 @@ def _shared(n_buckets: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         if key[0]:
             return rows[["bucket", "nodes", "sizes", "counts", "hashes"]]
-        node, size, h = _unpack(rows)
+        h = np.frombuffer(b"".join(rows["hashes"]), "<u8")
+        # Shared shingles first, so that of the others nothing more is copied.
         order = np.argsort(h, kind="stable")
-        h, node, size = h[order], node[order], size[order]
-        same = h[1:] == h[:-1]
-        keep = np.r_[False, same] | np.r_[same, False]
-        h, node, size = h[keep], node[keep], size[keep]
+        same = h[order[1:]] == h[order[:-1]]
+        at = order[np.r_[False, same] | np.r_[same, False]] if len(h) else order
+        del order, same
+        ends = np.cumsum(np.frombuffer(b"".join(rows["counts"]), "<u4"), dtype=np.int64)
+        own = np.searchsorted(ends, at, side="right")
+        node = np.frombuffer(b"".join(rows["nodes"]), "<i8")[own]
+        size = np.frombuffer(b"".join(rows["sizes"]), "<u4")[own]
+        h = h[at]
+        del at, own
         # A set that came from several tasks holds a shingle once.
         order = np.lexsort((node, h))
         h, node, size = h[order], node[order], size[order]
@@ -290,14 +320,15 @@ def _able(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     bucket they are in is their chunk."""
     node, size, h = _unpack(rows)
     order = np.lexsort((h, node))
-    node, size, h = node[order], size[order].astype(np.int64), h[order]
+    node, h = node[order], h[order]
     fresh = np.r_[True, (node[1:] != node[:-1]) | (h[1:] != h[:-1])][: len(node)]
-    node, size, h = node[fresh], size[fresh], h[fresh]
+    node, order, h = node[fresh], order[fresh], h[fresh]
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[starts, len(node)])
-    ok = counts * DENOMINATOR >= NUMERATOR * size[starts]
+    size = size[order[starts]].astype(np.int64)  # one of each set
+    ok = counts * DENOMINATOR >= NUMERATOR * size
     return pd.DataFrame({
-        "chunk": np.full(int(ok.sum()), key[0], np.int64), "node": node[starts][ok], "n": size[starts][ok],
+        "chunk": np.full(int(ok.sum()), key[0], np.int64), "node": node[starts][ok], "n": size[ok],
         "hashes": [h[a : a + c].tobytes() for a, c in zip(starts[ok], counts[ok], strict=True)]})
 
 

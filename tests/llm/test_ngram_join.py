@@ -1,6 +1,9 @@
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from carelens.llm import ngram_join as J
@@ -92,3 +95,31 @@ def test_connected_components(spark):
     named = {x for a, b in edges if a != b for x in (a, b)}
     found = connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted((r.node, r.component) for r in found) == sorted((x, find(x)) for x in named)
+
+
+def test_a_task_packs_in_bounded_memory(monkeypatch):
+    """Many shingles, some in several texts: none is lost, what is copied beside them and one batch stay small."""
+    monkeypatch.setattr(J, "FLUSH_TOKENS", 1_000_000)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 1500))) for _ in range(640)]
+    texts += [" ".join(t.split()[:900]) for t in texts[:40]]
+    sets = {J._node(s): s for s in J.shingle_sets([t.encode() for t in texts])}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    out, largest = [], 0
+    for b in J._deal(16)(iter([batch])):
+        largest = max(largest, b.nbytes)
+        out.append(b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = pa.Table.from_batches(out).to_pandas()
+    holders = Counter(h for s in sets.values() for h in s.tolist())
+    once, sure = rows[~rows.direct], rows[rows.direct]
+    assert sorted(np.concatenate([np.frombuffer(x, "<u8") for x in once["hashes"]]).tolist()) == sorted(holders)
+    node, size, h = J._unpack(sure)
+    assert Counter(zip(node.tolist(), h.tolist(), strict=True)) == Counter(
+        (n, x) for n, s in sets.items() for x in s.tolist() if holders[x] > 1)
+    assert all(len(sets[n]) == k for n, k in zip(node.tolist(), size.tolist(), strict=True))
+    assert all((J._by_node(np.frombuffer(r.nodes, "<i8"), 16) == r.bucket).all() for r in sure.itertuples())
+    assert all((J._bucket(np.frombuffer(r.hashes, "<u8"), 16) == r.bucket).all() for r in once.itertuples())
+    assert largest < 12 * J.PART_TOKENS and peak < 80 * J.FLUSH_TOKENS

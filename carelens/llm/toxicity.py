@@ -68,6 +68,8 @@ PIECE = 5
 STEMS = (3, 4, 5, 6)
 LEVELS = (4, 6, 8, 11, 16, 23, 32, 64)
 _WORD = re.compile(r"\w+")
+# Of UTF-8 bytes: ASCII characters that are part of no word become blanks.
+_APART = bytes(c if c >= 128 or _WORD.match(chr(c)) else 32 for c in range(256))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,6 +77,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def word_counts(text: str) -> Counter:
+    """How often each word of a text (a match of ``_WORD`` in lower case) occurs.
+
+    A text is cut at ASCII characters first, which is quicker than the pattern;
+    what has other characters is searched for words afterwards."""
+    out = Counter(text.lower().encode().translate(_APART).decode().split())
+    if not text.isascii():
+        for part in [x for x in out if not x.isascii()]:
+            words = _WORD.findall(part)
+            if words != [part]:
+                n = out.pop(part)
+                for word in words:
+                    out[word] += n
+    return out
+
+
 def pieces(word: str) -> list[str]:
     """A lower-case word's terms: itself and its marked pieces."""
     marked = f"^{word}$"
@@ -85,7 +103,7 @@ def stems(word: str) -> list[str]:
     return [f"^{word[:k]}" for k in STEMS if k <= len(word)]
 
 
-def levels(stem_counts: Counter, n_words: int) -> Iterator[tuple[str, int]]:
+def levels(stem_counts: dict[str, int], n_words: int) -> Iterator[tuple[str, int]]:
     """(stem, level) for every rate that a repeated stem reaches."""
     for stem, n in stem_counts.items():
         if n >= 2:
@@ -129,47 +147,77 @@ class Index:
         self.runs = np.searchsorted(of_term[new], np.arange(terms + 1))
         self.postings = []
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and unit weights; counts are by term number."""
-        at = np.array(sorted(counts), np.int64)
-        w = (1.0 + np.log(np.array([counts[t] for t in at], float))) * self.idf[at]
+        return self.weigh(*_by_number(counts))
+
+    def weigh(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1.0 + np.log(times.astype(float))) * self.idf[at]
         return at, w / np.sqrt((w * w).sum())
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> list[tuple[float, int]]:
         """(cosine, example number) of the k best other than ``but``, ties to
         smaller numbers."""
-        runs, by_run = _ranges(self.runs[at], self.runs[at + 1], weights)
-        bound = np.bincount(self.block[runs], by_run * self.block_max[runs], -(-len(self.ids) // BLOCK))
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best: list[tuple[float, int]] = []
-        for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
-            least = best[-1][0] if len(best) == k else 0.0
-            blocks = blocks[bound[blocks] >= least - 1e-9]  # the others cannot hold one of the k best
-            if len(blocks):
-                best = sorted(best + self._best(runs, by_run, blocks, k, but), key=lambda b: (-b[0], b[1]))[:k]
-        return best
-
-    def _best(self, runs: np.ndarray, by_run: np.ndarray, blocks: np.ndarray, k: int, but: int) -> list[tuple[float, int]]:
-        """The k best of some blocks: the postings of the runs there."""
-        chosen = np.zeros(-(-len(self.ids) // BLOCK), bool)
-        chosen[blocks] = True
-        here = chosen[self.block[runs]]
-        where, weights = _ranges(self.starts[runs[here]], self.starts[runs[here] + 1], by_run[here])
-        got = np.bincount(self.numbers[where], weights * self.posted[where], len(self.ids))
+        first, end = self.runs[at], self.runs[at + 1]
+        runs, by_run = _ranges(first, end, weights)
+        block = self.block[runs]
+        bound = np.bincount(block, by_run * self.block_max[runs], -(-len(self.ids) // BLOCK))
+        order = (-bound).argsort(kind="stable")
+        chosen = np.zeros(len(bound), bool)
+        chosen[order[:FIRST_BLOCKS]] = True
+        got = self._picked(runs, by_run, chosen[block])
         if but >= 0:
             got[but] = 0.0
-        hits = np.flatnonzero(got > 5e-13)
-        if len(hits) > k:
-            hits = hits[got[hits] >= np.partition(got[hits], len(hits) - k)[len(hits) - k] - 1e-11]
-        return sorted(zip(np.round(got[hits], 12).tolist(), hits.tolist(), strict=True), key=lambda b: (-b[0], b[1]))[:k]
+        found = got[got > 5e-13]
+        least = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
+        more = (bound > 0) & (bound >= least - 1e-9) & ~chosen  # the others cannot hold one of the k best
+        left = more.sum()
+        if 2 * left > len(bound):
+            # Most blocks: reading the terms' postings through takes less than picking runs.
+            got = self._sums(self.starts[first], self.starts[end], weights)
+        elif left:
+            got += self._picked(runs, by_run, more[block])
+        if but >= 0:
+            got[but] = 0.0
+        return _best(got, k)
+
+    def _picked(self, runs: np.ndarray, by_run: np.ndarray, here: np.ndarray) -> np.ndarray:
+        runs = runs[here]
+        return self._sums(self.starts[runs], self.starts[runs + 1], by_run[here])
+
+    def _sums(self, first: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Every example's sum over some ranges of postings."""
+        where, weights = _ranges(first, end, weights)
+        weights *= self.posted[where]
+        return np.bincount(self.numbers[where], weights, len(self.ids))
+
+
+def _best(got: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """The k best (cosine, example number)."""
+    hits = (got > 5e-13).nonzero()[0]
+    of_hits = got[hits]
+    if len(hits) > k:
+        near = of_hits >= np.partition(of_hits, len(hits) - k)[len(hits) - k] - 1e-11
+        hits, of_hits = hits[near], of_hits[near]
+    of_hits = of_hits.round(12)
+    order = np.lexsort((hits, -of_hits))[:k]
+    return list(zip(of_hits[order].tolist(), hits[order].tolist(), strict=True))
+
+
+def _by_number(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers, ascending, and their counts."""
+    at = np.fromiter(counts.keys(), np.int64, len(counts))
+    order = np.argsort(at)
+    return at[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
 
 
 def _ranges(first: np.ndarray, end: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of some ranges, one range after the other, each with its range's value."""
     n = end - first
-    ends = np.cumsum(n)
-    return np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0), np.repeat(value, n)
+    ends = n.cumsum()
+    numbers = (first - (ends - n)).repeat(n)
+    numbers += np.arange(len(numbers))
+    return numbers, value.repeat(n)
 
 
 @dataclass
@@ -195,13 +243,16 @@ class Counts:
     def __init__(self, terms: dict[str, int], keep: int = 200_000):
         self.terms, self.keep, self.known = terms, keep, {}
         self.levelled = {t.split(">")[0] for t in terms if ">" in t}
-
-    def __call__(self, text: str) -> Counter:
-        out: Counter = Counter()
-        often: Counter = Counter()
-        known, n_words = self.known, 0
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            n_words += n
+        # What a part of a word can be, apart from the many words.
+        self.pieces = {t: n for t, n in terms.items() if len(t) == PIECE}
+        self.stems = {t: n for t, n in terms.items() if t[0] == "^" and len(t) - 1 in STEMS}
+        self.begins = {t[1 : 1 + STEMS[0]] for t in (*self.stems, *self.levelled)}
+
+    def __call__(self, text: str) -> dict[int, int]:
+        out: dict[int, int] = {}
+        often: dict[str, int] = {}
+        known, counted = self.known, word_counts(text)
+        for word, n in counted.items():
             found = known.get(word)
             if found is None:
                 found = self._lookup(word)
@@ -209,25 +260,27 @@ class Counts:
                     known[word] = found
             if found:
                 for t in found[0]:
-                    out[t] += n
+                    out[t] = out.get(t, 0) + n
                 for stem in found[1]:
-                    often[stem] += n
-        for stem, level in levels(often, n_words):
-            t = self.terms.get(f"{stem}>{level}")
-            if t is not None:
-                out[t] = 1
+                    often[stem] = often.get(stem, 0) + n
+        if often:
+            for stem, level in levels(often, counted.total()):
+                t = self.terms.get(f"{stem}>{level}")
+                if t is not None:
+                    out[t] = 1
         return out
 
     def _lookup(self, word: str) -> tuple:
         """(term numbers, stems with levels) of a word, () without any."""
-        terms, marked = self.terms, f"^{word}$"
-        own = {p for i in range(len(marked) - PIECE + 1) if (p := marked[i : i + PIECE]) in terms}
-        if word in terms:
-            own.add(word)
-        by_stem = stems(word)
-        own.update(x for x in by_stem if x in terms)
-        often = tuple(x for x in by_stem if x in self.levelled)
-        return (tuple(terms[p] for p in own), often) if own or often else ()
+        marked, often = f"^{word}$", ()
+        own = set(map(self.pieces.get, [marked[i : i + PIECE] for i in range(len(marked) - PIECE + 1)]))
+        own.add(self.terms.get(word))
+        if word[: STEMS[0]] in self.begins:
+            by_stem = stems(word)
+            own.update(map(self.stems.get, by_stem))
+            often = tuple(x for x in by_stem if x in self.levelled)
+        own.discard(None)
+        return (tuple(own), often) if own or often else ()
 
 
 def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +292,7 @@ def _terms_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             own: set[str] = set()
             often: Counter = Counter()
-            words = Counter(_WORD.findall(text.as_py().lower()))
+            words = word_counts(text.as_py())
             whole.update(words)
             for word, n in words.items():
                 own.update(pieces(word))
@@ -415,11 +468,10 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
         for batch in it:
             scores, near, terms = [], [], []
             for x in batch.column(len(names)):
-                own = counts(x.as_py())
-                at = sorted(own)
-                key = hashlib.blake2b(np.array([at, [own[t] for t in at]], np.int64).tobytes(), digest_size=16).digest()
+                at, times = _by_number(counts(x.as_py()))
+                key = hashlib.blake2b(at.tobytes() + times.tobytes(), digest_size=16).digest()
                 if key not in seen:
-                    found = m.index.nearest(*m.index.vector(own)) if own else []
+                    found = m.index.nearest(*m.index.weigh(at, times)) if len(at) else []
                     if len(seen) > 20_000:
                         seen.clear()
                     seen[key] = (m.score(found), found if evidence else [])

@@ -143,3 +143,46 @@ def test_search_is_exact_over_rare_words():
         got = index.nearest(at, w, but=but)
         assert [n for _, n in got] == [n for _, n in want]
         assert all(math.isclose(a, b, abs_tol=1e-9) for (a, _), (b, _) in zip(got, want, strict=True))
+
+
+ODD_TEXTS = ["", " ", "a", "A_b-c d\x1ce\x1ff", "Éa b c　d", "KK xİY", "don’t naïve ²½ १", "été กิ \U0001d400\U0001f600z",
+             "你好，世界", "àà à", "tab\there\nnl\x85next line", "x" * 300 + "—" + "x" * 300]
+
+
+def test_words_are_those_of_the_pattern():
+    for text in [*ODD_TEXTS, " ".join(ODD_TEXTS), "".join(map(chr, [*range(0xD800), *range(0xE000, 0x3000 + 0xE000)]))]:
+        assert T.word_counts(text) == Counter(T._WORD.findall(text.lower()))
+
+
+def test_counts_against_all_parts_of_every_word():
+    """Terms of all kinds; one that is a word, a marked piece and a stem at once counts once a word."""
+    words = ["villainous", "villa", "vil", "illai", "an", "^vill", "sane", "ansée", "villainous"]
+    kinds = [*words, *(p for w in words for p in T.pieces(w)), *(x for w in words for x in T.stems(w)), "^vil>4", "^vill>64", "^san>8"]
+    terms = {t: i for i, t in enumerate(sorted(set(kinds)))}
+    counts = T.Counts(terms)
+    assert len(counts.pieces) + len(counts.stems) < 2 * len(terms)
+    for text in ["Villainous VILLA vil villa", "an ansée sane sane " * 3, "insane " * 40 + "villain vil", *ODD_TEXTS]:
+        found = T._WORD.findall(text.lower())
+        want: Counter = Counter()
+        often: Counter = Counter()
+        for w in found:
+            want.update(terms[t] for t in {*T.pieces(w), *T.stems(w)} if t in terms)
+            often.update(T.stems(w))
+        want.update(terms[f"{s}>{n}"] for s, n in T.levels(often, len(found)) if f"{s}>{n}" in terms)
+        for _ in range(2):  # also from what is remembered
+            assert counts(text) == want
+
+
+def test_a_search_of_most_blocks_reads_postings_once(monkeypatch):
+    """Examples that are all alike leave nothing to prune: no posting is read more often than in the first blocks and once more."""
+    terms = {f"t{i}": i for i in range(30)}
+    n = 40 * T.BLOCK
+    weights = np.full(n, 30**-0.5)
+    index = T.Index(terms, np.ones(30), list(range(n)), np.zeros(n), [(np.arange(n), weights)] * 30)
+    read = []
+    ranges = T._ranges
+    monkeypatch.setattr(T, "_ranges", lambda first, end, value: read.append(len(first)) or ranges(first, end, value))
+    got = index.nearest(*index.vector(Counter(range(30))))
+    assert [x for _, x in got] == list(range(T.NEIGHBOURS))
+    # Terms for the bounds, runs of the first blocks, then terms again and not all runs.
+    assert read == [30, 30 * T.FIRST_BLOCKS, 30]

@@ -72,6 +72,11 @@ def numbers(con: DataFrame) -> DataFrame:
     return con.select("customer", "icr").distinct()
 
 
+def number_counts(numbers: DataFrame) -> DataFrame:
+    """#53 alone, from the output of ``numbers``: no fold by machine."""
+    return numbers.groupBy("customer").agg(F.count(F.lit(1)).alias("unique_icrno_count"))
+
+
 def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """One row per customer with a contract: #48-#56, #77 and
     ``con_end_date_max`` (for #57)."""
@@ -80,7 +85,7 @@ def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame
 
 def from_folds(numbers: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """``summary`` from the outputs of ``numbers`` and ``per_machine``."""
-    icr = numbers.groupBy("customer").agg(F.count(F.lit(1)).alias("unique_icrno_count"))
+    icr = number_counts(numbers)
     by_machine = machine.groupBy("customer").agg(
         *[
             F.coalesce(F.sum(f"has_{i}"), F.lit(0)).cast("bigint").alias(name)

@@ -179,7 +179,7 @@ READERS: dict[str, dict[str, Reader]] = {
     },
     "con_machine": {
         "customers": Reader((*MACHINE, *(f"has_{i}" for i in range(len(contracts.TYPE_COUNTS))), "priority", "max_end", "price_total"),
-                            _of("contracts", "warranty")),
+                            _of("contracts", "warranty", but=["unique_icrno_count"])),
         "repeats": Reader((*MACHINE, "min_start", "max_end"), _of("repeat_parts")),
         "spares": Reader((*MACHINE, "min_start", "n_contracts", "max_price"), _of("spare_contracts")),
     },
@@ -357,10 +357,10 @@ class _Plan:
     # summaries, one row per customer
     def group(self, name: str) -> DataFrame:
         builders: dict[str, Callable[[], DataFrame]] = {
-            "installs": lambda: installs.summary(self.inst_fold(), self.cfg, both=all(names & self.wanted for names in DISTINCTS)),
+            "installs": lambda: installs.summary(self.inst_fold(), self.cfg, self._two_distincts()),
             "gaps": lambda: installs.purchase_gaps(self.inst(), self.src.tiebreak("installs"), self.dealt),
             "calls": lambda: calls.summary(self.calls(), self.src.tiebreak("calls"), self.cfg),
-            "contracts": lambda: contracts.summary(self.con(), self.con_machine(), self.cfg),
+            "contracts": self._contracts,
             "repeat_parts": lambda: spares.repeat_parts(self.sp(), self.con_machine(), self.dealt),
             "spare_contracts": lambda: spares.contract_lags_and_profitability(spares.machine_fold(self.sp()), self.con_machine()),
             "items": self._items,
@@ -368,6 +368,16 @@ class _Plan:
         }
         return self._get(f"group:{name}", builders[name])
 
+    def _two_distincts(self) -> bool:
+        """Both distincts of the installs are wanted, of a fold that is written:
+        counted apart they read it twice."""
+        return len(self.readers["inst_fold"]) > 1 and all(names & self.wanted for names in DISTINCTS)
+
+    def _contracts(self) -> DataFrame:
+        if "customers" not in self.readers["con_machine"]:
+            return contracts.number_counts(contracts.numbers(self.con()))
+        return contracts.summary(self.con(), self.con_machine(), self.cfg)
+
     def _items(self) -> DataFrame:
         parts = []
         if BY_TYPE & self.wanted:

@@ -135,3 +135,14 @@ def test_hot_customers_are_exchanged_apart(spark, small_sources, small_features,
     same_features(df, small_features)
     assert df.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     sinks.release(spark, mark)
+
+
+def test_contract_numbers_alone_take_no_fold(spark, small_sources, small_features):
+    """Distinct contract numbers are counted without writing contracts or
+    folding them by machine."""
+    mark = sinks.scratch_mark()
+    names = ["unique_icrno_count", "no_of_unique_categories_purchased", "No_of_unique_products_purchased"]
+    plan, df = plan_of(small_sources, names)
+    assert plan.staged == {} and "o_totalprice" not in executed(df)
+    same_features(df, small_features[["customer", *names]])
+    sinks.release(spark, mark)

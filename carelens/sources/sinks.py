@@ -3,10 +3,12 @@ scratch location used to cut lineage between stages."""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -40,8 +42,8 @@ def release(spark: SparkSession, since: int = 0) -> int:
     gone = _scratch[since:]
     del _scratch[since:]
     for p in gone:
-        if p in _named:
-            spark.sql(f"DROP TABLE IF EXISTS {_named.pop(p)}")
+        for named in [n for n in _named if n == p or n.startswith(f"{p}/")]:
+            spark.sql(f"DROP TABLE IF EXISTS {_named.pop(named)}")
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
     return len(gone)
@@ -74,17 +76,36 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def write_buckets(df: DataFrame, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = ()) -> str:
-    """Write ``df`` under ``path`` (of ``scratch_path``) as a table bucketed by
+    """Write ``df`` under ``path`` (unique to it) as a table bucketed by
     ``keys`` and sorted by them (or by ``sort``) inside a bucket; returns the
     table's name.  ``df`` should be hash partitioned by ``keys`` into
     ``buckets`` (or AQE's joins of those), so that there is one file a bucket."""
-    table = "carelens_" + path.rsplit("/", 1)[1].replace("-", "_")
+    table = _table_name(path)
     w = df.write.format("parquet").option("path", path).option("compression", "zstd")
     w.bucketBy(buckets, *keys).sortBy(*(sort or keys)).saveAsTable(table)
     _named[path] = table
     return table
 
 
+def bucket_table(spark: SparkSession, root: str, schema: StructType, parts: Mapping[str, str], buckets: int, keys: Sequence[str]) -> str:
+    """The name of a table of what ``write_buckets`` wrote with ``keys`` to the
+    paths ``parts`` under ``root``, in this session or another: one bucketed
+    table with a partition (column ``_part``) for each."""
+    table = "carelens_" + hashlib.md5("|".join(parts.values()).encode()).hexdigest()
+    if not spark.catalog.tableExists(table):
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE {table} ({schema.toDDL()}, _part STRING) USING parquet PARTITIONED BY (_part) "
+                  f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{root}/{table}'")
+        for part, path in parts.items():
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (_part = '{part}') LOCATION '{path}'")
+        _named[f"{root}/{table}"] = table
+    return table
+
+
+def _table_name(path: str) -> str:
+    return "carelens_" + "_".join(path.split("/")[-2:]).replace("-", "_")
+
+
 def materialize_buckets(spark: SparkSession, df: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> DataFrame:
     """``materialize`` as a table bucketed and sorted by ``keys``: groupings
     and joins by them read it without an exchange."""

@@ -3,9 +3,12 @@
 The three tables that are pulled daily are kept as folds: what their features
 need, at the grain of a customer's machine (or of a distinct pair), in a form
 in which two folds of the same key merge into one.  A batch is folded by itself
-and merged with the folds of the customers it touches; only those are written,
-as a new *layer*, and a customer's rows are read from the newest layer that has
-them.  ``compact`` writes all layers as one.
+and written as a new *layer*; the rows of a key in all layers are merged into
+one where a fold is read, and by ``compact``, which writes all layers as one.
+
+Layers are bucketed, those of machines by machine, so that merging and joining
+them exchanges no rows.  A batch's spare parts, of which both folds keep about a
+row each, are dealt out by machine and written once for the two.
 
 Commits are exactly-once: one small file per commit lists the layers and the
 ids of all batches merged so far.  It is created only if its number is free, so
@@ -29,6 +32,7 @@ from carelens.config import FeatureConfig
 from carelens.operators import calls, contracts, spares
 from carelens.plans import features as FT
 from carelens.sources.inputs import Sources
+from carelens.sources.sinks import bucket_table, scratch_path, write_buckets
 from carelens.sources.versions import DIGITS, _Folder
 
 
@@ -43,6 +47,11 @@ class Fold:
     merge: Mapping[str, Callable[[str], Column]]
     other: Callable[[str], Column] = F.sum
 
+    @property
+    def buckets(self) -> tuple[str, ...]:
+        """The keys that its layers are bucketed by."""
+        return MACHINE if self.keys[:2] == MACHINE else self.keys
+
 
 MACHINE = ("customer", "serial")
 FOLDS: dict[str, Fold] = {
@@ -54,6 +63,8 @@ FOLDS: dict[str, Fold] = {
     "bookings": Fold("spares", (*MACHINE, "item", "booked"), lambda df, _: spares.booking_days(df), {}),
 }
 PREPARE = {"calls": calls.prepare, "contracts": contracts.prepare, "spares": spares.prepare}
+# Inputs whose folds are all by machine and of about as many rows.
+DEALT = ("spares",)
 # The feature groups that come from these folds alone.
 GROUPS = ("calls", "contracts", "repeat_parts", "spare_contracts")
 
@@ -74,6 +85,12 @@ class FeatureState:
 
     def _commit(self) -> tuple[int, dict]:
         """Number and content of the last complete commit."""
+        number, commit = self._last()
+        if commit["layers"] and "buckets" not in commit:
+            raise ValueError(f"{self.root} has layers of an earlier kind; build it anew")
+        return number, commit
+
+    def _last(self) -> tuple[int, dict]:
         folder = _Folder(self.spark, f"{self.root}/commits")
         last = 0
         for name in reversed(folder.names()):
@@ -86,19 +103,26 @@ class FeatureState:
         return last, {"batches": [], "layers": [], "schemas": {}}
 
     def _rows(self, commit: Mapping, name: str) -> DataFrame | None:
-        """All rows of a fold that count: a customer's newest layer."""
-        layers = commit["layers"]
+        """A fold's merged rows of all layers.  They are read as the partitions
+        of one bucketed table: Spark 4.1 takes a union of bucketed tables for
+        bucketed and yet leaves rows of a key apart."""
+        layers, fold = commit["layers"], FOLDS[name]
         if not layers:
             return None
-        schema = commit["schemas"][name]
-        out = None
-        for i, layer in enumerate(layers):
-            df = self.spark.read.schema(T.StructType.fromJson(schema)).parquet(f"{self.root}/layers/{layer}/{name}").withColumn("_layer", F.lit(i))
-            out = df if out is None else out.unionByName(df)
-        if len(layers) == 1:
-            return out.drop("_layer")
-        newest = out.groupBy("customer").agg(F.max("_layer").alias("_layer"))
-        return out.join(newest, ["customer", "_layer"]).drop("_layer")
+        schema = T.StructType.fromJson(commit["schemas"][name])
+        paths = {layer: f"{self.root}/layers/{layer}/{name}" for layer in layers}
+        rows = self.spark.table(bucket_table(self.spark, f"{self.root}/layers", schema, paths, commit["buckets"], fold.buckets)).select(*schema.names)
+        return rows if len(layers) < 2 else merge(rows, fold)
+
+    def _write(self, df: DataFrame, layer: str, name: str, buckets: int) -> None:
+        write_buckets(df, f"{self.root}/layers/{layer}/{name}", buckets, FOLDS[name].buckets)
+
+    def _dealt(self, source: str, prepared: DataFrame, buckets: int) -> DataFrame:
+        """A batch's prepared rows, written once where several folds by machine read them."""
+        if source not in DEALT:
+            return prepared
+        path = scratch_path(self.spark, f"batch-{source}")
+        return self.spark.table(write_buckets(prepared.hint("rebalance", *MACHINE), path, buckets, MACHINE))
 
     def batches(self) -> list[str]:
         """Ids of the batches merged so far."""
@@ -114,24 +138,21 @@ class FeatureState:
             if batch in commit["batches"]:
                 return False
             layer, schemas = uuid.uuid4().hex, dict(commit["schemas"])
+            buckets = commit.get("buckets") or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            prepared = {t: self._dealt(t, PREPARE[t](empty.with_frames(**{t: df}), self.cfg), buckets) for t, df in rows.items()}
             for name, fold in FOLDS.items():
                 if fold.source not in rows:
                     continue
-                src = empty.with_frames(**{fold.source: rows[fold.source]})
-                new = fold.make(PREPARE[fold.source](src, self.cfg), list(order.get(fold.source, ())))
-                old = self._rows(commit, name) if name in schemas else None
-                if old is not None:
-                    # Only the customers that the batch touches are read and written again.
-                    touched = new.select("customer").distinct()
-                    new = merge(old.join(touched, "customer", "left_semi").unionByName(new), fold)
-                new.write.parquet(f"{self.root}/layers/{layer}/{name}")
+                new = fold.make(prepared[fold.source], list(order.get(fold.source, ())))
+                self._write(new, layer, name, buckets)
                 schemas[name] = json.loads(new.schema.json())
             for name in schemas:
                 if FOLDS[name].source not in rows:  # nothing new
-                    self.spark.createDataFrame([], T.StructType.fromJson(schemas[name])).write.parquet(f"{self.root}/layers/{layer}/{name}")
+                    self._write(self.spark.createDataFrame([], T.StructType.fromJson(schemas[name])), layer, name, buckets)
             if number == 0 and len(schemas) < len(FOLDS):
                 raise ValueError("the first batch must have all three tables, empty ones if need be")
-            if self._publish(number + 1, {"batches": [*commit["batches"], batch], "layers": [*commit["layers"], layer], "schemas": schemas}):
+            if self._publish(number + 1, {"batches": [*commit["batches"], batch], "layers": [*commit["layers"], layer],
+                                          "schemas": schemas, "buckets": buckets}):
                 return True
 
     def _publish(self, number: int, commit: Mapping) -> bool:
@@ -144,7 +165,7 @@ class FeatureState:
             return False
         layer = uuid.uuid4().hex
         for name in FOLDS:
-            self._rows(commit, name).write.parquet(f"{self.root}/layers/{layer}/{name}")
+            self._write(self._rows(commit, name), layer, name, commit["buckets"])
         return self._publish(number + 1, {**commit, "layers": [layer]})
 
     def fold(self, name: str) -> DataFrame:
@@ -173,7 +194,7 @@ class _StatePlan(FT._Plan):
         builders = {
             "calls": lambda: calls.from_folds(s("calls"), s("media"), self.cfg),
             "contracts": lambda: contracts.from_folds(s("numbers"), s("contracts"), self.cfg),
-            "repeat_parts": lambda: spares.repeats(s("bookings"), s("contracts")),
+            "repeat_parts": lambda: spares.repeats(s("bookings"), s("contracts"), dealt=True),
             "spare_contracts": lambda: spares.contract_lags_and_profitability(s("spares"), s("contracts")),
         }
         return self._get(f"group:{name}", builders[name]) if name in builders else super().group(name)

@@ -98,3 +98,31 @@ def test_tables_may_be_missing_from_later_batches(spark, small_sources, state):
         state.apply(t, {t: whole[t]}, small_sources.order)
     assert state.fold("numbers").count() == S.contracts.numbers(S.contracts.prepare(small_sources, FeatureConfig())).count()
     assert state.fold("bookings").count() == S.spares.booking_days(S.spares.prepare(small_sources, FeatureConfig())).count()
+
+
+def test_layers_are_merged_and_joined_where_they_are(spark, small_sources, state):
+    for i in range(2):
+        state.apply(f"day-{i}", day_batch(small_sources, i, 2), small_sources.order)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for name, fold in S.FOLDS.items():
+        rows = state.fold(name)
+        assert "Exchange" not in plan(rows), name
+        assert rows.count() == rows.select(*fold.keys).distinct().count(), name
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        joined = state.fold("bookings").join(state.fold("contracts"), ["customer", "serial"], "left")
+        assert "Exchange" not in plan(joined)
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_layers_are_read_by_a_session_that_did_not_write_them(spark, small_sources, state):
+    for i in range(2):
+        state.apply(f"day-{i}", day_batch(small_sources, i, 2), small_sources.order)
+    want = {n: sorted(map(str, state.fold(n).collect())) for n in S.FOLDS}
+    for table in spark.catalog.listTables():
+        if table.name.startswith("carelens_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    again = S.FeatureState(spark, state.root)
+    assert {n: sorted(map(str, again.fold(n).collect())) for n in S.FOLDS} == want

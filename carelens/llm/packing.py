@@ -61,24 +61,28 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     least = lengths[order[-1]] if order else 0
     heap = [(0.0, s) for s in range(full)]
+    # Sequences without room for a piece, by their room: as pieces get shorter,
+    # each is looked at again only once a piece fits.
+    waiting: list[list[tuple[float, int]]] = [[] for _ in range(capacity)]
+    looked = capacity
     cut: list[int] = []
     for piece in order:
         n = lengths[piece]
-        waiting, chosen = [], -1
-        while heap:
+        while looked > n:
+            looked -= 1
+            for entry in waiting[looked]:
+                heapq.heappush(heap, entry)
+            waiting[looked] = []
+        while heap and room[heap[0][1]] < n:
             entry = heapq.heappop(heap)
-            if room[entry[1]] >= n:
-                chosen = entry[1]
-                break
-            waiting.append(entry)
-        if chosen < 0:
-            cut.append(piece)
-        else:
+            waiting[room[entry[1]]].append(entry)
+        if heap:
+            chosen = heapq.heappop(heap)[1]
             put(piece, 0, n, chosen)
             if room[chosen] >= least:  # else no later piece fits whole
                 heapq.heappush(heap, (cost[chosen], chosen))
-        for entry in waiting:
-            heapq.heappush(heap, entry)
+        else:
+            cut.append(piece)
     open_ = sorted((s for s in range(len(room)) if room[s]), key=lambda s: (s >= full, cost[s], s), reverse=True)
     for piece in cut:
         start = 0

@@ -106,3 +106,14 @@ def test_costs_are_balanced():
                 naive.append(now)
                 at, now = 0, 0.0
     assert np.std(full) < np.std(naive)
+
+
+def test_sequences_without_room_are_not_looked_at_for_every_piece(monkeypatch):
+    rng = np.random.default_rng(5)
+    lengths = np.clip(rng.lognormal(6.6, 0.6, 3000), 1, 2047).astype(int).tolist()
+    pushed = []
+    real = packing.heapq.heappush
+    monkeypatch.setattr(packing.heapq, "heappush", lambda heap, x: (pushed.append(1), real(heap, x)))
+    parts = packing.assign(lengths, 2048, 1.0, 1 / 1024)
+    assert sum(n for _, _, n, _, _ in parts) == sum(lengths)
+    assert len(pushed) < 4 * len(lengths)

@@ -211,6 +211,12 @@ def _by_number(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     return at[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
 
 
+def _named(names: pa.Array, numbers: list[np.ndarray]) -> pa.Array:
+    """Lists of names, one for each array of their numbers."""
+    ends = np.cumsum([0, *map(len, numbers)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(np.concatenate([np.zeros(0, np.int64), *numbers]))))
+
+
 def _ranges(first: np.ndarray, end: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of some ranges, one range after the other, each with its range's value."""
     n = end - first
@@ -462,7 +468,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         counts = Counts(m.index.terms)
-        by_number = list(m.index.terms) if evidence else []
+        by_number = pa.array(list(m.index.terms), pa.string()) if evidence else None
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         seen: dict[bytes, tuple[float, list]] = {}  # by the text's terms
         for batch in it:
@@ -479,8 +485,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
                 scores.append(value)
                 if evidence:
                     near.append([{"doc_id": m.index.ids[n], "label": int(m.index.labels[n]), "cosine": s} for s, n in found])
-                    terms.append([by_number[t] for t in at])
-            more = [pa.array(near, kind), pa.array(terms, pa.list_(pa.string()))] if evidence else []
+                    terms.append(at)
+            more = [pa.array(near, kind), _named(by_number, terms)] if evidence else []
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], pa.array(scores, pa.float64()), *more],
                 names=[*names, "score", *(["neighbours", "terms"] if evidence else [])])

@@ -186,3 +186,13 @@ def test_a_search_of_most_blocks_reads_postings_once(monkeypatch):
     assert [x for _, x in got] == list(range(T.NEIGHBOURS))
     # Terms for the bounds, runs of the first blocks, then terms again and not all runs.
     assert read == [30, 30 * T.FIRST_BLOCKS, 30]
+
+
+def test_term_names_are_taken_as_one_column():
+    import numpy as np
+    import pyarrow as pa
+
+    names = pa.array(["a", "b", "c"])
+    numbers = [np.array([2, 0]), np.zeros(0, np.int64), np.array([1])]
+    assert toxicity._named(names, numbers).to_pylist() == [["c", "a"], [], ["b"]]
+    assert toxicity._named(names, []).type == pa.list_(pa.string()) and len(toxicity._named(names, [])) == 0

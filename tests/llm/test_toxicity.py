@@ -194,5 +194,5 @@ def test_term_names_are_taken_as_one_column():
 
     names = pa.array(["a", "b", "c"])
     numbers = [np.array([2, 0]), np.zeros(0, np.int64), np.array([1])]
-    assert toxicity._named(names, numbers).to_pylist() == [["c", "a"], [], ["b"]]
-    assert toxicity._named(names, []).type == pa.list_(pa.string()) and len(toxicity._named(names, [])) == 0
+    assert T._named(names, numbers).to_pylist() == [["c", "a"], [], ["b"]]
+    assert T._named(names, []).type == pa.list_(pa.string()) and len(T._named(names, [])) == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carelens.config import FeatureConfig
 from carelens.plans import features as FT
+from carelens.sources import fixtures as FX
 from carelens.sources import sinks
 
 
@@ -146,3 +147,58 @@ def test_contract_numbers_alone_take_no_fold(spark, small_sources, small_feature
     assert plan.staged == {} and "o_totalprice" not in executed(df)
     same_features(df, small_features[["customer", *names]])
     sinks.release(spark, mark)
+
+
+@pytest.fixture(scope="module")
+def own_tables(spark, tmp_path_factory):
+    """Small tables with lines of no order, orders of no customer, rows that
+    come twice, and ties in every date."""
+    at = str(tmp_path_factory.mktemp("tables"))
+    i = F.col("id")
+    day = lambda n: F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval((n % 40).cast("int"))
+    of = lambda n, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
+    twice = lambda df: df.unionByName(df.where(i % 5 == 0))
+    made = {
+        "orders": twice(spark.range(90)).select(
+            i.alias("o_orderkey"), F.when(i % 11 != 0, i % 17).alias("o_custkey"), (i * 1.25).alias("o_totalprice"), day(i * 7).alias("o_orderdate"),
+            of(i, "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", None).alias("o_orderpriority")),
+        "lineitem": twice(spark.range(400)).select(
+            F.when(i % 13 != 0, i * 7 % 95).alias("l_orderkey"), (i * 3 % 30).alias("l_partkey"), (i % 7).alias("l_suppkey"),
+            (i % 6).cast("int").alias("l_linenumber"), (i % 9 + 0.5).alias("l_quantity"), (i * 2.5).alias("l_extendedprice"),
+            of(i, "R", "A", "N", None).alias("l_returnflag"), of(i / 2, "F", "O").alias("l_linestatus"), day(i * 5).alias("l_shipdate")),
+        "part": spark.range(28).select(i.alias("p_partkey"), of(i, "ECONOMY TIN", "SMALL", "MEDIUM", "LARGE", "PROMO").alias("p_type"),
+                                       (i + 900.0).alias("p_retailprice"), (i % 50).cast("int").alias("p_size")),
+        "events": twice(spark.range(200)).select(
+            i.alias("event_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((i % 9).cast("int"))).alias("ts"),
+            F.when(i % 19 != 0, i % 17).alias("user_id"), of(i, "purchase", "click", "error", "view").alias("event_type"),
+            (i % 13 * 1.0).alias("value"), F.concat(F.lit('{"k": '), (i % 100).cast("string"), F.lit("}")).alias("props")),
+    }
+    for name, df in made.items():
+        df.write.parquet(f"{at}/{name}.parquet")
+    return at
+
+
+def test_inputs_of_joined_lines_are_the_same_rows(spark, own_tables):
+    mark = sinks.scratch_mark()
+    apart, once = FX.fixture_sources(spark, own_tables), FX.fixture_sources(spark, own_tables, FX.joined_lines(spark, own_tables))
+    for name in ("installs", "spares", "call_items"):
+        a, b = getattr(apart, name), getattr(once, name)
+        assert a.schema.simpleString() == b.schema.simpleString() and a.count() == b.count() > 0
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    sinks.release(spark, mark)
+
+
+def test_inputs_are_dealt_out_without_moving_rows(spark, own_tables, no_broadcast):
+    """Buckets are written by the tasks that prepare an input (one more exchange
+    each before), and prices are read in place like the rest (three exchanges)."""
+    mark = sinks.scratch_mark()
+    names = FT.FEATURE_NAMES
+    plan, df = plan_of(FX.fixture_sources(spark, own_tables, FX.joined_lines(spark, own_tables)), names)
+    assert {n: exchanges(plan.staged[n]) for n in FT.WAVES[0]} == {"inst": 2, "calls": 0, "con": 0, "sp": 0, "items": 0}
+    assert "rebalance" not in "".join(plan.staged[n]._jdf.queryExecution().toString().lower() for n in FT.WAVES[0])
+    assert exchanges(df) == 0
+    apart = FT._Plan(FX.fixture_sources(spark, own_tables), FeatureConfig(), names)
+    apart.given = True  # as hot customers are
+    same_features(df, FT._table(apart, names).toPandas())
+    sinks.release(spark, mark)
+

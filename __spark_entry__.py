@@ -448,7 +448,7 @@ def cluster_checks(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {"customer_features": customer_features}
     for name, cols in SLICES.items():
-        q[name] = _slice(cols, _src_once if name == "impute_zero" else _src)
+        q[name] = _slice(cols, _src_once if name.startswith("impute_") else _src)
     q.update(
         norm_keys=norm_keys,
         key_forms=key_forms,

@@ -83,9 +83,9 @@ def summary(con: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame
     return from_folds(numbers(con), machine, cfg)
 
 
-def from_folds(numbers: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """``summary`` from the outputs of ``numbers`` and ``per_machine``."""
-    icr = number_counts(numbers)
+def from_folds(numbers: DataFrame | None, machine: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """``summary`` from the outputs of ``numbers`` and ``per_machine``; without
+    the former, it lacks #53 and #56."""
     by_machine = machine.groupBy("customer").agg(
         *[
             F.coalesce(F.sum(f"has_{i}"), F.lit(0)).cast("bigint").alias(name)
@@ -95,16 +95,16 @@ def from_folds(numbers: DataFrame, machine: DataFrame, cfg: FeatureConfig) -> Da
         F.max("max_end").alias("con_end_date_max"),
         exact_sum("price_total").alias("sum_amc_price"),
     )
-    # Both have the customers of the same rows; a run that does not ask for the
-    # distinct numbers loses the join to the optimizer.
-    out = by_machine.join(icr, "customer", "left")
+    out, counted = by_machine, []
+    if numbers is not None:  # of the same rows, so it has the same customers
+        out = by_machine.join(number_counts(numbers), "customer", "left")
+        counted = ["unique_icrno_count", ieee_div("sum_amc_price", "unique_icrno_count").alias("avg_price_amc")]
     return out.select(
         "customer",
         *[name for name, _ in TYPE_COUNTS],
-        "unique_icrno_count",
+        *counted,
         age_days("con_end_date_max", cfg.as_of).alias("days_left_for_current_amc_to_be_ended"),
         "sum_amc_price",
-        ieee_div("sum_amc_price", "unique_icrno_count").alias("avg_price_amc"),
         "loyalty_score",
         "con_end_date_max",
     )

@@ -222,7 +222,7 @@ class _Plan:
     folds are bucketed and sorted by machine, so that the joins and groupings
     by machine behind them need no exchange.
 
-    A run that shares every input (the whole table) deals each of them out once,
+    A run that reads every input (the whole table) deals each of them out once,
     by customer: the written inputs, their folds, the prices of installs and the
     summaries that join folds are bucketed by customer, and no grouping, window
     or join behind them exchanges rows.  The tasks that prepare an input write
@@ -248,7 +248,11 @@ class _Plan:
     @property
     def dealt(self) -> bool:
         """Whether inputs are dealt out by customer."""
-        return not self.given and all(len(self.readers[node]) > 1 for node in WAVES[0])
+        return not self.given and all(self.readers[node] for node in WAVES[0])
+
+    def _written(self, node: str) -> bool:
+        """Whether ``node`` is written before its readers read it."""
+        return len(self.readers[node]) > 1 or (self.dealt and node in WAVES[0])
 
     def columns(self, node: str) -> list[str]:
         """The columns that this run's readers of ``node`` read."""
@@ -266,7 +270,7 @@ class _Plan:
     def _shared(self, node: str, fn: Callable[[], DataFrame]) -> DataFrame:
         def build() -> DataFrame:
             df = fn()
-            if len(self.readers[node]) < 2:
+            if not self._written(node):
                 return df
             spark = df.sparkSession
             df = df.select(*self.columns(node))
@@ -292,7 +296,7 @@ class _Plan:
         Spark jobs (one driver thread each), wave by wave."""
         with ThreadPoolExecutor(max_workers=len(WAVES[0])) as pool:
             for wave in WAVES:
-                list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if len(self.readers[k]) > 1]))
+                list(pool.map(lambda key: getattr(self, key)(), [k for k in wave if self._written(k)]))
                 if self.dealt and wave is WAVES[0]:
                     self._part_hot(pool)
             if self.dealt:
@@ -392,6 +396,8 @@ class _Plan:
     def _contracts(self) -> DataFrame:
         if "customers" not in self.readers["con_machine"]:
             return contracts.number_counts(contracts.numbers(self.con()))
+        if "icr" not in self.readers["con"]:
+            return contracts.from_folds(None, self.con_machine(), self.cfg)
         return contracts.summary(self.con(), self.con_machine(), self.cfg)
 
     def _items(self) -> DataFrame:

@@ -202,3 +202,16 @@ def test_inputs_are_dealt_out_without_moving_rows(spark, own_tables, no_broadcas
     same_features(df, FT._table(apart, names).toPandas())
     sinks.release(spark, mark)
 
+
+def test_a_run_that_reads_every_input_deals_all_of_them_out(spark, own_tables, no_broadcast):
+    """Also those of a single reader: the sentinel columns have one of calls,
+    which kept their run from it."""
+    mark = sinks.scratch_mark()
+    names = [f.name for f in FT.CATALOGUE if f.fill == FT.SENTINEL]
+    src = FX.fixture_sources(spark, own_tables, FX.joined_lines(spark, own_tables))
+    plan, df = plan_of(src, names)
+    assert plan.dealt and set(FT.WAVES[0]) <= set(plan.staged) and exchanges(df) == 0
+    apart = FT._Plan(src, FeatureConfig(), names)
+    apart.given = True
+    same_features(df, FT._table(apart, names).toPandas())
+    sinks.release(spark, mark)
